@@ -1,0 +1,354 @@
+"""Consistency: orphans, date order, totals, latest status, enumerations, repeated values."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dqloom.functions.numbers import pct
+from dqloom.operators.keyed import (
+    all_not_null,
+    key_presence,
+    pair_agreement,
+    spread_left_join,
+    union_all,
+    with_presence,
+)
+from dqloom.sources.registry import TableRegistry
+
+Rule = Mapping[str, Any]
+
+
+def orphan_records(
+    child: DataFrame, parent: DataFrame, pairs: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Child rows with a complete key, those without a parent row, and their share."""
+    uses = F.col("uses")
+    counted = key_presence(child, parent, pairs).agg(
+        F.coalesce(F.sum(uses), F.lit(0)).alias("checked_count"),
+        F.coalesce(F.sum(F.when(~F.col("known"), uses).otherwise(F.lit(0))), F.lit(0)).alias(
+            "orphan_count"
+        ),
+    )
+    return counted.withColumn("orphan_pct", pct(F.col("orphan_count"), F.col("checked_count")))
+
+
+def orphan_rows(
+    child: DataFrame, parent: DataFrame, pairs: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """The child rows that have a complete key and no parent row."""
+    complete = child.filter(all_not_null([c for c, _ in pairs]))
+    return with_presence(complete, parent, pairs, "_known").filter(~F.col("_known")).drop("_known")
+
+
+def orphan_checks(registry: TableRegistry, edges: DataFrame) -> DataFrame:
+    """One result row per foreign key, composite keys as one check."""
+    grouped: dict[tuple, list] = defaultdict(list)
+    for edge in edges.orderBy("from_schema", "from_table", "constraint_name",
+                              "column_position").collect():
+        grouped[(edge["from_schema"], edge["from_table"], edge["constraint_name"])].append(edge)
+    results = []
+    for (schema, table, constraint), columns in grouped.items():
+        first = columns[0]
+        pairs = [(e["from_column"], e["to_column"]) for e in columns]
+        result = orphan_records(
+            registry.table(schema, table),
+            registry.table(first["to_schema"], first["to_table"]),
+            pairs,
+        )
+        results.append(
+            result.select(
+                F.lit(constraint).alias("constraint_name"),
+                F.lit(schema).alias("child_schema"),
+                F.lit(table).alias("child_table"),
+                F.lit(", ".join(c for c, _ in pairs)).alias("fk_column"),
+                F.lit(first["to_schema"]).alias("parent_schema"),
+                F.lit(first["to_table"]).alias("parent_table"),
+                F.lit(", ".join(p for _, p in pairs)).alias("parent_column"),
+                "*",
+            )
+        )
+    return union_all(results)
+
+
+def _violations(checked: Column, violated: Column) -> list[Column]:
+    return [
+        checked.alias("checked_count"),
+        violated.alias("violation_count"),
+        pct(violated, checked).alias("violation_pct"),
+    ]
+
+
+def date_order(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """Rows whose start is not before their end; equal dates violate ``<``.
+
+    All rules of a table are counted in one pass over it.
+    """
+    by_table: dict[str, list[Rule]] = defaultdict(list)
+    for rule in rules:
+        by_table[rule["table"]].append(rule)
+    results = []
+    for reference, group in by_table.items():
+        aggregates = []
+        for i, rule in enumerate(group):
+            start, end = F.col(f"`{rule['start_column']}`"), F.col(f"`{rule['end_column']}`")
+            wrong = start > end if rule.get("operator") == "<=" else start >= end
+            aggregates += [
+                F.count_if(start.isNotNull() & end.isNotNull()).alias(f"c{i}"),
+                F.count_if(wrong).alias(f"v{i}"),
+            ]
+        counted = registry.by_reference(reference).agg(*aggregates)
+        rows = F.array(*[
+            F.struct(
+                F.lit(rule["id"]).alias("rule_id"),
+                F.col(f"c{i}").alias("c"),
+                F.col(f"v{i}").alias("v"),
+            )
+            for i, rule in enumerate(group)
+        ])
+        results.append(
+            counted.select(F.inline(rows)).select(
+                "rule_id", F.lit("date_order").alias("pattern"),
+                *_violations(F.col("c"), F.col("v")),
+            )
+        )
+    return union_all(results)
+
+
+def _summable(frame: DataFrame, column: str) -> Column:
+    """Doubles are added as decimals, so that a total does not depend on row order."""
+    value = F.col(f"`{column}`")
+    data_type = frame.schema[column].dataType
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return value.cast("decimal(28,6)")
+    return value
+
+
+def total_detail(
+    total: DataFrame,
+    detail: DataFrame,
+    total_column: str,
+    detail_column: str,
+    pairs: Sequence[tuple[str, str]],
+    tolerance: float = 0,
+) -> DataFrame:
+    """Headers whose total differs from the sum of their details by more than a tolerance.
+
+    Headers without details compare with 0, details without header are ignored. Details
+    are summed per key first; equal headers of a key are counted together, and header keys
+    that are hot even so are spread in the join.
+    """
+    header_keys = [h for h, _ in pairs]
+    detail_keys = [d for _, d in pairs]
+    sums = (
+        detail.filter(all_not_null(detail_keys))
+        .groupBy(*[F.col(d).alias(h) for h, d in pairs])
+        .agg(F.sum(_summable(detail, detail_column)).alias("_detail"))
+    )
+    headers = (
+        total.filter(F.col(total_column).isNotNull())
+        .groupBy(*header_keys, _summable(total, total_column).alias("_total"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    joined = spread_left_join(headers, sums, header_keys)
+    gap = F.abs(F.col("_total") - F.coalesce("_detail", F.lit(0)))
+    counted = joined.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("c"),
+        F.coalesce(F.sum(F.when(gap > tolerance, F.col("_n")).otherwise(F.lit(0))),
+                   F.lit(0)).alias("v"),
+    )
+    return counted.select(*_violations(F.col("c"), F.col("v")))
+
+
+def latest_status(
+    frame: DataFrame,
+    entity: Sequence[str],
+    status: str,
+    event_time: str,
+    tie_breakers: Sequence[str] = (),
+) -> DataFrame:
+    """Last known status per entity; NULL entity keys form one group.
+
+    A tie on time is decided by the tie breakers and then by the greater status. The
+    maximum is taken per task before the shuffle, so a hot entity is one row per task.
+    """
+    order = F.struct(
+        F.col(event_time).alias("at"),
+        *[F.col(t).alias(f"t{i}") for i, t in enumerate(tie_breakers)],
+        F.col(status).alias("status"),
+    )
+    return (
+        frame.filter(F.col(status).isNotNull() & F.col(event_time).isNotNull())
+        .groupBy(*entity)
+        .agg(F.max(order).alias("last"))
+        .select(*entity, F.col("last.at").alias("last_at"), F.col("last.status").alias("status"))
+    )
+
+
+def status_terminal(
+    frame: DataFrame,
+    entity: Sequence[str],
+    status: str,
+    event_time: str,
+    terminal_values: Sequence[Any],
+    require_terminal: bool = True,
+    tie_breakers: Sequence[str] = (),
+) -> DataFrame:
+    """Entities whose latest status is not a terminal one."""
+    last = latest_status(frame, entity, status, event_time, tie_breakers)
+    open_ended = ~F.col("status").cast("string").isin([str(v) for v in terminal_values])
+    counted = last.agg(
+        F.count(F.lit(1)).alias("c"),
+        F.count_if(open_ended & F.lit(bool(require_terminal))).alias("v"),
+    )
+    return counted.select(*_violations(F.col("c"), F.col("v")))
+
+
+def pattern_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """Results of date_order, total_detail and status_terminal rules."""
+    results = []
+    dated = [rule for rule in rules if rule["pattern"] == "date_order"]
+    if dated:
+        results.append(date_order(registry, dated))
+    for rule in rules:
+        if rule["pattern"] == "total_detail":
+            result = total_detail(
+                registry.by_reference(rule["total_table"]),
+                registry.by_reference(rule["detail_table"]),
+                rule["total_column"],
+                rule["detail_column"],
+                [(pair["total"], pair["detail"]) for pair in rule["join_columns"]],
+                rule.get("tolerance") or 0,
+            )
+        elif rule["pattern"] == "status_terminal":
+            result = status_terminal(
+                registry.by_reference(rule["table"]),
+                rule["entity_columns"],
+                rule["status_column"],
+                rule["event_time_column"],
+                rule["terminal_values"],
+                rule["require_terminal"],
+                rule.get("tie_breakers") or (),
+            )
+        else:
+            continue
+        results.append(
+            result.select(
+                F.lit(rule["id"]).alias("rule_id"), F.lit(rule["pattern"]).alias("pattern"), "*"
+            )
+        )
+    return union_all(results)
+
+
+def enum_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """Values outside the allowed set, compared exactly, NULL not checked.
+
+    All rules of a table share one scan; every valid value becomes the same NULL marker,
+    so the shuffle carries one row per rule and distinct invalid value.
+    """
+    by_table: dict[str, list[Rule]] = defaultdict(list)
+    for rule in rules:
+        if any(value is None for value in rule["allowed_values"]):
+            raise ValueError(f"Rule {rule['id']} has NULL in allowed_values")
+        by_table[rule["column"].rsplit(".", 1)[0]].append(rule)
+    results = []
+    for reference, group in by_table.items():
+        frame = registry.by_reference(reference)
+        cells = []
+        for rule in group:
+            value = F.col(f"`{rule['column'].rsplit('.', 1)[1]}`")
+            invalid = F.when(~value.isin(list(rule["allowed_values"])), value.cast("string"))
+            cells.append(
+                F.when(value.isNotNull(), F.struct(F.lit(rule["id"]).alias("rule_id"),
+                                                   invalid.alias("invalid")))
+            )
+        counted = (
+            frame.select(F.inline(F.array_compact(F.array(*cells))))
+            .groupBy("rule_id", "invalid")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        found = counted.groupBy("rule_id").agg(
+            F.sum("n").alias("checked_count"),
+            F.coalesce(F.sum(F.when(F.col("invalid").isNotNull(), F.col("n"))), F.lit(0)).alias(
+                "invalid_count"
+            ),
+            F.count("invalid").alias("invalid_distinct_count"),
+            F.array_join(F.array_sort(F.collect_list("invalid")), ", ").alias("invalid_values"),
+        )
+        listed = frame.sparkSession.createDataFrame(
+            [(rule["id"], rule["column"]) for rule in group], "rule_id string, column string"
+        )
+        results.append(listed.join(found, "rule_id", "left"))
+    checked = union_all(results).na.fill(0).na.fill("")
+    return checked.withColumn("invalid_pct", pct(F.col("invalid_count"), F.col("checked_count")))
+
+
+def cross_table_check(
+    source: DataFrame,
+    target: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    values: tuple[str, str],
+    null_policy: str = "exclude_if_either_null",
+) -> DataFrame:
+    """Joined pairs whose two values differ; the checked count is the number of pairs."""
+    agreement = pair_agreement(
+        source, target, pairs, values, keep_nulls=null_policy == "nulls_are_different"
+    )
+    checked = F.col("checked_count")
+    return agreement.select(*_violations(checked, checked - F.col("agreeing_count")))
+
+
+def cross_table_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """One result row per repeated-value rule."""
+    results = []
+    for rule in rules:
+        pairs = [
+            (pair["source"].rsplit(".", 1)[1], pair["target"].rsplit(".", 1)[1])
+            for pair in rule["join"]
+        ]
+        values = (rule["source"].rsplit(".", 1)[1], rule["target"].rsplit(".", 1)[1])
+        result = cross_table_check(
+            registry.by_reference(rule["source"]),
+            registry.by_reference(rule["target"]),
+            pairs,
+            values,
+            rule.get("null_policy") or "exclude_if_either_null",
+        )
+        results.append(
+            result.select(
+                F.lit(rule["id"]).alias("rule_id"),
+                F.lit("duplicated_value").alias("pattern"),
+                F.lit(rule["source"]).alias("source"),
+                F.lit(rule["target"]).alias("target"),
+                "*",
+            )
+        )
+    return union_all(results)
+
+
+def activity_after_closing(
+    frame: DataFrame,
+    entity: Sequence[str],
+    status: str,
+    event_time: str,
+    closing_values: Sequence[str],
+) -> DataFrame:
+    """Events later than the entity's last closing event: checked events and violations."""
+    is_closing = F.col(status).isin(list(closing_values))
+    closed = (
+        frame.filter(is_closing)
+        .groupBy(*entity)
+        .agg(F.max(event_time).alias("_closed_at"))
+    )
+    joined = spread_left_join(
+        frame.select(*entity, F.col(event_time).alias("_at")), closed, list(entity)
+    )
+    counted = joined.agg(
+        F.count("_closed_at").alias("c"), F.count_if(F.col("_at") > F.col("_closed_at")).alias("v")
+    )
+    return counted.select(*_violations(F.col("c"), F.col("v")))
