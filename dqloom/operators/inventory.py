@@ -49,20 +49,25 @@ def row_counts(registry: TableRegistry, keys: Iterable[TableKey] | None = None)
 
 
 def file_sizes(registry: TableRegistry, keys: Iterable[TableKey] | None = None) -> DataFrame:
-    """Bytes on storage per file-based table, from file metadata alone."""
+    """Bytes on storage per table, from the file listing; no file is opened.
+
+    Views and database tables have no files of their own and count 0.
+    """
     frames = []
     for s, t in registry.keys() if keys is None else keys:
-        frame = registry.table(s, t)
-        label = [F.lit(s).alias("schema_name"), F.lit(t).alias("table_name")]
-        if frame.inputFiles():
-            files = frame.select(
-                F.col("_metadata.file_path").alias("path"),
-                F.col("_metadata.file_size").alias("size"),
-            ).groupBy("path").agg(F.max("size").alias("size"))
-            size = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"))
-        else:
+        path = registry.location(s, t)
+        if path is None:
             size = registry.spark.range(1).select(F.lit(0).cast("bigint").alias("total_bytes"))
-        frames.append(size.select(*label, "total_bytes"))
+        else:
+            size = (
+                registry.spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")
+                .load(path)
+                .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
+            )
+        frames.append(
+            size.select(F.lit(s).alias("schema_name"), F.lit(t).alias("table_name"), "total_bytes")
+        )
     return union_all(frames)
 
 

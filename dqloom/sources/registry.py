@@ -21,6 +21,7 @@ class TableRegistry:
     spark: SparkSession
     openers: dict[TableKey, Callable[[], DataFrame]] = field(default_factory=dict)
     comments: dict[TableKey, str] = field(default_factory=dict)
+    paths: dict[TableKey, str] = field(default_factory=dict)
     _opened: dict[TableKey, DataFrame] = field(default_factory=dict)
 
     def add(
@@ -45,6 +46,7 @@ class TableRegistry:
                 schema, table,
                 lambda path=path: self.spark.read.format(fmt).options(**options).load(path),
             )
+            self.paths[(schema, table)] = path
         return self
 
     def add_catalog(self, database: str) -> TableRegistry:
@@ -56,6 +58,14 @@ class TableRegistry:
                     lambda name=entry.name: self.spark.table(f"`{database}`.`{name}`"),
                     entry.description or "",
                 )
+                if entry.tableType != "VIEW":
+                    location = (
+                        self.spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{entry.name}`")
+                        .filter(F.col("col_name") == "Location")
+                        .first()
+                    )
+                    if location is not None:
+                        self.paths[(database, entry.name)] = location["data_type"]
         return self
 
     def add_jdbc(
@@ -87,6 +97,10 @@ class TableRegistry:
             self._opened[key] = self.openers[key]()
         return self._opened[key]
 
+    def location(self, schema: str, table: str) -> str | None:
+        """Folder or file of a table kept as files."""
+        return self.paths.get((schema, table))
+
     def by_reference(self, reference: str) -> DataFrame:
         """Open ``schema.table`` or the table of ``schema.table.column``."""
         parts = reference.split(".")
