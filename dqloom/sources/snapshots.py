@@ -14,15 +14,12 @@ from dqloom.functions import fixed_values as fixed
 def shared_folder(spark: SparkSession, unset: str | None = None) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    ``unset`` is taken, and recorded in the session, only where the cluster names none.
+    ``unset`` is taken only where the cluster names none.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if unset is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or unset
+    if not folder:
         raise ValueError("spark.checkpoint.dir is not set")
-    spark.sparkContext.setCheckpointDir(unset)
-    return unset
+    return folder
 
 
 def save_snapshot(profile: DataFrame, path: str, fmt: str = "parquet") -> str:

@@ -7,6 +7,8 @@ placeholders, NULLs or copies with errors. Spark and the oracle share the view t
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -21,6 +23,7 @@ from dqloom.operators.inventory import (
     key_rows,
 )
 from dqloom.sources import rules as rule_source
+from dqloom.sources import snapshots
 from dqloom.sources.registry import TableKey, TableRegistry
 
 GIVEN = {
@@ -155,6 +158,12 @@ class Lab:
             registry.add("intake", name, lambda text=text: self.sql(text))
         return registry
 
+    def scratch(self, name: str) -> str:
+        """A new path in the shared folder; a local folder only for a local master."""
+        local = self.spark.sparkContext.master.startswith("local")
+        base = snapshots.shared_folder(self.spark, tempfile.gettempdir() if local else None)
+        return f"{base}/{name}-{uuid.uuid4().hex}"
+
     def sql(self, text: str) -> DataFrame:
         """A derived table from SQL text that names given tables as ``{table}``."""
         used = {t: self.given(t) for t in SCHEMA_OF if "{" + t + "}" in text}
