@@ -6,7 +6,7 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,26 +46,33 @@ def orphan_rows(
     return with_presence(complete, parent, pairs, "_known").filter(~F.col("_known")).drop("_known")
 
 
-def orphan_checks(registry: TableRegistry, edges: DataFrame) -> DataFrame:
-    """One result row per foreign key, composite keys as one check."""
-    grouped: dict[tuple, list] = defaultdict(list)
-    for edge in edges.orderBy("from_schema", "from_table", "constraint_name",
-                              "column_position").collect():
+def declared_keys(edges: DataFrame) -> list[list[Row]]:
+    """The columns of each foreign key, in key order. One row per declared key column."""
+    grouped: dict[tuple, list[Row]] = defaultdict(list)
+    for edge in edges.collect():
         grouped[(edge["from_schema"], edge["from_table"], edge["constraint_name"])].append(edge)
+    return [
+        sorted(columns, key=lambda edge: edge["column_position"])
+        for _, columns in sorted(grouped.items())
+    ]
+
+
+def orphan_checks(registry: TableRegistry, keys: Sequence[Sequence[Row]]) -> DataFrame:
+    """One result row per foreign key of :func:`declared_keys`, composite keys as one check."""
     results = []
-    for (schema, table, constraint), columns in grouped.items():
+    for columns in keys:
         first = columns[0]
         pairs = [(e["from_column"], e["to_column"]) for e in columns]
         result = orphan_records(
-            registry.table(schema, table),
+            registry.table(first["from_schema"], first["from_table"]),
             registry.table(first["to_schema"], first["to_table"]),
             pairs,
         )
         results.append(
             result.select(
-                F.lit(constraint).alias("constraint_name"),
-                F.lit(schema).alias("child_schema"),
-                F.lit(table).alias("child_table"),
+                F.lit(first["constraint_name"]).alias("constraint_name"),
+                F.lit(first["from_schema"]).alias("child_schema"),
+                F.lit(first["from_table"]).alias("child_table"),
                 F.lit(", ".join(c for c, _ in pairs)).alias("fk_column"),
                 F.lit(first["to_schema"]).alias("parent_schema"),
                 F.lit(first["to_table"]).alias("parent_table"),
@@ -84,6 +91,10 @@ def _violations(checked: Column, violated: Column) -> list[Column]:
     ]
 
 
+def of_pattern(rules: Sequence[Rule], *patterns: str) -> list[Rule]:
+    return [rule for rule in rules if rule["pattern"] in patterns]
+
+
 def date_order(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
     """Rows whose start is not before their end; equal dates violate ``<``.
 
@@ -210,9 +221,9 @@ def status_terminal(
 
 
 def pattern_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
-    """Results of date_order, total_detail and status_terminal rules."""
+    """Results of the date_order, total_detail and status_terminal rules among ``rules``."""
     results = []
-    dated = [rule for rule in rules if rule["pattern"] == "date_order"]
+    dated = of_pattern(rules, "date_order")
     if dated:
         results.append(date_order(registry, dated))
     for rule in rules:

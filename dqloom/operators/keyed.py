@@ -27,7 +27,20 @@ def all_not_null(columns: Sequence[str]) -> Column:
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda left, right: left.unionByName(right), frames)
+    """Union by name, built as a balanced tree.
+
+    Every step analyses the plan below it, so a chain over many tables would cost the
+    driver the square of their number.
+    """
+    if not frames:
+        raise ValueError("Nothing to unite")
+    level = list(frames)
+    while len(level) > 1:
+        level = [
+            level[i].unionByName(level[i + 1]) if i + 1 < len(level) else level[i]
+            for i in range(0, len(level), 2)
+        ]
+    return level[0]
 
 
 def grouping_keys(frame: DataFrame, columns: Sequence[str]) -> list[Column]:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,56 +106,99 @@ def null_share(frame: DataFrame, schema: str, table: str) -> DataFrame:
     )
 
 
-def _by_type(frame: DataFrame, columns: Sequence[str] | None) -> dict[T.DataType, list[str]]:
-    groups: dict[T.DataType, list[str]] = defaultdict(list)
-    for c in columns or frame.columns:
-        groups[frame.schema[c].dataType].append(c)
-    return groups
+def _slots(frame: DataFrame, columns: Sequence[str]) -> dict[T.DataType, str]:
+    """One slot name per type that occurs among the columns."""
+    types = dict.fromkeys(frame.schema[c].dataType for c in columns)
+    return {data_type: f"v{i}" for i, data_type in enumerate(types)}
 
 
-def _stacked(frame: DataFrame, columns: Sequence[str], value) -> DataFrame:
-    """``column_name, value`` for columns of one type, from one scan of these columns."""
-    return frame.select(
-        F.inline(
-            F.array(*[
-                F.struct(F.lit(c).alias("column_name"), value(F.col(f"`{c}`")).alias("value"))
-                for c in columns
-            ])
-        )
-    )
+def _groupable(column: Column, data_type: T.DataType, short_text: bool) -> Column:
+    if isinstance(data_type, T.MapType):
+        return F.array_sort(F.map_entries(column))
+    return text.compact_key(column, short_text and isinstance(data_type, T.StringType))
 
 
-def distinct_counts(
-    frame: DataFrame, schema: str, table: str, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """Exact distinct values per column, NULL not counted.
+def histogram(
+    frame: DataFrame, columns: Sequence[str], short_text: bool = False
+) -> tuple[DataFrame, dict[T.DataType, str]]:
+    """Frequency ``n`` of every value of every column, from one scan and one shuffle.
 
-    Columns of one type share a scan and a shuffle of (column, value) pairs that were
-    already made distinct on the map side; long texts travel as digests.
+    Each cell becomes a row ``column_name, v0, v1, ..`` with one slot per column type, of
+    which only the slot of the cell's type is filled: values keep their type and order and
+    nothing is cast. Equal cells are added up in every task before the shuffle.
+    ``short_text`` groups long texts by digest, where only their number matters.
     """
-    results = []
-    for data_type, group in _by_type(frame, columns).items():
-        is_text = isinstance(data_type, T.StringType)
-        pairs = _stacked(frame, group, lambda c, is_text=is_text: compact(c, is_text)).distinct()
-        results.append(pairs.groupBy("column_name").agg(F.count("value").alias("distinct_count")))
-    return _with_missing(union_all(results), frame, schema, table, columns)
+    slots = _slots(frame, columns)
+    cells = []
+    for c in columns:
+        data_type = frame.schema[c].dataType
+        value = _groupable(F.col(f"`{c}`"), data_type, short_text)
+        cells.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                *[
+                    (value if slot_type == data_type else F.lit(None)).alias(slot)
+                    for slot_type, slot in slots.items()
+                ],
+            )
+        )
+    counted = (
+        frame.select(F.inline(F.array(*cells)))
+        .groupBy("column_name", *slots.values())
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counted, slots
 
 
-def compact(column: Column, is_text: bool) -> Column:
-    return text.compact_key(column, is_text)
+def _is_set(slots: dict[T.DataType, str]) -> Column:
+    return reduce(
+        lambda left, right: left | right, [F.col(slot).isNotNull() for slot in slots.values()]
+    )
 
 
-def _with_missing(
-    counts: DataFrame, frame: DataFrame, schema: str, table: str, columns: Sequence[str] | None
+def _text_of(slots: dict[T.DataType, str], aggregate=lambda column: column) -> Column:
+    """The filled slot as text; nested types have none."""
+    texts = [
+        aggregate(F.col(slot)).cast("string")
+        for data_type, slot in slots.items() if is_orderable(data_type)
+    ]
+    return F.coalesce(*texts, F.lit(None).cast("string"))
+
+
+def value_counts(
+    frame: DataFrame, schema: str, table: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Columns of an empty table have no pair at all; they count 0."""
-    names = frame.sparkSession.createDataFrame(
-        [(c,) for c in columns or frame.columns], "column_name string"
+    """Rows, NULLs and exact distinct values of every column, in one scan of the table.
+
+    The NULL share of an empty table is NULL; NULL is not a distinct value. Long texts
+    travel as digests.
+    """
+    columns = list(columns or frame.columns)
+    values, slots = histogram(frame, columns, short_text=True)
+    filled = _is_set(slots)
+    counted = values.groupBy("column_name").agg(
+        F.sum("n").alias("total_rows"),
+        F.sum(F.when(filled, F.lit(0)).otherwise(F.col("n"))).alias("null_count"),
+        F.count_if(filled).alias("distinct_count"),
     )
-    return names.join(counts, "column_name", "left").select(
+    names = frame.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    zero = F.lit(0).cast("bigint")
+    return names.join(counted, "column_name", "left").select(
         *_labels(schema, table),
         "column_name",
-        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+        F.coalesce("total_rows", zero).alias("total_rows"),
+        F.coalesce("null_count", zero).alias("null_count"),
+        round_half_even(share(F.col("null_count"), F.col("total_rows")), 1).alias("null_pct"),
+        F.coalesce("distinct_count", zero).alias("distinct_count"),
+    )
+
+
+def distinct_counts(
+    frame: DataFrame, schema: str, table: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Exact distinct values per column, NULL not counted."""
+    return value_counts(frame, schema, table, columns).select(
+        "schema_name", "table_name", "column_name", "distinct_count"
     )
 
 
@@ -173,25 +216,23 @@ def approximate_distinct(
     return union_all(results).select(*_labels(schema, table), "column_name", "distinct_count")
 
 
-def histogram(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column_name, value, n``: frequency of every value of columns of one type."""
-    stacked = _stacked(frame, columns, lambda c: c)
-    return stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
 def most_common(
-    values: DataFrame, top: int = fixed.TOP_VALUES, at_least: int = 1
+    values: DataFrame, slots: dict[T.DataType, str], top: int = fixed.TOP_VALUES,
+    at_least: int = 1,
 ) -> DataFrame:
     """The ``top`` most frequent values per column, ties by smaller value.
 
     The rank limit is applied in every task before the shuffle, so a column with very many
     values sends only ``top`` rows per task.
     """
-    order = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
+    ordered = [slot for data_type, slot in slots.items() if is_orderable(data_type)]
+    order = Window.partitionBy("column_name").orderBy(F.desc("n"), *ordered)
+    orderable = {data_type: slot for data_type, slot in slots.items() if slot in ordered}
     return (
-        values.filter(F.col("value").isNotNull() & (F.col("n") >= at_least))
+        values.filter(_is_set(orderable) & (F.col("n") >= at_least))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= top)
+        .select("column_name", "rank", _text_of(slots).alias("value"), "n")
     )
 
 
@@ -200,14 +241,9 @@ def top_values(
     top: int = fixed.TOP_VALUES,
 ) -> DataFrame:
     """Rows ``column_name, rank, value, n`` of the most common values."""
-    results = []
-    for data_type, group in _by_type(frame, columns).items():
-        if is_orderable(data_type):
-            best = most_common(histogram(frame, group), top)
-            results.append(
-                best.select("column_name", "rank", F.col("value").cast("string").alias("value"), "n")
-            )
-    return union_all(results).select(*_labels(schema, table), "column_name", "rank", "value", "n")
+    kept = [c for c in columns or frame.columns if is_orderable(frame.schema[c].dataType)]
+    best = most_common(*histogram(frame, kept), top)
+    return best.select(*_labels(schema, table), "column_name", "rank", "value", "n")
 
 
 def column_profile(
@@ -216,41 +252,22 @@ def column_profile(
 ) -> DataFrame:
     """The column report: counts, distinct share, bounds, common values, masked sample.
 
-    A value that occurs once is not common; a column without common values shows its
-    minimum as the sample.
-
-    Counts, distinct values, bounds and common values of the columns of one type all come
-    from one shuffled value histogram.
+    Everything comes from one shuffled value histogram of the table. A value that occurs
+    once is not common; a column without common values shows its minimum as the sample.
     """
-    results = []
-    for data_type, group in _by_type(frame, columns).items():
-        ordered = is_orderable(data_type)
-        values = histogram(frame, group)
-        bound = F.col("value") if ordered else F.lit(None).cast("string")
-        summary = values.groupBy("column_name").agg(
-            F.sum("n").alias("total_rows"),
-            F.count("value").alias("cardinality"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias(
-                "null_count"
-            ),
-            F.min(bound).cast("string").alias("col_min"),
-            F.max(bound).cast("string").alias("col_max"),
-        )
-        if ordered:
-            listed = most_common(values, top, at_least=2).groupBy("column_name").agg(
-                F.array_sort(
-                    F.collect_list(
-                        F.struct("rank", F.col("value").cast("string").alias("value"), "n")
-                    )
-                ).alias("common")
-            )
-            summary = summary.join(listed, "column_name", "left")
-        else:
-            summary = summary.withColumn(
-                "common", F.lit(None).cast("array<struct<rank:int,value:string,n:bigint>>")
-            )
-        results.append(summary)
-    counted = union_all(results)
+    values, slots = histogram(frame, list(columns or frame.columns))
+    filled = _is_set(slots)
+    summary = values.groupBy("column_name").agg(
+        F.sum("n").alias("total_rows"),
+        F.count_if(filled).alias("cardinality"),
+        F.sum(F.when(filled, F.lit(0)).otherwise(F.col("n"))).alias("null_count"),
+        _text_of(slots, F.min).alias("col_min"),
+        _text_of(slots, F.max).alias("col_max"),
+    )
+    # at most ``top`` rows per column
+    common = most_common(values, slots, top, at_least=2).groupBy("column_name").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("common")
+    )
     total = F.col("total_rows")
     personal = naming.is_personal(
         F.lit(schema), F.lit(table), F.col("column_name"), extra=extra_pii
@@ -260,7 +277,7 @@ def column_profile(
     )
     listed = F.array_join(F.col("common.value"), fixed.SAMPLE_SEPARATOR)
     sample = F.coalesce(F.when(listed != "", listed), F.col("col_min"), F.lit(""))
-    return counted.select(
+    return summary.join(common, "column_name", "left").select(
         *_labels(schema, table),
         "column_name",
         "total_rows",

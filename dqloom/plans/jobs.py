@@ -39,9 +39,7 @@ def metadata_profile(
     """Table and column inventories with exact NULL and distinct counts, and schema sums."""
     tables = inventory.table_inventory(registry, constraints, keys, sizes)
     columns = inventory.key_flags(inventory.column_inventory(registry, keys), constraints)
-    nulls = _each(registry, keys, profile.null_share)
-    distinct = _each(registry, keys, profile.distinct_counts)
-    columns = columns.join(nulls, COLUMN, "left").join(distinct, COLUMN, "left")
+    columns = columns.join(_each(registry, keys, profile.value_counts), COLUMN, "left")
     return {"tables": tables, "columns": columns, "schemas": inventory.schema_summary(tables)}
 
 
@@ -109,22 +107,20 @@ def consistency_job(
         .unionByName(candidates.cross_table_candidates(columns, edges), allowMissingColumns=True)
     )
     merged = rule_source.merge_new(rules, proposed)
+    planned = rule_source.planned(rules)
     results = []
-    if not edges.isEmpty():
-        results.append(report.orphan_results(consistency.orphan_checks(registry, edges)))
-    patterns = [
-        rule
-        for kind in ("date_order", "total_detail", "status_terminal")
-        for rule in rule_source.planned(rules, kind)
-    ]
+    keys = consistency.declared_keys(edges)
+    if keys:
+        results.append(report.orphan_results(consistency.orphan_checks(registry, keys)))
+    patterns = consistency.of_pattern(planned, "date_order", "total_detail", "status_terminal")
     if patterns:
         results.append(
             report.pattern_results(consistency.pattern_checks(registry, patterns), rules)
         )
-    enums = rule_source.planned(rules, "enum")
+    enums = consistency.of_pattern(planned, "enum")
     if enums:
         results.append(report.enum_results(consistency.enum_checks(registry, enums)))
-    repeated = rule_source.planned(rules, "duplicated_value")
+    repeated = consistency.of_pattern(planned, "duplicated_value")
     if repeated:
         results.append(
             report.cross_table_results(consistency.cross_table_checks(registry, repeated))

@@ -58,17 +58,17 @@ def confirmed(rules: DataFrame) -> DataFrame:
     return rules.filter(F.col("status") == "confirmed")
 
 
-def planned(rules: DataFrame, pattern: str) -> list[dict[str, Any]]:
-    """Confirmed, valid rules of a kind, for building one check each.
+def planned(rules: DataFrame) -> list[dict[str, Any]]:
+    """Confirmed, valid rules ordered by id, for building one check each.
 
     Rules are written by people; the number that may be planned in one run is checked.
     """
-    valid = confirmed(rules).filter(F.col("pattern") == pattern)
+    valid = confirmed(rules)
     valid = valid.join(validation_errors(rules), valid["id"] == F.col("rule_id"), "left_anti")
-    rows = valid.orderBy("id").take(MAX_PLANNED_RULES + 1)
+    rows = valid.take(MAX_PLANNED_RULES + 1)
     if len(rows) > MAX_PLANNED_RULES:
-        raise ValueError(f"More than {MAX_PLANNED_RULES} rules of kind {pattern}")
-    return [row.asDict(recursive=True) for row in rows]
+        raise ValueError(f"More than {MAX_PLANNED_RULES} confirmed rules")
+    return sorted((row.asDict(recursive=True) for row in rows), key=lambda rule: rule["id"])
 
 
 def _blank(name: str) -> Column:

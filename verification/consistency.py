@@ -87,8 +87,7 @@ def rules_of(lab: Lab) -> DataFrame:
 
 
 def planned(lab: Lab, *kinds: str) -> list[dict]:
-    rules = rules_of(lab)
-    return [rule for kind in kinds for rule in rule_source.planned(rules, kind)]
+    return consistency.of_pattern(rule_source.planned(rules_of(lab)), *kinds)
 
 
 ORPHANS = f"""
@@ -303,7 +302,9 @@ ORPHAN_CHECK_ROWS = f"""
     {ORPHAN_CHECK_ROWS}""")
 def orphan_by_constraint(lab: Lab) -> DataFrame:
     """Every declared foreign key between tier-1 tables."""
-    return consistency.orphan_checks(lab.registry, edges_of(lab))
+    return consistency.orphan_checks(
+        lab.registry, consistency.declared_keys(edges_of(lab))
+    )
 
 
 @check("verdicts", f"""
