@@ -21,6 +21,23 @@ def has_window(start: Column, end: Column) -> Column:
     return F.coalesce(end > start, F.lit(False))
 
 
-def elapsed_seconds(start: Column, end: Column) -> Column:
-    """Seconds between two timestamps of the same type, with fractions."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
+def clock_seconds(moment: Column) -> Column:
+    """Seconds since 1970-01-01 00:00:00 on the same clock, with fractions.
+
+    Unlike a cast to ``timestamp`` this knows no time zone, so the difference of two
+    timestamps without zone is never an hour off.
+    """
+    seconds = F.extract(F.lit("SECOND"), moment).cast("double")
+    whole = (
+        F.unix_date(F.to_date(moment)) * F.lit(86_400).cast("bigint")
+        + F.hour(moment) * 3600 + F.minute(moment) * 60
+    )
+    return whole + seconds
+
+
+def elapsed_seconds(start: Column, end: Column, with_zone: bool = False) -> Column:
+    """Seconds between two timestamps of one type, with fractions."""
+    if with_zone:
+        return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
+    # to the microsecond, which removes the error of subtracting two large doubles
+    return F.round(clock_seconds(end) - clock_seconds(start), 6)

@@ -166,7 +166,7 @@ def total_detail(
         .groupBy(*header_keys, _summable(total, total_column).alias("_total"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    joined = spread_left_join(headers, sums, header_keys)
+    joined = spread_left_join(headers, sums, header_keys, hot_from=total)
     gap = F.abs(F.col("_total") - F.coalesce("_detail", F.lit(0)))
     counted = joined.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("c"),

@@ -83,12 +83,13 @@ def growth_rate(
     most = _most([F.col(f"n{i}") for i in range(len(columns))])
     cases = []
     for i, c in enumerate(columns):
-        is_date = isinstance(frame.schema[c].dataType, T.DateType)
+        data_type = frame.schema[c].dataType
+        is_date, with_zone = isinstance(data_type, T.DateType), isinstance(data_type, T.TimestampType)
         low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
         months = (
             F.datediff(high, low) / F.lit(fixed.DAYS_PER_MONTH)
             if is_date
-            else elapsed_seconds(low, high) / F.lit(float(fixed.SECONDS_PER_MONTH))
+            else elapsed_seconds(low, high, with_zone) / F.lit(float(fixed.SECONDS_PER_MONTH))
         )
         cases.append(
             F.struct(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,14 +100,21 @@ def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> Column:
     return counted.select(F.expr(hot).alias("hot")).scalar()
 
 
-def spread_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def spread_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_from: DataFrame | None = None
+) -> DataFrame:
     """Left join on ``keys``, where ``right`` has at most one row per key.
 
     Hot keys of the left side are spread over ``SALTS`` tasks and only their right rows
-    are repeated. Rows with a NULL key match nothing, so they are spread freely.
+    are repeated. Rows with a NULL key match nothing, so they are spread freely. Adaptive
+    skew handling cannot do this here, because the right side ends in an aggregate.
+
+    Hot keys are looked up in ``hot_from``, a cheaper table with the same keys, when
+    ``left`` is itself the outcome of a shuffle.
     """
     left, right = _with_common_types(left, right, keys)
-    hot = frequent_hashes(left.filter(all_not_null(keys)), keys)
+    base = left if hot_from is None else _with_common_types(left, hot_from, keys)[1]
+    hot = frequent_hashes(base.filter(all_not_null(keys)), keys)
 
     def is_hot(frame: DataFrame) -> Column:
         return F.coalesce(F.array_contains(hot, key_hash(frame, keys)), F.lit(False))
@@ -204,14 +211,31 @@ def group_sizes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def with_time_chunk(frame: DataFrame, time: str, width_seconds: int) -> DataFrame:
-    """Add ``_chunk``, the number of the fixed-width period a row falls in.
+def with_time_chunk(
+    frame: DataFrame, entity: Sequence[str], time: str, width_hours: int
+) -> DataFrame:
+    """Add ``_entity``, the entity key as one value, and ``_chunk``, the period of a row.
 
-    A pure function of the row, so any recomputation puts the row in the same chunk.
+    Both are pure functions of the row, so any recomputation puts the row in the same
+    place. Periods are cut by the calendar and never decrease with time. NULL keys are
+    fields of a struct, which makes them equal to each other in a plain join.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = F.timestamp_diff("SECOND", epoch, F.col(time).cast("timestamp_ntz"))
-    return frame.withColumn("_chunk", F.floor(seconds / F.lit(width_seconds)))
+    hours = F.unix_date(F.to_date(time)) * 24 + F.hour(time)
+    return frame.withColumn("_entity", F.struct(*entity)).withColumn(
+        "_chunk", F.floor(hours / F.lit(width_hours))
+    )
+
+
+def _in_chunk(*order: str) -> WindowSpec:
+    return Window.partitionBy("_entity", "_chunk").orderBy(*order)
+
+
+def _earlier_chunks() -> WindowSpec:
+    return (
+        Window.partitionBy("_entity")
+        .orderBy("_chunk")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
 
 
 def with_previous(
@@ -220,33 +244,30 @@ def with_previous(
     time: str,
     tie: Sequence[str],
     values: Sequence[str],
-    width_seconds: int = 86_400,
+    width_hours: int = 24,
 ) -> DataFrame:
     """Add ``prev_<value>``: the values of the entity's previous row in (time, tie) order.
 
-    The order is taken per (entity, period); the first row of a period gets the last row of
-    the entity's previous period, found in a summary of one row per period. So the history
-    of a hot entity is cut in pieces of bounded time instead of being sorted in one task.
+    The order is taken per (entity, period), so the history of a hot entity is cut in
+    pieces of bounded time instead of being sorted in one task. Only the first row of each
+    period still lacks its previous row; these rows, one per period, carry the last values
+    of their period and hand them on to the next in a second, small ordering.
     """
-    chunked = with_time_chunk(frame, time, width_seconds)
-    order = [time, *tie]
-    inside = Window.partitionBy(*entity, "_chunk").orderBy(*order)
-    carried_value = F.struct(*[F.col(v).alias(v) for v in values])
-    ranked = chunked.withColumn("_prev", F.lag(carried_value).over(inside)).withColumn(
-        "_first", F.row_number().over(inside) == 1
-    )
-    last = chunked.groupBy(*entity, "_chunk").agg(
-        F.max(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                       carried_value.alias("carried"))).alias("_last")
-    )
-    across = Window.partitionBy(*entity).orderBy("_chunk")
-    handed_on = last.select(
-        *entity, "_chunk", F.lag("_last.carried").over(across).alias("_carried")
+    chunked = with_time_chunk(frame, entity, time, width_hours)
+    carried = F.struct(*[F.col(v).alias(v) for v in values])
+    inside = _in_chunk(time, *tie)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = chunked.select(
+        "*",
+        F.lag(carried).over(inside).alias("_prev"),
+        F.last(carried).over(whole).alias("_last"),
+        (F.row_number().over(inside) == 1).alias("_first"),
     )
-    joined = null_safe_join(ranked, handed_on, [*entity, "_chunk"])
-    previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_prev"))
-    return joined.select(
-        *frame.columns, *[previous.getField(v).alias(f"prev_{v}") for v in values]
+    across = Window.partitionBy("_entity").orderBy("_chunk")
+    firsts = ranked.filter("_first").withColumn("_prev", F.lag("_last").over(across))
+    both = firsts.unionByName(ranked.filter("NOT _first"))
+    return both.select(
+        *frame.columns, *[F.col(f"_prev.{v}").alias(f"prev_{v}") for v in values]
     )
 
 
@@ -255,27 +276,21 @@ def with_version(
     entity: Sequence[str],
     time: str,
     tie: Sequence[str],
-    width_seconds: int = 86_400,
+    width_hours: int = 24,
 ) -> DataFrame:
     """Add ``version``: the entity's rows numbered from 1 in (time, tie) order.
 
     Two levels as in :func:`with_previous`: numbers inside a period plus the rows of the
-    earlier periods.
+    earlier periods, joined on the partitioning the numbering already has.
     """
-    chunked = with_time_chunk(frame, time, width_seconds)
-    inside = Window.partitionBy(*entity, "_chunk").orderBy(time, *tie)
-    ranked = chunked.withColumn("_number", F.row_number().over(inside))
-    across = (
-        Window.partitionBy(*entity)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    chunked = with_time_chunk(frame, entity, time, width_hours)
+    ranked = chunked.withColumn("_number", F.row_number().over(_in_chunk(time, *tie)))
     earlier = (
-        chunked.groupBy(*entity, "_chunk")
+        chunked.groupBy("_entity", "_chunk")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*entity, "_chunk", F.sum("_rows").over(across).alias("_earlier"))
+        .select("_entity", "_chunk", F.sum("_rows").over(_earlier_chunks()).alias("_earlier"))
     )
-    joined = null_safe_join(ranked, earlier, [*entity, "_chunk"])
+    joined = ranked.join(earlier, ["_entity", "_chunk"], "left")
     version = F.col("_number") + F.coalesce("_earlier", F.lit(0))
     return joined.select(*frame.columns, version.alias("version"))
 
@@ -286,42 +301,21 @@ def with_running_max(
     time: str,
     tie: Sequence[str],
     value: str,
-    width_seconds: int = 86_400 * 30,
+    width_hours: int = 24 * 30,
 ) -> DataFrame:
     """Add ``max_before``: the largest ``value`` of the entity's earlier rows.
 
-    Two levels as in :func:`with_previous`: inside a period, and over period maxima.
+    Two levels as in :func:`with_version`: inside a period, and over period maxima.
     """
-    chunked = with_time_chunk(frame, time, width_seconds)
-    earlier = (
-        Window.partitionBy(*entity, "_chunk")
-        .orderBy(time, *tie)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = chunked.withColumn("_inside", F.max(value).over(earlier))
-    across = (
-        Window.partitionBy(*entity)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    chunked = with_time_chunk(frame, entity, time, width_hours)
+    before = _in_chunk(time, *tie).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = chunked.withColumn("_inside", F.max(value).over(before))
     peaks = (
-        chunked.groupBy(*entity, "_chunk")
+        chunked.groupBy("_entity", "_chunk")
         .agg(F.max(value).alias("_peak"))
-        .select(*entity, "_chunk", F.max("_peak").over(across).alias("_carried"))
+        .select("_entity", "_chunk", F.max("_peak").over(_earlier_chunks()).alias("_carried"))
     )
-    joined = null_safe_join(ranked, peaks, [*entity, "_chunk"])
+    joined = ranked.join(peaks, ["_entity", "_chunk"], "left")
     return joined.select(
         *frame.columns, F.greatest("_inside", "_carried").alias("max_before")
     )
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join in which NULL keys match NULL keys; the right keys are dropped."""
-    renamed = right.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys],
-        *[c for c in right.columns if c not in keys],
-    )
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    )
-    return left.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])

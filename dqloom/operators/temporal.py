@@ -74,7 +74,7 @@ def returns_to_old_state(
     changes = with_previous(rows, entity, time, tie, [status]).filter(
         F.col(f"prev_{status}") != F.col(status)
     )
-    joined = spread_left_join(changes, first, [*entity, status])
+    joined = spread_left_join(changes, first, [*entity, status], hot_from=rows)
     counted = joined.agg(
         F.count(F.lit(1)).alias("change_count"),
         F.count_if(F.col("_first") < order).alias("return_count"),

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dqloom.functions.timewindow import elapsed_seconds
 
 DAY_SECONDS = 86_400
 
@@ -76,10 +79,10 @@ def exact_percentiles(
     )
 
 
-def latency_seconds(event: str, recorded: str) -> Column:
-    return F.timestamp_diff(
-        "SECOND", F.col(event).cast("timestamp_ntz"), F.col(recorded).cast("timestamp_ntz")
-    )
+def latency_seconds(frame: DataFrame, event: str, recorded: str) -> Column:
+    """Whole seconds from one column to the other, rounded down."""
+    with_zone = isinstance(frame.schema[event].dataType, T.TimestampType)
+    return F.floor(elapsed_seconds(F.col(event), F.col(recorded), with_zone))
 
 
 def entry_latency(frame: DataFrame, event: str, recorded: str) -> DataFrame:
@@ -87,7 +90,7 @@ def entry_latency(frame: DataFrame, event: str, recorded: str) -> DataFrame:
 
     An outlier is later than the third quartile by more than 1.5 quartile distances.
     """
-    delay = latency_seconds(event, recorded)
+    delay = latency_seconds(frame, event, recorded)
     both = frame.filter(F.col(event).isNotNull() & F.col(recorded).isNotNull())
     quartiles = exact_percentiles(
         both, delay, {"q1": 0.25, "median": 0.5, "q3": 0.75}, DAY_SECONDS

@@ -7,8 +7,10 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqloom.functions import fixed_values as fixed
+from dqloom.functions.timewindow import elapsed_seconds
 
 
 def shared_folder(spark: SparkSession, unset: str | None = None) -> str:
@@ -65,12 +67,14 @@ def freshness(
     """Age of the statistics of each table and whether they are due.
 
     ``last_analyze`` is the later of the manual and the automatic run; never analysed, or
-    older than ``max_age_days``, means due.
+    older than ``max_age_days``, means due. ``now`` has the type of these columns; times
+    without zone are UTC on both sides.
     """
     if max_age_days < 0:
         raise ValueError("max_age_days must not be negative")
     last = F.greatest("last_manual", "last_auto")
-    age = F.timestamp_diff("MICROSECOND", last, now) / F.lit(86_400_000_000.0)
+    with_zone = isinstance(statistics.schema["last_manual"].dataType, T.TimestampType)
+    age = elapsed_seconds(last, now, with_zone) / F.lit(86_400.0)
     return statistics.select(
         "schema_name",
         "table_name",
