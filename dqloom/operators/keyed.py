@@ -17,8 +17,8 @@ from dqloom.functions.text import compact_key
 
 KeyPairs = Sequence[tuple[str, str]]
 
-HOT_ITEMS = 32  # most frequent keys looked at
 HOT_SHARE = 0.02  # a key above this share of the rows is spread
+HOT_ITEMS = 64  # most frequent keys looked at; at most 50 can be above the share
 SALTS = 64  # tasks a hot key is spread over
 
 
@@ -86,18 +86,19 @@ def key_hash(frame: DataFrame, keys: Sequence[str]) -> Column:
     ])
 
 
-def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> Column:
-    """Array of the hashes of keys that hold more than ``HOT_SHARE`` of the rows.
+def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the keys that hold more than ``HOT_SHARE`` of the rows.
 
-    A sketch of fixed size, read as a scalar subquery: one value of at most ``HOT_ITEMS``
-    numbers whatever the data. It only steers balance; results do not depend on it.
+    One pass over the key columns with a sketch of fixed size; the driver gets at most
+    ``HOT_ITEMS`` numbers. It is read when the plan is built, so that both sides of a join
+    and every recomputation of a lost task use the very same list.
     """
-    counted = frame.select(key_hash(frame, keys).alias("hashed")).agg(
-        F.expr(f"approx_top_k(hashed, {HOT_ITEMS}, {HOT_ITEMS * 64})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    hot = f"transform(filter(top, x -> x.count > total * {HOT_SHARE}D), x -> x.item)"
-    return counted.select(F.expr(hot).alias("hot")).scalar()
+    top = f"approx_top_k(hashed, {HOT_ITEMS}, {HOT_ITEMS * 64})"
+    found = frame.select(key_hash(frame, keys).alias("hashed")).agg(
+        F.expr(top).alias("top"), F.count(F.lit(1)).alias("total")
+    ).first()
+    limit = found["total"] * HOT_SHARE
+    return sorted(item["item"] for item in found["top"] if item["count"] > limit)
 
 
 def spread_left_join(
@@ -110,26 +111,29 @@ def spread_left_join(
     skew handling cannot do this here, because the right side ends in an aggregate.
 
     Hot keys are looked up in ``hot_from``, a cheaper table with the same keys, when
-    ``left`` is itself the outcome of a shuffle.
+    ``left`` is itself the outcome of a shuffle. Which keys count as hot changes the
+    balance of the tasks, never the result.
     """
     left, right = _with_common_types(left, right, keys)
     base = left if hot_from is None else _with_common_types(left, hot_from, keys)[1]
     hot = frequent_hashes(base.filter(all_not_null(keys)), keys)
 
     def is_hot(frame: DataFrame) -> Column:
-        return F.coalesce(F.array_contains(hot, key_hash(frame, keys)), F.lit(False))
+        return key_hash(frame, keys).isin(hot) if hot else F.lit(False)
 
-    others = [c for c in left.columns if c not in keys]
-    hashable = [c for c in others if not isinstance(left.schema[c].dataType, T.MapType)]
-    anywhere = F.pmod(F.xxhash64(*(hashable or keys)), F.lit(SALTS)).cast("int")
+    # The number of the map task spreads equal rows as well. It is the same when a lost
+    # task runs again, which a row number or a random number need not be.
+    others = [c for c in left.columns if not isinstance(left.schema[c].dataType, T.MapType)]
+    anywhere = F.pmod(F.xxhash64(*others, F.spark_partition_id()), F.lit(SALTS)).cast("int")
     salted = left.withColumn(
-        "_salt",
-        F.when(~all_not_null(keys) | is_hot(left), anywhere).otherwise(F.lit(0)),
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    repeated = right.withColumn(
-        "_salt", F.explode(F.when(is_hot(right), every_salt).otherwise(F.array(F.lit(0))))
+        "_salt", F.when(~all_not_null(keys) | is_hot(left), anywhere).otherwise(F.lit(0))
     )
+    if hot:
+        every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        salts = F.when(is_hot(right), every_salt).otherwise(F.array(F.lit(0)))
+        repeated = right.withColumn("_salt", F.explode(salts))
+    else:
+        repeated = right.withColumn("_salt", F.lit(0))
     return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,7 +57,9 @@ def exact_percentiles(
     )
     wanted = F.explode(F.array(*[
         F.struct(F.lit(name).alias("name"),
-                 F.greatest(F.ceil(F.col("total") * F.lit(p)), F.lit(1)).alias("rank"))
+                 # a decimal share: 100 * 0.07 is a little more than 7 in doubles
+                 F.greatest(F.ceil(F.col("total") * F.lit(Decimal(str(p)))), F.lit(1))
+                 .cast("bigint").alias("rank"))
         for name, p in shares.items()
     ]))
     holding = (
