@@ -20,6 +20,7 @@ KeyPairs = Sequence[tuple[str, str]]
 HOT_SHARE = 0.02  # a key above this share of the rows is spread
 HOT_ITEMS = 64  # most frequent keys looked at; at most 50 can be above the share
 SALTS = 64  # tasks a hot key is spread over
+TEXT_KEYS = 4  # text columns a grouping key may have before they become one digest
 
 
 def all_not_null(columns: Sequence[str]) -> Column:
@@ -44,11 +45,22 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def grouping_keys(frame: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """Grouping keys of the columns, with long text shortened."""
-    return [
-        compact_key(F.col(c), isinstance(frame.schema[c].dataType, T.StringType)).alias(f"k{i}")
-        for i, c in enumerate(columns)
-    ]
+    """Grouping keys ``k0, k1, ..`` of complete rows, small whatever the columns hold.
+
+    Numbers and times are kept as they are. Up to ``TEXT_KEYS`` text columns are kept,
+    long values as digests; more text columns become one SHA-256 digest, so that a check
+    over a whole table of texts shuffles 32 bytes for them and not the table.
+    """
+    texts = [c for c in columns if isinstance(frame.schema[c].dataType, T.StringType)]
+    if len(texts) <= TEXT_KEYS:
+        keys = [compact_key(F.col(c), c in texts) for c in columns]
+    else:
+        # the length before each text tells texts apart that read alike when strung together
+        whole = F.concat(*[
+            F.concat(F.char_length(c).cast("string"), F.lit(":"), F.col(c)) for c in texts
+        ])
+        keys = [F.unhex(F.sha2(whole, 256)), *[F.col(c) for c in columns if c not in texts]]
+    return [key.alias(f"k{i}") for i, key in enumerate(keys)]
 
 
 def key_presence(child: DataFrame, parent: DataFrame, pairs: KeyPairs) -> DataFrame:
@@ -206,13 +218,10 @@ def pair_agreement(
 
 
 def group_sizes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per complete key: ``k0.., record_count``."""
+    """Rows per complete key: the keys and ``record_count``."""
     kept = frame.filter(all_not_null(columns))
-    return (
-        kept.select(*grouping_keys(kept, columns))
-        .groupBy(*[f"k{i}" for i in range(len(columns))])
-        .agg(F.count(F.lit(1)).alias("record_count"))
-    )
+    keyed = kept.select(*grouping_keys(kept, columns))
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("record_count"))
 
 
 def with_time_chunk(

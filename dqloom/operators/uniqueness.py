@@ -117,13 +117,10 @@ def duplicate_impact(frame: DataFrame, columns: Sequence[str], period: Column) -
     Rows are counted per (key, period) before the key's total is looked up, so a hot key
     arrives as one row per period.
     """
-    names = [f"k{i}" for i in range(len(columns))]
     kept = frame.filter(all_not_null(columns))
-    per_period = (
-        kept.select(*grouping_keys(kept, columns), period.alias("period"))
-        .groupBy(*names, "period")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    keyed = kept.select(*grouping_keys(kept, columns), period.alias("period"))
+    names = keyed.columns[:-1]
+    per_period = keyed.groupBy(*names, "period").agg(F.count(F.lit(1)).alias("n"))
     totals = per_period.groupBy(*names).agg(F.sum("n").alias("group_rows"))
     joined = per_period.join(totals, names)
     repeated = F.when(F.col("group_rows") > 1, F.col("n")).otherwise(F.lit(0))

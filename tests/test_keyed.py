@@ -139,3 +139,29 @@ def test_group_sizes_leave_out_incomplete_keys(spark):
     )
     sizes = Counter(r.record_count for r in keyed.group_sizes(frame, ["t", "n"]).collect())
     assert sizes == {2: 1, 1: 1}
+
+
+def test_many_text_columns_group_like_their_columns(spark):
+    rng = random.Random(11)
+    words = ["", "1:", ":", "a", "a1:", "2:ab", "é", "x" * 90]
+    data = [
+        (*[rng.choice(words) for _ in range(5)], rng.choice([1, 11, None]),
+         rng.choice([0.0, -0.0, 1.5]), datetime(2024, 1, rng.randint(1, 2)))
+        for _ in range(3000)
+    ]
+    # strung together without lengths, these two would be one key
+    data += [("a", "1:", "", "", "", 1, 0.0, datetime(2024, 1, 1)),
+             ("a1:", "", "", "", "", 1, 0.0, datetime(2024, 1, 1))] * 2
+    frame = spark.createDataFrame(
+        data, "a string, b string, c string, d string, e string, n int, x double, t timestamp"
+    )
+    assert len(keyed.grouping_keys(frame, frame.columns)) == 4
+    wanted = Counter(row for row in data if None not in row)
+    found = keyed.group_sizes(frame, frame.columns).collect()
+    assert sorted(r.record_count for r in found) == sorted(wanted.values())
+
+
+def test_nested_columns_can_be_keys(spark):
+    frame = spark.createDataFrame([([1], 1), ([1], 1), ([2], 1)], "a array<int>, b int")
+    sizes = keyed.group_sizes(frame, ["a", "b"]).collect()
+    assert sorted(r.record_count for r in sizes) == [1, 2]

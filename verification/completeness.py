@@ -100,7 +100,7 @@ def prepared_tiers(lab: Lab) -> DataFrame:
     return candidates.prepare_tiers(lab.registry.tables(), lab.tiers)
 
 
-@check("table_tier", f"{with_intake()} {PREPARED_ROWS}")
+@check("table_tier", f"{with_intake()} {PREPARED_ROWS}", shown=["tier"])
 def table_tier(lab: Lab) -> DataFrame:
     return prepared_tiers(lab).join(inventory.row_counts(lab.registry), TABLE)
 
@@ -147,7 +147,7 @@ def tier_conflicts(lab: Lab) -> DataFrame:
                  THEN 'Tier 1' WHEN '3-MEDIUM' THEN '1.0' WHEN '4-NOT SPECIFIED' THEN '7'
                  ELSE 'nhóm 2' END AS tier FROM orders)
     SELECT tier, count(*) AS n, max(CASE WHEN tier = '1' THEN 1 END) AS normalized,
-           tier IN ('1', 'Tier 1', '1.0') AS tier_one FROM raw GROUP BY ALL""")
+           tier IN ('1', 'Tier 1', '1.0') AS tier_one FROM raw GROUP BY ALL""", shown=["normalized"])
 def tier_values(lab: Lab) -> DataFrame:
     """Both readings of a tier text, over texts derived from the order priorities."""
     priority = F.col("o_orderpriority")

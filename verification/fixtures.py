@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dqloom.operators.inventory import (
     FOREIGN_KEY,
@@ -270,17 +271,30 @@ def share(part: str, total: str, digits: int = 2) -> str:
 Query = Callable[[Lab], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+PARTS: dict[str, str] = {}  # oracle texts for use inside others
 
 
-def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under a name, with its oracle text if there is one."""
+def check(name: str, sql: str | None = None, shown: Sequence[str] = ()) -> Callable[[Query], Query]:
+    """Register a query under a name, with its oracle text if there is one.
+
+    ``shown`` columns may be NULL numbers; they are compared as text, since a table reader
+    may turn a whole number column with NULLs into doubles.
+    """
+
+    def as_text(frame: DataFrame) -> DataFrame:
+        for column in shown:
+            text = F.coalesce(F.col(column).cast("string"), F.lit("none"))
+            frame = frame.withColumn(column, text)
+        return frame
 
     def register(query: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"Registered twice: {name}")
-        QUERIES[name] = query
+        QUERIES[name] = (lambda lab: as_text(query(lab))) if shown else query
         if sql is not None:
-            ORACLE[name] = sql
+            PARTS[name] = sql
+            texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'none') AS {c}" for c in shown)
+            ORACLE[name] = f"SELECT * REPLACE ({texts}) FROM ({sql})" if shown else sql
         return query
 
     return register

@@ -16,7 +16,7 @@ from verification.consistency import RULES, duplicate_row, keyed_columns, rules_
 from verification.fixtures import (
     COLUMNS,
     COUNTS,
-    ORACLE,
+    PARTS,
     Lab,
     check,
     share,
@@ -29,7 +29,7 @@ COLUMN = [*TABLE, "column_name"]
 
 def _body(name: str) -> str:
     """Oracle text of a registered query as a subquery, its WITH clause inside."""
-    return f"({ORACLE[name]})"
+    return f"({PARTS[name]})"
 
 
 # --- saved profiles, rules, reports --------------------------------------------------
@@ -206,7 +206,7 @@ def _results_sql(name: str, step: str, check_id: str, violations: str) -> str:
     "SELECT NULL, 'auto-intake-order_record-status-enum', 0, 0, 'SKIPPED'",
     "SELECT NULL, 'null-member', 0, 0, 'SKIPPED'",
     "SELECT NULL, 'bad-reference', 0, 0, 'SKIPPED'",
-]))
+]), shown=["step"])
 def job_consistency(lab: Lab) -> DataFrame:
     """All checks at once; pending and invalid rules come back as SKIPPED."""
     columns = inventory.column_inventory(lab.registry)
@@ -223,7 +223,7 @@ def job_consistency(lab: Lab) -> DataFrame:
                  "duplicate_row_count"),
     _results_sql("unique_violations", "4", "constraint_name", "duplicate_row_count"),
     "SELECT NULL, 'intake.item_catalog', 0, 0, 'SKIPPED'",
-]))
+]), shown=["step"])
 def job_uniqueness(lab: Lab) -> DataFrame:
     found = jobs.uniqueness_job(
         lab.registry, keyed_columns(lab), lab.constraints, lab.tiers

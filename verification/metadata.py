@@ -315,7 +315,7 @@ GROWING = [("sales", "orders"), ("sales", "lineitem"), ("intake", "order_record"
     {_growth_sql("sales", "orders", "o_orderdate")} UNION ALL
     {_growth_sql("sales", "lineitem", "l_shipdate")} UNION ALL
     {_growth_sql("intake", "order_record", "ngay_dat")} UNION ALL
-    {_growth_sql("intake", "order_line", "created_at")} UNION ALL {EMPTY_GROWTH}""")
+    {_growth_sql("intake", "order_line", "created_at")} UNION ALL {EMPTY_GROWTH}""", shown=["growth"])
 def growth_min_max(lab: Lab) -> DataFrame:
     return growth.growth_rates(lab.registry, GROWING)
 
@@ -328,7 +328,7 @@ SINCE, UNTIL = "1996-01-01 00:00:00", "1996-12-31 23:59:59"
     {_growth_sql("sales", "orders", "o_orderdate", SINCE, UNTIL)} UNION ALL
     {_growth_sql("sales", "lineitem", "l_shipdate", SINCE, UNTIL)} UNION ALL
     {_growth_sql("intake", "order_record", "ngay_dat", SINCE, UNTIL)} UNION ALL
-    {_growth_sql("intake", "order_line", "created_at", SINCE, UNTIL)} UNION ALL {EMPTY_GROWTH}""")
+    {_growth_sql("intake", "order_line", "created_at", SINCE, UNTIL)} UNION ALL {EMPTY_GROWTH}""", shown=["growth"])
 def growth_window(lab: Lab) -> DataFrame:
     return growth.growth_rates(lab.registry, GROWING, "1996-01-01", "1996-12-31")
 
@@ -369,7 +369,7 @@ def best_timestamp_column(lab: Lab) -> DataFrame:
            count(*) FROM orders
     UNION ALL SELECT 'sales', 'burst', NULL, 'SPAN_TOO_SHORT',
            'burst_time, start_date: ' || (SELECT min(o_orderdate) FROM orders), count(*) FROM orders
-    UNION ALL SELECT 'sales', 'none', NULL, 'EMPTY_TABLE', '', 0""")
+    UNION ALL SELECT 'sales', 'none', NULL, 'EMPTY_TABLE', '', 0""", shown=["growth"])
 def growth_notes(lab: Lab) -> DataFrame:
     """The cases without a rate, and a plain date column, on the whole orders table."""
     orders = lab.given("orders")
@@ -415,9 +415,9 @@ WINDOWS = [("1996-01-01", "1996-12-31"), ("1996-01-01 06:00:00", "1996-01-01"),
         (3, NULL, NULL), (4, NULL, NULL), (5, NULL, NULL), (6, NULL, NULL)) v(id, lo, hi))
     SELECT id, lo IS NOT NULL AS has_window, CAST(lo AS VARCHAR) AS lower_bound,
            CAST(hi AS VARCHAR) AS upper_bound,
-           (year(hi) - year(lo)) * 12 + month(hi) - month(lo) + 1 AS months,
+           CAST((year(hi) - year(lo)) * 12 + month(hi) - month(lo) + 1 AS INTEGER) AS months,
            (SELECT count(*) FROM orders WHERE o_orderdate BETWEEN lo AND hi) AS rows_inside
-    FROM windows""")
+    FROM windows""", shown=["months"])
 def window_bounds(lab: Lab) -> DataFrame:
     """Texts of a window as bounds, and the orders inside each window."""
     windows = lab.spark.createDataFrame(
@@ -451,8 +451,8 @@ def window_bounds(lab: Lab) -> DataFrame:
 
 
 @check("calendar_months", """
-    SELECT l_orderkey, count(*) AS lines, max((year(l_shipdate) - year(o_orderdate)) * 12
-           + month(l_shipdate) - month(o_orderdate) + 1) AS months
+    SELECT l_orderkey, count(*) AS lines, max(CAST((year(l_shipdate) - year(o_orderdate)) * 12
+           + month(l_shipdate) - month(o_orderdate) + 1 AS INTEGER)) AS months
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
 def calendar_months(lab: Lab) -> DataFrame:
     joined = lab.given("lineitem").join(

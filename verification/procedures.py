@@ -89,7 +89,7 @@ def unknown_codes(lab: Lab) -> DataFrame:
 
 
 @check("stratified_sample", """
-    SELECT o_orderkey, o_orderstatus, year(o_orderdate) AS y FROM (
+    SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS y FROM (
         SELECT *, row_number() OVER (PARTITION BY o_orderstatus, year(o_orderdate)
             ORDER BY md5(o_orderkey || '|7'), o_orderkey) AS rn FROM orders)
     WHERE rn <= 5""")
@@ -106,7 +106,7 @@ def stratified_sample(lab: Lab) -> DataFrame:
     gates AS (SELECT step, count(id) AS rules, count(*) FILTER (WHERE status = 'confirmed') AS confirmed
               FROM (VALUES ('pattern_check'), ('enum_check'), ('cross_table_check'), ('nothing_yet')) s(step)
               LEFT JOIN ({MERGED_ROWS}) USING (step) GROUP BY ALL),
-    ran AS (SELECT 'enum_check' AS step, 3 AS checks_run,
+    ran AS (SELECT 'enum_check' AS step, CAST(3 AS BIGINT) AS checks_run,
                    (SELECT count(status) FROM order_record) + (SELECT count(return_status) FROM order_line)
                    + (SELECT count(status) FROM order_copy) AS rows_checked)
     SELECT 'consistency' AS dimension, step, coalesce(checks_run, 0) AS checks_run,
