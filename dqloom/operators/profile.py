@@ -16,6 +16,7 @@ from dqloom.operators.keyed import union_all
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 COLUMNS_PER_AGGREGATE = 100
+LONGEST_COMMON = 1024
 
 
 def _labels(schema: str, table: str) -> list[Column]:
@@ -216,6 +217,52 @@ def approximate_distinct(
     return union_all(results).select(*_labels(schema, table), "column_name", "distinct_count")
 
 
+def approximate_profile(
+    frame: DataFrame, schema: str, table: str, columns: Sequence[str] | None = None,
+    top: int = fixed.TOP_VALUES, extra_pii: Sequence[str] = (), rsd: float = 0.02,
+) -> DataFrame:
+    """The column report of :func:`column_profile` from one pass without any shuffle of values.
+
+    Counts and bounds are exact; distinct values and common values come from sketches of
+    fixed size, so this is the profile for tables where an exact one is too dear. As in
+    planner statistics, values of more than ``LONGEST_COMMON`` bytes are no candidates for
+    the common ones. Common values are exact where a column has few values.
+    """
+    fields = ["total_rows", "null_count", "cardinality", "col_min", "col_max", "top"]
+    results = []
+    for batch in _batches(list(columns or frame.columns)):
+        aggregates = []
+        for i, c in enumerate(batch):
+            data_type = frame.schema[c].dataType
+            column = _groupable(F.col(f"`{c}`"), data_type, False)
+            ordered = is_orderable(data_type)
+            bound = column if ordered else F.lit(None)
+            shown = F.col(f"`{c}`").cast("string") if ordered else F.lit(None).cast("string")
+            candidate = F.when(F.octet_length(shown) <= LONGEST_COMMON, shown)
+            aggregates += [
+                F.count(F.lit(1)).alias(f"f{i}_total_rows"),
+                F.count_if(column.isNull()).alias(f"f{i}_null_count"),
+                F.approx_count_distinct(column, rsd).alias(f"f{i}_cardinality"),
+                F.min(bound).cast("string").alias(f"f{i}_col_min"),
+                F.max(bound).cast("string").alias(f"f{i}_col_max"),
+                F.call_function(
+                    "approx_top_k", candidate, F.lit(top + 1), F.lit(1000)
+                ).alias(f"f{i}_top"),
+            ]
+        results.append(_as_rows(frame.agg(*aggregates), batch, fields))
+    # one more than wanted was asked for, because NULL may be among them
+    kept = F.slice(
+        F.filter("top", lambda item: item["item"].isNotNull() & (item["count"] > 1)), 1, top
+    )
+    common = F.transform(
+        kept, lambda item: F.struct(item["item"].alias("value"), item["count"].alias("n"))
+    )
+    found = union_all(results).withColumn("common", common).withColumn(
+        "cardinality", F.least("cardinality", F.col("total_rows") - F.col("null_count"))
+    )
+    return _report(found, schema, table, extra_pii)
+
+
 def most_common(
     values: DataFrame, slots: dict[T.DataType, str], top: int = fixed.TOP_VALUES,
     at_least: int = 1,
@@ -268,6 +315,13 @@ def column_profile(
     common = most_common(values, slots, top, at_least=2).groupBy("column_name").agg(
         F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("common")
     )
+    return _report(summary.join(common, "column_name", "left"), schema, table, extra_pii)
+
+
+def _report(
+    found: DataFrame, schema: str, table: str, extra_pii: Sequence[str]
+) -> DataFrame:
+    """Texts of the column report from ``total_rows .. col_max`` and ``common`` (value, n)."""
     total = F.col("total_rows")
     personal = naming.is_personal(
         F.lit(schema), F.lit(table), F.col("column_name"), extra=extra_pii
@@ -277,13 +331,13 @@ def column_profile(
     )
     listed = F.array_join(F.col("common.value"), fixed.SAMPLE_SEPARATOR)
     sample = F.coalesce(F.when(listed != "", listed), F.col("col_min"), F.lit(""))
-    return summary.join(common, "column_name", "left").select(
+    return found.select(
         *_labels(schema, table),
         "column_name",
         "total_rows",
         "cardinality",
-        F.concat(
-            fixed_text(share(F.col("cardinality"), total), 1), F.lit("%")
+        F.coalesce(
+            F.concat(fixed_text(share(F.col("cardinality"), total), 1), F.lit("%")), F.lit("")
         ).alias("distinct_pct"),
         "null_count",
         pct(F.col("null_count"), total, 1).alias("null_pct"),

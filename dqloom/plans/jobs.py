@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,9 +183,14 @@ def profile_report(
     start: str | None = None,
     end: str | None = None,
     extra_pii: Sequence[str] = (),
-    labels: Mapping | None = None,
+    labels: Sequence[tuple[str, Sequence[str]]] | None = None,
+    exact: bool = True,
 ) -> dict[str, DataFrame]:
-    """The exporter's report: tables with growth, columns with statistics, keys, counters."""
+    """The exporter's report: tables with growth, columns with statistics, keys, counters.
+
+    ``exact=False`` takes column statistics from sketches in one pass over each table.
+    """
+    profiled = profile.column_profile if exact else profile.approximate_profile
     taxonomy = {} if labels is None else {"rules": labels}
     edges = inventory.foreign_key_edges(constraints)
     columns = inventory.key_flags(inventory.column_inventory(registry), constraints)
@@ -201,7 +206,7 @@ def profile_report(
         "label", naming.table_label(F.col("table_name"), **taxonomy)
     )
     statistics = _each(
-        registry, keys, lambda f, s, t: profile.column_profile(f, s, t, extra_pii=extra_pii)
+        registry, keys, lambda f, s, t: profiled(f, s, t, extra_pii=extra_pii)
     )
     return {
         "tables": tables,

@@ -70,6 +70,19 @@ def test_column_profile(spark, mixed):
     assert masked.sample == "*** | xx***" and masked.pii_phi
 
 
+def test_approximate_profile(spark, mixed):
+    found = {r.column_name: r for r in profile.approximate_profile(mixed, "s", "t").collect()}
+    assert {c: (r.total_rows, r.null_count, r.cardinality) for c, r in found.items()} == {
+        "i": (5, 0, 3), "s": (5, 1, 2), "d": (5, 1, 2), "t": (5, 2, 2), "a": (5, 1, 2),
+        "m": (5, 1, 3), "day": (5, 4, 1), "never": (5, 5, 0),
+    }
+    assert sorted(found["i"].sample.split(" | ")) == ["2", "9"]
+    assert found["i"].most_common_freqs == "40.0% | 40.0%" and found["i"].col_max == "9"
+    assert found["day"].sample == "2024-01-01" and found["never"].sample == ""
+    exact = profile.column_profile(mixed, "s", "t")
+    assert exact.columns == profile.approximate_profile(mixed, "s", "t").columns
+
+
 def test_wide_tables_are_read_in_batches(spark, monkeypatch):
     monkeypatch.setattr(profile, "COLUMNS_PER_AGGREGATE", 3)
     wide = spark.range(4).select(*[(F.col("id") % (i + 1)).alias(f"c{i}") for i in range(8)])
