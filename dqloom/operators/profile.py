@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,6 +128,9 @@ def histogram(
     which only the slot of the cell's type is filled: values keep their type and order and
     nothing is cast. Equal cells are added up in every task before the shuffle.
     ``short_text`` groups long texts by digest, where only their number matters.
+
+    ``filled`` (not NULL) and ``sortable`` are aggregates so that a filter on them stays
+    above the shuffle: several uses of one histogram then share its scan and shuffle.
     """
     slots = _slots(frame, columns)
     cells = []
@@ -143,17 +146,22 @@ def histogram(
                 ],
             )
         )
+    sortable = [slot for data_type, slot in slots.items() if is_orderable(data_type)]
     counted = (
         frame.select(F.inline(F.array(*cells)))
         .groupBy("column_name", *slots.values())
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bool_or(_is_set(slots.values())).alias("filled"),
+            F.bool_or(_is_set(sortable)).alias("sortable"),
+        )
     )
     return counted, slots
 
 
-def _is_set(slots: dict[T.DataType, str]) -> Column:
+def _is_set(slots: Iterable[str]) -> Column:
     return reduce(
-        lambda left, right: left | right, [F.col(slot).isNotNull() for slot in slots.values()]
+        lambda left, right: left | right, [F.col(slot).isNotNull() for slot in slots], F.lit(False)
     )
 
 
@@ -176,7 +184,7 @@ def value_counts(
     """
     columns = list(columns or frame.columns)
     values, slots = histogram(frame, columns, short_text=True)
-    filled = _is_set(slots)
+    filled = F.col("filled")
     counted = values.groupBy("column_name").agg(
         F.sum("n").alias("total_rows"),
         F.sum(F.when(filled, F.lit(0)).otherwise(F.col("n"))).alias("null_count"),
@@ -274,9 +282,8 @@ def most_common(
     """
     ordered = [slot for data_type, slot in slots.items() if is_orderable(data_type)]
     order = Window.partitionBy("column_name").orderBy(F.desc("n"), *ordered)
-    orderable = {data_type: slot for data_type, slot in slots.items() if slot in ordered}
     return (
-        values.filter(_is_set(orderable) & (F.col("n") >= at_least))
+        values.filter(F.col("sortable") & (F.col("n") >= at_least))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= top)
         .select("column_name", "rank", _text_of(slots).alias("value"), "n")
@@ -303,7 +310,7 @@ def column_profile(
     once is not common; a column without common values shows its minimum as the sample.
     """
     values, slots = histogram(frame, list(columns or frame.columns))
-    filled = _is_set(slots)
+    filled = F.col("filled")
     summary = values.groupBy("column_name").agg(
         F.sum("n").alias("total_rows"),
         F.count_if(filled).alias("cardinality"),

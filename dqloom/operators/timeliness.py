@@ -101,23 +101,23 @@ def entry_latency(frame: DataFrame, event: str, recorded: str) -> DataFrame:
         F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
         for name in ("q1", "median", "q3")
     ])
-    fence = quartiles.select(
-        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("fence")
+    spread = F.col("q3") - F.col("q1")
+    found = quartiles.select(
+        F.struct((F.col("q3") + 1.5 * spread).alias("fence"), "median")
     ).scalar()
     counted = both.agg(
         F.count(F.lit(1)).alias("checked_count"),
         F.sum(delay).alias("_sum"),
         F.max(delay).alias("max_seconds"),
         F.count_if(delay < 0).alias("negative_count"),
-        F.count_if(delay > fence).alias("outlier_count"),
+        F.count_if(delay > found["fence"]).alias("outlier_count"),
     )
-    median = quartiles.select("median").scalar()
     return counted.select(
         "checked_count",
         F.round(F.try_divide(F.col("_sum").cast("double"), F.col("checked_count")), 3).alias(
             "mean_seconds"
         ),
-        median.alias("median_seconds"),
+        found["median"].alias("median_seconds"),
         "max_seconds",
         "negative_count",
         "outlier_count",

@@ -99,8 +99,10 @@ def unaccented(value: Column) -> Column:
     A letter with a combining mark and the ready-made letter compare equal: marks are
     dropped, ready-made letters are mapped to their base letter.
     """
-    bare = F.regexp_replace(F.lower(value), r"[\u0300-\u036f]", "")
-    return F.trim(F.regexp_replace(F.translate(bare, *_accent_map()), r"\s+", " "))
+    lowered = F.lower(value)
+    bare = F.translate(F.regexp_replace(lowered, r"[\u0300-\u036f]", ""), *_accent_map())
+    plain = F.when(lowered.rlike(r"[^\x00-\x7f]"), bare).otherwise(lowered)
+    return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 
 def business_key_duplicates(

@@ -122,7 +122,7 @@ def tier_lookup(lab: Lab) -> DataFrame:
 def tier_gate(lab: Lab) -> DataFrame:
     """Tables that keep the tier gate closed, with their rows."""
     counts = inventory.row_counts(lab.registry)
-    return candidates.tables_without_tier(counts, lab.tiers).join(counts, TABLE)
+    return candidates.tables_without_tier(lab.registry.tables(), lab.tiers).join(counts, TABLE)
 
 
 EXTRA_TIERS = [("sales", "orders", "2"), ("sales", "part", "tier 1"), ("sales", "lineitem", "")]

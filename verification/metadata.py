@@ -418,8 +418,8 @@ def growth_notes(lab: Lab) -> DataFrame:
         "none": orders.filter(F.col("o_totalprice") < 0).select("o_orderdate"),
     }
     return union_all([
-        growth.growth_rate(frame, "sales", name).join(
-            frame.agg(F.count(F.lit(1)).alias("row_count"))
+        growth.growth_rate(frame, "sales", name).withColumn(
+            "row_count", frame.agg(F.count(F.lit(1))).scalar()
         )
         for name, frame in cases.items()
     ])
