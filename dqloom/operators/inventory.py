@@ -7,7 +7,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.functions import fixed_values as fixed
 from dqloom.functions import naming, text
 from dqloom.operators.keyed import union_all
 from dqloom.sources.registry import TableKey, TableRegistry

@@ -9,10 +9,9 @@ from dqloom.functions import naming
 from dqloom.operators import candidates, completeness, inventory, profile
 from dqloom.operators.keyed import union_all
 from dqloom.sources import rules as rule_source
-from verification.consistency import RULES, TIER_ONE_EDGE_ROWS, edges_of, keyed_columns, rules_of
+from verification.consistency import RULES, TIER_ONE_EDGE_ROWS, edges_of
 from verification.fixtures import (
     COLUMNS,
-    CONSTRAINT_ROWS,
     COUNTS,
     TIER_ROWS,
     Lab,

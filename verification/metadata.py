@@ -15,15 +15,11 @@ from dqloom.sources import snapshots
 from dqloom.sources.registry import user_schemas
 from verification.consistency import EDGE_ROWS, TIER_ONE_EDGE_ROWS, edges_of, keyed_columns
 from verification.fixtures import (
-    ALL_TABLES,
     COLUMNS,
     CONSTRAINT_ROWS,
     COUNTS,
-    GIVEN,
-    INTAKE,
     Lab,
     check,
-    over_tables,
     share,
     with_intake,
 )
