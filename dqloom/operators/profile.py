@@ -258,12 +258,17 @@ def approximate_profile(
                 ).alias(f"f{i}_top"),
             ]
         results.append(_as_rows(frame.agg(*aggregates), batch, fields))
-    # one more than wanted was asked for, because NULL may be among them
-    kept = F.slice(
-        F.filter("top", lambda item: item["item"].isNotNull() & (item["count"] > 1)), 1, top
+    # one more than wanted was asked for, because NULL may be among them; equal counts are
+    # ordered by value, as in the exact profile
+    kept = F.filter("top", lambda item: item["item"].isNotNull() & (item["count"] > 1))
+    ordered = F.array_sort(
+        F.transform(
+            kept, lambda item: F.struct((-item["count"]).alias("m"), item["item"].alias("value"))
+        )
     )
     common = F.transform(
-        kept, lambda item: F.struct(item["item"].alias("value"), item["count"].alias("n"))
+        F.slice(ordered, 1, top),
+        lambda item: F.struct(item["value"].alias("value"), (-item["m"]).alias("n")),
     )
     found = union_all(results).withColumn("common", common).withColumn(
         "cardinality", F.least("cardinality", F.col("total_rows") - F.col("null_count"))
