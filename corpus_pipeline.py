@@ -8,11 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dqloom.llm import decontaminate, packing
-from dqloom.llm.common import cut
+from dqloom.llm import decontaminate, langid, near_dup, packing
+from dqloom.llm.common import cut, in_rows
 from dqloom.llm.registered import BYTE_BPE, table
 
 
+#: Documents whose best language has less than this score are rejected.
+LEAST_SCORE = 0.4
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents written in a language the network has learnt; texts without letters go."""
+    model = langid.train(docs, langid.learnable())
+    found = langid.with_language(in_rows(docs), model, ["row"])
+    sure = (found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= LEAST_SCORE)
+    return found.where(sure).select("row.*")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dup.keep_first(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -24,6 +41,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language id", in_a_language),
+    ("near-duplicates", one_of_each_group),
     ("decontamination", decontaminated),
     ("packing", packed),
 ]
@@ -35,5 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dqloom.sources.snapshots import shared_folder
 
@@ -73,7 +75,8 @@ def drop(table: DataFrame) -> None:
 
 
 def arrow_pass(
-    frame: DataFrame, make: Callable[[pa.RecordBatch], Iterator[dict[str, pa.Array]]], schema: str
+    frame: DataFrame, make: Callable[[pa.RecordBatch], Iterator[dict[str, pa.Array]]],
+    schema: str | StructType,
 ) -> DataFrame:
     """Run ``make`` over Arrow batches in tasks; it yields columns of the given schema."""
     ship(frame.sparkSession)
@@ -87,6 +90,20 @@ def arrow_pass(
     return frame.mapInArrow(run, schema)
 
 
+def carrying(frame: DataFrame, carried: list[str], ddl: str) -> StructType:
+    """Schema of carried columns of a frame, then those of a DDL text."""
+    return StructType([frame.schema[c] for c in carried] + StructType.fromDDL(ddl).fields)
+
+
+def in_rows(docs: DataFrame) -> DataFrame:
+    """``text`` and all columns as the one column ``row``, so that added columns can't clash."""
+    return docs.select("text", F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of an Arrow column, null as empty."""
     return [text or "" for text in column.to_pylist()]
@@ -120,7 +137,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class RangeHash:
-    """Polynomial hashes modulo 2**64 of any byte range of a buffer of bounded length.
+    """Polynomial hashes modulo 2**64 of any byte range of a buffer (``longest`` is a first guess).
 
     A byte's value comes from a random table, positions are cancelled by the inverse power,
     and the result is mixed. Equal bytes give equal values at any place and in any task.
@@ -131,9 +148,14 @@ class RangeHash:
         base = int(random.integers(1 << 62, 1 << 63)) | 1
         back = pow(base, -1, 1 << 64)
         self.table = random.integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
-        self.longest = longest
-        self.power = self._powers(base, longest + 1)
-        self.inverse = self._powers(back, longest + 1)
+        self.bases = base, back
+        self.longest = 0
+        self._reach(longest)
+
+    def _reach(self, n: int) -> None:
+        if n > self.longest:
+            self.longest = n
+            self.power, self.inverse = (self._powers(b, n + 1) for b in self.bases)
 
     @staticmethod
     def _powers(base: int, n: int) -> np.ndarray:
@@ -144,6 +166,7 @@ class RangeHash:
 
     def prefixes(self, data: np.ndarray) -> np.ndarray:
         """Running sums over the bytes; one more than bytes."""
+        self._reach(len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.table[data] * self.power[: len(data)], out=sums[1:])
         return sums

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import LOWER, arrow_pass, mix, slices
+from dqloom.llm.common import LOWER, arrow_pass, carrying, in_rows, mix, slices
 
 WINDOW = 10
 BROADCAST_WINDOWS = 2_000_000
@@ -144,8 +144,9 @@ def _scan(docs: DataFrame, items: tuple, window: int, id_column: str, carried: l
             "n_items": pa.array([len(r[4]) for r in rows], pa.int64()),
         }
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
-    return arrow_pass(docs.select(F.col("text").alias("_text"), *carried), make, f"{kinds}, {SCHEMA}")
+    return arrow_pass(
+        docs.select(F.col("text").alias("_text"), *carried), make, carrying(docs, carried, SCHEMA)
+    )
 
 
 def find_leaks(
@@ -228,14 +229,14 @@ def items_digest(names) -> str:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit word, with all their columns."""
-    found = find_leaks(docs, benchmark, window, carried=docs.columns)
-    return found.where("n_hit = 0").select(*docs.columns)
+    found = find_leaks(in_rows(docs), benchmark, window, carried=["row"])
+    return found.where("n_hit = 0").select("row.*")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, hit words and what lies between them cut out of ``text``."""
-    found = find_leaks(docs, benchmark, window, carried=docs.columns)
-    data = F.encode("text", "UTF-8")
+    found = find_leaks(in_rows(docs), benchmark, window, carried=["row"])
+    data = F.encode("row.text", "UTF-8")
     kept = F.aggregate(
         "hit_bytes",
         F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
@@ -245,5 +246,5 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         ),
         lambda s: F.concat(s["out"], F.decode(F.substring(data, (s["at"] + 1).cast("int"), F.lit(2**31 - 1)), "UTF-8")),
     )
-    text = F.when(F.size("hit_bytes") > 0, kept).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    text = F.when(F.size("hit_bytes") > 0, kept).otherwise(F.col("row.text"))
+    return found.withColumn("row", F.col("row").withField("text", text)).select("row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import chat, decontaminate, packing, tokens, urls
+from dqloom.llm import ann, chat, decontaminate, langid, near_dup, packing, tokens, urls
 from dqloom.llm.common import arrow_pass
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,25 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return packed.drop("ids")
 
 
+# --- 3: language identification --------------------------------------------------------------
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs, langid.learnable())
+    found = langid.with_language(docs, model, ["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+# --- 4: nearest neighbours ------------------------------------------------------------------
+
+
+@query("op4_nearest_neighbours")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 # --- 5: url filter --------------------------------------------------------------------------
 
 RULES = (
@@ -146,6 +165,39 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- 9: near-duplicates ----------------------------------------------------------------------
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^ 	-
+]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(s) AS s FROM (
+    SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0))
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) m ON d.doc_id = m.a
+"""
+
+
+@query("op9_near_duplicates", NEAR_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.find_groups(table(spark, folder, "documents"))
+
+
 # --- 10: chat formatting --------------------------------------------------------------------
 
 CHAT_SQL = r"""
