@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import cut
+from dqloom.llm.common import cut, quoted
 
 BITS_PER_KEY = 10
 HASHES = 7
@@ -154,15 +154,20 @@ def best_rule(rules: Sequence[Rule]) -> tuple[Column, Column]:
     return name, verdict
 
 
+RESULT = ("host", "path", "rule", "verdict", "is_listed")
+
+
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Pages with host, path, rule, verdict and whether the key is listed."""
-    keyed = with_parts(pages).withColumn("key", key_of(F.col("host"), F.col("path")))
+    """Pages with host, path, rule, verdict and whether the key is listed.
+
+    Columns of the pages that have these names are replaced.
+    """
+    kept = [pages[quoted(c)] for c in pages.columns if c not in RESULT]
+    keyed = with_parts(pages.select(F.struct(*kept).alias("row"), "url"))
+    keyed = keyed.withColumn("key", key_of(F.col("host"), F.col("path")))
     cascade = Cascade(listed.select("key"), keyed.select("key"))
     name, verdict = best_rule(rules)
     found = F.when(F.col("is_listed"), F.lit("block")).otherwise("allow")
-    return (
-        cascade.mark(keyed)
-        .withColumn("rule", name)
-        .withColumn("verdict", F.coalesce(verdict, found))
-        .drop("key")
+    return cascade.mark(keyed).select(
+        "row.*", "host", "path", name.alias("rule"), F.coalesce(verdict, found).alias("verdict"), "is_listed"
     )
