@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dqloom.llm import decontaminate, langid, near_dup, packing
+from dqloom.llm import decontaminate, langid, near_dup, packing, suffix_dedup
 from dqloom.llm.common import cut, in_rows
 from dqloom.llm.registered import BYTE_BPE, table
 
@@ -30,6 +30,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return near_dup.keep_first(docs)
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the 50-byte strings that a document with a smaller id has.
+
+    ``n_chars`` stays what it was.
+    """
+    return suffix_dedup.without_repeats(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -43,6 +51,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language id", in_a_language),
     ("near-duplicates", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
     ("decontamination", decontaminated),
     ("packing", packed),
 ]

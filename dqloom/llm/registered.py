@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import ann, chat, decontaminate, langid, near_dup, packing, tokens, urls
+from dqloom.llm import ann, chat, decontaminate, langid, near_dup, packing, suffix_dedup, tokens, urls
 from dqloom.llm.common import arrow_pass
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,18 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.with_token_counts(table(spark, folder, "documents"), BYTE_BPE, 1024)
 
 
+# --- 7: repeated byte strings ----------------------------------------------------------------
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # --- 8: benchmark decontamination -----------------------------------------------------------
 
 LEAK_SQL = r"""
