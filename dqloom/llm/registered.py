@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import ann, chat, decontaminate, langid, near_dup, packing, suffix_dedup, tokens, urls
+from dqloom.llm import ann, chat, decontaminate, langid, licenses, near_dup, packing, suffix_dedup, tokens, urls
 from dqloom.llm.common import arrow_pass
+from dqloom.llm.license_notices import NOTICES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +32,45 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# --- 1: license scan ------------------------------------------------------------------------
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+LICENSE_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), notices(license, text) AS (VALUES $notices
+), notice_words AS (
+  SELECT license, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM notices
+), notice_shingles AS (
+  SELECT DISTINCT license, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT license, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM notice_words)
+), doc_shingles AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT license, count(*) AS n FROM notice_shingles GROUP BY license
+), matched AS (
+  SELECT doc_id, license, min(i) AS first_word, count(DISTINCT d.s) AS n_matched
+  FROM doc_shingles d JOIN notice_shingles n ON d.s = n.s GROUP BY doc_id, license
+)
+SELECT doc_id, m.license, CAST(first_word AS BIGINT) AS first_word, n_matched, n AS n_template,
+  n_matched / n AS containment
+FROM matched m JOIN sizes s ON m.license = s.license WHERE n_matched >= 0.75 * n
+""".replace("$notices", ", ".join(f"({_text(n)}, {_text(t)})" for n, t in NOTICES))
+
+
+@query("op1_license_scan", LICENSE_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    templates = spark.createDataFrame(NOTICES, "license string, text string")
+    found = licenses.find_licenses(table(spark, folder, "documents").select("doc_id", "text"), templates)
+    return found.select("row.doc_id", "license", "first_word", "n_matched", "n_template", "containment")
+
+
 # --- 2: packing -----------------------------------------------------------------------------
 
 
