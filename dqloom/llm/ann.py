@@ -5,7 +5,8 @@ fitted on a bounded sample (``SAMPLE`` rows by hash) with a penalty on large clu
 square root of the rows, ``MOST_LISTS`` at most, and linked to a nearest-neighbour graph that every task holds
 in memory. Every row goes to its nearest list, and a boundary row also to other lists whose centroid is at
 most ``NEAR`` times as far, ``COPIES`` lists in all. A query walks the graph best first and takes the lists
-that are at most ``RATIO`` times as far as the nearest one (distance-ratio pruning).
+that are at most ``RATIO`` times as far as the nearest one (distance-ratio pruning), and more until they hold
+``LEAST_ROWS`` rows. Queries that still find fewer than asked for look into all lists.
 
 Lists of any size are split into parts of about ``PART`` rows, and the queries of a list into blocks of as
 many, so a very common vector or list is shared out between tasks. Parts and blocks meet in cogroups; each
@@ -34,6 +35,7 @@ SAMPLE = 20_000
 MOST_LISTS = 4096
 COPIES, NEAR = 4, 1.25
 RATIO = 1.15
+LEAST_ROWS = 1000
 PART = 4096
 NEIGHBOURS, ENTRIES = 16, 8
 
@@ -119,28 +121,38 @@ def near_lists(index: Index, x: np.ndarray) -> np.ndarray:
     return flags
 
 
-def walk(index: Index, q: np.ndarray) -> list[int]:
-    """Lists for one query: best first over the graph, until all within the ratio are expanded."""
+def walk(index: Index, q: np.ndarray, sizes: np.ndarray) -> list[int]:
+    """Lists for one query: best first over the graph, until all within the ratio are expanded.
+
+    Lists are also taken, nearest first, until they hold ``LEAST_ROWS`` rows.
+    """
     centroids, graph = index.centroids, index.graph
     seen = set(index.entries.tolist())
     far = ((centroids[index.entries] - q) ** 2).sum(1)
     heap = list(zip(far.tolist(), index.entries.tolist()))
     heapq.heapify(heap)
-    best, found, slack = heap[0][0], [], 2 * NEIGHBOURS
+    best, found, slack, held = heap[0][0], [], 2 * NEIGHBOURS, 0
     while heap:
         distance, node = heapq.heappop(heap)
         best = min(best, distance)
-        if distance > RATIO**2 * best:
+        if distance > RATIO**2 * best and held >= LEAST_ROWS:
             slack -= 1
             if slack < 0:
                 break
         found.append((distance, node))
+        held += sizes[node]
         fresh = [n for n in graph[node].tolist() if n not in seen]
         if fresh:
             seen.update(fresh)
             for d, n in zip(((centroids[fresh] - q) ** 2).sum(1).tolist(), fresh):
                 heapq.heappush(heap, (d, n))
-    return [node for distance, node in found if distance <= RATIO**2 * best]
+    taken, held = [], 0
+    for distance, node in sorted(found):
+        if distance > RATIO**2 * best and held >= LEAST_ROWS:
+            break
+        taken.append(node)
+        held += sizes[node]
+    return taken
 
 
 # --- posting lists and search ---------------------------------------------------------------
@@ -161,16 +173,18 @@ def posting_lists(rows: DataFrame, index: Index) -> DataFrame:
     return arrow_pass(rows, make, "list int, id long, v array<double>")
 
 
-def query_lists(queries: DataFrame, index: Index) -> DataFrame:
+def query_lists(queries: DataFrame, index: Index, sizes: dict[int, int], all_lists: bool = False) -> DataFrame:
     """list, id, v: every query with each list it looks into."""
-    shared = queries.sparkSession.sparkContext.broadcast(index)
+    rows = np.array([sizes.get(n, 0) for n in range(len(index.centroids))])
+    shared = queries.sparkSession.sparkContext.broadcast((index, rows))
 
     def make(batch):
-        held = shared.value
+        held, rows = shared.value
+        full = np.flatnonzero(rows).tolist()
         x = matrix(batch.column("v"))
         scaled = x * (math.sqrt(held.full) / np.sqrt((x * x).sum(1)))[:, None]
         scaled = np.concatenate([scaled, np.zeros((len(x), 1))], 1)
-        lists = [walk(held, q) for q in scaled]
+        lists = [full if all_lists else walk(held, q, rows) for q in scaled]
         row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         taken = batch.take(pa.array(row))
         number = np.concatenate([np.array(x, np.int32) for x in lists])
@@ -213,20 +227,35 @@ def search(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit(rows, count, float(full) * (1 + 1e-9))
     postings = cut(posting_lists(rows, index), "postings")
-    looked = cut(query_lists(rows.where(is_query), index), "looked-up")
-
-    def sizes(frame: DataFrame) -> dict[int, int]:
-        # one number for each list, MOST_LISTS at most
-        return {r["list"]: -(-r["count"] // PART) for r in frame.groupBy("list").count().collect()}
-
-    parts, blocks = sizes(postings), sizes(looked)
-    table = spark.createDataFrame(
-        [(n, parts.get(n, 1), blocks[n]) for n in blocks] or [(0, 1, 1)], "list int, parts int, blocks int"
+    sizes = _sizes(postings)
+    queries = rows.where(is_query)
+    found = _nearest(postings, sizes, cut(query_lists(queries, index, sizes), "looked-up"), k)
+    counts = found.groupBy("query_id").count().withColumnRenamed("query_id", "id")
+    short = queries.join(counts, "id", "left").where(F.coalesce("count", F.lit(0)) < k).select("id", "v")
+    if short.isEmpty():
+        return found
+    # repeated ids can leave a query short of candidates: it looks into all lists
+    again = _nearest(postings, sizes, cut(query_lists(short, index, sizes, all_lists=True), "looked-up"), k)
+    rest = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
+    return rest.unionByName(again)
+
+
+def _sizes(frame: DataFrame) -> dict[int, int]:
+    """Rows by list: one number for each list, ``MOST_LISTS`` at most."""
+    return {r["list"]: r["count"] for r in frame.groupBy("list").count().collect()}
+
+
+def _nearest(postings: DataFrame, sizes: dict[int, int], looked: DataFrame, k: int) -> DataFrame:
+    """The k best of the lists that each query looks into."""
+    asked = _sizes(looked)
+    table = postings.sparkSession.createDataFrame(
+        [(n, -(-sizes.get(n, 1) // PART), -(-asked[n] // PART)) for n in asked] or [(-1, 1, 1)],
+        "list int, parts int, blocks int",
     )
 
     def dealt(frame: DataFrame, own: str, other: str) -> DataFrame:
         """Each row to its own part, once for every block of the other side."""
-        named = frame.join(F.broadcast(table), "list")
+        named = frame.join(F.broadcast(table), "list")  # a row for each list, MOST_LISTS at most
         mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own[:-1])
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[:-1])
         return named.select("list", mine, every, "id", "v")
@@ -235,18 +264,17 @@ def search(
     right = dealt(looked, "blocks", "parts").groupBy("list", "part", "block")
 
     def meet(one: pa.Table, two: pa.Table) -> pa.Table:
+        q, q_ids, vec, score = (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.float64))
         if one.num_rows and two.num_rows:
             one, two = one.combine_chunks(), two.combine_chunks()
-            ids, q_ids = one["id"].to_numpy(), two["id"].to_numpy()
+            q_ids = two["id"].to_numpy()
             q, vec, score = best_of(
-                matrix(two["v"].chunk(0)), q_ids, matrix(one["v"].chunk(0)), ids, k
+                matrix(two["v"].chunk(0)), q_ids, matrix(one["v"].chunk(0)), one["id"].to_numpy(), k
             )
-        else:
-            q, q_ids, vec, score = (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.float64))
-        return pa.table({"query_id": q_ids[q] if len(q) else q_ids[:0], "vec_id": vec, "score": score})
+        return pa.table({"query_id": q_ids[q], "vec_id": vec, "score": score})
 
-    found = left.cogroup(right).applyInArrow(meet, "query_id long, vec_id long, score double")
-    single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    met = left.cogroup(right).applyInArrow(meet, "query_id long, vec_id long, score double")
+    single = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = single.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return cut(ranked.select("query_id", "rank", "vec_id", "score"), "nearest")
