@@ -73,8 +73,13 @@ def null_class(column: Column, rules=fixed.NULL_NAME_PATTERNS) -> Column:
 
 
 def table_label(
-    table: Column, rules=fixed.TABLE_TAXONOMY, default: str = fixed.DEFAULT_TAXONOMY_LABEL
+    table: Column, rules: Iterable[tuple[str, Iterable[str]]],
+    default: str = fixed.DEFAULT_TAXONOMY_LABEL,
 ) -> Column:
+    """Label of the first rule (label, parts of names) that fits the table's name.
+
+    The rules belong to the user's domain, so there are none by default.
+    """
     return first_label(((has_part(table, words), label) for label, words in rules), default)
 
 

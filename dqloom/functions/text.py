@@ -60,3 +60,8 @@ def reference_error(value: Column, parts: int) -> Column:
     return F.when(F.coalesce(good, F.lit(False)), F.lit(None).cast("string")).otherwise(
         F.concat(F.lit(f"expected {shape}: "), F.coalesce(value, F.lit("missing")))
     )
+
+
+def quoted(name: str) -> str:
+    """A column name that may hold dots, blanks or backticks, for ``F.col``."""
+    return "`" + name.replace("`", "``") + "`"

@@ -39,45 +39,48 @@ def dirty_cells(frame: DataFrame, by_value: bool = False) -> DataFrame:
 def dirty_values(
     frame: DataFrame, schema: str, table: str, by_value: bool = False
 ) -> DataFrame:
-    """``Pass`` or ``Failed: value (share%), ..`` for every column of the table."""
-    found = F.array_sort(F.collect_list(F.struct("value", "n")))
+    """``Pass`` or ``Failed: n value(s), m row(s) (share%)`` for every column of the table.
+
+    The values are rows of :func:`dirty_value_counts`: dates match by their day, so a column may
+    have any number of them.
+    """
     per_column = dirty_cells(frame, by_value).groupBy("column_name").agg(
-        found.alias("found"), F.max("n").alias("n")
+        F.count(F.lit(1)).alias("distinct_count"), F.sum("n").alias("n")
     )
     # at most one row per column from here on; the NULL name carries the row count
     listed = per_column.groupBy().agg(
         F.max(F.when(F.col("column_name").isNull(), F.col("n"))).alias("total"),
-        F.collect_list(F.struct("column_name", "found")).alias("columns"),
+        F.collect_list(F.struct("column_name", "distinct_count", "n")).alias("columns"),
     )
     names = F.array(*[F.lit(c) for c in frame.columns])
     rows = listed.select(F.explode(names).alias("column_name"), "total", "columns").select(
         "column_name",
         "total",
-        F.expr(
-            "coalesce(get(filter(columns, c -> c.column_name = column_name), 0).found, array())"
-        ).alias("found"),
+        F.expr("get(filter(columns, c -> c.column_name = column_name), 0)").alias("found"),
+    )
+    count, n = F.col("found.distinct_count"), F.col("found.n")
+    failed = F.concat(
+        F.lit("Failed: "), count.cast("string"), F.lit(" value(s), "), n.cast("string"),
+        F.lit(" row(s) ("), fixed_text(share(n, F.col("total")), 2), F.lit("%)"),
     )
-
-    def cell_text(cell: Column) -> Column:
-        shown = F.when(cell["value"] == "", F.lit("''")).otherwise(cell["value"])
-        part = fixed_text(share(cell["n"], F.col("total")), 2)
-        return F.concat(shown, F.lit(" ("), part, F.lit("%)"))
-
     return rows.select(
         F.lit(schema).alias("schema_name"),
         F.lit(table).alias("table_name"),
         "column_name",
-        F.when(F.size("found") == 0, F.lit("Pass"))
-        .otherwise(
-            F.concat(
-                F.lit("Failed: "),
-                F.array_join(F.transform("found", cell_text), ", "),
-            )
-        )
-        .alias("dirty_value_check"),
+        F.when(F.col("found").isNull(), F.lit("Pass")).otherwise(failed).alias("dirty_value_check"),
     )
 
 
+def dirty_value_counts(registry: TableRegistry, keys: Iterable[TableKey], by_value: bool = False) -> DataFrame:
+    """Every placeholder value with its count: ``schema_name, table_name, column_name, value, n``."""
+    return union_all([
+        dirty_cells(registry.table(s, t), by_value)
+        .filter(F.col("column_name").isNotNull())
+        .select(F.lit(s).alias("schema_name"), F.lit(t).alias("table_name"), "column_name", "value", "n")
+        for s, t in keys
+    ])
+
+
 def dirty_values_of(registry: TableRegistry, keys: Iterable[TableKey]) -> DataFrame:
     return union_all([dirty_values(registry.table(s, t), s, t) for s, t in keys])
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqloom.functions.numbers import pct
+from dqloom.functions.text import quoted
 from dqloom.operators.keyed import (
     all_not_null,
     key_presence,
@@ -131,13 +132,48 @@ def date_order(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
     return union_all(results)
 
 
-def _summable(frame: DataFrame, column: str) -> Column:
-    """Doubles are added as decimals, so that a total does not depend on row order."""
-    value = F.col(f"`{column}`")
-    data_type = frame.schema[column].dataType
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return value.cast("decimal(28,6)")
-    return value
+BAND = 12  # decimal places that one band of a banded number covers
+
+
+def _is_float(frame: DataFrame, column: str) -> bool:
+    return isinstance(frame.schema[column].dataType, (T.DoubleType, T.FloatType))
+
+
+def banded(value: Column) -> Column:
+    """A double as the decimal number it is written as: struct(band, units, odd).
+
+    The number is units * 10**(BAND * band), with whole units of at most 29 digits, so any
+    number of doubles of any size is added up exactly, band by band, in any order. ``odd``
+    marks NaN and infinities, which have no units.
+    """
+    text = F.upper(value.cast("string"))
+    parts = F.split(text, "E")
+    mantissa = F.get(parts, F.lit(0))
+    exponent = F.coalesce(F.get(parts, F.lit(1)).try_cast("int"), F.lit(0))
+    digits = F.length(F.regexp_extract(mantissa, r"\.(\d*)", 1))
+    power = exponent - digits
+    band = F.floor(power / F.lit(BAND)).cast("int")
+    shift = F.repeat(F.lit("0"), power - band * BAND)
+    units = F.concat(F.replace(mantissa, F.lit("."), F.lit("")), shift).try_cast("decimal(38,0)")
+    return F.struct(band.alias("band"), units.alias("units"), units.isNull().alias("odd"))
+
+
+def _difference(left: Column, right: Column) -> Column:
+    """left - right of two arrays of (band, units), as a double: large bands first."""
+    signed = F.concat(
+        F.transform(left, lambda x: F.struct(x["band"].alias("band"), x["units"].alias("units"))),
+        F.transform(right, lambda x: F.struct(x["band"].alias("band"), (-x["units"]).alias("units"))),
+    )
+    bands = F.reverse(F.array_sort(F.array_distinct(F.transform(signed, lambda x: x["band"]))))
+
+    def of_band(band: Column) -> Column:
+        own = F.filter(signed, lambda x: x["band"] == band)
+        total = F.aggregate(
+            own, F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x["units"]).cast("decimal(38,0)")
+        )
+        return total.cast("double") * F.pow(F.lit(10.0), (band * BAND).cast("double"))
+
+    return F.aggregate(bands, F.lit(0.0), lambda s, band: s + of_band(band))
 
 
 def total_detail(
@@ -152,28 +188,48 @@ def total_detail(
 
     Headers without details compare with 0, details without header are ignored. Details
     are summed per key first; equal headers of a key are counted together, and header keys
-    that are hot even so are spread in the join.
+    that are hot even so are spread in the join. Whole numbers and decimals are added as they
+    are, doubles as the decimals they are written as, of any size (``banded``): nothing is
+    rounded and the order of rows does not matter. NaN and infinities differ from everything.
     """
     header_keys = [h for h, _ in pairs]
-    detail_keys = [d for _, d in pairs]
-    sums = (
-        detail.filter(all_not_null(detail_keys))
-        .groupBy(*[F.col(d).alias(h) for h, d in pairs])
-        .agg(F.sum(_summable(detail, detail_column)).alias("_detail"))
-    )
-    headers = (
-        total.filter(F.col(total_column).isNotNull())
-        .groupBy(*header_keys, _summable(total, total_column).alias("_total"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    kept = detail.filter(all_not_null([d for _, d in pairs]))
+    named = [F.col(quoted(d)).alias(h) for h, d in pairs]
+    floats = _is_float(total, total_column) or _is_float(detail, detail_column)
+    total_value, detail_value = F.col(quoted(total_column)), F.col(quoted(detail_column))
+    counted = total.filter(total_value.isNotNull())
+    if floats:
+        per_band = (
+            kept.filter(detail_value.isNotNull())
+            .select(*named, banded(detail_value.cast("double")).alias("_b"))
+            .groupBy(*header_keys, "_b.band")
+            .agg(F.sum("_b.units").cast("decimal(38,0)").alias("units"), F.max("_b.odd").alias("odd"))
+        )
+        # at most 55 bands a key
+        sums = per_band.groupBy(*header_keys).agg(
+            F.collect_list(F.struct("band", F.coalesce("units", F.lit(0)).cast("decimal(38,0)").alias("units"))).alias("_detail"),
+            F.max("odd").alias("_odd"),
+        )
+        value = banded(total_value.cast("double")).alias("_total")
+    else:
+        sums = kept.groupBy(*named).agg(F.sum(detail_value).alias("_detail"))
+        value = total_value.alias("_total")
+    headers = counted.groupBy(*[F.col(quoted(h)).alias(h) for h in header_keys], value).agg(
+        F.count(F.lit(1)).alias("_n")
     )
     joined = spread_left_join(headers, sums, header_keys, hot_from=total)
-    gap = F.abs(F.col("_total") - F.coalesce("_detail", F.lit(0)))
-    counted = joined.agg(
+    if floats:
+        own = F.array(F.struct(F.col("_total.band").alias("band"), F.coalesce("_total.units", F.lit(0)).cast("decimal(38,0)").alias("units")))
+        none = F.array().cast("array<struct<band:int,units:decimal(38,0)>>")
+        gap = F.abs(_difference(own, F.coalesce("_detail", none)))
+        differs = (gap > tolerance) | F.col("_total.odd") | F.coalesce("_odd", F.lit(False))
+    else:
+        differs = F.abs(F.col("_total") - F.coalesce("_detail", F.lit(0))) > tolerance
+    checked = joined.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("c"),
-        F.coalesce(F.sum(F.when(gap > tolerance, F.col("_n")).otherwise(F.lit(0))),
-                   F.lit(0)).alias("v"),
+        F.coalesce(F.sum(F.when(differs, F.col("_n")).otherwise(F.lit(0))), F.lit(0)).alias("v"),
     )
-    return counted.select(*_violations(F.col("c"), F.col("v")))
+    return checked.select(*_violations(F.col("c"), F.col("v")))
 
 
 def latest_status(
@@ -256,11 +312,12 @@ def pattern_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
     return union_all(results)
 
 
-def enum_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
-    """Values outside the allowed set, compared exactly, NULL not checked.
+def enum_value_counts(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """``rule_id, column, invalid, n``: how often each value outside the allowed set occurs.
 
-    All rules of a table share one scan; every valid value becomes the same NULL marker,
-    so the shuffle carries one row per rule and distinct invalid value.
+    NULL is not checked. Values are compared exactly; all valid ones of a rule are the row
+    with ``invalid`` NULL. All rules of a table share one scan, and the shuffle carries one row
+    per rule and distinct invalid value.
     """
     by_table: dict[str, list[Rule]] = defaultdict(list)
     for rule in rules:
@@ -269,33 +326,47 @@ def enum_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
         by_table[rule["column"].rsplit(".", 1)[0]].append(rule)
     results = []
     for reference, group in by_table.items():
-        frame = registry.by_reference(reference)
         cells = []
         for rule in group:
-            value = F.col(f"`{rule['column'].rsplit('.', 1)[1]}`")
+            value = F.col(quoted(rule["column"].rsplit(".", 1)[1]))
             invalid = F.when(~value.isin(list(rule["allowed_values"])), value.cast("string"))
-            cells.append(
-                F.when(value.isNotNull(), F.struct(F.lit(rule["id"]).alias("rule_id"),
-                                                   invalid.alias("invalid")))
+            cell = F.struct(
+                F.lit(rule["id"]).alias("rule_id"), F.lit(rule["column"]).alias("column"),
+                invalid.alias("invalid"),
             )
-        counted = (
-            frame.select(F.inline(F.array_compact(F.array(*cells))))
-            .groupBy("rule_id", "invalid")
+            cells.append(F.when(value.isNotNull(), cell))
+        results.append(
+            registry.by_reference(reference)
+            .select(F.inline(F.array_compact(F.array(*cells))))
+            .groupBy("rule_id", "column", "invalid")
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        found = counted.groupBy("rule_id").agg(
-            F.sum("n").alias("checked_count"),
-            F.coalesce(F.sum(F.when(F.col("invalid").isNotNull(), F.col("n"))), F.lit(0)).alias(
-                "invalid_count"
-            ),
-            F.count("invalid").alias("invalid_distinct_count"),
-            F.array_join(F.array_sort(F.collect_list("invalid")), ", ").alias("invalid_values"),
-        )
-        listed = frame.sparkSession.createDataFrame(
-            [(rule["id"], rule["column"]) for rule in group], "rule_id string, column string"
-        )
-        results.append(listed.join(found, "rule_id", "left"))
-    checked = union_all(results).na.fill(0).na.fill("")
+    return union_all(results)
+
+
+def enum_invalid_values(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """Every invalid value of every rule with its count, as rows: ``rule_id, column, value, n``."""
+    counted = enum_value_counts(registry, rules).filter(F.col("invalid").isNotNull())
+    return counted.select("rule_id", "column", F.col("invalid").alias("value"), "n")
+
+
+def enum_checks(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
+    """Checked and invalid rows and distinct invalid values per rule.
+
+    The values themselves are rows of :func:`enum_invalid_values`, as a free-text column under
+    an enumeration rule may have any number of them.
+    """
+    found = enum_value_counts(registry, rules).groupBy("rule_id").agg(
+        F.sum("n").alias("checked_count"),
+        F.coalesce(F.sum(F.when(F.col("invalid").isNotNull(), F.col("n"))), F.lit(0)).alias(
+            "invalid_count"
+        ),
+        F.count("invalid").alias("invalid_distinct_count"),
+    )
+    listed = found.sparkSession.createDataFrame(
+        [(rule["id"], rule["column"]) for rule in rules], "rule_id string, column string"
+    )
+    checked = listed.join(found, "rule_id", "left").na.fill(0)
     return checked.withColumn("invalid_pct", pct(F.col("invalid_count"), F.col("checked_count")))
 
 

@@ -12,11 +12,12 @@ from dqloom.functions.numbers import pct
 from dqloom.operators.keyed import KeyPairs, key_presence, union_all, with_presence
 
 
-def foreign_key_chains(edges: DataFrame, columns: DataFrame, depth: int = 6) -> DataFrame:
-    """Every chain child -> parent -> .. of at most ``depth`` links, cycles cut.
+def foreign_key_chains(edges: DataFrame, columns: DataFrame) -> DataFrame:
+    """Every chain child -> parent -> .. of any length, cycles cut.
 
-    Works on the edge list, which has one row per declared key column. A link is mandatory
-    when no column of the key may be NULL; a chain is, when all its links are.
+    Works on the edge list, which has one row per declared key column, and goes on until no
+    chain gets longer; as no table occurs twice in a chain, it ends. A link is mandatory when
+    no column of the key may be NULL; a chain is, when all its links are.
     """
     nullable = columns.select(
         F.col("schema_name").alias("from_schema"),
@@ -36,12 +37,18 @@ def foreign_key_chains(edges: DataFrame, columns: DataFrame, depth: int = 6) ->
         .groupBy("child", "parent")
         .agg(F.bool_or("mandatory").alias("mandatory"))
     )
+    def held(frame: DataFrame) -> DataFrame:
+        """Catalog rows as a local table, so that a level does not repeat those before it."""
+        return frame.sparkSession.createDataFrame(frame.collect(), frame.schema)
+
+    links = held(links)
     level = links.select(
         F.array("child", "parent").alias("path"), "parent", F.col("mandatory").alias("all_mandatory")
     )
-    levels = [level]
-    for _ in range(depth - 1):
-        level = (
+    levels = []
+    while not level.isEmpty():
+        levels.append(level)
+        level = held(
             level.withColumnRenamed("parent", "child")
             .join(links, "child")
             .filter(~F.array_contains("path", F.col("parent")))
@@ -51,8 +58,7 @@ def foreign_key_chains(edges: DataFrame, columns: DataFrame, depth: int = 6) ->
                 (F.col("all_mandatory") & F.col("mandatory")).alias("all_mandatory"),
             )
         )
-        levels.append(level)
-    return union_all(levels).select(
+    return union_all(levels or [level]).select(
         F.array_join("path", " -> ").alias("chain"),
         (F.size("path") - 1).alias("links"),
         "all_mandatory",

@@ -13,18 +13,16 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dqloom.functions.text import compact_key
+from dqloom.functions.text import compact_key, quoted
 
 KeyPairs = Sequence[tuple[str, str]]
 
-HOT_SHARE = 0.02  # a key above this share of the rows is spread
-HOT_ITEMS = 64  # most frequent keys looked at; at most 50 can be above the share
-SALTS = 64  # tasks a hot key is spread over
+MOST_TRACKED = 1_000_000  # counters of the sketch that finds hot keys: its upper bound in Spark
 TEXT_KEYS = 4  # text columns a grouping key may have before they become one digest
 
 
 def all_not_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda left, right: left & right, [F.col(c).isNotNull() for c in columns])
+    return reduce(lambda left, right: left & right, [F.col(quoted(c)).isNotNull() for c in columns])
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -53,13 +51,13 @@ def grouping_keys(frame: DataFrame, columns: Sequence[str]) -> list[Column]:
     """
     texts = [c for c in columns if isinstance(frame.schema[c].dataType, T.StringType)]
     if len(texts) <= TEXT_KEYS:
-        keys = [compact_key(F.col(c), c in texts) for c in columns]
+        keys = [compact_key(F.col(quoted(c)), c in texts) for c in columns]
     else:
         # the length before each text tells texts apart that read alike when strung together
         whole = F.concat(*[
-            F.concat(F.char_length(c).cast("string"), F.lit(":"), F.col(c)) for c in texts
+            F.concat(F.char_length(quoted(c)).cast("string"), F.lit(":"), F.col(quoted(c))) for c in texts
         ])
-        keys = [F.unhex(F.sha2(whole, 256)), *[F.col(c) for c in columns if c not in texts]]
+        keys = [F.unhex(F.sha2(whole, 256)), *[F.col(quoted(c)) for c in columns if c not in texts]]
     return [key.alias(f"k{i}") for i, key in enumerate(keys)]
 
 
@@ -73,12 +71,12 @@ def key_presence(child: DataFrame, parent: DataFrame, pairs: KeyPairs) -> DataFr
     child_keys, parent_keys = [c for c, _ in pairs], [p for _, p in pairs]
     names = [f"k{i}" for i in range(len(pairs))]
     uses = child.filter(all_not_null(child_keys)).select(
-        *[F.col(c).alias(n) for c, n in zip(child_keys, names)],
+        *[F.col(quoted(c)).alias(n) for c, n in zip(child_keys, names)],
         F.lit(1).cast("bigint").alias("uses"),
         F.lit(False).alias("known"),
     )
     known = parent.filter(all_not_null(parent_keys)).select(
-        *[F.col(p).alias(n) for p, n in zip(parent_keys, names)],
+        *[F.col(quoted(p)).alias(n) for p, n in zip(parent_keys, names)],
         F.lit(0).cast("bigint").alias("uses"),
         F.lit(True).alias("known"),
     )
@@ -93,24 +91,32 @@ def key_hash(frame: DataFrame, keys: Sequence[str]) -> Column:
     """Hash that is equal for equal keys; -0.0 and 0.0 are one key."""
     floats = (T.FloatType, T.DoubleType)
     return F.xxhash64(*[
-        F.col(k) + F.lit(0.0) if isinstance(frame.schema[k].dataType, floats) else F.col(k)
+        F.col(quoted(k)) + F.lit(0.0) if isinstance(frame.schema[k].dataType, floats)
+        else F.col(quoted(k))
         for k in keys
     ])
 
 
-def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold more than ``HOT_SHARE`` of the rows.
+def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> dict[int, int]:
+    """Hashes of the keys that would fill more than half a shuffle partition, with the number of
+    half partitions that each fills.
 
-    One pass over the key columns with a sketch of fixed size; the driver gets at most
-    ``HOT_ITEMS`` numbers. It is read when the plan is built, so that both sides of a join
-    and every recomputation of a lost task use the very same list.
+    The share above which a key is hot and the number of its parts follow the session's number
+    of shuffle partitions n: a share of 1 / 2n is hot, so there are at most 2n hot keys. One pass
+    over the key columns with a sketch of fixed size finds them. It is read when the plan is
+    built, so that both sides of a join and every recomputation of a lost task use the same list.
     """
-    top = f"approx_top_k(hashed, {HOT_ITEMS}, {HOT_ITEMS * 64})"
+    parts = 2 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = min(parts, MOST_TRACKED // 16)
+    top = f"approx_top_k(hashed, {items}, {items * 16})"
     found = frame.select(key_hash(frame, keys).alias("hashed")).agg(
         F.expr(top).alias("top"), F.count(F.lit(1)).alias("total")
     ).first()
-    limit = found["total"] * HOT_SHARE
-    return sorted(item["item"] for item in found["top"] if item["count"] > limit)
+    share = found["total"] / parts
+    return {
+        item["item"]: -(-item["count"] // max(1, int(share)))
+        for item in found["top"] if item["count"] > share
+    }
 
 
 def spread_left_join(
@@ -118,9 +124,10 @@ def spread_left_join(
 ) -> DataFrame:
     """Left join on ``keys``, where ``right`` has at most one row per key.
 
-    Hot keys of the left side are spread over ``SALTS`` tasks and only their right rows
-    are repeated. Rows with a NULL key match nothing, so they are spread freely. Adaptive
-    skew handling cannot do this here, because the right side ends in an aggregate.
+    Hot keys of the left side are spread over as many tasks as their rows would fill half
+    partitions, and only their right rows are repeated. Rows with a NULL key match nothing, so
+    they are spread freely. Adaptive skew handling cannot do this here, because the right side
+    ends in an aggregate.
 
     Hot keys are looked up in ``hot_from``, a cheaper table with the same keys, when
     ``left`` is itself the outcome of a shuffle. Which keys count as hot changes the
@@ -129,23 +136,22 @@ def spread_left_join(
     left, right = _with_common_types(left, right, keys)
     base = left if hot_from is None else _with_common_types(left, hot_from, keys)[1]
     hot = frequent_hashes(base.filter(all_not_null(keys)), keys)
+    free = 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def is_hot(frame: DataFrame) -> Column:
-        return key_hash(frame, keys).isin(hot) if hot else F.lit(False)
+    def parts(frame: DataFrame) -> Column:
+        if not hot:
+            return F.lit(1)
+        listed = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+        return F.coalesce(F.try_element_at(listed, key_hash(frame, keys)), F.lit(1))
 
     # The number of the map task spreads equal rows as well. It is the same when a lost
     # task runs again, which a row number or a random number need not be.
-    others = [c for c in left.columns if not isinstance(left.schema[c].dataType, T.MapType)]
-    anywhere = F.pmod(F.xxhash64(*others, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    salted = left.withColumn(
-        "_salt", F.when(~all_not_null(keys) | is_hot(left), anywhere).otherwise(F.lit(0))
-    )
-    if hot:
-        every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        salts = F.when(is_hot(right), every_salt).otherwise(F.array(F.lit(0)))
-        repeated = right.withColumn("_salt", F.explode(salts))
-    else:
-        repeated = right.withColumn("_salt", F.lit(0))
+    others = [quoted(c) for c in left.columns if not isinstance(left.schema[c].dataType, T.MapType)]
+    scattered = F.xxhash64(*others, F.spark_partition_id())
+    own = F.when(all_not_null(keys), parts(left)).otherwise(F.lit(free))
+    salted = left.withColumn("_salt", F.pmod(scattered, own).cast("int"))
+    every = F.sequence(F.lit(0), (parts(right) - 1).cast("int")) if hot else F.array(F.lit(0))
+    repeated = right.withColumn("_salt", F.explode(every))
     return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
 
 
@@ -169,7 +175,7 @@ def with_presence(
     """Add whether any row of ``right`` has the row's key; False for incomplete keys."""
     keys = [a for a, _ in pairs]
     known = (
-        right.select(*[F.col(b).alias(a) for a, b in pairs])
+        right.select(*[F.col(quoted(b)).alias(a) for a, b in pairs])
         .filter(all_not_null(keys))
         .distinct()
         .withColumn(flag, F.lit(True))
@@ -192,11 +198,11 @@ def pair_agreement(
     def side(frame: DataFrame, keys: list[str], value: str, is_left: bool) -> DataFrame:
         kept = frame.filter(all_not_null(keys))
         if not keep_nulls:
-            kept = kept.filter(F.col(value).isNotNull())
+            kept = kept.filter(F.col(quoted(value)).isNotNull())
         return kept.select(
-            *[F.col(k).alias(n) for k, n in zip(keys, names)],
+            *[F.col(quoted(k)).alias(n) for k, n in zip(keys, names)],
             compact_key(
-                F.col(value), isinstance(frame.schema[value].dataType, T.StringType)
+                F.col(quoted(value)), isinstance(frame.schema[value].dataType, T.StringType)
             ).alias("value"),
             F.lit(int(is_left)).cast("bigint").alias("p"),
             F.lit(int(not is_left)).cast("bigint").alias("c"),

@@ -29,11 +29,15 @@ def ordered_versions(
 def interval_problems(
     frame: DataFrame, entity: Sequence[str], start: str, end: str, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """Intervals that start before an earlier one of the entity ends, and reversed ones."""
+    """Intervals that start before an earlier one of the entity ends, and reversed ones.
+
+    Earlier is by start, then ``tie``, then end: of two intervals with one start the shorter
+    is first, and an interval of length zero overlaps nothing that starts with it.
+    """
     kept = frame.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
         *dict.fromkeys([*entity, start, end, *tie])
     )
-    reached = with_running_max(kept, entity, start, tie, end)
+    reached = with_running_max(kept, entity, start, [*tie, end], end)
     counted = reached.agg(
         F.count(F.lit(1)).alias("checked_count"),
         F.count_if(F.col(start) < F.col("max_before")).alias("overlap_count"),

@@ -183,7 +183,7 @@ def profile_report(
     start: str | None = None,
     end: str | None = None,
     extra_pii: Sequence[str] = (),
-    labels: Sequence[tuple[str, Sequence[str]]] | None = None,
+    labels: Sequence[tuple[str, Sequence[str]]] = (),
     exact: bool = True,
 ) -> dict[str, DataFrame]:
     """The exporter's report: tables with growth, columns with statistics, keys, counters.
@@ -191,7 +191,6 @@ def profile_report(
     ``exact=False`` takes column statistics from sketches in one pass over each table.
     """
     profiled = profile.column_profile if exact else profile.approximate_profile
-    taxonomy = {} if labels is None else {"rules": labels}
     edges = inventory.foreign_key_edges(constraints)
     columns = inventory.key_flags(inventory.column_inventory(registry), constraints)
     scoped = inventory.scope_report(
@@ -203,7 +202,7 @@ def profile_report(
     tables = inventory.table_inventory(registry, constraints, keys)
     grown = growth.growth_rates(registry, keys, start, end)
     tables = tables.join(grown, TABLE, "left").withColumn(
-        "label", naming.table_label(F.col("table_name"), **taxonomy)
+        "label", naming.table_label(F.col("table_name"), labels)
     )
     statistics = _each(
         registry, keys, lambda f, s, t: profiled(f, s, t, extra_pii=extra_pii)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dqloom.functions.numbers import verdict
 
@@ -93,7 +96,10 @@ def enum_results(checked: DataFrame) -> DataFrame:
         check_id=F.col("rule_id"), kind=F.lit("enum"),
         schema=F.get(parts, F.lit(0)), table=F.get(parts, F.lit(1)), columns=F.get(parts, F.lit(2)),
         violations="invalid_count", share="invalid_pct",
-        details=F.when(F.col("invalid_count") > 0, F.col("invalid_values")).otherwise(F.lit("")),
+        details=F.when(
+            F.col("invalid_count") > 0,
+            F.concat(F.col("invalid_distinct_count").cast("string"), F.lit(" invalid value(s)")),
+        ).otherwise(F.lit("")),
     )
 
 
@@ -140,12 +146,37 @@ def skipped_results(pending: DataFrame) -> DataFrame:
     )
 
 
-def write_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the results of the dimensions and steps in ``results``, keep all others."""
+def write_results(
+    results: DataFrame, path: str, fmt: str = "parquet", steps: Sequence[tuple[str, int]] = ()
+) -> None:
+    """Replace the results of the dimensions and steps in ``results``, keep all others.
+
+    ``steps`` are (dimension, step) pairs that this run covered: those without a result now,
+    as all their rules were withdrawn, are cleared. Rows must have the uniform schema.
+    """
+    wanted = StructType.fromDDL(RESULT_SCHEMA)
+    found = {f.name: f.dataType for f in results.schema}
+    if found != {f.name: f.dataType for f in wanted}:
+        raise ValueError(f"results have the columns {results.schema.simpleString()}")
     (
-        results.write.mode("overwrite")
+        results.select(*wanted.names)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dimension", "step")
         .format(fmt)
         .save(path)
     )
+    spark = results.sparkSession
+    kept = {tuple(r) for r in results.select("dimension", "step").distinct().collect()}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for dimension, step in set(steps) - kept:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            f"{path}/dimension={dimension}/step={step}"
+        )
+        place.getFileSystem(hadoop).delete(place, True)
+
+
+def write_completeness(found: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
+    """Write the table, column and pending reports of a completeness run, replacing the last."""
+    for name, report in found.items():
+        report.write.mode("overwrite").format(fmt).save(f"{path}/{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,6 @@ NOT_NULL_RULE_SCHEMA = (
     "column_name string, not_nullable string"
 )
 NULL_POLICIES = ("exclude_if_either_null", "nulls_are_different")
-MAX_PLANNED_RULES = 10_000
 
 
 def read_rules(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -59,16 +59,26 @@ def confirmed(rules: DataFrame) -> DataFrame:
 
 
 def planned(rules: DataFrame) -> list[dict[str, Any]]:
-    """Confirmed, valid rules ordered by id, for building one check each.
+    """Confirmed, valid rules ordered by id, for building one check each."""
+    return [rule for group in planned_groups(rules, 1000) for rule in group]
 
-    Rules are written by people; the number that may be planned in one run is checked.
+
+def planned_groups(rules: DataFrame, size: int) -> Iterator[list[dict[str, Any]]]:
+    """The planned rules in groups of at most ``size``, fetched group by group.
+
+    A run over very many rules plans and writes one group after the other, so that no plan
+    grows with their number.
     """
     valid = confirmed(rules)
     valid = valid.join(validation_errors(rules), valid["id"] == F.col("rule_id"), "left_anti")
-    rows = valid.take(MAX_PLANNED_RULES + 1)
-    if len(rows) > MAX_PLANNED_RULES:
-        raise ValueError(f"More than {MAX_PLANNED_RULES} confirmed rules")
-    return sorted((row.asDict(recursive=True) for row in rows), key=lambda rule: rule["id"])
+    group: list[dict[str, Any]] = []
+    for row in valid.orderBy("id").toLocalIterator():
+        group.append(row.asDict(recursive=True))
+        if len(group) == size:
+            yield group
+            group = []
+    if group:
+        yield group
 
 
 def _blank(name: str) -> Column:

@@ -87,8 +87,12 @@ def freshness(
 def reconcile(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: new rows are added, changed rows replaced, absent rows kept.
 
-    ``change`` says NEW, CHANGED, SAME or ABSENT.
+    ``change`` says NEW, CHANGED, SAME or ABSENT. Columns that only ``existing`` has would be
+    lost, so they are an error.
     """
+    lost = [c for c in existing.columns if c not in incoming.columns]
+    if lost:
+        raise ValueError(f"incoming rows lack the columns {', '.join(lost)}")
     values = [c for c in incoming.columns if c not in keys]
     old = existing.select(*keys, F.struct(*values).alias("_old"))
     new = incoming.select(*keys, F.struct(*values).alias("_new"))

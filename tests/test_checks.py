@@ -119,8 +119,10 @@ def test_enum(spark):
              dict(id="empty", column="s.e.v", allowed_values=["A"])]
     found = {r.rule_id: tuple(r)[2:] for r in consistency.enum_checks(tables, rules).collect()}
     assert found == {
-        "r": (5, 4, 3, " A, B, a", 80.0), "all": (5, 0, 0, "", 0.0), "empty": (0, 0, 0, "", 0.0),
+        "r": (5, 4, 3, 80.0), "all": (5, 0, 0, 0.0), "empty": (0, 0, 0, 0.0),
     }
+    values = consistency.enum_invalid_values(tables, rules).select("rule_id", "value", "n").collect()
+    assert sorted(map(tuple, values)) == [("r", " A", 1), ("r", "B", 2), ("r", "a", 1)]
     with pytest.raises(ValueError):
         consistency.enum_checks(tables, [dict(id="n", column="s.t.v", allowed_values=["A", None])])
 
@@ -193,10 +195,14 @@ def test_dirty_values(spark):
     )
     found = completeness.dirty_values(frame, "s", "t")
     assert {r.column_name: r.dirty_value_check for r in found.collect()} == {
-        "t": "Failed: '' (33.33%),  x  (33.33%), N/A (33.33%)",
-        "i": "Failed: -1 (33.33%), 0 (33.33%)",
+        "t": "Failed: 3 value(s), 3 row(s) (100.00%)",
+        "i": "Failed: 2 value(s), 2 row(s) (66.67%)",
         "d": "Pass", "m": "Pass", "b": "Pass",
-        "w": "Failed: 1900-01-01 00:00:00 (33.33%), 1970-01-01 05:00:00 (33.33%)",
+        "w": "Failed: 2 value(s), 2 row(s) (66.67%)",
+    }
+    values = completeness.dirty_cells(frame).filter("column_name IN ('t', 'i')").collect()
+    assert {(r.column_name, r.value, r.n) for r in values} == {
+        ("t", "", 1), ("t", " x ", 1), ("t", "N/A", 1), ("i", "0", 1), ("i", "-1", 1)
     }
     empty = completeness.dirty_values(frame.limit(0), "s", "t").collect()
     assert {r.dirty_value_check for r in empty} == {"Pass"} and len(empty) == 6

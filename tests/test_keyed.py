@@ -39,10 +39,10 @@ def test_hot_keys_are_found(spark):
     frame = spark.createDataFrame([(skewed_key(rng),) for _ in range(3000)], "k int")
     hot = keyed.frequent_hashes(frame.filter("k IS NOT NULL"), ["k"])
     seven = frame.filter("k = 7").select(keyed.key_hash(frame, ["k"]).alias("h")).first().h
-    assert seven in hot
+    assert hot[seven] > 1
     uniform = spark.range(5000).withColumnRenamed("id", "k")
-    assert keyed.frequent_hashes(uniform, ["k"]) == []
-    assert keyed.frequent_hashes(uniform.limit(0), ["k"]) == []
+    assert keyed.frequent_hashes(uniform, ["k"]) == {}
+    assert keyed.frequent_hashes(uniform.limit(0), ["k"]) == {}
 
 
 @pytest.mark.parametrize("right_type", ["int", "long", "decimal(10,0)"])

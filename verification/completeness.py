@@ -38,19 +38,38 @@ def _dirty_where(column: str, kind: str) -> str:
     }[kind]
 
 
+FAILED = (
+    "'Failed: ' || count(*) || ' value(s), ' || sum(n) || ' row(s) (' || printf('%.2f', "
+    "CAST(sum(n) AS DOUBLE) / CAST((SELECT count(*) FROM {t}) AS DOUBLE) * 100) || '%)'"
+)
+
+
 def dirty_sql(keys) -> str:
     return " UNION ALL ".join(
         f"""
         SELECT '{s}' AS schema_name, '{t}' AS table_name, '{c}' AS column_name,
-               coalesce('Failed: ' || string_agg(CASE WHEN v = '' THEN '''''' ELSE v END || ' (' ||
-                   printf('%.2f', CAST(n AS DOUBLE) / CAST((SELECT count(*) FROM {t}) AS DOUBLE) * 100)
-                   || '%)', ', ' ORDER BY v), 'Pass') AS dirty_value_check
+               CASE WHEN count(*) = 0 THEN 'Pass' ELSE {FAILED.format(t=t)} END AS dirty_value_check
         FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {t}
               WHERE {c} IS NOT NULL AND {_dirty_where(c, kind)} GROUP BY ALL)"""
         for s, t in keys for c, kind in _types(t)
     )
 
 
+def dirty_value_sql(keys) -> str:
+    return " UNION ALL ".join(
+        f"""
+        SELECT '{s}' AS schema_name, '{t}' AS table_name, '{c}' AS column_name,
+               CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {t}
+        WHERE {c} IS NOT NULL AND {_dirty_where(c, kind)} GROUP BY ALL"""
+        for s, t in keys for c, kind in _types(t)
+    )
+
+
+@check("dirty_value_counts", f"{with_intake()} {dirty_value_sql(DIRTY_TABLES)}")
+def dirty_value_counts(lab: Lab) -> DataFrame:
+    return completeness.dirty_value_counts(lab.registry, DIRTY_TABLES)
+
+
 @check("dirty_values", f"{with_intake()} {dirty_sql(DIRTY_TABLES)}")
 def dirty_values(lab: Lab) -> DataFrame:
     return completeness.dirty_values_of(lab.registry, DIRTY_TABLES)
@@ -62,9 +81,9 @@ def dirty_values(lab: Lab) -> DataFrame:
                                       ELSE c_acctbal END AS balance FROM customer),
     found AS (SELECT balance, count(*) AS n FROM t WHERE balance IN (0, -1, 9999) GROUP BY ALL)
     SELECT 'sales' AS schema_name, 'balances' AS table_name, 'balance' AS column_name,
-           'Failed: ' || string_agg(CAST(balance AS VARCHAR) || ' (' || printf('%.2f',
-               CAST(n AS DOUBLE) / CAST((SELECT count(*) FROM t) AS DOUBLE) * 100) || '%)', ', '
-               ORDER BY CAST(balance AS VARCHAR)) AS dirty_value_check FROM found""")
+           'Failed: ' || count(*) || ' value(s), ' || sum(n) || ' row(s) (' || printf('%.2f',
+               CAST(sum(n) AS DOUBLE) / CAST((SELECT count(*) FROM t) AS DOUBLE) * 100) || '%)'
+               AS dirty_value_check FROM found""")
 def dirty_values_by_value(lab: Lab) -> DataFrame:
     """The option that compares numbers by value instead of by text."""
     balance = (

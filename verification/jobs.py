@@ -13,6 +13,7 @@ from dqloom.sources import snapshots
 from verification import completeness as filled
 from verification import metadata as described
 from verification.consistency import RULES, duplicate_row, keyed_columns, rules_of
+from verification.metadata import TAXONOMY
 from verification.fixtures import (
     COLUMNS,
     COUNTS,
@@ -256,6 +257,7 @@ def job_profile_report(lab: Lab) -> DataFrame:
     found = jobs.profile_report(
         lab.registry, lab.constraints,
         inventory.parse_table_tokens("order_record, intake.item_catalog, account_archive"),
+        labels=TAXONOMY,
     )
     growth = F.coalesce(F.col("growth").cast("string"), F.lit("-"))
     tables = found["tables"].select(

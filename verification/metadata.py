@@ -547,21 +547,28 @@ def pii_columns(lab: Lab) -> DataFrame:
     return found.select(*TABLE, "column_name").join(inventory.row_counts(lab.registry), TABLE)
 
 
+# labels of the tables given here; first match wins
+TAXONOMY = (
+    ("geography", ("region", "nation")),
+    ("party", ("customer", "supplier")),
+    ("trade", ("order", "lineitem", "part", "item_")),
+    ("stream", ("event",)),
+    ("training text", ("document", "page", "benchmark", "label", "conversation")),
+)
 TAXONOMY_SQL = """CASE
-    WHEN regexp_matches(table_name, 'config|setting|parameter|permission|role|user_|account|menu|module|sys_') THEN 'system'
-    WHEN regexp_matches(table_name, 'audit|log|history|trail') THEN 'system'
-    WHEN regexp_matches(table_name, 'category|lookup|region|nation') THEN 'reference'
+    WHEN regexp_matches(table_name, 'region|nation') THEN 'geography'
     WHEN regexp_matches(table_name, 'customer|supplier') THEN 'party'
-    WHEN regexp_matches(table_name, 'event|conversation') THEN 'activity'
-    WHEN regexp_matches(table_name, 'order|lineitem') THEN 'finance'
-    WHEN regexp_matches(table_name, 'document|page') THEN 'content' ELSE 'system' END"""
+    WHEN regexp_matches(table_name, 'order|lineitem|part|item_') THEN 'trade'
+    WHEN regexp_matches(table_name, 'event') THEN 'stream'
+    WHEN regexp_matches(table_name, 'document|page|benchmark|label|conversation') THEN 'training text'
+    ELSE 'system' END"""
 
 
 @check("table_taxonomy", f"""
     {with_intake()} SELECT schema_name, table_name, row_count, {TAXONOMY_SQL} AS label FROM ({COUNTS})""")
 def table_taxonomy(lab: Lab) -> DataFrame:
     return inventory.row_counts(lab.registry).withColumn(
-        "label", naming.table_label(F.col("table_name"))
+        "label", naming.table_label(F.col("table_name"), TAXONOMY)
     )
 
 

@@ -18,6 +18,7 @@ from dqloom.operators import (
     uniqueness,
     validity,
 )
+from dqloom.operators.inventory import FOREIGN_KEY, constraints_frame, key_rows
 from dqloom.operators.keyed import union_all
 from dqloom.sources import rules as rule_source
 from verification.completeness import MERGED_ROWS, merged_rules
@@ -303,21 +304,43 @@ LINK_ROWS = f"""
     FROM ({EDGE_ROWS})"""
 
 
+# more keys, which make chains of up to ten links
+LONG_CHAIN = [
+    *key_rows("fk_page", FOREIGN_KEY, "corpus", "documents", ["doc_id"], ("web_log", "pk_pages")),
+    *key_rows("fk_event", FOREIGN_KEY, "web_log", "pages", ["page_id"], ("web_log", "pk_events")),
+    *key_rows("fk_taken", FOREIGN_KEY, "web_log", "events", ["user_id"],
+              ("intake", "pk_order_record")),
+    *key_rows("fk_item", FOREIGN_KEY, "intake", "customer_record", ["nation_code"],
+              ("intake", "pk_item")),
+    *key_rows("fk_part", FOREIGN_KEY, "intake", "item_catalog", ["item_id"], ("sales", "pk_part")),
+    *key_rows("fk_maker", FOREIGN_KEY, "sales", "part", ["p_size"], ("sales", "pk_supplier")),
+]
+
+
 @check("fk_chains", f"""
     {with_intake().replace("WITH ", "WITH RECURSIVE ", 1)},
-    links AS ({LINK_ROWS}),
-    chains AS (SELECT [child, parent] AS path, parent FROM links
-               UNION ALL SELECT list_append(path, l.parent), l.parent
+    links AS ({LINK_ROWS} UNION VALUES ('corpus.documents', 'web_log.pages'),
+        ('web_log.pages', 'web_log.events'), ('web_log.events', 'intake.order_record'),
+        ('intake.customer_record', 'intake.item_catalog'), ('intake.item_catalog', 'sales.part'),
+        ('sales.part', 'sales.supplier')),
+    chains AS (SELECT [child, parent] AS path, parent,
+                      child IN ('sales.nation', 'sales.supplier') AS mandatory FROM links
+               UNION ALL SELECT list_append(path, l.parent), l.parent,
+                      mandatory AND child IN ('sales.nation', 'sales.supplier')
                FROM chains c JOIN links l ON l.child = c.parent
-               WHERE NOT list_contains(path, l.parent) AND len(path) <= 6)
+               WHERE NOT list_contains(path, l.parent))
     SELECT list_aggregate(path, 'string_agg', ' -> ') AS chain,
-           CAST(len(path) - 1 AS INTEGER) AS links, FALSE AS all_mandatory,
+           CAST(len(path) - 1 AS INTEGER) AS links, mandatory AS all_mandatory,
            n.row_count FROM chains
     JOIN ({COUNTS}) n ON n.schema_name || '.' || n.table_name = path[1]""")
 def fk_chains(lab: Lab) -> DataFrame:
     """All chains of declared keys, with the rows of the table they start from."""
+    more = constraints_frame(lab.spark, LONG_CHAIN)
+    columns = inventory.column_inventory(lab.registry).withColumn(
+        "nullable", ~F.col("column_name").isin("n_regionkey", "s_nationkey")
+    )
     chains = integrity.foreign_key_chains(
-        inventory.foreign_key_edges(lab.constraints), inventory.column_inventory(lab.registry)
+        inventory.foreign_key_edges(lab.constraints.unionByName(more)), columns
     )
     counts = inventory.row_counts(lab.registry).select(
         F.concat_ws(".", *TABLE).alias("first"), "row_count"
