@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from dqloom.functions import fixed_values as fixed
 from dqloom.functions import naming, text
 from dqloom.functions.numbers import fixed_text, pct, round_half_even, share
+from dqloom.functions.text import quoted
 from dqloom.operators.keyed import union_all
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 COLUMNS_PER_AGGREGATE = 100
-LONGEST_COMMON = 1024
+LONG_VALUE = 1024  # bytes from which a sketch holds a value's beginning and digest
 
 
 def _labels(schema: str, table: str) -> list[Column]:
@@ -61,7 +62,7 @@ def column_counts(
     for batch in _batches(list(columns or frame.columns)):
         aggregates = []
         for i, c in enumerate(batch):
-            column = F.col(f"`{c}`")
+            column = F.col(quoted(c))
             ordered = is_orderable(frame.schema[c].dataType)
             bound = column if ordered else F.lit(None)
             aggregates += [
@@ -93,7 +94,7 @@ def null_share(frame: DataFrame, schema: str, table: str) -> DataFrame:
         for i, c in enumerate(batch):
             aggregates += [
                 F.count(F.lit(1)).alias(f"f{i}_total_rows"),
-                F.count_if(F.col(f"`{c}`").isNull()).alias(f"f{i}_null_count"),
+                F.count_if(F.col(quoted(c)).isNull()).alias(f"f{i}_null_count"),
             ]
         results.append(
             _as_rows(frame.agg(*aggregates), batch, ["total_rows", "null_count"])
@@ -116,6 +117,8 @@ def _slots(frame: DataFrame, columns: Sequence[str]) -> dict[T.DataType, str]:
 def _groupable(column: Column, data_type: T.DataType, short_text: bool) -> Column:
     if isinstance(data_type, T.MapType):
         return F.array_sort(F.map_entries(column))
+    if isinstance(data_type, T.VariantType):
+        return F.sha2(F.to_json(column), 256)
     return text.compact_key(column, short_text and isinstance(data_type, T.StringType))
 
 
@@ -136,7 +139,7 @@ def histogram(
     cells = []
     for c in columns:
         data_type = frame.schema[c].dataType
-        value = _groupable(F.col(f"`{c}`"), data_type, short_text)
+        value = _groupable(F.col(quoted(c)), data_type, short_text)
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -218,7 +221,7 @@ def approximate_distinct(
     results = []
     for batch in _batches(frame.columns):
         row = frame.agg(*[
-            F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"f{i}_distinct_count")
+            F.approx_count_distinct(F.col(quoted(c)), rsd).alias(f"f{i}_distinct_count")
             for i, c in enumerate(batch)
         ])
         results.append(_as_rows(row, batch, ["distinct_count"]))
@@ -232,9 +235,10 @@ def approximate_profile(
     """The column report of :func:`column_profile` from one pass without any shuffle of values.
 
     Counts and bounds are exact; distinct values and common values come from sketches of
-    fixed size, so this is the profile for tables where an exact one is too dear. As in
-    planner statistics, values of more than ``LONGEST_COMMON`` bytes are no candidates for
-    the common ones. Common values are exact where a column has few values.
+    fixed size, so this is the profile for tables where an exact one is too dear. Values of more
+    than ``LONG_VALUE`` bytes are told apart by digest and shown by their first
+    ``MAX_CELL_CHARS`` characters, where report cells end anyway. Common values are exact where a
+    column has few values.
     """
     fields = ["total_rows", "null_count", "cardinality", "col_min", "col_max", "top"]
     results = []
@@ -242,11 +246,14 @@ def approximate_profile(
         aggregates = []
         for i, c in enumerate(batch):
             data_type = frame.schema[c].dataType
-            column = _groupable(F.col(f"`{c}`"), data_type, False)
+            column = _groupable(F.col(quoted(c)), data_type, False)
             ordered = is_orderable(data_type)
             bound = column if ordered else F.lit(None)
-            shown = F.col(f"`{c}`").cast("string") if ordered else F.lit(None).cast("string")
-            candidate = F.when(F.octet_length(shown) <= LONGEST_COMMON, shown)
+            shown = F.col(quoted(c)).cast("string") if ordered else F.lit(None).cast("string")
+            marked = F.concat(
+                F.left(shown, F.lit(fixed.MAX_CELL_CHARS)), F.lit("\x01"), F.sha2(shown, 256)
+            )
+            candidate = F.when(F.octet_length(shown) > LONG_VALUE, marked).otherwise(shown)
             aggregates += [
                 F.count(F.lit(1)).alias(f"f{i}_total_rows"),
                 F.count_if(column.isNull()).alias(f"f{i}_null_count"),
@@ -268,7 +275,10 @@ def approximate_profile(
     )
     common = F.transform(
         F.slice(ordered, 1, top),
-        lambda item: F.struct(item["value"].alias("value"), (-item["m"]).alias("n")),
+        lambda item: F.struct(
+            F.regexp_replace(item["value"], "\x01[0-9a-f]{64}$", "").alias("value"),
+            (-item["m"]).alias("n"),
+        ),
     )
     found = union_all(results).withColumn("common", common).withColumn(
         "cardinality", F.least("cardinality", F.col("total_rows") - F.col("null_count"))

@@ -255,3 +255,23 @@ def test_metadata_job_saves_and_reuses(spark, tmp_path):
     }
     registry.add("s", "t", spark.range(9))
     assert jobs.metadata_job(registry, constraints, str(tmp_path))["columns"].first().total_rows == 4
+
+
+def test_long_common_values_are_found(spark):
+    long = "x" * 2000
+    frame = spark.createDataFrame([(long,)] * 5 + [("y",)] * 2, "v string")
+    row = profile.approximate_profile(frame, "s", "t").first()
+    assert row.most_common_freqs == "71.4% | 28.6%"
+    assert row.sample == "x" * 500 + " | y"
+
+
+def test_variant_and_odd_names(spark):
+    frame = spark.sql("""SELECT parse_json('{"a": 1}') AS v, 1 AS `a.b`, 'q' AS `c``d`
+                         UNION ALL SELECT NULL, 2, 'q' UNION ALL SELECT parse_json('{"a":1}'), 2, NULL""")
+    exact = {r.column_name: (r.total_rows, r.null_count, r.distinct_count)
+             for r in profile.value_counts(frame, "s", "t").collect()}
+    assert exact == {"v": (3, 1, 1), "a.b": (3, 0, 2), "c`d": (3, 1, 1)}
+    for report in (profile.approximate_profile, profile.column_profile):
+        found = {r.column_name: (r.total_rows, r.null_count, r.cardinality)
+                 for r in report(frame, "s", "t").collect()}
+        assert found == exact
