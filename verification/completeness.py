@@ -11,6 +11,7 @@ from dqloom.operators.keyed import union_all
 from dqloom.sources import rules as rule_source
 from verification.consistency import RULES, TIER_ONE_EDGE_ROWS, edges_of
 from verification.fixtures import (
+    ALL_TABLES,
     COLUMNS,
     COUNTS,
     TIER_ROWS,
@@ -24,9 +25,7 @@ from verification.metadata import _types
 
 TABLE = ["schema_name", "table_name"]
 COLUMN = [*TABLE, "column_name"]
-DIRTY_TABLES = [("intake", "customer_record"), ("intake", "item_catalog"),
-                ("intake", "order_record"), ("intake", "account_archive"),
-                ("corpus", "embeddings")]
+DIRTY_TABLES = ALL_TABLES
 
 
 def _dirty_where(column: str, kind: str) -> str:
@@ -185,8 +184,7 @@ def tier_values(lab: Lab) -> DataFrame:
 # --- NULLs ---------------------------------------------------------------------------
 
 
-NULL_TABLES = [("intake", "customer_record"), ("intake", "order_record"),
-               ("intake", "item_catalog"), ("intake", "account_archive")]
+NULL_TABLES = ALL_TABLES
 # a second tier list: one table is demoted so that both warnings occur
 NULL_TIERS = [("intake", "order_record", "1"), ("intake", "customer_record", "2"),
               ("intake", "item_catalog", "1")]
@@ -249,7 +247,7 @@ def null_gate(lab: Lab) -> DataFrame:
 @check("column_lookup", f"""
     {with_intake()}, d AS ({dirty_sql(NULL_TABLES)})
     SELECT w.schema_name, w.table_name, w.column_name, null_warning, dirty_value_check,
-           CASE WHEN column_name = 'order_id' THEN 'yes' ELSE '' END AS not_nullable,
+           CASE WHEN column_name = 'order_id' AND table_name = 'order_record' THEN 'yes' ELSE '' END AS not_nullable,
            CASE WHEN column_name = 'customer_id' AND table_name = 'order_record' THEN ' Valid NULL '
                 ELSE '' END AS null_classify
     FROM ({WARNED_ROWS}) w JOIN d USING (schema_name, table_name, column_name)""")

@@ -15,6 +15,7 @@ from dqloom.sources import snapshots
 from dqloom.sources.registry import user_schemas
 from verification.consistency import EDGE_ROWS, TIER_ONE_EDGE_ROWS, edges_of, keyed_columns
 from verification.fixtures import (
+    ALL_TABLES,
     COLUMNS,
     CONSTRAINT_ROWS,
     COUNTS,
@@ -30,7 +31,7 @@ PII_COLUMNS = "'full_name', 'email', 'account_number'"
 
 
 def _types(table: str) -> list[tuple[str, str]]:
-    """Column names and oracle types of the tables that are profiled in full."""
+    """Column names and oracle types of a table."""
     return {
         "customer_record": [
             ("customer_id", "n"), ("full_name", "s"), ("segment_code", "s"), ("ghi_chu", "s"),
@@ -46,12 +47,34 @@ def _types(table: str) -> list[tuple[str, str]]:
         "embeddings": [("vec_id", "n"), ("embedding", "a"), ("label", "n")],
         "events": [("event_id", "n"), ("ts", "d"), ("user_id", "n"), ("event_type", "s"),
                    ("value", "n"), ("props", "s")],
+        "region": [("r_regionkey", "n"), ("r_name", "s")],
+        "nation": [("n_nationkey", "n"), ("n_name", "s"), ("n_regionkey", "n")],
+        "customer": [("c_custkey", "n"), ("c_name", "s"), ("c_nationkey", "n"),
+            ("c_acctbal", "n"), ("c_mktsegment", "s")],
+        "supplier": [("s_suppkey", "n"), ("s_name", "s"), ("s_nationkey", "n"),
+            ("s_acctbal", "n")],
+        "part": [("p_partkey", "n"), ("p_name", "s"), ("p_brand", "s"), ("p_type", "s"),
+            ("p_size", "n"), ("p_retailprice", "n")],
+        "orders": [("o_orderkey", "n"), ("o_custkey", "n"), ("o_orderstatus", "s"),
+            ("o_totalprice", "n"), ("o_orderdate", "d"), ("o_orderpriority", "s")],
+        "lineitem": [("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"),
+            ("l_linenumber", "n"), ("l_quantity", "n"), ("l_extendedprice", "n"),
+            ("l_discount", "n"), ("l_tax", "n"), ("l_returnflag", "s"), ("l_linestatus", "s"),
+            ("l_shipdate", "d")],
+        "pages": [("page_id", "n"), ("url", "s"), ("html", "s")],
+        "benchmark": [("item_id", "n"), ("text", "s")],
+        "labels": [("doc_id", "n"), ("quality", "n"), ("toxic", "n")],
+        "conversations": [("conv_id", "n"), ("turn", "n"), ("role", "s"), ("text", "s")],
+        "order_line": [("order_id", "n"), ("line_no", "n"), ("item_id", "n"),
+            ("start_date", "d"), ("end_date", "d"), ("created_at", "d"), ("return_status", "s"),
+            ("amount", "n")],
+        "order_copy": [("order_id", "n"), ("customer_id", "n"), ("status", "s")],
+        "event_history": [("event_id", "n"), ("user_id", "n"), ("state", "s"), ("event_at", "d"),
+            ("value", "n"), ("props", "s")],
     }[table]
 
 
-PROFILED = [("intake", "customer_record"), ("intake", "item_catalog"), ("intake", "order_record"),
-            ("intake", "account_archive"), ("corpus", "documents"), ("corpus", "embeddings"),
-            ("web_log", "events")]
+PROFILED = ALL_TABLES
 
 
 def _per_column(template: str, keys=PROFILED, skip: str = "") -> str:
