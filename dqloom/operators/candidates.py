@@ -61,10 +61,20 @@ def classify_tables(tables: DataFrame, tiers: DataFrame) -> DataFrame:
     return tables.join(named, TABLE, "left").na.fill({"classification": "need_check"})
 
 
+def _with_class(rules: DataFrame) -> DataFrame:
+    if "classification" not in rules.columns:
+        return rules
+    named = F.when(F.trim("null_classify") != "", F.col("null_classify"))
+    return rules.withColumn("null_classify", F.coalesce(named, "classification"))
+
+
 def prepare_null_rules(columns: DataFrame, rules: DataFrame) -> DataFrame:
-    """One NULL-class rule per warned column: assigned, suggested by name, or pending."""
+    """One NULL-class rule per warned column: assigned, suggested by name, or pending.
+
+    ``classification`` is read where a rule has no ``null_classify``.
+    """
     known = (
-        rules.filter(F.col("schema_name").isNotNull() & F.col("column_name").isNotNull())
+        _with_class(rules).filter(F.col("schema_name").isNotNull() & F.col("column_name").isNotNull())
         .groupBy(*COLUMN)
         .agg(F.max(F.struct("id", "owner", "null_classify")).alias("r"))
     )
@@ -90,7 +100,7 @@ def prepare_null_rules(columns: DataFrame, rules: DataFrame) -> DataFrame:
 
 def columns_without_class(columns: DataFrame, rules: DataFrame) -> DataFrame:
     """Warned columns without a NULL class; the gate is open when there is none."""
-    named = rules.filter(F.trim("null_classify") != "").select(*COLUMN)
+    named = _with_class(rules).filter(F.trim("null_classify") != "").select(*COLUMN)
     return warned(columns).select(*COLUMN).join(named, COLUMN, "left_anti")
 
 

@@ -107,7 +107,7 @@ def consistency_job(
         .unionByName(candidates.cross_table_candidates(columns, edges), allowMissingColumns=True)
     )
     merged = rule_source.merge_new(rules, proposed)
-    planned = rule_source.planned(rules)
+    planned = rule_source.planned(rules, columns)
     results = []
     keys = consistency.declared_keys(edges)
     if keys:
@@ -125,14 +125,21 @@ def consistency_job(
         results.append(
             report.cross_table_results(consistency.cross_table_checks(registry, repeated))
         )
-    results.append(report.skipped_results(skipped_rules(merged)))
+    results.append(report.skipped_results(skipped_rules(merged, columns)))
     return {"results": union_all(results), "rules": merged}
 
 
-def skipped_rules(rules: DataFrame) -> DataFrame:
-    """Rules that do not run, with the reason: not confirmed, or the first validation error."""
+def skipped_rules(rules: DataFrame, columns: DataFrame | None = None) -> DataFrame:
+    """Rules that do not run, with the reason: not confirmed, or the first validation error.
+
+    With the column inventory, that a rule names an unknown column is such an error.
+    """
+    ready = rule_source.confirmed(rules)
+    errors = rule_source.validation_errors(ready)
+    if columns is not None:
+        errors = errors.unionByName(rule_source.unknown_references(ready, columns))
     wrong = (
-        rule_source.validation_errors(rule_source.confirmed(rules))
+        errors
         .groupBy(F.col("rule_id").alias("id"))
         .agg(F.min("error").alias("reason"))
     )

@@ -58,8 +58,52 @@ def confirmed(rules: DataFrame) -> DataFrame:
     return rules.filter(F.col("status") == "confirmed")
 
 
-def planned(rules: DataFrame) -> list[dict[str, Any]]:
-    """Confirmed, valid rules ordered by id, for building one check each."""
+def references(rules: DataFrame) -> DataFrame:
+    """``rule_id, schema_name, table_name, column_name``: the columns that rules compare."""
+
+    def within(table: str, *columns: str) -> list[Column]:
+        return [F.concat_ws(".", table, c) for c in columns]
+
+    by_pattern = {
+        "date_order": within("table", "start_column", "end_column"),
+        "status_terminal": within("table", "status_column", "event_time_column"),
+        "total_detail": [
+            *within("total_table", "total_column"), *within("detail_table", "detail_column")
+        ],
+        "enum": [F.col("column")],
+        "duplicated_value": [F.col("source"), F.col("target")],
+    }
+    named = F.array()
+    for pattern, columns in by_pattern.items():
+        named = F.when(F.col("pattern") == pattern, F.array(*columns)).otherwise(named)
+    parts = rules.select(F.col("id").alias("rule_id"), F.explode(named).alias("name")).select(
+        "rule_id", F.split("name", r"\.").alias("part")
+    )
+    return parts.filter(F.size("part") == 3).select(
+        "rule_id",
+        F.get("part", F.lit(0)).alias("schema_name"),
+        F.get("part", F.lit(1)).alias("table_name"),
+        F.get("part", F.lit(2)).alias("column_name"),
+    )
+
+
+def unknown_references(rules: DataFrame, columns: DataFrame) -> DataFrame:
+    """``rule_id, error`` for every column a rule names that the inventory does not have."""
+    by = ["schema_name", "table_name", "column_name"]
+    lost = references(rules).join(columns.select(*by), by, "left_anti")
+    return lost.select(
+        "rule_id", F.concat(F.lit("unknown column "), F.concat_ws(".", *by)).alias("error")
+    )
+
+
+def planned(rules: DataFrame, columns: DataFrame | None = None) -> list[dict[str, Any]]:
+    """Confirmed, valid rules ordered by id, for building one check each.
+
+    With the column inventory, rules that name unknown columns are left out.
+    """
+    if columns is not None:
+        lost = unknown_references(rules, columns).select(F.col("rule_id").alias("id"))
+        rules = rules.join(lost, "id", "left_anti").select(*rules.columns)
     return [rule for group in planned_groups(rules, 1000) for rule in group]
 
 

@@ -9,7 +9,7 @@ from dqloom.functions import naming
 from dqloom.operators import candidates, completeness, inventory, profile
 from dqloom.operators.keyed import union_all
 from dqloom.sources import rules as rule_source
-from verification.consistency import RULES, TIER_ONE_EDGE_ROWS, edges_of
+from verification.consistency import RULES, TIER_ONE_EDGE_ROWS, edges_of, rules_of
 from verification.fixtures import (
     ALL_TABLES,
     COLUMNS,
@@ -456,3 +456,53 @@ def document_status(lab: Lab) -> DataFrame:
 def rule_validation(lab: Lab) -> DataFrame:
     """Everything wrong with the merged rules; candidates derived from the tables included."""
     return rule_source.validation_errors(merged_rules(lab))
+
+
+# --- what rules name ------------------------------------------------------------------
+
+
+def _named_columns() -> list[tuple[str, str, str, str]]:
+    """Rule and column of everything the rules compare."""
+    within = {
+        "date_order": [("table", "start_column"), ("table", "end_column")],
+        "status_terminal": [("table", "status_column"), ("table", "event_time_column")],
+        "total_detail": [("total_table", "total_column"), ("detail_table", "detail_column")],
+        "enum": [("column",)], "duplicated_value": [("source",), ("target",)],
+    }
+    found = []
+    for rule in RULES:
+        for names in within.get(rule.get("pattern"), []):
+            parts = ".".join(rule.get(n) or "" for n in names).split(".")
+            if len(parts) == 3:
+                found.append((rule["id"], *parts))
+    return found
+
+
+@check("rule_references", f"""
+    {with_intake()},
+    named AS {values(_named_columns(), "rule_id, schema_name, table_name, column_name")},
+    counted AS ({" UNION ALL ".join(
+        f"SELECT '{s}' AS schema_name, '{t}' AS table_name, '{c}' AS column_name, "
+        f"count(*) AS total_rows, count(*) - count({c}) AS null_count FROM {t}"
+        for s, t in ALL_TABLES for c, _ in _types(t))})
+    SELECT n.*, total_rows, null_count, CASE WHEN total_rows IS NULL THEN
+        'unknown column ' || schema_name || '.' || table_name || '.' || column_name ELSE '' END AS error
+    FROM named n LEFT JOIN counted USING (schema_name, table_name, column_name)""",
+    shown=["total_rows", "null_count"])
+def rule_references(lab: Lab) -> DataFrame:
+    """What the rules compare, with the rows and NULLs found there, and what does not exist."""
+    by = ["schema_name", "table_name", "column_name"]
+    named = rule_source.references(rules_of(lab))
+    lost = rule_source.unknown_references(rules_of(lab), inventory.column_inventory(lab.registry))
+    counted = union_all([
+        profile.null_share(lab.registry.table(s, t), s, t) for s, t in ALL_TABLES
+    ]).select(*by, "total_rows", "null_count")
+    text = F.concat(F.lit("unknown column "), F.concat_ws(".", *by))
+    marked = lost.distinct().withColumnRenamed("error", "_error")
+    joined = named.join(counted, by, "left").withColumn("_error", text).join(
+        marked.withColumn("_lost", F.lit(True)), ["rule_id", "_error"], "left"
+    )
+    return joined.select(
+        "rule_id", *by, "total_rows", "null_count",
+        F.when(F.col("_lost"), F.col("_error")).otherwise(F.lit("")).alias("error"),
+    )
