@@ -35,7 +35,7 @@ from dqloom.llm.tokens import pieces
 GROUP_IDS = 4_000_000
 FULL = 0.97
 LEAST = 64
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 SCHEMA = (
     "start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, sequence_length long"
