@@ -11,9 +11,10 @@ once, and only first occurrences are looked at further. That is what makes highl
 In the dictionary, suffixes are put in order as far as the question needs it, by their first ``LENGTH`` bytes.
 No task may hold the dictionary's suffix array whole, so its equal runs are found by key instead: strings share
 the smallest hash of their ``GRAM``-byte pieces (their anchor), and only strings whose anchor occurs in two
-documents can be equal. Runs of such strings (blocks) are compared as a whole, and the strings of first blocks,
-sorted within their anchor, by 128-bit hashes. Each step is a shuffle on its own key: counts and minima are
-added up before it, and documents only gather their own marks, which their length bounds.
+documents can be equal. Runs of such strings (blocks) are compared as a whole. Equal strings of different blocks
+also share the anchor's piece with ``SIDE`` bytes more on one side; the strings of first blocks of which that is
+so are compared one by one. All comparisons are of 128-bit hashes, and each step is a shuffle on its own key:
+minima are taken before it, and documents only gather their own marks, which their length bounds.
 
 Null texts are empty. Documents without id are returned whole and are nobody's original. Rows with equal ids
 never remove from one another. Texts shorter than ``LENGTH`` bytes stay whole. Further columns are kept in
@@ -33,6 +34,7 @@ from dqloom.llm.common import RangeHash, arrow_pass, carrying, cut, drop, in_row
 
 LENGTH = 50
 GRAM = 26
+SIDE = (LENGTH - GRAM) // 2
 TRIGGER_WIDTH, TRIGGER_MASK = 8, 255  # phrases of 256 bytes on average
 HELD = 1_000_000  # bytes worked on at a time
 RESULT = "kept binary, n_bytes long, n_removed long, spans array<struct<first:long,last:long>>"
@@ -80,7 +82,7 @@ def phrase_bounds(buffer: Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def anchors(buffer: Buffer, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number and anchor of the runs of marked string starts that share an anchor."""
+    """Start, number (up to the width of the choice) and anchor of runs of marked strings that share an anchor."""
     pieces = buffer.hash.rolling(buffer.sums, GRAM)
     width, least = 1, pieces
     span = LENGTH - GRAM + 1
@@ -93,7 +95,8 @@ def anchors(buffer: Buffer, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return at, at, least[:0]
     value = least[at]
     new = np.append(True, (value[1:] != value[:-1]) | (at[1:] != at[:-1] + 1))
-    first = np.flatnonzero(new)
+    offset = np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+    first = np.flatnonzero(offset % span == 0)  # periodic text would make runs of any length
     return at[first], np.diff(np.append(first, len(at))), value[first]
 
 
@@ -132,10 +135,13 @@ def _spread(lists: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
 
 
 def anchor_runs(docs: DataFrame) -> DataFrame:
-    """Runs of strings by anchor, over the phrases that were first seen here (column ``firsts``)."""
+    """Runs of strings by anchor, over the phrases that were first seen here (column ``firsts``).
+
+    ``place`` is 64 times the first string's place plus the number of strings.
+    """
 
     def make(batch):
-        for texts, own in _windows(batch, ["rid", "firsts"]):
+        for texts, own in _windows(batch, ["doc_id", "firsts"]):
             buffer = Buffer(texts, second=False)
             owner, of = _spread(own["firsts"])
             step = np.zeros(len(buffer.data) + 2, np.int32)
@@ -143,58 +149,87 @@ def anchor_runs(docs: DataFrame) -> DataFrame:
             np.add.at(step, buffer.starts[owner] + of["end"] - LENGTH + 1, -1)
             start, count, value = anchors(buffer, np.cumsum(step)[: len(buffer.data)] > 0)
             row = np.searchsorted(buffer.ends, start, "right")
+            place = 64 * (start - buffer.starts[row]) + count
             yield {
-                "rid": own["rid"].take(pa.array(row)), "at": pa.array((start - buffer.starts[row]).astype(np.int32)),
-                "n": pa.array(count.astype(np.int32)), "anchor": pa.array(value.view(np.int64)),
+                "doc_id": own["doc_id"].take(pa.array(row)),
+                "place": pa.array(place.astype(np.int64)), "anchor": pa.array(value.view(np.int64)),
             }
 
-    return arrow_pass(docs, make, "rid long, at int, n int, anchor long")
+    return arrow_pass(docs, make, "doc_id long, place long, anchor long")
+
+
+def widened(buffer: Buffer, start: np.ndarray, end: np.ndarray, anchor: np.ndarray) -> pa.ListArray:
+    """For every block, hashes of its anchor's pieces with ``SIDE`` bytes more on the left or the right."""
+    pieces = buffer.hash.rolling(buffer.sums, GRAM)
+    counts = end - start - GRAM + 1
+    block = np.repeat(np.arange(len(start)), counts)
+    at = start[block] + np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
+    here = pieces[at] == anchor[block]
+    block, at = block[here], at[here]
+    left, right = at - SIDE >= start[block], at + GRAM + SIDE <= end[block]
+    first = np.concatenate([at[left] - SIDE, at[right]])
+    owner = np.concatenate([block[left], block[right]])
+    keys = buffer.hash.of(buffer.sums, first, first + GRAM + SIDE)
+    # a piece widened to the left is no piece widened to the right
+    keys[: left.sum()] ^= np.uint64(1)
+    order = np.argsort(owner, kind="stable")
+    places = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(start)))]).astype(np.int32)
+    return pa.ListArray.from_arrays(places, keys[order].view(np.int64))
+
+
+def _fitting(buffer: Buffer, owner: np.ndarray, at: np.ndarray, n: np.ndarray):
+    """Number of text, local place, start and end of the blocks that lie in their texts.
+
+    All do, but for rows that share an id and are shorter.
+    """
+    start = buffer.starts[owner] + at
+    end = start + n + LENGTH - 1
+    fits = end <= buffer.ends[owner]
+    return fits, owner[fits], at[fits], start[fits], end[fits]
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """The runs in column ``runs`` with their bytes and two hashes of them."""
+    """The runs in column ``runs`` with two hashes of their bytes, and their widened anchors."""
 
     def make(batch):
         for texts, own in _windows(batch, ["rid", "doc_id", "runs"]):
             buffer = Buffer(texts)
             owner, of = _spread(own["runs"])
-            start = buffer.starts[owner] + of["at"]
-            end = start + of["n"] + LENGTH - 1
+            n = of["place"] % 64
+            fits, owner, at, start, end = _fitting(buffer, owner, of["place"] // 64, n)
             one, two = buffer.both(start, end)
-            whole = buffer.data.tobytes()
             take = pa.array(owner)
             yield {
                 "rid": own["rid"].take(take), "doc_id": own["doc_id"].take(take),
-                "at": pa.array(of["at"].astype(np.int32)), "n": pa.array(of["n"].astype(np.int32)),
-                "anchor": pa.array(of["anchor"].astype(np.int64)), "b1": one, "b2": two,
-                "block": pa.array([whole[s:e] for s, e in zip(start.tolist(), end.tolist())], pa.binary()),
+                "at": pa.array(at.astype(np.int32)), "n": pa.array(n[fits].astype(np.int32)),
+                "b1": one, "b2": two,
+                "wide": widened(buffer, start, end, of["anchor"][fits].astype(np.int64).view(np.uint64)),
             }
 
-    return arrow_pass(
-        docs, make, "rid long, doc_id long, at int, n int, anchor long, b1 long, b2 long, block binary"
-    )
+    return arrow_pass(docs, make, "rid long, doc_id long, at int, n int, b1 long, b2 long, wide array<long>")
 
 
-def strings(firsts: DataFrame) -> DataFrame:
-    """All strings of first blocks: rid, doc_id, place and two hashes."""
+def strings(docs: DataFrame) -> DataFrame:
+    """All strings of the blocks in column ``chosen``: rid, doc_id, place and two hashes."""
 
     def make(batch):
-        data = batch.column("block").to_pylist()
-        for a, b in slices(np.array([len(t) for t in data]), HELD):
-            buffer = Buffer(data[a:b])
-            counts = buffer.ends - buffer.starts - LENGTH + 1
-            owner = np.repeat(np.arange(b - a), counts)
-            offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-            start = buffer.starts[owner] + offset
-            one, two = buffer.both(start, start + LENGTH)
-            take = pa.array(owner)
-            at = batch.column("at")[a:b].to_numpy()[owner] + offset
+        for texts, own in _windows(batch, ["rid", "doc_id", "chosen"]):
+            buffer = Buffer(texts)
+            owner, of = _spread(own["chosen"])
+            n = of["n"].astype(np.int64)
+            fits, owner, at, start, _ = _fitting(buffer, owner, of["at"], n)
+            counts = n[fits]
+            block = np.repeat(np.arange(len(owner)), counts)
+            offset = np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
+            first = start[block] + offset
+            one, two = buffer.both(first, first + LENGTH)
+            take = pa.array(owner[block])
             yield {
-                "rid": batch.column("rid")[a:b].take(take), "doc_id": batch.column("doc_id")[a:b].take(take),
-                "at": pa.array(at.astype(np.int32)), "w1": one, "w2": two,
+                "rid": own["rid"].take(take), "doc_id": own["doc_id"].take(take),
+                "at": pa.array((at[block] + offset).astype(np.int32)), "w1": one, "w2": two,
             }
 
-    return arrow_pass(firsts, make, "rid long, doc_id long, at int, w1 long, w2 long")
+    return arrow_pass(docs, make, "rid long, doc_id long, at int, w1 long, w2 long")
 
 
 def find_repeats(base: DataFrame) -> DataFrame:
@@ -213,21 +248,28 @@ def find_repeats(base: DataFrame) -> DataFrame:
     drop(phrases)
     news = parsed.where(F.size("firsts") > 0).select("rid", "firsts")
     runs = cut(anchor_runs(base.join(news, "rid")), "anchors")
-    shared = runs.groupBy("anchor").agg(F.min("rid").alias("a"), F.max("rid").alias("b")).where("a <> b")
+    shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b")
     shared = cut(shared.select("anchor"), "shared-anchors")
-    run = F.struct("at", "n", "anchor")
-    wanted = cut(runs.join(shared, "anchor").groupBy("rid").agg(F.collect_set(run).alias("runs")), "runs")
+    run = F.struct("place", "anchor")
+    wanted = cut(runs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(run).alias("runs")), "runs")
     drop(runs)
-    found = cut(blocks(base.join(wanted, "rid")), "blocks")
-    kinds = found.groupBy("b1", "b2").agg(F.min("doc_id").alias("least"), F.min("anchor").alias("anchor"))
-    kinds = cut(kinds, "block-kinds")
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
-    named = found.join(kinds.drop("anchor"), ["b1", "b2"])
+    found = cut(blocks(base.join(wanted, "doc_id")), "blocks")
+    drop(shared)
+    drop(wanted)
+    least = cut(found.groupBy("b1", "b2").agg(F.min("doc_id").alias("least")), "first-blocks")
+    named = found.join(least, ["b1", "b2"])
     whole = named.where("least < doc_id").select(
         "rid", F.col("at").alias("start"), (F.col("at") + F.col("n") + LENGTH - 1).alias("end")
     )
-    firsts = named.where("least = doc_id").join(several, "anchor", "left_semi")
-    single = cut(strings(firsts.select("rid", "doc_id", "at", "block")), "strings")
+    news = named.where("least = doc_id")
+    wide = news.select("rid", "at", "n", "b1", F.explode("wide").alias("key"))
+    several = wide.groupBy("key").agg(F.min("b1").alias("x"), F.max("b1").alias("y")).where("x <> y").select("key")
+    chosen = wide.join(several, "key").groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("chosen"))
+    chosen = cut(chosen, "chosen")
+    single = cut(strings(base.join(chosen, "rid")), "strings")
+    drop(chosen)
+    whole = cut(whole, "whole-blocks")
+    drop(found)
     least = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"))
     parts = single.join(least, ["w1", "w2"]).where("least < doc_id").select(
         "rid", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end")
