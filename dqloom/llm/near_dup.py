@@ -4,14 +4,16 @@ A document's set are its distinct ``WORDS``-word shingles (fewer words: all of t
 A-Z lower-cased, parted by ASCII white space). SuperMinHash gives every element a random permutation of
 the registers; its j-th step offers j plus a fraction to one register. Offers of step j only matter to
 registers that hold more than j, so steps end early; all elements of many documents are taken together,
-step by step. ``REGISTERS`` registers make ``BANDS`` bands of three; at similarity 0.75 a pair shares no
-band with probability 1e-5.
+step by step. ``REGISTERS`` registers make ``BANDS`` bands of ``ROWS``; at similarity 0.75 a pair shares no
+band with probability 8e-6. Bands are that long because of passages which very many documents share: a
+document falls into the passage's bucket of a band with the passage's share of its set to the power ``ROWS``.
 
 Documents with equal sets are one class, represented by its smallest id; only representatives are
 banded. Members of a bucket are verified against its smallest member. A pair of the bucket that is still
 in two components then has a member outside the first one's component: those members are verified against
-all others of the bucket, so every pair that shares a band is either verified or connected, without all
-pairs of a group being made. Links are verified on full sets: 100 * both >= 75 * any.
+some more members, and where that does not connect them against all others of the bucket, but for those that
+they can't be similar to, as too few of their shingles occur in any other document. So every pair that shares a
+band is verified, ruled out or connected, without all pairs of a group being made. Links are verified on full sets: 100 * both >= 75 * any.
 
 Null and empty texts and texts of white space have empty sets and are linked with nothing. Rows without id
 are linked with nothing; their component is null and they are kept. Rows with the same id are one node
@@ -31,9 +33,10 @@ from dqloom.llm.common import LOWER, RangeHash, arrow_pass, cut, drop, mix, slic
 from dqloom.llm.components import components
 
 WORDS = 5
-ROWS, BANDS = 3, 21
+ROWS, BANDS = 6, 60
 REGISTERS = ROWS * BANDS
 SIMILARITY = 75  # in hundredths
+PROBES = 2
 
 
 @functools.lru_cache(maxsize=1)
@@ -83,7 +86,7 @@ def super_min_hash(sets: list[np.ndarray], registers: int = REGISTERS) -> np.nda
             if not len(owner):
                 break
             if order is None:
-                order = np.tile(np.arange(m, dtype=np.uint8), (len(owner), 1))
+                order = np.tile(np.arange(m, dtype=np.uint16), (len(owner), 1))
                 _swap(order, 0, _step(elements, 0, m)[0])
         k, fraction = _step(elements, j, m)
         place = k if order is None else _swap(order, j, k)
@@ -122,7 +125,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def make(batch):
         texts = batch.column(1).to_pylist()
-        for a, b in slices(np.array([len(t or "") for t in texts]), 1_500_000):
+        for a, b in slices(np.array([len(t or "") for t in texts]), 300_000):
             sets = shingle_sets(texts[a:b])
             keys = band_keys(super_min_hash(sets))
             sizes = [len(s) for s in sets]
@@ -186,6 +189,8 @@ def find_groups(docs: DataFrame) -> DataFrame:
         "classes",
     )
     buckets = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
+    # dealt once for counting and joining; near copies of one text are at most 1 / BANDS of the rows of a key
+    buckets = buckets.repartition("band", "key")
     firsts = buckets.groupBy("band", "key").agg(
         F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("members")
     ).where("members > 1")
@@ -199,10 +204,15 @@ def find_groups(docs: DataFrame) -> DataFrame:
     tried = cut(stars.select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct(), "stars")
     links = verified(docs, tried)
     labels = components(links)
-    rest = _across(shared, labels)
-    more = cut(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    if not more.isEmpty():
-        links = links.union(verified(docs, more))
+    # a member outside the first one's component meets other members: some probes, then all that are left
+    held = cut(_open_buckets(shared, labels), "open-buckets")
+    for turn in range(PROBES + 1):
+        pairs = _probed(held, labels, turn) if turn < PROBES else _across(docs, held, labels)
+        pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tried = tried.union(pairs)
+        links = links.union(verified(docs, pairs))
         labels = components(links)
     own = linked.join(classes.select(*same, "rep"), same).select("doc_id", "rep")
     merged = _with_repeats(own, labels)
@@ -214,22 +224,67 @@ def find_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def _across(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components, one of them outside the first member's component."""
+def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets with their component and that of the bucket's first member (``head``)."""
     named = labels.select(F.col("node").alias("rep"), "component")
     heads = labels.select(F.col("node").alias("first"), F.col("component").alias("head"))
-    placed = shared.join(named, "rep", "left").join(heads, "first", "left").select(
+    return shared.join(named, "rep", "left").join(heads, "first", "left").select(
         "band", "key", "rep", "n", "first",
         F.coalesce("component", "rep").alias("component"), F.coalesce("head", "first").alias("head"),
     )
-    outside = placed.where("component <> head").select(
+
+
+def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components."""
+    placed = _placed(shared, labels)
+    several = placed.where("component <> head").select("band", "key").distinct()
+    return placed.join(several, ["band", "key"], "left_semi").select("band", "key", "rep", "n", "first")
+
+
+def _pairs(outside: DataFrame, others: DataFrame, reach: DataFrame | None = None) -> DataFrame:
+    """Members outside with others of their bucket in another component, as distinct (a, b).
+
+    ``reach`` (rep, c) says how many shingles of a member any other document has: it can't have more in
+    common with one of them. Pairs that this bound rules out are left out.
+    """
+    own = outside.select(
         "band", "key", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component")
     )
-    joined = outside.join(placed, ["band", "key"]).where(
-        (F.col("component") != F.col("x_component")) & _near_in_size("n", "x_n")
-    )
-    pair = joined.select(F.greatest("x", "rep").alias("a"), F.least("x", "rep").alias("b"))
-    return pair.distinct()
+    near = _near_in_size("n", "x_n")
+    if reach is not None:
+        own = own.join(reach.withColumnRenamed("rep", "x"), "x", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+        most = F.least("c", "n")
+        near = near & (most * 100 >= (F.col("n") + F.col("x_n") - most) * SIMILARITY)
+    joined = own.join(others, ["band", "key"]).where((F.col("component") != F.col("x_component")) & near)
+    return joined.select(F.greatest("x", "rep").alias("a"), F.least("x", "rep").alias("b")).distinct()
+
+
+def _reach(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """For every member of the buckets, how many of its shingles another member has."""
+    ids = shared.select(F.col("rep").alias("doc_id")).distinct()
+    sets = cut(_sets_of(docs, ids), "open-sets")  # an id with two sets counts for both: a bound all the same
+    each = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count("*").alias("k")).where("k > 1").select("s")
+    return cut(each.join(common, "s").groupBy("rep").agg(F.count("*").alias("c")), "reach")
+
+
+def _probed(shared: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Members outside with one other member of each of their buckets.
+
+    Every bucket chooses by a hash of its own, so a member meets up to ``BANDS`` others a turn, most often
+    those like itself. In a large group that settles all but the few that are unlike most.
+    """
+    placed = _placed(shared, labels)
+    order = F.xxhash64("rep", "band", F.lit(turn))
+    chosen = placed.groupBy("band", "key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "component")).alias("m"))
+    return _pairs(placed.where("component <> head"), chosen.select("band", "key", "m.rep", "m.n", "m.component"))
+
+
+def _across(docs: DataFrame, shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members outside with all others of their buckets that they can be similar to."""
+    left = cut(_open_buckets(shared, labels), "open-buckets")
+    placed = _placed(left, labels)
+    return _pairs(placed.where("component <> head"), placed, _reach(docs, left))
 
 
 def _with_repeats(own: DataFrame, labels: DataFrame) -> DataFrame:
