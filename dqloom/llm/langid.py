@@ -214,7 +214,7 @@ def with_language(docs: DataFrame, model: Model, carried: list[str]) -> DataFram
         texts = batch.column(0).to_pylist()
         folded = Folded(shared.value) if languages else None
         found = []
-        for a, b in slices(np.array([len(t or "") for t in texts]), 1_000_000):
+        for a, b in slices(np.array([len(t or "") for t in texts]), 500_000):
             found += predict_texts(folded, languages, texts[a:b])
         yield {
             **{name: batch.column(k + 1) for k, name in enumerate(carried)},

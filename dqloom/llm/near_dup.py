@@ -41,7 +41,7 @@ PROBES = 2
 
 @functools.lru_cache(maxsize=1)
 def _hash() -> RangeHash:
-    return RangeHash(2_000_000)
+    return RangeHash(500_000)
 
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
@@ -148,7 +148,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def make(batch):
         texts = batch.column(1).to_pylist()
-        for a, b in slices(np.array([len(t or "") for t in texts]), 1_500_000):
+        for a, b in slices(np.array([len(t or "") for t in texts]), 400_000):
             sets = [s.view(np.int64) for s in shingle_sets(texts[a:b])]
             places = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             yield {

@@ -36,7 +36,7 @@ LENGTH = 50
 GRAM = 26
 SIDE = (LENGTH - GRAM) // 2
 TRIGGER_WIDTH, TRIGGER_MASK = 8, 255  # phrases of 256 bytes on average
-HELD = 1_000_000  # bytes worked on at a time
+HELD = 400_000  # bytes worked on at a time
 RESULT = "kept binary, n_bytes long, n_removed long, spans array<struct<first:long,last:long>>"
 
 
