@@ -3,10 +3,11 @@
 All DataFrame expressions, row by row: nothing is shuffled. Words are runs of letters and digits (all beyond ASCII
 count as letters), A-Z lower-cased. A template is the set of its shingles of ``WORDS`` words (all its words as one if
 it has fewer). Texts are read in windows of ``WINDOW`` shingles that overlap by half; a template's own windows are
-taken at every place. A window has ``BANDS`` bands of one minimum each and retrieves the templates that one of its
-bands agrees with. A template that lies in a text has a window equal to one of the text's, which always collides; one
-too short for that shares three of four shingles with a window of the text and collides with probability
-1 - 0.25**BANDS (1 - 1.5e-5).
+taken at every place. A window has ``BANDS`` bands of one minimum each, every band with a hash of its own, and
+retrieves the templates that one of its bands agrees with. A template of more than ``WINDOW`` shingles that lies whole
+in a text has a window equal to one of the text's, which always collides. Shorter ones may lie across windows: they
+are retrieved by any one of their shingles. So every whole occurrence is retrieved. Of an altered one, a window that
+shares three of four shingles with the template collides with probability 1 - 0.4**BANDS (1 - 6.6e-4).
 
 Retrieved templates are verified exactly: the share of the template's shingles that the text holds must reach
 ``SHARE``. A document gives one row for each template found, with the first word of its first shingle found
@@ -63,25 +64,29 @@ def windows_of(hashes: Column) -> Column:
     return F.when(F.size(hashes) > 0, some)
 
 
-def _seed(band: int) -> int:
-    """What hashes are combined with to give a band's own order of them."""
-    return (0x9E3779B97F4A7C15 * (2 * band + 1)) % 2**63
-
-
 def agrees(window: Column, keys: list[set[int]]) -> Column:
     """Whether a band of the window has one of the keys for that band."""
     tests = []
     for band, wanted in enumerate(keys):
-        seed = F.lit(_seed(band))
-        least = F.least(*[window[f"h{j}"].bitwiseXOR(seed) for j in range(WINDOW)])
+        least = F.least(*[window[f"h{j}"][f"b{band}"] for j in range(WINDOW)])
         tests.append(least.isin(sorted(wanted)))
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
 
-def band_keys(hashes: list[int]) -> list[set[int]]:
+def band_ranks(hashes: Column) -> Column:
+    """For every shingle, its place in the order of each band, as structs b0, b1, ..."""
+    return F.transform(hashes, lambda h: F.struct(*[F.xxhash64(h, F.lit(b)).alias(f"b{b}") for b in range(BANDS)]))
+
+
+def band_keys(ranks: list) -> list[set[int]]:
     """The keys of all windows of a template, by band."""
-    windows = [hashes[i : i + WINDOW] for i in range(max(1, len(hashes) - WINDOW + 1))]
-    return [{min(h ^ _seed(b) for h in w) for w in windows} for b in range(BANDS)]
+    windows = [ranks[i : i + WINDOW] for i in range(max(1, len(ranks) - WINDOW + 1))]
+    return [{min(r[b] for r in w) for w in windows} for b in range(BANDS)]
+
+
+def is_short(hashes: list[int]) -> bool:
+    """Whether a template can lie in a text without an equal window."""
+    return len(hashes) <= WINDOW
 
 
 def find_licenses(docs: DataFrame, templates: DataFrame) -> DataFrame:
@@ -91,24 +96,34 @@ def find_licenses(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """
     read = templates.select("license", words_of(F.col("text")).alias("words"))
     hashed = read.select("license", shingle_hashes(F.col("words")).alias("h"))
-    known = sorted(((r["license"], list(r["h"])) for r in hashed.collect() if r["h"]), key=repr)
+    ranked = hashed.select("license", "h", band_ranks(F.col("h")).alias("ranks")).collect()
+    known = sorted(((r["license"], list(r["h"]), band_keys(r["ranks"])) for r in ranked if r["h"]), key=repr)
     groups = [known[i : i + AT_ONCE] for i in range(0, len(known), AT_ONCE)] or [[]]
     return reduce(DataFrame.unionByName, [_scan(docs, group) for group in groups])
 
 
-def _scan(docs: DataFrame, known: list[tuple[str, list[int]]]) -> DataFrame:
+def _scan(docs: DataFrame, known: list[tuple[str, list[int], list[set[int]]]]) -> DataFrame:
     read = in_rows(docs).select("row", words_of(F.col("text")).alias("words"))
     hashed = read.select("row", shingle_hashes(F.col("words")).alias("h"))
-    keys = [band_keys(hashes) for _, hashes in known]
-    every = [set().union(*(k[b] for k in keys)) for b in range(BANDS)]
-    near = hashed.select("row", "h", F.filter(windows_of(F.col("h")), lambda w: agrees(w, every)).alias("near"))
+    ranked = hashed.select("row", "h", band_ranks(F.col("h")).alias("ranks"))
+    every = [set().union(*(keys[b] for _, _, keys in known)) for b in range(BANDS)]
+    short = sorted({h for _, hashes, _ in known if is_short(hashes) for h in hashes})
+    near = ranked.select(
+        "row", "h", _holds_one(short).alias("shared"),
+        F.filter(windows_of(F.col("ranks")), lambda w: agrees(w, every)).alias("near"),
+    )
     kind = "array<struct<license:string,first_word:bigint,n_matched:bigint,n_template:bigint,containment:double>>"
-    found = [_verified(name, hashes, own) for (name, hashes), own in zip(known, keys)]
+    found = [_verified(*template) for template in known]
     listed = F.array_compact(F.array(*found)) if found else F.array()
-    some = F.when(F.size("near") > 0, listed).cast(kind)
+    some = F.when((F.size("near") > 0) | F.col("shared"), listed).cast(kind)
     return near.select("row", some.alias("found")).select("row", F.inline_outer("found")).where("n_template IS NOT NULL")
 
 
+def _holds_one(hashes: list[int]) -> Column:
+    """Whether the text has one of the shingles."""
+    return F.arrays_overlap("h", F.array(*[F.lit(h) for h in hashes]).cast("array<bigint>"))
+
+
 def _verified(name: str, hashes: list[int], keys: list[set[int]]) -> Column:
     """The result for one template, null if it isn't retrieved or not contained."""
     own = sorted(set(hashes))
@@ -122,5 +137,7 @@ def _verified(name: str, hashes: list[int], keys: list[set[int]]) -> Column:
         F.lit(len(own)).cast("long").alias("n_template"),
         (matched / F.lit(len(own))).cast("double").alias("containment"),
     )
-    retrieved = F.exists("near", lambda w: agrees(w, keys))
+    retrieved = F.coalesce(F.exists("near", lambda w: agrees(w, keys)), F.lit(False))
+    if is_short(hashes):
+        retrieved = _holds_one(own) | retrieved
     return F.when(retrieved, F.when(matched >= SHARE * len(own), result))

@@ -52,6 +52,20 @@ def test_any_place_is_retrieved(spark):
     assert [r[0] for r in scan(spark, rows, NOTICES[:1])] == sorted(range(300), key=str)
 
 
+def test_any_short_template_is_retrieved(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    templates, rows = [], []
+    for t in range(120):
+        own = " ".join(rng.choice(words) for _ in range(3 + t % 5))
+        templates.append((f"t{t}", own))
+        for k in range(20):
+            before, after = ([rng.choice(words) for _ in range(rng.randint(0, 12))] for _ in range(2))
+            rows.append((t * 20 + k, " ".join([*before, own, *after])))
+    found = {(doc, name) for doc, name, *_ in scan(spark, rows, templates)}
+    assert {(doc, f"t{doc // 20}") for doc, _ in rows} <= found
+
+
 # --- language identification ----------------------------------------------------------------
 
 
