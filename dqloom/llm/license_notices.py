@@ -1,4 +1,8 @@
-"""Short public notices by which texts name their license."""
+"""Short public notices by which texts name their license.
+
+At a share of 0.75, a notice that differs from another in few words is reported with it, at a lower containment:
+an LGPL or AGPL line also gives GPL-3.0 (0.8), the two Creative Commons sentences give each other.
+"""
 
 NOTICES = (
     ("MIT", "Released under the MIT License."),
@@ -31,4 +35,27 @@ NOTICES = (
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ),
+    ("All-rights-reserved", "All rights reserved."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-terms", "under the terms of the GNU Lesser General Public License as published by"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-terms", "under the terms of the GNU Affero General Public License as published by"),
+    ("ISC", "Released under the ISC License."),
+    (
+        "ISC-text",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    (
+        "CC0-waiver",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work.",
+    ),
+    ("CC-BY-4.0-short", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0-short", "Licensed under CC BY-SA 4.0."),
 )

@@ -66,6 +66,34 @@ def test_any_short_template_is_retrieved(spark):
     assert {(doc, f"t{doc // 20}") for doc, _ in rows} <= found
 
 
+LINES = {
+    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "All-rights-reserved": "All rights reserved.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "MIT": "Released under the MIT License.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+}
+
+
+def test_license_lines_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    found = licenses.find_licenses(docs, spark.createDataFrame(NOTICES, "license string, text string"))
+    of = {}
+    for r in found.select("row.doc_id", "license").collect():
+        of.setdefault(r.license, set()).add(r.doc_id)
+    texts = docs.collect()
+    for name, line in LINES.items():
+        plain = {r.doc_id for r in texts if line in (r.text or "")}
+        assert plain and plain <= of.get(name, set()), name
+
+
+def test_every_notice_finds_itself(spark):
+    found = scan(spark, [(i, f"some words {text} and more") for i, (_, text) in enumerate(NOTICES)])
+    whole = {(doc, name) for doc, name, _, matched, n in found if matched == n}
+    assert {(i, name) for i, (name, _) in enumerate(NOTICES)} <= whole
+    assert len({name for name, _ in NOTICES}) == len(NOTICES)
+
+
 # --- language identification ----------------------------------------------------------------
 
 
