@@ -65,6 +65,8 @@ def column_counts(
             column = F.col(quoted(c))
             ordered = is_orderable(frame.schema[c].dataType)
             bound = column if ordered else F.lit(None)
+            if isinstance(frame.schema[c].dataType, (T.DoubleType, T.FloatType)):
+                bound = F.when(column == 0, F.lit(0.0)).otherwise(column).cast(frame.schema[c].dataType)  # no -0.0
             aggregates += [
                 F.count(F.lit(1)).alias(f"f{i}_total_rows"),
                 F.count_if(column.isNull()).alias(f"f{i}_null_count"),

@@ -275,3 +275,22 @@ def test_variant_and_odd_names(spark):
         found = {r.column_name: (r.total_rows, r.null_count, r.cardinality)
                  for r in report(frame, "s", "t").collect()}
         assert found == exact
+
+
+def test_bounds_show_no_negative_zero(spark):
+    frame = spark.createDataFrame([(-0.0,), (0.0,)], "x double").repartition(1).sortWithinPartitions("x")
+    for data in (frame, spark.createDataFrame([(-0.0,)], "x double")):
+        row = profile.column_counts(data, "s", "t").first()
+        assert (row.col_min, row.col_max) == ("0.0", "0.0")
+
+
+@pytest.mark.parametrize("name", ["column_profile", "approx_profile", "column_min_max"])
+def test_profiles_read_all_tables(spark, name):
+    from verification import metadata  # noqa: F401
+    from verification.fixtures import ALL_TABLES, QUERIES, Lab
+
+    lab = Lab(spark, "/root/testdata/sf0.001")
+    found = {tuple(r) for r in QUERIES[name](lab).select("schema_name", "table_name", "column_name").collect()}
+    columns = {(s, t, c) for s, t in ALL_TABLES for c in lab.registry.table(s, t).columns}
+    empty = {c for c in columns if c[1] == "account_archive"}
+    assert columns - empty <= found <= columns

@@ -218,15 +218,36 @@ def approx_cardinality(lab: Lab) -> DataFrame:
     return union_all(frames).select(*by, close.alias("close"))
 
 
+def _all_columns(template: str, first: list[tuple[str, str]], array: str) -> str:
+    """A template over the tables named first, and over all others with what they hold beyond those.
+
+    There zeros have no sign, and arrays, which have no order, have a template of their own.
+    """
+    rest = [key for key in ALL_TABLES if key not in first]
+    unsigned = template.replace("'$c'", "'@'").replace("$c", "($c + 0)").replace("'@'", "'$c'")
+    return " UNION ALL ".join([
+        _per_column(template, first), _per_column(unsigned, rest, skip="sda"),
+        _per_column(template, rest, skip="na"), _per_column(array, rest, skip="nsd"),
+    ])
+
+
 FEW = [("intake", "customer_record", "account_status"), ("intake", "order_record", "status")]
 
 
+EXACT = (
+    "SELECT '$s' AS schema_name, '$t' AS table_name, '$c' AS column_name, "
+    "count(*) AS total_rows, count(*) - count($c) AS null_count, "
+    "coalesce(CAST(min($c) AS VARCHAR), '') AS col_min, coalesce(CAST(max($c) AS VARCHAR), '') AS col_max FROM $t"
+)
+EXACT_ARRAY = (
+    "SELECT '$s' AS schema_name, '$t' AS table_name, '$c' AS column_name, "
+    "count(*) AS total_rows, count(*) - count($c) AS null_count, '' AS col_min, '' AS col_max FROM $t"
+)
+
+
 @check("approx_profile", f"""
     {with_intake()},
-    exact AS ({_per_column("SELECT '$s' AS schema_name, '$t' AS table_name, '$c' AS column_name, "
-                           "count(*) AS total_rows, count(*) - count($c) AS null_count, "
-                           "coalesce(CAST(min($c) AS VARCHAR), '') AS col_min, coalesce(CAST(max($c) AS VARCHAR), '') AS col_max "
-                           "FROM $t", [("intake", "customer_record"), ("intake", "order_record")])}),
+    exact AS ({_all_columns(EXACT, [("intake", "customer_record"), ("intake", "order_record")], EXACT_ARRAY)}),
     common AS ({" UNION ALL ".join(
         f"SELECT '{s}' AS schema_name, '{t}' AS table_name, '{c}' AS column_name, "
         f"string_agg(v, ' | ' ORDER BY n DESC, v) AS common_values FROM "
@@ -238,7 +259,7 @@ def approx_profile(lab: Lab) -> DataFrame:
     """The one-pass profile: exact parts compared, sketched counts within 10 % (or 2)."""
     by = [*TABLE, "column_name"]
     frames = []
-    for s, t in [("intake", "customer_record"), ("intake", "order_record")]:
+    for s, t in ALL_TABLES:
         frame = lab.registry.table(s, t)
         exact = profile.distinct_counts(frame, s, t).withColumnRenamed("distinct_count", "exact")
         frames.append(profile.approximate_profile(frame, s, t).join(exact, by))
@@ -253,15 +274,21 @@ def approx_profile(lab: Lab) -> DataFrame:
 
 BOUNDED = [("intake", "customer_record"), ("intake", "order_record"), ("corpus", "documents"),
            ("intake", "account_archive"), ("web_log", "events")]
+BOUNDS = (
+    "SELECT '$s' AS schema_name, '$t' AS table_name, '$c' AS column_name, "
+    "CAST(min($c) AS VARCHAR) AS col_min, CAST(max($c) AS VARCHAR) AS col_max FROM $t"
+)
+NO_BOUNDS = (
+    "SELECT '$s' AS schema_name, '$t' AS table_name, '$c' AS column_name, "
+    "CAST(NULL AS VARCHAR) AS col_min, CAST(NULL AS VARCHAR) AS col_max"
+)
 
 
 @check("column_min_max", f"""
     {with_intake()}
-    {_per_column("SELECT '$s' AS schema_name, '$t' AS table_name, '$c' AS column_name, "
-                 "CAST(min($c) AS VARCHAR) AS col_min, CAST(max($c) AS VARCHAR) AS col_max FROM $t",
-                 BOUNDED)}""")
+    {_all_columns(BOUNDS, BOUNDED, NO_BOUNDS)}""")
 def column_min_max(lab: Lab) -> DataFrame:
-    found = union_all([profile.column_counts(lab.registry.table(s, t), s, t) for s, t in BOUNDED])
+    found = union_all([profile.column_counts(lab.registry.table(s, t), s, t) for s, t in ALL_TABLES])
     return found.select(*TABLE, "column_name", "col_min", "col_max")
 
 
@@ -297,10 +324,13 @@ PROFILE_ONE = """
                            ' | ' ORDER BY n DESC, v) FROM
             (SELECT $c AS v, count(*) AS n FROM $t WHERE $c IS NOT NULL GROUP BY ALL
              HAVING count(*) > 1 ORDER BY n DESC, v LIMIT 5)) AS freqs"""
+PROFILE_ARRAY = """
+    SELECT '$s', '$t', '$c', count(*), count(DISTINCT $c), count(*) - count($c), NULL, NULL, NULL, NULL FROM $t"""
 STATS = [("intake", "customer_record"), ("intake", "item_catalog"), ("intake", "order_record")]
 
 
-def _profile_sql(keys) -> str:
+def _profile_sql(keys=()) -> str:
+    """Column reports of the tables, or of all that have rows."""
     sample = "coalesce(nullif(listed, ''), lo, '')"
     return f"""
         SELECT schema_name, table_name, column_name, total_rows, cardinality,
@@ -310,12 +340,13 @@ def _profile_sql(keys) -> str:
                coalesce(freqs, '') AS most_common_freqs,
                CASE WHEN column_name IN ({PII_COLUMNS}) THEN {MASK_SQL.format(sample)}
                     ELSE {sample} END AS sample
-        FROM ({_per_column(PROFILE_ONE, keys)})"""
+        FROM ({_per_column(PROFILE_ONE, keys) if keys else _all_columns(PROFILE_ONE, STATS, PROFILE_ARRAY)})
+        {"" if keys else "WHERE total_rows > 0"}"""
 
 
-@check("column_profile", f"{with_intake()} {_profile_sql(STATS)}")
+@check("column_profile", f"{with_intake()} {_profile_sql()}")
 def column_profile(lab: Lab) -> DataFrame:
-    found = union_all([profile.column_profile(lab.registry.table(s, t), s, t) for s, t in STATS])
+    found = union_all([profile.column_profile(lab.registry.table(s, t), s, t) for s, t in ALL_TABLES])
     return found.drop("pii_phi")
 
 
