@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import ann, chat, decontaminate, langid, licenses, near_dup, packing, suffix_dedup, tokens, urls
+from dqloom.llm import (
+    ann, audit, bpe, chat, decontaminate, langid, licenses, near_dup, packing, runs, suffix_dedup, tokens, urls,
+)
 from dqloom.llm.common import arrow_pass
 from dqloom.llm.license_notices import NOTICES
 
@@ -307,3 +309,105 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "formatted_chars long"
     )
     return arrow_pass(formatted, digests, schema)
+
+
+# --- 11: periodic runs ------------------------------------------------------------------------
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by the checksum of their id, repeat a stretch of their words up to the end.
+
+    Rows without an id or without words stay as they are.
+    """
+    check = F.crc32(F.col("doc_id").cast("string"))
+    seed = F.floor(check / 10)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    listed = docs.select("doc_id", "text", check.alias("check"), seed.alias("seed"), F.when(check % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    first = F.pmod("seed", F.greatest(n, F.lit(1))).cast("int")
+    period = (F.floor((n - first) / (3 + F.col("seed") % 8)) + 1).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("words", first + 1, period), F.ceil((n - first) / period).cast("int")))
+    made = F.concat(F.slice("words", 1, first), F.slice(repeated, 1, n - first))
+    text = F.when((F.col("check") % 10 == 0) & (n > 0), F.array_join(made, " ")).otherwise(F.col("text"))
+    return listed.select("doc_id", text.alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = runs.find_runs(made_periodic(docs), "text", ["doc_id"])
+    best, own = F.col("best"), F.col("runs")
+    lines = F.transform(own, lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "row.doc_id", F.size(own).cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# --- 12: BPE encoding and decoding -----------------------------------------------------------------
+
+
+@query("op12_bpe_round_trip")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = bpe.encode_and_decode(table(spark, folder, "documents"), BYTE_BPE, ["doc_id"])
+    return found.select(
+        "row.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+# --- 13: filter interaction audit -------------------------------------------------------------------
+
+AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), first_ids AS (
+  SELECT text, min(doc_id) AS least FROM texts GROUP BY text
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+    CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 5 * length(t.text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN t.doc_id > least THEN 16 ELSE 0 END AS mask
+  FROM texts t JOIN first_ids f ON t.text = f.text LEFT JOIN marks m ON t.doc_id = m.doc_id
+), filters(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM filters a, filters b, filters c, filters d, filters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(list_sum(bits[1:step - 1]) AS INTEGER) AS before
+  FROM orders, (VALUES (1), (2), (3), (4), (5)) s(step)
+), sets AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY part, mask
+), counted AS (
+  SELECT part, filter_order, step, bit, substr(filter_order, step, 1) AS filter,
+    sum(n) FILTER ((mask & (bit | coalesce(before, 0))) = 0) AS kept,
+    sum(n) FILTER ((mask & bit) > 0 AND (mask & coalesce(before, 0)) = 0) AS removed,
+    sum(n) FILTER ((mask & bit) > 0 AND (mask & coalesce(before, 0)) > 0) AS redundant,
+    sum(n) FILTER (mask = bit) AS unique_fails,
+    sum(good) FILTER ((mask & bit) > 0 AND (mask & coalesce(before, 0)) = 0) AS good_lost,
+    sum(toxic) FILTER ((mask & bit) > 0 AND (mask & coalesce(before, 0)) = 0) AS toxic_lost
+  FROM sets, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter,
+  CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
