@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
@@ -132,48 +133,121 @@ def date_order(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
     return union_all(results)
 
 
-BAND = 12  # decimal places that one band of a banded number covers
+BAND = 12  # decimal places that one limb covers
+BASE = 10**BAND
+LIMB = "struct<band:int,units:decimal(38,0)>"
 
 
 def _is_float(frame: DataFrame, column: str) -> bool:
     return isinstance(frame.schema[column].dataType, (T.DoubleType, T.FloatType))
 
 
-def banded(value: Column) -> Column:
-    """A double as the decimal number it is written as: struct(band, units, odd).
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
 
-    The number is units * 10**(BAND * band), with whole units of at most 29 digits, so any
-    number of doubles of any size is added up exactly, band by band, in any order. ``odd``
-    marks NaN and infinities, which have no units.
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def limbs(value: Column) -> Column:
+    """A double as the decimal number that Spark writes it as: a few (band, units) of one sign.
+
+    The number is the sum of units * 10**(BAND * band) with units below 10**BAND, so that 10**24
+    numbers can be added up band by band without loss. Units of NaN and infinities are NULL; see ``odd``.
+    """
+    def written(parts: Column) -> Column:
+        mantissa = F.get(parts, F.lit(0))
+        exponent = F.coalesce(F.get(parts, F.lit(1)).try_cast("int"), F.lit(0))
+        power = exponent - (F.length(mantissa) - F.instr(mantissa, "."))
+        return F.struct(
+            F.translate(mantissa, "-.", "").alias("digits"),
+            F.floor(power / F.lit(BAND)).cast("int").alias("band"),
+            F.pmod(power, F.lit(BAND)).alias("zeros"),
+            F.when(F.startswith(mantissa, F.lit("-")), -1).otherwise(1).alias("sign"),
+        )
+
+    def split(number: Column) -> Column:
+        # 18 digits and 11 zeros at most
+        digits = F.concat(number["digits"], F.repeat(F.lit("0"), number["zeros"]))
+        return F.struct(F.lpad(digits, 3 * BAND, "0").alias("padded"), number["band"].alias("band"), number["sign"].alias("sign"))
+
+    def cut(number: Column) -> Column:
+        return F.array(*[
+            F.struct(
+                (number["band"] + k).alias("band"),
+                (F.substring(number["padded"], 1 + (2 - k) * BAND, BAND).try_cast("bigint") * number["sign"])
+                .cast("decimal(38,0)").alias("units"),
+            )
+            for k in range(3)
+        ])
+
+    anyhow = _let(_let(_let(F.split(F.upper(value.cast("string")), "E"), written), split), cut)
+    # A number of at most 15 digits, four of them decimals, is the decimal whose nearest double it is, and the one
+    # it is written as. Such numbers, amounts of money above all, need no text.
+    small = F.when(F.abs(value) < 1e11, F.rint(value * 10000).cast("bigint"))
+    return F.when(
+        small / F.lit(10000.0) == value,
+        F.array(*[
+            F.struct(F.lit(band).alias("band"), units.cast("decimal(38,0)").alias("units"))
+            for band, units in ((-1, small % 10000 * 10**8), (0, (small - small % 10000) / 10000))
+        ]),
+    ).otherwise(anyhow)
+
+
+def limbs_of(number: float) -> Column:
+    """The same as a literal, as Python writes the number."""
+    sign, digits, power = Decimal(repr(number)).as_tuple()
+    band = power // BAND
+    units = int("".join(map(str, digits))) * 10 ** (power - band * BAND)
+    found = []
+    while units:
+        found.append((band, (-1 if sign else 1) * (units % BASE)))
+        units, band = units // BASE, band + 1
+    literals = [F.struct(F.lit(b).alias("band"), F.lit(Decimal(u)).cast("decimal(38,0)").alias("units")) for b, u in found]
+    return F.array(*literals).cast(f"array<{LIMB}>")
+
+
+def odd(value: Column) -> Column:
+    """Whether a double is NaN or infinite."""
+    return F.isnan(value) | (F.abs(value) == float("inf"))
+
+
+def sign_of(terms: Column) -> Column:
+    """Sign of a sum of limbs, exactly: -1, 0 or 1.
+
+    From the lowest band up, what a band holds is carried into the next one but for a rest of 0 to 10**BAND - 1.
+    What is carried to the top decides, or else whether anything was left.
     """
-    text = F.upper(value.cast("string"))
-    parts = F.split(text, "E")
-    mantissa = F.get(parts, F.lit(0))
-    exponent = F.coalesce(F.get(parts, F.lit(1)).try_cast("int"), F.lit(0))
-    digits = F.length(F.regexp_extract(mantissa, r"\.(\d*)", 1))
-    power = exponent - digits
-    band = F.floor(power / F.lit(BAND)).cast("int")
-    shift = F.repeat(F.lit("0"), power - band * BAND)
-    units = F.concat(F.replace(mantissa, F.lit("."), F.lit("")), shift).try_cast("decimal(38,0)")
-    return F.struct(band.alias("band"), units.alias("units"), units.isNull().alias("odd"))
-
-
-def _difference(left: Column, right: Column) -> Column:
-    """left - right of two arrays of (band, units), as a double: large bands first."""
-    signed = F.concat(
-        F.transform(left, lambda x: F.struct(x["band"].alias("band"), x["units"].alias("units"))),
-        F.transform(right, lambda x: F.struct(x["band"].alias("band"), (-x["units"]).alias("units"))),
+    state = F.struct(
+        _whole(F.lit(0)).alias("carry"), F.lit(-1000).alias("band"), F.lit(False).alias("any")
     )
-    bands = F.reverse(F.array_sort(F.array_distinct(F.transform(signed, lambda x: x["band"]))))
 
-    def of_band(band: Column) -> Column:
-        own = F.filter(signed, lambda x: x["band"] == band)
-        total = F.aggregate(
-            own, F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x["units"]).cast("decimal(38,0)")
+    def step(before: Column, term: Column) -> Column:
+        gap = term["band"] - before["band"]
+        # beyond three bands, 0 and -1 are all that is left to carry
+        power = F.when(gap == 0, 0).when(gap == 1, 1).when(gap == 2, 2).otherwise(3)
+        by = F.element_at(F.array(*[F.lit(Decimal(BASE**k)).cast("decimal(38,0)") for k in range(4)]), power + 1)
+        rest = F.pmod(before["carry"], by)
+        carried = _whole((before["carry"] - rest) / by)
+        added = F.struct(
+            _whole(before["carry"] + term["units"]).alias("carry"), before["band"].alias("band"), before["any"].alias("any")
         )
-        return total.cast("double") * F.pow(F.lit(10.0), (band * BAND).cast("double"))
+        return F.when(gap == 0, added).otherwise(F.struct(
+            _whole(carried + term["units"]).alias("carry"), term["band"].alias("band"),
+            (before["any"] | (rest != 0) | ((gap > 3) & (carried != 0))).alias("any"),
+        ))
+
+    end = F.aggregate(
+        F.array_sort(terms), state, step,
+        lambda last: F.when(last["carry"] < 0, -1).when((last["carry"] > 0) | last["any"], 1).otherwise(0),
+    )
+    return end
+
 
-    return F.aggregate(bands, F.lit(0.0), lambda s, band: s + of_band(band))
+def _negated(terms: Column) -> Column:
+    return F.transform(terms, lambda x: F.struct(x["band"].alias("band"), (-x["units"]).alias("units")))
 
 
 def total_detail(
@@ -189,8 +263,9 @@ def total_detail(
     Headers without details compare with 0, details without header are ignored. Details
     are summed per key first; equal headers of a key are counted together, and header keys
     that are hot even so are spread in the join. Whole numbers and decimals are added as they
-    are, doubles as the decimals they are written as, of any size (``banded``): nothing is
-    rounded and the order of rows does not matter. NaN and infinities differ from everything.
+    are, doubles as the decimals they are written as, of any size and with carries (``limbs``,
+    ``sign_of``): nothing is rounded, the tolerance is compared as the decimal it is written as, and the
+    order of rows does not matter. NaN and infinities differ from everything.
     """
     header_keys = [h for h, _ in pairs]
     kept = detail.filter(all_not_null([d for _, d in pairs]))
@@ -198,31 +273,38 @@ def total_detail(
     floats = _is_float(total, total_column) or _is_float(detail, detail_column)
     total_value, detail_value = F.col(quoted(total_column)), F.col(quoted(detail_column))
     counted = total.filter(total_value.isNotNull())
+    quoted_keys = [quoted(h) for h in header_keys]
     if floats:
+        detail_value, total_value = detail_value.cast("double"), total_value.cast("double")
+        none = F.array().cast(f"array<{LIMB}>")
         per_band = (
             kept.filter(detail_value.isNotNull())
-            .select(*named, banded(detail_value.cast("double")).alias("_b"))
-            .groupBy(*header_keys, "_b.band")
-            .agg(F.sum("_b.units").cast("decimal(38,0)").alias("units"), F.max("_b.odd").alias("odd"))
+            .select(*named, odd(detail_value).alias("_o"), F.inline(limbs(detail_value)))
+            .filter("units <> 0 OR _o")
+            .groupBy(*quoted_keys, "band")
+            .agg(_whole(F.sum("units")).alias("units"), F.max("_o").alias("odd"))
         )
-        # at most 55 bands a key
-        sums = per_band.groupBy(*header_keys).agg(
-            F.collect_list(F.struct("band", F.coalesce("units", F.lit(0)).cast("decimal(38,0)").alias("units"))).alias("_detail"),
+        # at most 60 bands a key
+        sums = per_band.groupBy(*quoted_keys).agg(
+            F.collect_list(F.when(F.col("units").isNotNull(), F.struct("band", "units"))).alias("_detail"),
             F.max("odd").alias("_odd"),
         )
-        value = banded(total_value.cast("double")).alias("_total")
     else:
         sums = kept.groupBy(*named).agg(F.sum(detail_value).alias("_detail"))
-        value = total_value.alias("_total")
-    headers = counted.groupBy(*[F.col(quoted(h)).alias(h) for h in header_keys], value).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    headers = counted.groupBy(
+        *[F.col(quoted(h)).alias(h) for h in header_keys], total_value.alias("_total")
+    ).agg(F.count(F.lit(1)).alias("_n"))
     joined = spread_left_join(headers, sums, header_keys, hot_from=total)
     if floats:
-        own = F.array(F.struct(F.col("_total.band").alias("band"), F.coalesce("_total.units", F.lit(0)).cast("decimal(38,0)").alias("units")))
-        none = F.array().cast("array<struct<band:int,units:decimal(38,0)>>")
-        gap = F.abs(_difference(own, F.coalesce("_detail", none)))
-        differs = (gap > tolerance) | F.col("_total.odd") | F.coalesce("_odd", F.lit(False))
+        strange = odd(F.col("_total")) | F.coalesce("_odd", F.lit(False))
+        own = F.when(strange, none).otherwise(limbs(F.col("_total")))
+        gap = F.concat(own, _negated(F.coalesce("_detail", none)))
+        if tolerance:
+            within = _negated(limbs_of(float(tolerance)))
+            signs = _let(gap, lambda g: (sign_of(F.concat(g, within)) > 0) | (sign_of(F.concat(_negated(g), within)) > 0))
+        else:
+            signs = sign_of(gap) != 0
+        differs = strange | signs
     else:
         differs = F.abs(F.col("_total") - F.coalesce("_detail", F.lit(0))) > tolerance
     checked = joined.agg(

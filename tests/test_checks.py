@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,61 @@ def test_double_totals_do_not_depend_on_row_order(spark):
     assert found.violation_count == 0
 
 
+def test_whole_totals_of_details_with_cents(spark):
+    rng = random.Random(1)
+    totals = [(k, float(rng.randrange(10**7, 10**8))) for k in range(2000)]
+    details = []
+    for k, total in totals:
+        part = Decimal(rng.randrange(1, 10**9)) / 100
+        details += [(k, float(part)), (k, float(Decimal(total) - part))]
+    headers = spark.createDataFrame(totals, "k int, total double")
+    found = consistency.total_detail(headers, spark.createDataFrame(details, "k int, amount double"), "total", "amount", [("k", "k")])
+    assert tuple(found.first()) == (2000, 0, 0.0)
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 4e-7, 0.01, 1e20])
+def test_totals_are_those_of_decimals(spark, tolerance):
+    rng = random.Random(2)
+    pool = [0.1, -0.1, 1e23, -1e23, 1e-300, 1e300, -1e300, 4e-7, 5e-324, 123456.78, -0.0, 9999999.99, 1e7, 12345678901234567.0]
+    totals, details, wrong = [], [], 0
+    with localcontext() as context:
+        context.prec = 1000
+        for k in range(400):
+            own = [rng.choice(pool) * rng.choice([1, 1, 3]) for _ in range(rng.randint(0, 5))]
+            exact = sum((Decimal(repr(x)) for x in own), Decimal(0))
+            totals.append((k, rng.choice([float(exact), 0.0, float(exact) + rng.choice([4e-7, 0.01, -0.01]), own[0] if own else 1.0])))
+            details += [(k, x) for x in own]
+        numbers = spark.createDataFrame([(x,) for x in {*(x for _, x in totals + details)}], "x double")
+        written = {r.x: Decimal(r.text) for r in numbers.select("x", F.col("x").cast("string").alias("text")).collect()}
+        limit = Decimal(repr(tolerance))
+        for k, total in totals:
+            wrong += abs(written[total] - sum((written[x] for i, x in details if i == k), Decimal(0))) > limit
+    rng.shuffle(details)
+    found = consistency.total_detail(
+        spark.createDataFrame(totals, "k int, total double"),
+        spark.createDataFrame(details, "k int, amount double").repartition(3), "total", "amount", [("k", "k")], tolerance,
+    ).first()
+    assert (found.checked_count, found.violation_count) == (400, wrong)
+
+
+def test_limbs_hold_sums_of_many_rows(spark):
+    """Bands as 10**10 rows of the largest limbs would leave them."""
+    most = (consistency.BASE - 1) * 10**10
+    terms = [(0, most), (1, most), (2, -most), (4, 1)]
+    exact = sum(Decimal(u) * Decimal(10) ** (consistency.BAND * b) for b, u in terms)
+    rows = [([(b, Decimal(u)) for b, u in part],) for part in (terms, [(b, -u) for b, u in terms], [], [(0, most), (0, -most)], [(-20, -1), (20, 1)], [(0, consistency.BASE), (1, -1)])]
+    frame = spark.createDataFrame(rows, f"t array<{consistency.LIMB}>").coalesce(1)
+    sign = 1 if exact > 0 else -1
+    assert [r[0] for r in frame.select(consistency.sign_of(F.col("t"))).collect()] == [sign, -sign, 0, 0, 1, 0]
+
+
+def test_odd_numbers_differ(spark):
+    headers = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 1.0), (4, 0.0)], "k int, total double")
+    details = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 1.0), (3, float("nan"))], "k int, amount double")
+    found = consistency.total_detail(headers, details, "total", "amount", [("k", "k")], 1e300).first()
+    assert (found.checked_count, found.violation_count) == (4, 3)
+
+
 def test_status_terminal(spark):
     at = datetime(2024, 1, 1)
     events = spark.createDataFrame(

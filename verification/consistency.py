@@ -176,6 +176,38 @@ def total_detail(lab: Lab) -> DataFrame:
     return consistency.pattern_checks(lab.registry, planned(lab, "total_detail"))
 
 
+# whole totals of eight digits, each the sum of two details with cents; some are a cent or two off
+LARGE_TOTALS = "SELECT o_orderkey AS order_id, CAST(10000000 + o_orderkey AS DOUBLE) AS total FROM {orders}"
+LARGE_DETAILS = """
+    SELECT o_orderkey AS order_id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM {orders}
+    UNION ALL
+    SELECT o_orderkey, CAST(CAST(10000000 + o_orderkey AS DECIMAL(18,2)) - CAST(o_totalprice AS DECIMAL(18,2))
+        + CASE WHEN o_orderkey % 97 = 0 THEN 0.01 WHEN o_orderkey % 89 = 0 THEN 0.02 ELSE 0.00 END AS DOUBLE)
+    FROM {orders}"""
+
+
+def _large_sql(tolerance: str) -> str:
+    totals, details = (text.replace("{orders}", "orders") for text in (LARGE_TOTALS, LARGE_DETAILS))
+    return f"""
+        SELECT '{tolerance}' AS tolerance, count(*) AS c, count(*) FILTER (
+            WHERE abs(CAST(h.total AS DECIMAL(28,2)) - d.amount) > CAST('{tolerance}' AS DECIMAL(28,2))) AS v
+        FROM ({totals}) h JOIN (SELECT order_id, sum(CAST(amount AS DECIMAL(28,2))) AS amount
+                                FROM ({details}) GROUP BY order_id) d ON h.order_id = d.order_id"""
+
+
+@check("total_detail_large", f"""
+    SELECT tolerance, c AS checked_count, v AS violation_count, {share("v", "c")} AS violation_pct
+    FROM ({_large_sql("0.00")} UNION ALL {_large_sql("0.01")})""")
+def total_detail_large(lab: Lab) -> DataFrame:
+    totals, details = lab.sql(LARGE_TOTALS), lab.sql(LARGE_DETAILS)
+    found = [
+        consistency.total_detail(totals, details, "total", "amount", [("order_id", "order_id")], float(t))
+        .select(F.lit(t).alias("tolerance"), "*")
+        for t in ("0.00", "0.01")
+    ]
+    return found[0].unionByName(found[1])
+
+
 LATEST = """latest AS (SELECT user_id, arg_max(state, (event_at, event_id)) AS state
                 FROM event_history GROUP BY user_id)"""
 
