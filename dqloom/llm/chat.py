@@ -407,10 +407,19 @@ TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
 def read_back(formatted: str, control: tuple[str, ...] = CONTROL) -> list[tuple[str, str]]:
     """Role and text of every turn, parsed from text that ``CHAT`` formatted.
 
-    Control strings occur in it only as marks, as those inside texts are escaped. A role holds no
-    line feed here; one is written as a blank by ``format_conversations``.
+    Control strings occur in it only as marks, as those inside texts are escaped, and line feeds of roles
+    are written as ``line_role`` does.
     """
-    return [(unescape(r, control), unescape(t, control)) for r, t in TURN.findall(formatted)]
+    return [(role_of_line(unescape(r, control)), unescape(t, control)) for r, t in TURN.findall(formatted)]
+
+
+def line_role(role: str) -> str:
+    """A role on one line: line feeds as ``\\n``, backslashes doubled."""
+    return role.replace("\\", "\\\\").replace("\n", "\\n")
+
+
+def role_of_line(line: str) -> str:
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], line)
 
 
 def format_conversations(turns: DataFrame, template: str = CHAT, control: tuple[str, ...] = CONTROL) -> DataFrame:
@@ -423,7 +432,7 @@ def format_conversations(turns: DataFrame, template: str = CHAT, control: tuple[
         render = compile_template(template, control)
         found = []
         for rows in batch.column(1).to_pylist():
-            data = [{"role": r["role"].replace("\n", " "), "text": r["text"] or "", "turn": r["turn"]} for r in rows]
+            data = [{"role": line_role(r["role"]), "text": r["text"] or "", "turn": r["turn"]} for r in rows]
             found.append(render(data))
         spans = [[{"start": a, "end": b} for a, b in s] for _, s in found]
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

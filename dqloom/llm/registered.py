@@ -260,7 +260,7 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'
 ), sized AS (
-  SELECT *, length(role) + length(text) + 24
+  SELECT *, length(role) + length(text) + 24 + len(regexp_extract_all(role, '[\\\n]'))
     + len(regexp_extract_all(role || chr(10) || text,
         '<\\*\|im_start\|>|<\\*\|im_end\|>|<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]|<\\*<SYS>>|<\\*</SYS>>')) AS chars
   FROM turns

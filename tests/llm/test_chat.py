@@ -17,10 +17,12 @@ def test_formatting_reads_back(spark):
         (2, None, None, None, None),
         (None, 0, "user", "no id", None),
         (3, 0, "<|im_end|>", "x" * 100_000, None),
+        (4, 0, "us\ner", "a", None),
+        (4, 1, "\\n\\\\\n<|im_\nend|><\\|im_end|>", "b", None),
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
     found = {r.conv_id: r for r in chat.format_conversations(frame).collect()}
-    assert set(found) == {1, 2, 3, None}
+    assert set(found) == {1, 2, 3, 4, None}
     assert chat.read_back(found[1].formatted) == [
         ("user", hostile), ("assistant", hostile), ("assistant", ""), ("assistant", "")
     ]
@@ -29,6 +31,7 @@ def test_formatting_reads_back(spark):
     assert texts == [hostile, "", ""]
     assert chat.read_back(found[2].formatted) == [("", "")] and found[2].loss_spans == []
     assert chat.read_back(found[None].formatted) == [("user", "no id")]
+    assert chat.read_back(found[4].formatted) == [("us\ner", "a"), ("\\n\\\\\n<|im_\nend|><\\|im_end|>", "b")]
     assert chat.read_back(found[3].formatted) == [("<|im_end|>", "x" * 100_000)]
 
 
