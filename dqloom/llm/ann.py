@@ -97,8 +97,12 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -
 
 
 def fit(rows: DataFrame, count: int, full: float) -> Index:
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v")
-    x = filled_up(np.array([r["v"] for r in sample.collect()], np.float64), full)
+    # under a bound that some more rows than needed are expected to meet; equal rows count once
+    bound = min(2**63 - 1, int(-(2**63) + 2**64 * (1.1 * SAMPLE + 500) / max(1, count)))
+    place = F.xxhash64("id")
+    sample = rows.where(place <= bound).select(place.alias("place"), "id", "v").distinct().collect()
+    sample = sorted(sample, key=lambda r: (r["place"], r["id"], r["v"]))[:SAMPLE]
+    x = filled_up(np.array([r["v"] for r in sample], np.float64), full)
     centroids = balanced_centroids(x, min(MOST_LISTS, max(1, round(math.sqrt(count)))))
     far = (centroids**2).sum(1) - 2 * centroids @ centroids.T
     graph = np.argsort(far, 1)[:, 1 : NEIGHBOURS + 1]

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqloom.llm.common import arrow_pass, carrying, slices
@@ -125,11 +125,8 @@ def fit(windows: list[bytes], languages: list[str], seed: int = 7) -> Model:
 def train(docs: DataFrame, usable: Column, id_column: str = "doc_id") -> Model:
     """Fit on a bounded sample of the rows with text and language for which ``usable`` holds."""
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = rows.select("lang").distinct().count()
-    each = min(900, max(1, SAMPLE_ROWS // max(1, languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(id_column), id_column)
-    ids = rows.select(id_column, "lang").withColumn("place", F.row_number().over(order))
-    chosen = [r[0] for r in ids.where(F.col("place") <= each).select(id_column).collect()]
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    each = min(900, max(1, SAMPLE_ROWS // max(1, len(counts))))
     data = F.encode("text", "UTF-8")
 
     def window(i: int) -> Column:
@@ -137,10 +134,22 @@ def train(docs: DataFrame, usable: Column, id_column: str = "doc_id") -> Model:
         start = F.pmod(F.xxhash64(F.lit(i), F.col(id_column)), room) + 1
         return F.substring(data, start.cast("int"), F.lit(WINDOW))
 
-    picked = rows.where(F.col(id_column).isin(chosen)).select(
-        id_column, "lang", F.array(*[window(i) for i in range(WINDOWS_PER_ROW)]).alias("windows")
-    )
-    found = sorted(picked.collect(), key=repr)
+    if not counts:
+        return fit([], [])
+    # what lies under a bound that some more rows than needed are expected to meet; the driver keeps the first
+    place = F.xxhash64(id_column)
+    bounds = {name: min(2**63 - 1, int(-(2**63) + 2**64 * (1.3 * each + 60) / n)) for name, n in counts.items()}
+    bound = F.element_at(F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair]), F.col("lang"))
+    windows = F.array(*[window(i) for i in range(WINDOWS_PER_ROW)])
+    # rows that share an id are one
+    picked = rows.where(place <= bound).groupBy("lang", F.col(id_column).alias("id")).agg(F.min(windows).alias("windows"))
+    by_language: dict[str, list] = {}
+    for row in picked.select("lang", "id", F.xxhash64("id").alias("place"), "windows").collect():
+        by_language.setdefault(row["lang"], []).append(row)
+    found = []
+    for own in by_language.values():
+        found += sorted(own, key=lambda r: (r["place"], r["id"]))[:each]
+    found.sort(key=lambda r: (r["id"], r["lang"]))
     pairs = [(bytes(b), r["lang"]) for r in found for b in r["windows"] if b]
     return fit([p[0] for p in pairs], [p[1] for p in pairs])
 
@@ -183,10 +192,10 @@ class Folded:
         return _softmax(active @ self.out + self.out_bias)
 
 
-def predict_texts(folded: Folded, languages: tuple[str, ...], texts: list[str | None]) -> list[tuple[str, float]]:
-    """Language and score of every text."""
+def predict_texts(folded: Folded, languages: tuple[str, ...], texts: list[str | None]) -> list[tuple[str, float, float]]:
+    """Language, score and certainty (mean of each window's largest probability) of every text."""
     known = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
-    out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+    out: list[tuple[str, float, float]] = [(UNKNOWN, 0.0, 0.0)] * len(texts)
     if not languages or not known:
         return out
     data = [texts[i].encode() for i in known]
@@ -199,20 +208,27 @@ def predict_texts(folded: Folded, languages: tuple[str, ...], texts: list[str |
     weight[ends - 1] = [len(d) - (n - 1) * WINDOW for d, n in zip(data, counts)]
     total = np.add.reduceat(scored * weight[:, None], ends - counts, axis=0)
     mean = total / np.add.reduceat(weight, ends - counts)[:, None]
+    sure = np.add.reduceat(scored.max(1) * weight, ends - counts) / np.add.reduceat(weight, ends - counts)
     best = mean.argmax(1)
-    for i, k, p in zip(known, best.tolist(), mean[np.arange(len(best)), best].tolist()):
-        out[i] = (languages[k], min(1.0, p))
+    for i, k, p, s in zip(known, best.tolist(), mean[np.arange(len(best)), best].tolist(), sure.tolist()):
+        out[i] = (languages[k], min(1.0, p), min(1.0, s))
     return out
 
 
 def with_language(docs: DataFrame, model: Model, carried: list[str]) -> DataFrame:
-    """The carried columns with ``lang_pred`` and ``score``."""
+    """The carried columns with ``lang_pred``, ``score`` and ``certainty``.
+
+    The score is the share of the winning language, the certainty that of each window's own.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     languages = model.languages
+    built: list[Folded] = []  # once a task
 
     def make(batch):
         texts = batch.column(0).to_pylist()
-        folded = Folded(shared.value) if languages else None
+        if languages and not built:
+            built.append(Folded(shared.value))
+        folded = built[0] if built else None
         found = []
         for a, b in slices(np.array([len(t or "") for t in texts]), 500_000):
             found += predict_texts(folded, languages, texts[a:b])
@@ -220,10 +236,11 @@ def with_language(docs: DataFrame, model: Model, carried: list[str]) -> DataFram
             **{name: batch.column(k + 1) for k, name in enumerate(carried)},
             "lang_pred": pa.array([f[0] for f in found], pa.string()),
             "score": pa.array([f[1] for f in found], pa.float64()),
+            "certainty": pa.array([f[2] for f in found], pa.float64()),
         }
 
     frame = docs.select(F.col("text").alias("_text"), *carried)
-    return arrow_pass(frame, make, carrying(docs, carried, "lang_pred string, score double"))
+    return arrow_pass(frame, make, carrying(docs, carried, "lang_pred string, score double, certainty double"))
 
 
 def held_out(id_column: str = "doc_id") -> Column:
