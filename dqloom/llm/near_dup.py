@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import LOWER, RangeHash, arrow_pass, cut, drop, mix, slices
+from dqloom.functions.text import quoted
+from dqloom.llm.common import LOWER, RangeHash, arrow_pass, cut, drop, in_rows, mix, slices
 from dqloom.llm.components import components
 
 WORDS = 5
@@ -206,14 +207,19 @@ def find_groups(docs: DataFrame) -> DataFrame:
     labels = components(links)
     # a member outside the first one's component meets other members: some probes, then all that are left
     held = cut(_open_buckets(shared, labels), "open-buckets")
+    drop(shared)
     for turn in range(PROBES + 1):
-        pairs = _probed(held, labels, turn) if turn < PROBES else _across(docs, held, labels)
+        used: list[DataFrame] = []
+        pairs = _probed(held, labels, turn) if turn < PROBES else _across(docs, held, labels, used)
         pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        for table in used:
+            drop(table)
         if pairs.isEmpty():
             continue
         tried = tried.union(pairs)
         links = links.union(verified(docs, pairs))
         labels = components(links)
+    drop(held)
     own = linked.join(classes.select(*same, "rep"), same).select("doc_id", "rep")
     merged = _with_repeats(own, labels)
     found = signed.select("doc_id", "n_shingles").join(merged, "doc_id", "left")
@@ -259,13 +265,15 @@ def _pairs(outside: DataFrame, others: DataFrame, reach: DataFrame | None = None
     return joined.select(F.greatest("x", "rep").alias("a"), F.least("x", "rep").alias("b")).distinct()
 
 
-def _reach(docs: DataFrame, shared: DataFrame) -> DataFrame:
+def _reach(docs: DataFrame, shared: DataFrame, used: list[DataFrame]) -> DataFrame:
     """For every member of the buckets, how many of its shingles another member has."""
     ids = shared.select(F.col("rep").alias("doc_id")).distinct()
     sets = cut(_sets_of(docs, ids), "open-sets")  # an id with two sets counts for both: a bound all the same
     each = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("s"))
     common = each.groupBy("s").agg(F.count("*").alias("k")).where("k > 1").select("s")
-    return cut(each.join(common, "s").groupBy("rep").agg(F.count("*").alias("c")), "reach")
+    used.append(cut(each.join(common, "s").groupBy("rep").agg(F.count("*").alias("c")), "reach"))
+    drop(sets)
+    return used[-1]
 
 
 def _probed(shared: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -280,11 +288,12 @@ def _probed(shared: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return _pairs(placed.where("component <> head"), chosen.select("band", "key", "m.rep", "m.n", "m.component"))
 
 
-def _across(docs: DataFrame, shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members outside with all others of their buckets that they can be similar to."""
+def _across(docs: DataFrame, shared: DataFrame, labels: DataFrame, used: list[DataFrame]) -> DataFrame:
+    """Members outside with all others of their buckets that they can be similar to; ``used`` gets what it wrote."""
     left = cut(_open_buckets(shared, labels), "open-buckets")
+    used.append(left)
     placed = _placed(left, labels)
-    return _pairs(placed.where("component <> head"), placed, _reach(docs, left))
+    return _pairs(placed.where("component <> head"), placed, _reach(docs, left, used))
 
 
 def _with_repeats(own: DataFrame, labels: DataFrame) -> DataFrame:
@@ -304,12 +313,22 @@ def _with_repeats(own: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group, with all columns; rows that repeat an id are one document."""
-    found = cut(find_groups(docs), "groups")
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeats = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    """One document of each group, with all columns: the one with the smallest id.
+
+    Rows without id are kept. Where ids repeat, rows are told apart by their place in a written table: rows that share
+    an id and no text are no group, and of rows with one id the first of that table stays.
+    """
+    repeats = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if repeats.isEmpty():
-        return kept
-    named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id IS NULL"))
+        found = cut(find_groups(docs), "groups")
+        gone = found.where("NOT kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*map(quoted, docs.columns))
+    numbered = in_rows(docs).select("text", "row", F.monotonically_increasing_id().alias("place"))
+    numbered = cut(numbered, "numbered")
+    named = numbered.where("row.doc_id IS NOT NULL")
+    groups = find_groups(named.select(F.col("place").alias("doc_id"), "text"))
+    ids = named.select("place", F.col("row.doc_id").cast("long").alias("id"))
+    placed = groups.select(F.col("doc_id").alias("place"), "component_id").join(ids, "place")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("id", "place")).alias("first"))
+    kept = numbered.join(cut(first.select(F.col("first.place").alias("place")), "kept"), "place", "left_semi")
+    return kept.select("row.*").unionByName(numbered.where("row.doc_id IS NULL").select("row.*"))

@@ -45,7 +45,9 @@ def test_ids_that_repeat(spark):
     docs = spark.createDataFrame([(1, a), (3, b), (3, a), (5, b), (5, b), (7, "z")], "doc_id long, text string")
     found = {(r.doc_id, r.component_id) for r in near_dup.find_groups(docs).collect()}
     assert found == {(1, 1), (3, 1), (5, 1), (7, 7)}
-    assert sorted(r.doc_id for r in near_dup.keep_first(docs).collect()) == [1, 7]
+    assert sorted(r.doc_id for r in near_dup.keep_first(docs).collect()) == [1, 3, 7]
+    unlike = spark.createDataFrame([(1, a, "x"), (1, b, "y"), (None, a, "z"), (2, None, "v")], "doc_id long, text string, row string")
+    assert sorted(r.row for r in near_dup.keep_first(unlike).collect()) == ["v", "x", "y", "z"]
     alone = spark.createDataFrame([(5, b), (5, b)], "doc_id long, text string")
     assert near_dup.keep_first(alone).count() == 1
 
