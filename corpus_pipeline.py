@@ -13,38 +13,48 @@ from dqloom.llm.common import cut, in_rows
 from dqloom.llm.registered import BYTE_BPE, table
 
 
-#: Documents whose best language has less than this score are rejected.
-LEAST_SCORE = 0.4
+#: Documents whose windows are identified with less certainty than this on average are rejected.
+LEAST_CERTAINTY = 0.4
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents written in a language the network has learnt; texts without letters go."""
+    """Documents written in languages the network has learnt; texts without letters go.
+
+    What counts is how surely each window is identified, so a document in several languages stays. Null and empty texts
+    go; rows are judged one by one, whatever their ids. An empty table stays empty; without any labelled text all rows go.
+    """
     model = langid.train(docs, langid.learnable())
     found = langid.with_language(in_rows(docs), model, ["row"])
-    sure = (found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= LEAST_SCORE)
+    sure = (found["lang_pred"] != langid.UNKNOWN) & (found["certainty"] >= LEAST_CERTAINTY)
     return found.where(sure).select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows without id or without words are kept. Rows that repeat an id are judged by their texts; of equal ones the first stays.
+    """
     return near_dup.keep_first(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the 50-byte strings that a document with a smaller id has.
 
-    ``n_chars`` stays what it was.
+    ``n_chars`` stays what it was. Null texts stay null or become empty; rows with equal ids take nothing from each other.
     """
     return suffix_dedup.without_repeats(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark; null and empty texts hold none."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of 2048 ids: each document's pieces and their places."""
+    """Training sequences of 2048 ids: each document's pieces and their places.
+
+    A null or empty text is its end id. Rows that repeat an id are packed each for itself.
+    """
     return packing.pack_documents(docs, BYTE_BPE, 2048, 1)
 
 
