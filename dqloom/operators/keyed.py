@@ -6,6 +6,8 @@ several tasks, or both. Nothing collects a group in one task, nothing is dropped
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 from functools import reduce
 
@@ -230,111 +232,102 @@ def group_sizes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def with_time_chunk(
-    frame: DataFrame, entity: Sequence[str], time: str, width_hours: int
-) -> DataFrame:
-    """Add ``_entity``, the entity key as one value, and ``_chunk``, the period of a row.
-
-    Both are pure functions of the row, so any recomputation puts the row in the same
-    place. Periods are cut by the calendar and never decrease with time. NULL keys are
-    fields of a struct, which makes them equal to each other in a plain join.
-    """
-    hours = F.unix_date(F.to_date(time)) * 24 + F.hour(time)
-    return frame.withColumn("_entity", F.struct(*entity)).withColumn(
-        "_chunk", F.floor(hours / F.lit(width_hours))
-    )
+#: A history is cut only where it has more rows than this, and than half a shuffle partition.
+LEAST_SEGMENT = 10_000
+SAMPLED = 50  # rows that the sample of a segment has, about
 
 
-def _in_chunk(*order: str) -> WindowSpec:
-    return Window.partitionBy("_entity", "_chunk").orderBy(*order)
+def _order_of(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def _earlier_chunks() -> WindowSpec:
-    return (
-        Window.partitionBy("_entity")
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-
+def split_points(frame: DataFrame, entity: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """Where the histories of large entities are cut: e0, e1, ... and the sorted ``points``, or nothing.
 
-def with_previous(
-    frame: DataFrame,
-    entity: Sequence[str],
-    time: str,
-    tie: Sequence[str],
-    values: Sequence[str],
-    width_hours: int = 24,
-) -> DataFrame:
-    """Add ``prev_<value>``: the values of the entity's previous row in (time, tie) order.
-
-    The order is taken per (entity, period), so the history of a hot entity is cut in
-    pieces of bounded time instead of being sorted in one task. Only the first row of each
-    period still lacks its previous row; these rows, one per period, carry the last values
-    of their period and hand them on to the next in a second, small ordering.
+    A sample by hash of the row's place, some ``SAMPLED`` rows a segment, tells which entities fill more than half a
+    shuffle partition and where in (time, tie) order each half ends. There are about two points a partition; they
+    are read when the plan is built, so every use and every recomputation cuts alike.
     """
-    chunked = with_time_chunk(frame, entity, time, width_hours)
-    carried = F.struct(*[F.col(v).alias(v) for v in values])
-    inside = _in_chunk(time, *tie)
-    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = chunked.select(
-        "*",
-        F.lag(carried).over(inside).alias("_prev"),
-        F.last(carried).over(whole).alias("_last"),
-        (F.row_number().over(inside) == 1).alias("_first"),
+    parts = 2 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = frame.count()
+    segment = max(LEAST_SEGMENT, total // parts)
+    if total <= segment:
+        return None
+    every = max(1, segment // SAMPLED)
+    names = [f"e{i}" for i in range(len(entity))]
+    place = F.xxhash64(*[F.col(quoted(c)) for c in (*entity, *order)])
+    sample = frame.where(F.pmod(place, F.lit(every)) == 0).select(
+        *[F.col(quoted(c)).alias(n) for c, n in zip(entity, names)], _order_of(order).alias("o")
     )
-    across = Window.partitionBy("_entity").orderBy("_chunk")
-    firsts = ranked.filter("_first").withColumn("_prev", F.lag("_last").over(across))
-    both = firsts.unionByName(ranked.filter("NOT _first"))
-    return both.select(
-        *frame.columns, *[F.col(f"_prev.{v}").alias(f"prev_{v}") for v in values]
+    of_entity = Window.partitionBy(*names)
+    numbered = sample.select(
+        "*", F.row_number().over(of_entity.orderBy("o")).alias("i"), F.count(F.lit(1)).over(of_entity).alias("n")
     )
+    step = max(1, segment // every)
+    chosen = numbered.where((F.col("n") > step) & (F.col("i") % step == 0))
+    points = chosen.groupBy(*names).agg(F.sort_array(F.collect_set("o")).alias("points"))
+    found = points.collect()
+    return frame.sparkSession.createDataFrame(found, points.schema) if found else None
 
 
-def with_version(
+def scanned(
     frame: DataFrame,
     entity: Sequence[str],
-    time: str,
-    tie: Sequence[str],
-    width_hours: int = 24,
+    order: Sequence[str],
+    previous: Sequence[str] = (),
+    version: bool = False,
+    running_max: str | None = None,
 ) -> DataFrame:
-    """Add ``version``: the entity's rows numbered from 1 in (time, tie) order.
+    """Histories in ``order``: ``prev_<value>`` of the row before, ``version`` from 1, ``max_before``.
 
-    Two levels as in :func:`with_previous`: numbers inside a period plus the rows of the
-    earlier periods, joined on the partitioning the numbering already has.
+    A segmented scan. Large entities are cut at ``split_points``, rows are ordered once per (entity, segment), and what a
+    segment hands on to the next (its rows, its maximum, its last values) is added up before the shuffle and joined back as
+    one row per segment of a large entity. So neither an entity with most of the rows nor the NULL entity nor
+    many rows at one time are ordered in one task; only rows equal in all columns of the order stay together.
+    Rows equal in the order are told apart by their other columns.
     """
-    chunked = with_time_chunk(frame, entity, time, width_hours)
-    ranked = chunked.withColumn("_number", F.row_number().over(_in_chunk(time, *tie)))
-    earlier = (
-        chunked.groupBy("_entity", "_chunk")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_entity", "_chunk", F.sum("_rows").over(_earlier_chunks()).alias("_earlier"))
-    )
-    joined = ranked.join(earlier, ["_entity", "_chunk"], "left")
-    version = F.col("_number") + F.coalesce("_earlier", F.lit(0))
-    return joined.select(*frame.columns, version.alias("version"))
-
-
-def with_running_max(
-    frame: DataFrame,
-    entity: Sequence[str],
-    time: str,
-    tie: Sequence[str],
-    value: str,
-    width_hours: int = 24 * 30,
-) -> DataFrame:
-    """Add ``max_before``: the largest ``value`` of the entity's earlier rows.
-
-    Two levels as in :func:`with_version`: inside a period, and over period maxima.
-    """
-    chunked = with_time_chunk(frame, entity, time, width_hours)
-    before = _in_chunk(time, *tie).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = chunked.withColumn("_inside", F.max(value).over(before))
-    peaks = (
-        chunked.groupBy("_entity", "_chunk")
-        .agg(F.max(value).alias("_peak"))
-        .select("_entity", "_chunk", F.max("_peak").over(_earlier_chunks()).alias("_carried"))
-    )
-    joined = ranked.join(peaks, ["_entity", "_chunk"], "left")
-    return joined.select(
-        *frame.columns, F.greatest("_inside", "_carried").alias("max_before")
+    points = split_points(frame, entity, order)
+    keys = [quoted(e) for e in entity]
+    whole = F.xxhash64(*[F.col(quoted(c)) for c in frame.columns if not isinstance(frame.schema[c].dataType, T.MapType)])
+    placed = frame.withColumn("_row", whole)
+    if points is None:
+        placed = placed.withColumn("_segment", F.lit(0))
+    else:
+        listed = F.broadcast(points)  # about two points a shuffle partition
+        same = [F.col(quoted(e)).eqNullSafe(points[f"e{i}"]) for i, e in enumerate(entity)]
+        met = placed.join(listed, functools.reduce(operator.and_, same), "left")
+        before = F.size(F.filter("points", lambda point: point < _order_of(order)))
+        placed = met.withColumn("_segment", F.when(F.col("points").isNull(), 0).otherwise(before + 1))
+    inside = Window.partitionBy(*keys, "_segment").orderBy(*map(quoted, order), "_row")
+    values = F.struct(*[F.col(quoted(v)).alias(f"v{i}") for i, v in enumerate(previous)]) if previous else F.lit(None)
+    highest = F.col(quoted(running_max)) if running_max else F.lit(None)
+    ranked = placed.select(
+        *[F.col(quoted(c)) for c in frame.columns], "_segment",
+        F.row_number().over(inside).alias("_number"),
+        F.lag(values).over(inside).alias("_prev"),
+        F.max(highest).over(inside.rowsBetween(Window.unboundedPreceding, -1)).alias("_max"),
     )
+    if points is not None:
+        names = [f"_e{i}" for i in range(len(entity))]
+        large = placed.where("_segment > 0").select(
+            *[F.col(quoted(e)).alias(n) for e, n in zip(entity, names)], F.col("_segment").alias("_s"),
+            values.alias("v"), highest.alias("h"), F.struct(_order_of(order).alias("o"), "_row").alias("o"),
+        )
+        summed = large.groupBy(*names, "_s").agg(
+            F.count(F.lit(1)).alias("n"), F.max("h").alias("h"), F.max_by("v", "o").alias("v")
+        )
+        across = Window.partitionBy(*names).orderBy("_s")
+        earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+        handed = summed.select(
+            *names, "_s", F.sum("n").over(earlier).alias("_n"), F.max("h").over(earlier).alias("_h"),
+            F.lag("v").over(across).alias("_v"),
+        )
+        same = [F.col(quoted(e)).eqNullSafe(F.col(n)) for e, n in zip(entity, names)]
+        ranked = ranked.join(handed, functools.reduce(operator.and_, [*same, F.col("_segment") == F.col("_s")]), "left")
+        ranked = ranked.withColumn("_prev", F.when(F.col("_number") == 1, F.col("_v")).otherwise(F.col("_prev")))
+        ranked = ranked.withColumn("_number", F.col("_number") + F.coalesce("_n", F.lit(0)))
+        ranked = ranked.withColumn("_max", F.greatest("_max", "_h"))
+    added = [F.col(f"_prev.v{i}").alias(f"prev_{v}") for i, v in enumerate(previous)]
+    added += [F.col("_number").cast("bigint").alias("version")] if version else []
+    added += [F.col("_max").alias("max_before")] if running_max else []
+    return ranked.select(*[F.col(quoted(c)) for c in frame.columns], *added)

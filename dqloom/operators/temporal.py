@@ -8,22 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqloom.functions.numbers import pct
-from dqloom.operators.keyed import (
-    key_presence,
-    spread_left_join,
-    with_previous,
-    with_running_max,
-    with_version,
-)
+from dqloom.functions.text import quoted
+from dqloom.operators.keyed import key_presence, scanned, spread_left_join
+
+
+def _columns(frame: DataFrame, names: Sequence[str]) -> DataFrame:
+    return frame.select(*[quoted(name) for name in dict.fromkeys(names)])
 
 
 def ordered_versions(
     frame: DataFrame, entity: Sequence[str], time: str, tie: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
     """Every row with its version number and the values of the version before it."""
-    numbered = with_version(frame.select(*dict.fromkeys([*entity, time, *tie, *values])),
-                            entity, time, tie)
-    return with_previous(numbered, entity, time, tie, values)
+    rows = _columns(frame, [*entity, time, *tie, *values])
+    return scanned(rows, entity, [time, *tie], previous=values, version=True)
 
 
 def interval_problems(
@@ -34,29 +32,35 @@ def interval_problems(
     Earlier is by start, then ``tie``, then end: of two intervals with one start the shorter
     is first, and an interval of length zero overlaps nothing that starts with it.
     """
-    kept = frame.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
-        *dict.fromkeys([*entity, start, end, *tie])
-    )
-    reached = with_running_max(kept, entity, start, [*tie, end], end)
+    begins, ends = F.col(quoted(start)), F.col(quoted(end))
+    kept = _columns(frame.filter(begins.isNotNull() & ends.isNotNull()), [*entity, start, end, *tie])
+    reached = scanned(kept, entity, [start, *tie, end], running_max=end)
     counted = reached.agg(
         F.count(F.lit(1)).alias("checked_count"),
-        F.count_if(F.col(start) < F.col("max_before")).alias("overlap_count"),
-        F.count_if(F.col(start) > F.col(end)).alias("reversed_count"),
+        F.count_if(begins < F.col("max_before")).alias("overlap_count"),
+        F.count_if(begins > ends).alias("reversed_count"),
     )
     return counted.withColumn("overlap_pct", pct(F.col("overlap_count"), F.col("checked_count")))
 
 
+def _stated(
+    frame: DataFrame, entity: Sequence[str], time: str, tie: Sequence[str], status: str
+) -> DataFrame:
+    """Rows that have a status and a time."""
+    stated = frame.filter(F.col(quoted(status)).isNotNull() & F.col(quoted(time)).isNotNull())
+    return _columns(stated, [*entity, time, *tie, status])
+
+
 def transitions(
     frame: DataFrame, entity: Sequence[str], time: str, tie: Sequence[str], status: str
 ) -> DataFrame:
     """``from_status, to_status, transition_count`` over consecutive rows of an entity."""
-    rows = frame.filter(F.col(status).isNotNull() & F.col(time).isNotNull()).select(
-        *dict.fromkeys([*entity, time, *tie, status])
-    )
-    steps = with_previous(rows, entity, time, tie, [status])
+    rows = _stated(frame, entity, time, tie, status)
+    steps = scanned(rows, entity, [time, *tie], previous=[status])
+    before = F.col(quoted(f"prev_{status}"))
     return (
-        steps.filter(F.col(f"prev_{status}").isNotNull())
-        .groupBy(F.col(f"prev_{status}").alias("from_status"), F.col(status).alias("to_status"))
+        steps.filter(before.isNotNull())
+        .groupBy(before.alias("from_status"), F.col(quoted(status)).alias("to_status"))
         .agg(F.count(F.lit(1)).alias("transition_count"))
     )
 
@@ -70,13 +74,11 @@ def returns_to_old_state(
     frame: DataFrame, entity: Sequence[str], time: str, tie: Sequence[str], status: str
 ) -> DataFrame:
     """Changes of state, and those that go back to a state the entity was in before."""
-    rows = frame.filter(F.col(status).isNotNull() & F.col(time).isNotNull()).select(
-        *dict.fromkeys([*entity, time, *tie, status])
-    )
-    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([time, *tie])])
-    first = rows.groupBy(*entity, status).agg(F.min(order).alias("_first"))
-    changes = with_previous(rows, entity, time, tie, [status]).filter(
-        F.col(f"prev_{status}") != F.col(status)
+    rows = _stated(frame, entity, time, tie, status)
+    order = F.struct(*[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate([time, *tie])])
+    first = rows.groupBy(*map(quoted, (*entity, status))).agg(F.min(order).alias("_first"))
+    changes = scanned(rows, entity, [time, *tie], previous=[status]).filter(
+        F.col(quoted(f"prev_{status}")) != F.col(quoted(status))
     )
     joined = spread_left_join(changes, first, [*entity, status], hot_from=rows)
     counted = joined.agg(

@@ -109,28 +109,48 @@ def history(seed, size=400):
 HISTORY = "k int, t timestamp_ntz, i int, s string, n int"
 
 
-@pytest.mark.parametrize("width", [1, 24, 24 * 365])
-def test_previous_version_and_running_max(spark, width):
-    data = history(width)
-    wanted = {}
-    groups = defaultdict(list)
+def wanted_history(data):
+    wanted, groups = {}, defaultdict(list)
     for row in data:
         groups[row[0]].append(row)
     for group in groups.values():
         group.sort(key=lambda r: (r[1], r[2]))
         for j, row in enumerate(group):
             before = group[:j]
-            wanted[row[2]] = (
-                before[-1][3] if before else None, j + 1,
-                max((r[4] for r in before), default=None),
-            )
-    frame = spark.createDataFrame(data, HISTORY)
-    previous = keyed.with_previous(frame, ["k"], "t", ["i"], ["s"], width)
-    version = keyed.with_version(frame, ["k"], "t", ["i"], width)
-    highest = keyed.with_running_max(frame, ["k"], "t", ["i"], "n", width)
-    assert {r.i: r.prev_s for r in previous.collect()} == {i: w[0] for i, w in wanted.items()}
-    assert {r.i: r.version for r in version.collect()} == {i: w[1] for i, w in wanted.items()}
-    assert {r.i: r.max_before for r in highest.collect()} == {i: w[2] for i, w in wanted.items()}
+            wanted[row[2]] = (before[-1][3] if before else None, j + 1, max((r[4] for r in before), default=None))
+    return wanted
+
+
+@pytest.mark.parametrize("segment", [1, 7, 40, 10_000])
+def test_previous_version_and_running_max(spark, monkeypatch, segment):
+    monkeypatch.setattr(keyed, "LEAST_SEGMENT", segment)
+    data = history(segment)
+    # two entities with all rows at one time, and the NULL entity
+    data += [(k, datetime(2024, 1, 1), 1000 + i * 3 + j, "abc"[i % 3], i % 50) for j, k in enumerate((77, None)) for i in range(150)]
+    wanted = wanted_history(data)
+    frame = spark.createDataFrame(data, HISTORY).withColumnRenamed("s", "s.`t")
+    found = keyed.scanned(frame, ["k"], ["t", "i"], ["s.`t", "n"], True, "n")
+    assert found.columns == [*frame.columns, "prev_s.`t", "prev_n", "version", "max_before"]
+    assert {r["i"]: (r["prev_s.`t"], r["version"], r["max_before"]) for r in found.collect()} == wanted
+    assert keyed.scanned(frame.limit(0), ["k"], ["t"], ["n"], True).count() == 0
+
+
+def test_a_large_history_is_cut(spark, monkeypatch):
+    """All rows at one time, of one entity and of the NULL entity: no segment has twice the average."""
+    monkeypatch.setattr(keyed, "LEAST_SEGMENT", 100)
+    at = datetime(2024, 1, 1)
+    frame = spark.range(8000).select(
+        F.when(F.col("id") < 5000, 1).alias("k"), F.lit(at).cast("timestamp_ntz").alias("t"), F.col("id").alias("i")
+    )
+    points = keyed.split_points(frame, ["k"], ["t", "i"]).collect()
+    assert {r.e0 for r in points} == {1, None}
+    for row, whole in ((r, 5000 if r.e0 else 3000) for r in points):
+        cuts = [p.o1 - (0 if row.e0 else 5000) for p in row.points]
+        sizes = [b - a for a, b in zip([0, *cuts], [*cuts, whole])]
+        assert max(sizes) <= 2 * 8000 // 16
+    plan = keyed.scanned(frame, ["k"], ["t", "i"], ["i"])._jdf.queryExecution().optimizedPlan().toString()
+    # one window over rows, one over the segments of large entities
+    assert plan.count("Window [") == 2 and "hint" not in plan
 
 
 def test_group_sizes_leave_out_incomplete_keys(spark):
