@@ -17,6 +17,7 @@ from dqloom.operators.keyed import union_all
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 COLUMNS_PER_AGGREGATE = 100
+PREFIX = 64  # characters that a late key keeps of a longer text
 LONG_VALUE = 1024  # bytes from which a sketch holds a value's beginning and digest
 
 
@@ -124,15 +125,26 @@ def _groupable(column: Column, data_type: T.DataType, short_text: bool) -> Colum
     return text.compact_key(column, short_text and isinstance(data_type, T.StringType))
 
 
+def late_key(column: Column) -> Column:
+    """A text of up to ``PREFIX`` characters as it is; of a longer one the beginning and a digest.
+
+    Keys are equal if and only if the texts are, and in the order of the texts as far as their beginnings tell. A
+    key of a longer text is longer than any short one.
+    """
+    digest = F.concat(F.left(column, F.lit(PREFIX)), F.lit("\x01"), F.sha2(column, 256))
+    return F.when(F.char_length(column) > PREFIX, digest).otherwise(column)
+
+
 def histogram(
-    frame: DataFrame, columns: Sequence[str], short_text: bool = False
+    frame: DataFrame, columns: Sequence[str], short_text: bool = False, late: bool = False
 ) -> tuple[DataFrame, dict[T.DataType, str]]:
     """Frequency ``n`` of every value of every column, from one scan and one shuffle.
 
     Each cell becomes a row ``column_name, v0, v1, ..`` with one slot per column type, of
     which only the slot of the cell's type is filled: values keep their type and order and
     nothing is cast. Equal cells are added up in every task before the shuffle.
-    ``short_text`` groups long texts by digest, where only their number matters.
+    ``short_text`` groups long texts by digest, where only their number matters; ``late`` groups them by
+    ``late_key``, where the texts of a few are looked up afterwards.
 
     ``filled`` (not NULL) and ``sortable`` are aggregates so that a filter on them stays
     above the shuffle: several uses of one histogram then share its scan and shuffle.
@@ -142,6 +154,8 @@ def histogram(
     for c in columns:
         data_type = frame.schema[c].dataType
         value = _groupable(F.col(quoted(c)), data_type, short_text)
+        if late and isinstance(data_type, T.StringType):
+            value = late_key(value)
         cells.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -289,19 +303,45 @@ def approximate_profile(
 
 
 def most_common(
-    values: DataFrame, slots: dict[T.DataType, str], top: int = fixed.TOP_VALUES,
-    at_least: int = 1,
+    frame: DataFrame, values: DataFrame, slots: dict[T.DataType, str], columns: Sequence[str],
+    top: int = fixed.TOP_VALUES, at_least: int = 1,
 ) -> DataFrame:
     """The ``top`` most frequent values per column, ties by smaller value.
 
-    The rank limit is applied in every task before the shuffle, so a column with very many
-    values sends only ``top`` rows per task.
+    ``values`` is a ``late`` histogram: no whole text is in it. Those whose count, and for long texts whose beginning, can
+    be among the best are picked; the rank limit works in every task before the shuffle. Their texts come from a
+    second pass over the text columns, which sends nothing but these texts, once a task.
     """
+    texts = [slot for data_type, slot in slots.items() if isinstance(data_type, T.StringType)]
     ordered = [slot for data_type, slot in slots.items() if is_orderable(data_type)]
-    order = Window.partitionBy("column_name").orderBy(F.desc("n"), *ordered)
-    return (
+    known = [F.left(slot, F.lit(PREFIX)) if slot in texts else F.col(slot) for slot in ordered]
+    by_column = Window.partitionBy("column_name")
+    best = (
         values.filter(F.col("sortable") & (F.col("n") >= at_least))
-        .withColumn("rank", F.row_number().over(order))
+        .withColumn("_place", F.rank().over(by_column.orderBy(F.desc("n"), *known)))
+        .filter(F.col("_place") <= top)
+        .select("column_name", "n", *ordered)
+    )
+    for slot in texts:
+        kind = next(data_type for data_type, name in slots.items() if name == slot)
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).alias("text"))
+            for c in columns if frame.schema[c].dataType == kind
+        ])
+        long = frame.select(F.inline(cells)).filter(F.char_length("text") > PREFIX)
+        wanted = best.filter(F.char_length(slot) > PREFIX).select("column_name", slot)
+        found = (
+            long.select("column_name", late_key(F.col("text")).alias(slot), "text")
+            .join(wanted, ["column_name", slot], "left_semi")
+            .groupBy("column_name", slot).agg(F.any_value("text").alias("_text"))
+        )
+        best = best.join(found, ["column_name", slot], "left").select(
+            "column_name", "n",
+            *[F.coalesce("_text", slot).alias(slot) if other == slot else F.col(other) for other in ordered],
+        )
+    order = by_column.orderBy(F.desc("n"), *ordered)
+    return (
+        best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= top)
         .select("column_name", "rank", _text_of(slots).alias("value"), "n")
     )
@@ -313,7 +353,7 @@ def top_values(
 ) -> DataFrame:
     """Rows ``column_name, rank, value, n`` of the most common values."""
     kept = [c for c in columns or frame.columns if is_orderable(frame.schema[c].dataType)]
-    best = most_common(*histogram(frame, kept), top)
+    best = most_common(frame, *histogram(frame, kept, late=True), kept, top)
     return best.select(*_labels(schema, table), "column_name", "rank", "value", "n")
 
 
@@ -323,20 +363,22 @@ def column_profile(
 ) -> DataFrame:
     """The column report: counts, distinct share, bounds, common values, masked sample.
 
-    Everything comes from one shuffled value histogram of the table. A value that occurs
+    Counts come from one shuffled histogram of values and digests of long texts, bounds from an aggregate of
+    the scan, common values from the histogram and a late lookup. A value that occurs
     once is not common; a column without common values shows its minimum as the sample.
     """
-    values, slots = histogram(frame, list(columns or frame.columns))
+    columns = list(columns or frame.columns)
+    values, slots = histogram(frame, columns, late=True)
     filled = F.col("filled")
     summary = values.groupBy("column_name").agg(
         F.sum("n").alias("total_rows"),
         F.count_if(filled).alias("cardinality"),
         F.sum(F.when(filled, F.lit(0)).otherwise(F.col("n"))).alias("null_count"),
-        _text_of(slots, F.min).alias("col_min"),
-        _text_of(slots, F.max).alias("col_max"),
     )
+    bounds = column_counts(frame, schema, table, columns).select("column_name", "col_min", "col_max")
+    summary = summary.join(bounds, "column_name", "left")
     # at most ``top`` rows per column
-    common = most_common(values, slots, top, at_least=2).groupBy("column_name").agg(
+    common = most_common(frame, values, slots, columns, top, at_least=2).groupBy("column_name").agg(
         F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("common")
     )
     return _report(summary.join(common, "column_name", "left"), schema, table, extra_pii)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -11,8 +13,6 @@ from pyspark.sql import types as T
 
 from dqloom.functions.timewindow import elapsed_seconds
 
-DAY_SECONDS = 86_400
-
 
 def table_activity(
     frame: DataFrame, schema: str, table: str, time: str, as_of: str,
@@ -34,52 +34,46 @@ def table_activity(
     )
 
 
-def exact_percentiles(
-    frame: DataFrame, value: Column, shares: dict[str, float], width: int
-) -> DataFrame:
+DIGIT_BITS = 16
+
+
+def exact_percentiles(frame: DataFrame, value: Column, shares: dict[str, float]) -> DataFrame:
     """Exact percentiles of a whole number: the smallest value with enough rows up to it.
 
-    Values are counted in periods of ``width``; only the period that holds the wanted rank
-    is looked into. No task sees more than the periods, or the values of one period.
+    Radix selection: values minus the least one are counted by their highest ``DIGIT_BITS`` bits, then, among those that
+    begin like a wanted value, by the next bits, until a value is left for each share. The range decides the
+    number of passes, four at most; a pass brings the driver at most 2**DIGIT_BITS counts a share. No
+    window and no task sees more than its own rows, however many values there are. Without rows there are none.
     """
-    values = (
-        frame.select(value.cast("bigint").alias("value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("value") / F.lit(width)))
-    )
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = values.groupBy("bucket").agg(F.sum("n").alias("n"))
-    cumulated = buckets.withColumn("last", F.sum("n").over(upto)).withColumn(
-        "total", F.sum("n").over(Window.orderBy("bucket").rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))
-    )
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"),
-                 # a decimal share: 100 * 0.07 is a little more than 7 in doubles
-                 F.greatest(F.ceil(F.col("total") * F.lit(Decimal(str(p)))), F.lit(1))
-                 .cast("bigint").alias("rank"))
-        for name, p in shares.items()
-    ]))
-    holding = (
-        cumulated.select("bucket", "last", F.col("n").alias("in_bucket"), wanted.alias("w"))
-        .filter((F.col("w.rank") <= F.col("last"))
-                & (F.col("w.rank") > F.col("last") - F.col("in_bucket")))
-        .select("bucket", F.col("w.name").alias("name"),
-                (F.col("w.rank") - (F.col("last") - F.col("in_bucket"))).alias("rank"))
-    )
-    within = (
-        Window.partitionBy("name").orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        values.join(holding, "bucket")
-        .withColumn("upto", F.sum("n").over(within))
-        .filter(F.col("upto") >= F.col("rank"))
-        .groupBy("name")
-        .agg(F.min("value").alias("value"))
-    )
+    values = frame.select(value.cast("bigint").alias("value")).filter(F.col("value").isNotNull())
+    least, most, total = values.agg(F.min("value"), F.max("value"), F.count(F.lit(1))).first()
+    spark, schema = frame.sparkSession, "name string, value bigint"
+    if not total:
+        return spark.createDataFrame([], schema)
+    # a decimal share: 100 * 0.07 is a little more than 7 in doubles
+    ranks = {name: max(1, math.ceil(total * Decimal(str(share)))) for name, share in shares.items()}
+    passes = -(-(most - least).bit_length() // DIGIT_BITS)
+    begin = dict.fromkeys(shares, 0)  # the bits found so far
+    # decimals, as the distance of two whole numbers may not fit into one
+    apart = (F.col("value").cast("decimal(20,0)") - F.lit(Decimal(least))).cast("decimal(20,0)")
+    for k in reversed(range(passes)):
+        unit = F.lit(Decimal(2 ** (DIGIT_BITS * k))).cast("decimal(20,0)")
+        head = F.floor((apart - apart % unit) / unit).cast("decimal(20,0)")
+        digit = (head % 2**DIGIT_BITS).cast("int")
+        before = ((head - digit) / 2**DIGIT_BITS).cast("decimal(20,0)")
+        counted = values.select(before.alias("before"), digit.alias("digit")).filter(
+            F.col("before").isin([Decimal(x) for x in set(begin.values())])
+        ).groupBy("before", "digit").agg(F.count(F.lit(1)).alias("n"))
+        counts: dict[int, list] = defaultdict(list)
+        for row in counted.collect():
+            counts[int(row["before"])].append((row["digit"], row["n"]))
+        for name in shares:
+            for digit_found, n in sorted(counts[begin[name]]):
+                if ranks[name] <= n:
+                    begin[name] = (begin[name] << DIGIT_BITS) + digit_found
+                    break
+                ranks[name] -= n
+    return spark.createDataFrame([(name, least + begin[name]) for name in shares], schema)
 
 
 def latency_seconds(frame: DataFrame, event: str, recorded: str) -> Column:
@@ -96,7 +90,7 @@ def entry_latency(frame: DataFrame, event: str, recorded: str) -> DataFrame:
     delay = latency_seconds(frame, event, recorded)
     both = frame.filter(F.col(event).isNotNull() & F.col(recorded).isNotNull())
     quartiles = exact_percentiles(
-        both, delay, {"q1": 0.25, "median": 0.5, "q3": 0.75}, DAY_SECONDS
+        both, delay, {"q1": 0.25, "median": 0.5, "q3": 0.75}
     ).groupBy().agg(*[
         F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
         for name in ("q1", "median", "q3")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -152,24 +152,32 @@ def write_results(
     """Replace the results of the dimensions and steps in ``results``, keep all others.
 
     ``steps`` are (dimension, step) pairs that this run covered: those without a result now,
-    as all their rules were withdrawn, are cleared. Rows must have the uniform schema.
+    as all their rules were withdrawn, are cleared. Rows must have the uniform schema. The checks run once: what was
+    written is counted while it is written.
     """
     wanted = StructType.fromDDL(RESULT_SCHEMA)
     found = {f.name: f.dataType for f in results.schema}
     if found != {f.name: f.dataType for f in wanted}:
         raise ValueError(f"results have the columns {results.schema.simpleString()}")
+    covered = sorted(set(steps))
+    written = Observation()
+    rows = results.select(*wanted.names)
+    if covered:
+        rows = rows.observe(written, *[
+            F.count_if((F.col("dimension") == d) & (F.col("step") == s)).alias(f"n{i}") for i, (d, s) in enumerate(covered)
+        ])
     (
-        results.select(*wanted.names)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dimension", "step")
         .format(fmt)
         .save(path)
     )
     spark = results.sparkSession
-    kept = {tuple(r) for r in results.select("dimension", "step").distinct().collect()}
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for dimension, step in set(steps) - kept:
+    for i, (dimension, step) in enumerate(covered):
+        if written.get[f"n{i}"]:
+            continue
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
             f"{path}/dimension={dimension}/step={step}"
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from datetime import date, datetime
 from decimal import Decimal, localcontext
@@ -284,20 +285,35 @@ def test_exact_percentiles(spark):
     values = sorted([3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5, 8, 100, 1000, -50])
     frame = spark.createDataFrame([(v,) for v in values], "v int")
     found = timeliness.exact_percentiles(
-        frame, F.col("v"), {"lo": 0.0, "q1": 0.25, "half": 0.5, "all": 1.0}, 10
+        frame, F.col("v"), {"lo": 0.0, "q1": 0.25, "half": 0.5, "all": 1.0}
     )
     assert {r.name: r.value for r in found.collect()} == {
         "lo": -50, "q1": values[3], "half": values[7], "all": 1000,
     }
 
 
-def test_percentiles_within_one_bucket(spark):
+def test_percentiles_of_close_values(spark):
     frame = spark.range(1, 101).select(F.col("id").alias("v"))
     shares = {f"p{i}": i / 100 for i in range(1, 101)}
-    found = timeliness.exact_percentiles(frame, F.col("v"), shares, 1000)
+    found = timeliness.exact_percentiles(frame, F.col("v"), shares)
     assert {r.name: r.value for r in found.collect()} == {f"p{i}": i for i in range(1, 101)}
 
 
+def test_percentiles_of_the_whole_range(spark):
+    rng = random.Random(4)
+    values = [rng.randrange(-(2**63), 2**63) for _ in range(3000)] + [rng.randrange(100) for _ in range(3000)] + [7] * 2000
+    values = sorted([*values, -(2**63), 2**63 - 1])
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)] * 5, "v long").repartition(4)
+    shares = {"lo": 0.0, "q1": 0.25, "half": 0.5, "q3": 0.75, "top": 0.999, "all": 1.0}
+    found = timeliness.exact_percentiles(frame, F.col("v"), shares)
+    assert {r.name: r.value for r in found.collect()} == {
+        name: values[max(1, math.ceil(len(values) * Decimal(str(p)))) - 1] for name, p in shares.items()
+    }
+    assert timeliness.exact_percentiles(frame.where("v IS NULL"), F.col("v"), shares).count() == 0
+    same = timeliness.exact_percentiles(spark.range(50).select(F.lit(3).alias("v")), F.col("v"), {"half": 0.5})
+    assert [tuple(r) for r in same.collect()] == [("half", 3)]
+
+
 def test_gaps_and_frequency(spark):
     days = [(date(2024, 1, d),) for d in (1, 1, 2, 5, 9)] + [(None,)]
     found = timeliness.coverage_gaps(spark.createDataFrame(days, "d date"), "d").first()

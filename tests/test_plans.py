@@ -67,7 +67,6 @@ def test_rules_of_a_table_share_a_scan(registry):
     lambda f: profile.column_counts(f, "s", "t"),
     lambda f: profile.null_share(f, "s", "t"),
     lambda f: profile.value_counts(f, "s", "t"),
-    lambda f: profile.column_profile(f, "s", "t"),
     lambda f: profile.approximate_profile(f, "s", "t"),
     lambda f: profile.top_values(f, "s", "t"),
     lambda f: completeness.dirty_values(f, "s", "t"),
@@ -80,6 +79,12 @@ def test_row_local_work_is_one_scan(registry, build):
     assert executed(build(registry.table("s", "t"))).count("FileScan") == 1
 
 
+def test_column_profile_reads_counts_and_bounds_apart(registry):
+    """A histogram of keys and an aggregate for the bounds; texts are looked up only where long ones are common."""
+    plan = executed(profile.column_profile(registry.table("s", "t"), "s", "t"))
+    assert plan.count("FileScan") == 2
+
+
 def test_common_values_are_limited_before_the_shuffle(registry):
     plan = executed(profile.top_values(registry.table("s", "t"), "s", "t"))
     assert "WindowGroupLimit" in plan

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from collections import Counter
 from datetime import date, datetime
 
@@ -241,6 +244,24 @@ def test_results_of_other_steps_stay(spark, tmp_path):
     assert {r.check_id for r in spark.read.parquet(path).collect()} == {"a", "c"}
 
 
+def test_results_are_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = [("uniqueness", 2, f"c{i}", "k", "s", "t", "c", 1, 0, 0.0, "PASS", "") for i in range(6)]
+    results = spark.createDataFrame(rows, report.RESULT_SCHEMA).withColumn("check_id", counted("check_id"))
+    path = f"{tmp_path}/results"
+    old = spark.createDataFrame([("uniqueness", 4, "old", *rows[0][3:])], report.RESULT_SCHEMA)
+    report.write_results(old, path)
+    report.write_results(results, path, steps=[("uniqueness", 2), ("uniqueness", 4)])
+    assert seen.value == 6
+    assert {r.step for r in spark.read.parquet(path).collect()} == {2}
+
+
 def test_metadata_job_saves_and_reuses(spark, tmp_path):
     registry = TableRegistry(spark).add("s", "t", spark.range(4))
     constraints = inventory.constraints_frame(
@@ -294,3 +315,35 @@ def test_profiles_read_all_tables(spark, name):
     columns = {(s, t, c) for s, t in ALL_TABLES for c in lab.registry.table(s, t).columns}
     empty = {c for c in columns if c[1] == "account_archive"}
     assert columns - empty <= found <= columns
+
+
+def test_common_long_texts_are_looked_up(spark):
+    """Equal beginnings, equal counts, lengths around the limit of a key, several text columns."""
+    begin = "x" * profile.PREFIX
+    values = [begin + tail for tail in ("d", "b", "c", "a", "", "b" * 5000, "a" * 70_000)] + ["w", "y", begin[:-1]]
+    rows = [(v, v[::-1], i % 3) for v in values for i in range(3)] + [("z" * 900, None, None)] * 9 + [(None, None, 1)]
+    frame = spark.createDataFrame(rows, "v string, w string, n int").repartition(4)
+    counts = Counter(r[0] for r in rows if r[0] is not None)
+    wanted = sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:4]
+    top = profile.top_values(frame, "s", "t", top=4)
+    found = {(r.column_name, r["rank"]): (r.value, r.n) for r in top.collect()}
+    assert [found["v", i] for i in range(1, 5)] == wanted
+    backward = Counter(r[1] for r in rows if r[1] is not None)
+    assert [found["w", i] for i in range(1, 5)] == sorted(backward.items(), key=lambda item: (-item[1], item[0]))[:4]
+    assert [found["n", i] for i in range(1, 4)] == [("1", 11), ("0", 10), ("2", 10)]
+    report_row = profile.column_profile(frame, "s", "t", ["v"], top=2).first()
+    assert (report_row.cardinality, report_row.null_count, report_row.col_min, report_row.col_max) == (11, 1, "w", "z" * 900)
+    assert report_row["sample"].startswith("z" * 900) and report_row["sample"].endswith("w")
+
+
+def test_no_shuffle_carries_a_text(spark, tmp_path):
+    spark.range(2000).select(F.concat(F.repeat(F.sha2(F.col("id").cast("string"), 256), 200)).alias("v")).write.parquet(f"{tmp_path}/t")
+    frame = spark.read.parquet(f"{tmp_path}/t")  # 12,800 characters a text, each once
+    values, slots = profile.histogram(frame, ["v"], late=True)
+    longest = values.select(F.max(F.length("v0"))).first()[0]
+    assert longest == profile.PREFIX + 65
+    found = profile.column_profile(frame, "s", "t")
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # histogram, bounds, late lookup
+    assert "sha2" in plan and len(re.findall(r"FileScan parquet", plan)) <= 3
