@@ -1,6 +1,6 @@
 """How filters overlap: which order of filters removes what, from a sparse document-term matrix.
 
-``term_matrix`` gives every distinct word of the corpus a number (``blocks``: words are dealt by word, counted
+``term_matrix`` gives every distinct word of the corpus a number (``blocks``: words are dealt by checksum, counted
 within each task, and tasks start where those before them end) and builds the matrix of documents and
 words in compressed sparse rows, one shard a block. The sum of a row is the number of words, its stored
 entries are the distinct ones: they decide filters A and B. The other filters are flags of
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
+from dqloom.functions.text import quoted
 from dqloom.llm import blocks
 from dqloom.llm.common import cut, drop
 from dqloom.operators.keyed import spread_left_join
@@ -81,41 +82,40 @@ def term_matrix(docs: DataFrame, keep: list[str]) -> DataFrame:
     """
     extra = ", c boolean, d boolean, digest binary"
     table = blocks.in_blocks(docs, "text", keep, words_of, extra, text_flags)
-    numbered = cut(blocks.worked_out(blocks.places(table), _counter), "numbered-words")
+    numbered = blocks.worked_out(table, _counter, "numbered-words")
     # as many rows as the shuffle has tasks
     tasks = numbered.groupBy("part").agg(F.max("distinct").alias("n"))
     before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
     offsets = tasks.select("part", before.alias("offset"))
     values = numbered.join(offsets, "part").select("block", "numbers", "sizes", "data", "offset")
 
-    def make(own: pa.Table, dictionary: pa.Table) -> pa.Table:
+    def make(own: pa.Table, words: np.ndarray, dictionary: pa.Table, _: pa.Table) -> pa.Table:
         counts = own.column("n_words").to_numpy()
-        words = blocks.unpacked(b"".join(own.column("cells").to_pylist()))
         known = blocks.Values(dictionary)
-        known.data = (known.data.view(np.int64) + np.repeat(
-            dictionary.column("offset").to_numpy(), [len(x.as_py()) // 8 for x in dictionary.column("data")]
-        )).view(np.uint8)
+        entries = [int.from_bytes(x[:8], "little") // 8 for x in dictionary.column("data").to_pylist()]
+        numbers = known.data.view(np.int64) + np.repeat(dictionary.column("offset").to_numpy(), entries)
+        known.data = numbers.view(np.uint8)
         document = np.repeat(np.arange(len(counts)), counts)
-        cells, times = np.unique(document << 40 | words, return_counts=True)
+        cells, times = np.unique(document.astype(np.int64) << 40 | words, return_counts=True)
         columns = known.of(cells & ((1 << 40) - 1), 8)[0]
         pointers = np.searchsorted(cells >> 40, np.arange(len(counts) + 1))
-        rows = pa.StructArray.from_arrays(
-            [own.column(name).combine_chunks() for name in ("row", "c", "d", "digest")], ["row", "c", "d", "digest"]
-        )
+        names = ("row", "c", "d", "digest")
+        rows = pa.StructArray.from_arrays([own.column(name).combine_chunks() for name in names], list(names))
 
         def one(values: pa.Array) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
         return pa.table({
-            "shard": own.column("block")[:1], "rows": one(rows), "pointers": one(pa.array(pointers, pa.int64())),
+            "rows": one(rows), "pointers": one(pa.array(pointers, pa.int64())),
             "columns": one(pa.array(columns, pa.int64())), "counts": one(pa.array(times, pa.int64())),
         })
 
-    row = StructType([table.schema[name] for name in ("row", "c", "d", "digest")])
-    schema = StructType().add("shard", "long").add("rows", ArrayType(row))
+    row = StructType().add("row", docs.select(*map(quoted, keep)).schema, True)
+    row = StructType(row.fields + StructType.fromDDL("c boolean, d boolean, digest binary").fields)
+    schema = StructType().add("rows", ArrayType(row))
     for name in ("pointers", "columns", "counts"):
         schema.add(name, ArrayType(LongType()))
-    shards = blocks.by_block(table, values, ["row", "n_words", "cells", "c", "d", "digest"], make, schema)
+    shards = blocks.by_block(table, values, make, schema)
     shards._dqloom_cut = [table, numbered]
     return shards
 

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from dqloom.functions.text import quoted
 from dqloom.llm import blocks, tokens
-from dqloom.llm.common import cut
 
 AT_ONCE = 20_000
 LONG = 4_000_000
@@ -94,15 +94,14 @@ def id_pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _ids_of(values: DataFrame) -> DataFrame:
-    """(block, id), each once, of the ids in rows of values."""
+    """(block, id) of the ids in a block's rows of values, each once; the shuffle by block is the one of ``by_block``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, data in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
-                found = np.unique(np.frombuffer(data, np.uint32)).astype(np.int32)
-                yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(found), block)), "id": pa.array(found)})
+    def distinct(rows: pa.Table) -> pa.Table:
+        parts = (np.unique(np.frombuffer(blocks.restored([x]), np.uint32)) for x in rows.column("data").to_pylist())
+        found = np.unique(np.concatenate(list(parts))).astype(np.int32)
+        return pa.table({"block": pa.array(np.full(len(found), rows.column("block")[0].as_py())), "id": pa.array(found)})
 
-    return values.select("block", "data").mapInArrow(run, "block long, id int").distinct()
+    return values.groupBy("block").applyInArrow(distinct, "block long, id int")
 
 
 def _pieces_of(spark: SparkSession, wanted: DataFrame, path: str) -> DataFrame:
@@ -115,34 +114,28 @@ def _texts(pieces: blocks.Values, numbers: np.ndarray, ends: np.ndarray) -> pa.A
     """Texts of documents whose pieces have these numbers, up to each end."""
     data, sizes = pieces.of(numbers)
     at = blocks.edges(sizes)[np.concatenate([[0], ends])].tolist()
-    whole = data.tobytes()
-    return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])], pa.string())
+    return pa.array([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(at, at[1:])], pa.string())
 
 
 def _of_blocks(docs: DataFrame, path: str, keep: list[str], decoded: bool) -> DataFrame:
-    spark = docs.sparkSession
     table = blocks.in_blocks(docs, "text", keep, words_of(path))
-    values = cut(blocks.worked_out(blocks.places(table), functools.partial(encoder, path)), "word-ids")
-    brought = values
+    values = blocks.worked_out(table, functools.partial(encoder, path), "word-ids")
+    pieces = None
     if decoded:
         ids = _ids_of(values).select("block", F.col("id").alias("number"), "id")
-        brought = values.unionByName(_pieces_of(spark, ids, path))
-
-    def make(own: pa.Table, dictionary: pa.Table) -> pa.Table:
-        kind = dictionary.column("kind").to_numpy()
-        counts = own.column("n_words").to_numpy()
-        words = blocks.unpacked(b"".join(own.column("cells").to_pylist()))
-        ids, sizes = blocks.Values(dictionary.filter(pa.array(kind == 0))).of(words, 4)
-        ends = blocks.edges(sizes)[np.cumsum(counts)]
+        pieces = _pieces_of(docs.sparkSession, ids, path)
+
+    def make(own: pa.Table, words: np.ndarray, dictionary: pa.Table, listed: pa.Table) -> pa.Table:
+        ids, sizes = blocks.Values(dictionary).of(words, 4)
+        ends = blocks.edges(sizes)[np.cumsum(own.column("n_words").to_numpy())]
         columns = {"row": own.column("row"), "ids": blocks.binary_column(ids.view(np.uint8), 4 * ends)}
         if decoded:
-            pieces = blocks.Values(dictionary.filter(pa.array(kind == 1)))
-            columns["decoded"] = _texts(pieces, ids.astype(np.int64), ends)
+            columns["decoded"] = _texts(blocks.Values(listed), ids, ends)
         return pa.table(columns)
 
-    schema = StructType([table.schema["row"]])
+    schema = StructType().add("row", docs.select(*map(quoted, keep)).schema, True)
     schema = StructType(schema.fields + StructType.fromDDL("ids binary" + ", decoded string" * decoded).fields)
-    return blocks.by_block(table, brought, ["row", "n_words", "cells"], make, schema)
+    return blocks.by_block(table, values, make, schema, pieces)
 
 
 def encode(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
@@ -162,16 +155,17 @@ def decode(encoded: DataFrame, path: str, keep: list[str]) -> DataFrame:
         yield [str(i) for i in np.frombuffer(ids or b"", np.uint32).tolist()]
 
     table = blocks.in_blocks(encoded, "ids", keep, of)
-    wanted = blocks.places(table).select("block", "number", F.col("word").cast("int").alias("id"))
+    listed = table.where("kind = 'words'").select("block", "first", F.posexplode("words").alias("at", "id"))
+    number = (F.col("first") + F.col("at")).alias("number")
+    wanted = listed.select("block", number, F.col("id").cast("int").alias("id"))
     pieces = _pieces_of(encoded.sparkSession, wanted, path)
 
-    def make(own: pa.Table, dictionary: pa.Table) -> pa.Table:
-        numbers = blocks.unpacked(b"".join(own.column("cells").to_pylist()))
+    def make(own: pa.Table, numbers: np.ndarray, dictionary: pa.Table, _: pa.Table) -> pa.Table:
         known = blocks.Values(dictionary)
         missing = int(numbers.max(initial=-1)) + 1 - len(known.size)
         known.start, known.size = (np.pad(x, (0, max(0, missing))) for x in (known.start, known.size))
         texts = _texts(known, numbers, np.cumsum(own.column("n_words").to_numpy()))
         return pa.table({"row": own.column("row"), "decoded": texts})
 
-    schema = StructType([table.schema["row"], *StructType.fromDDL("decoded string").fields])
-    return blocks.by_block(table, pieces, ["row", "n_words", "cells"], make, schema)
+    schema = StructType().add("row", encoded.select(*map(quoted, keep)).schema, True).add("decoded", "string")
+    return blocks.by_block(table, pieces, make, schema)

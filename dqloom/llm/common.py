@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -45,11 +47,11 @@ def _folder(spark: SparkSession) -> str:
     return shared_folder(spark, unset)
 
 
-def cut(frame: DataFrame, name: str) -> DataFrame:
+def cut(frame: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: a lost executor repeats no more.
 
     The shuffle files behind it can go once it is written, and the table itself goes when the
-    application ends.
+    application ends. ``by`` is a column whose values get folders of their own, for ``drop``.
     """
     spark = frame.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -57,7 +59,8 @@ def cut(frame: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(key, None)
     spark.conf.set(key, "true")
     try:
-        frame.write.parquet(path)
+        writer = frame.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(path)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     jvm = spark.sparkContext._jvm
@@ -68,13 +71,25 @@ def cut(frame: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def drop(table: DataFrame) -> None:
-    """Remove a table made by ``cut`` that nothing reads any more."""
+def drop(table: DataFrame, part: str = "") -> None:
+    """Remove a table made by ``cut`` that nothing reads any more, or one folder of it."""
     place = table._dqloom_place
     context = table.sparkSession.sparkContext
+    if part:
+        place = context._jvm.org.apache.hadoop.fs.Path(place, part)
     place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def give_back() -> None:
+    """Return what a task's arrays took, so that a worker that lives on holds no more than its indexes."""
+    for hashes in list(_HASHES):
+        hashes.shrink()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def arrow_pass(
     frame: DataFrame, make: Callable[[pa.RecordBatch], Iterator[dict[str, pa.Array]]],
     schema: str | StructType,
@@ -83,10 +98,13 @@ def arrow_pass(
     ship(frame.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                for columns in make(batch):
-                    yield pa.RecordBatch.from_pydict(columns)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    for columns in make(batch):
+                        yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            give_back()
 
     return frame.mapInArrow(run, schema)
 
@@ -120,6 +138,7 @@ def slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 # --- hashes of all substrings of a buffer --------------------------------------------------
 
+_HASHES: weakref.WeakSet = weakref.WeakSet()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,8 +165,15 @@ class RangeHash:
         back = pow(base, -1, 1 << 64)
         self.table = random.integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
         self.bases = base, back
-        self.longest = 0
+        self.longest, self.usual = 0, longest
         self._reach(longest)
+        _HASHES.add(self)
+
+    def shrink(self) -> None:
+        """Forget the tables of a text that was longer than usual."""
+        if self.longest > self.usual:
+            self.longest = 0
+            self._reach(self.usual)
 
     def _reach(self, n: int) -> None:
         if n > self.longest:

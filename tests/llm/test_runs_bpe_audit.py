@@ -160,6 +160,7 @@ def library():
 @pytest.mark.parametrize("block", [blocks.BLOCK_BYTES, 300])
 def test_ids_and_texts_are_those_of_the_library(spark, library, monkeypatch, block):
     monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(blocks, "BUCKET_WORDS", block)
     texts = hard_texts()
     rows = [(i, t, None, "s", 1, "b", "r", "clash") for i, t in enumerate(texts)]
     rows += [(-1, None, *[None] * 6), (None, "twin", *[None] * 6), (None, "twin", *[None] * 6)]
@@ -249,6 +250,7 @@ def plain_audit(docs, labels):
 
 def test_audit_is_that_of_every_order(spark, monkeypatch):
     monkeypatch.setattr(blocks, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(blocks, "BUCKET_WORDS", 90)
     monkeypatch.setattr(audit, "LONG", 700)
     rng = random.Random(11)
     pool = [" ".join(rng.choice(["a", "b", "Cap", "d#", "é", f"w{rng.randrange(500)}"]) for _ in range(rng.randint(0, 140))) for _ in range(40)]
