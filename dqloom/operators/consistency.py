@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from dqloom.functions.numbers import pct
 from dqloom.functions.text import quoted
+from dqloom.operators import shared
 from dqloom.operators.keyed import (
     all_not_null,
     key_presence,
@@ -24,6 +25,10 @@ from dqloom.operators.keyed import (
 from dqloom.sources.registry import TableRegistry
 
 Rule = Mapping[str, Any]
+CHECK_LABELS = (
+    "check int, constraint_name string, child_schema string, child_table string, fk_column string, "
+    "parent_schema string, parent_table string, parent_column string"
+)
 
 
 def orphan_records(
@@ -60,29 +65,24 @@ def declared_keys(edges: DataFrame) -> list[list[Row]]:
 
 
 def orphan_checks(registry: TableRegistry, keys: Sequence[Sequence[Row]]) -> DataFrame:
-    """One result row per foreign key of :func:`declared_keys`, composite keys as one check."""
-    results = []
-    for columns in keys:
+    """One result row per foreign key of :func:`declared_keys`, composite keys as one check.
+
+    All keys share one plan that scans each table once, whether it is child, parent or both.
+    """
+    checks, labels, tables = [], [], {}
+    for i, columns in enumerate(keys):
         first = columns[0]
+        child = (first["from_schema"], first["from_table"])
+        parent = (first["to_schema"], first["to_table"])
         pairs = [(e["from_column"], e["to_column"]) for e in columns]
-        result = orphan_records(
-            registry.table(first["from_schema"], first["from_table"]),
-            registry.table(first["to_schema"], first["to_table"]),
-            pairs,
-        )
-        results.append(
-            result.select(
-                F.lit(first["constraint_name"]).alias("constraint_name"),
-                F.lit(first["from_schema"]).alias("child_schema"),
-                F.lit(first["from_table"]).alias("child_table"),
-                F.lit(", ".join(c for c, _ in pairs)).alias("fk_column"),
-                F.lit(first["to_schema"]).alias("parent_schema"),
-                F.lit(first["to_table"]).alias("parent_table"),
-                F.lit(", ".join(p for _, p in pairs)).alias("parent_column"),
-                "*",
-            )
-        )
-    return union_all(results)
+        tables |= {key: registry.table(*key) for key in (child, parent)}
+        checks.append((child, parent, pairs))
+        labels.append((
+            i, first["constraint_name"], *child, ", ".join(c for c, _ in pairs),
+            *parent, ", ".join(p for _, p in pairs),
+        ))
+    named = registry.spark.createDataFrame(labels, CHECK_LABELS)
+    return shared.presence_counts(tables, checks, named)
 
 
 def _violations(checked: Column, violated: Column) -> list[Column]:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqloom.functions.numbers import pct
+from dqloom.operators import shared
 from dqloom.operators.keyed import KeyPairs, key_presence, union_all, with_presence
+from dqloom.sources.registry import TableKey
 
 
 def foreign_key_chains(edges: DataFrame, columns: DataFrame) -> DataFrame:
@@ -74,6 +76,19 @@ def broken_links(frame: DataFrame, following: DataFrame, pairs: KeyPairs) -> Dat
     return counted.withColumn("broken_pct", pct(F.col("broken_count"), F.col("checked_count")))
 
 
+def broken_link_checks(
+    registry, links: Sequence[tuple[TableKey, TableKey, KeyPairs]]
+) -> DataFrame:
+    """:func:`broken_links` of several (table, mandatory next table, pairs); each table is scanned once."""
+    labels = registry.spark.createDataFrame(
+        [(i, ".".join(a), ".".join(b), ", ".join(f"{c} = {d}" for c, d in pairs))
+         for i, (a, b, pairs) in enumerate(links)],
+        "check int, from_table string, to_table string, key string",
+    )
+    tables = {key: registry.table(*key) for a, b, _ in links for key in (a, b)}
+    return shared.presence_counts(tables, links, labels, missing="broken_count")
+
+
 @dataclass(frozen=True)
 class Link:
     """The next table of a chain and the key columns (previous, next) that connect it."""

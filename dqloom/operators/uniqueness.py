@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dqloom.functions import naming
 from dqloom.functions.numbers import pct
+from dqloom.operators import shared
 from dqloom.operators.inventory import UNIQUE, composite_keys
 from dqloom.operators.keyed import all_not_null, group_sizes, grouping_keys, union_all
 
@@ -83,6 +84,19 @@ def duplicates_of(registry, scoped: Sequence[tuple[str, str, Sequence[str]]]) ->
     return union_all([duplicates(registry.table(s, t), s, t, c) for s, t, c in sorted(scoped)])
 
 
+def unique_checks(registry, declared: Sequence[tuple[str, str, str, Sequence[str]]]) -> DataFrame:
+    """Rows that break each declared (schema, table, constraint, columns).
+
+    All constraints share one plan that scans each table once.
+    """
+    labels = registry.spark.createDataFrame(
+        [(i, s, t, name, ", ".join(c)) for i, (s, t, name, c) in enumerate(declared)],
+        "check int, schema_name string, table_name string, constraint_name string, columns string",
+    )
+    tables = {(s, t): registry.table(s, t) for s, t, _, _ in declared}
+    return shared.duplicate_counts(tables, [((s, t), c) for s, t, _, c in declared], labels)
+
+
 def _accent_map() -> tuple[str, str]:
     """Lower-case letters with a mark and their base letters, from the Unicode tables."""
     pairs = {"đ": "d", "ø": "o", "ł": "l"}

@@ -161,18 +161,10 @@ def uniqueness_job(
         results.append(report.duplicate_results(uniqueness.duplicates_of(registry, tables)))
     declared = uniqueness.unique_scope(constraints, scoped).collect()
     if declared:
-        results.append(
-            report.duplicate_results(
-                union_all([
-                    uniqueness.duplicates(
-                        registry.table(row["schema_name"], row["table_name"]),
-                        row["schema_name"], row["table_name"], row["columns"],
-                        row["constraint_name"],
-                    )
-                    for row in declared
-                ])
-            )
-        )
+        checks = [
+            (r["schema_name"], r["table_name"], r["constraint_name"], r["columns"]) for r in declared
+        ]
+        results.append(report.duplicate_results(uniqueness.unique_checks(registry, checks)))
     left_out = uniqueness.out_of_scope(tiers, scoped).select(
         F.lit("uniqueness").alias("dimension"),
         F.concat_ws(".", *TABLE).alias("id"),

@@ -42,6 +42,38 @@ def test_orphans_of_a_composite_key_ignore_partly_null_keys(spark):
     )
 
 
+def test_shared_checks_equal_single_ones(spark):
+    """Keys of several types, sizes and sides in one plan; NULLs, -0.0, long texts, empty tables."""
+    long = "x" * 5000
+    child = spark.createDataFrame(
+        [(1, 1.0, "a", 1), (2, -0.0, long, 2), (2, 0.0, "b", None), (None, None, None, 3), (4, 9.0, "", 4)],
+        "i int, d double, t string, `odd.name` bigint",
+    )
+    parent = spark.createDataFrame(
+        [(1, 0.0, long, 1), (2, 1.0, "b", 2), (2, 1.0, "a", 7), (None, None, None, None)],
+        "i bigint, d double, t string, `odd.name` int",
+    )
+    tables = registry(spark, c=child, p=parent, empty=parent.filter("false"))
+    pairs = [
+        [("i", "i")], [("d", "d")], [("t", "t")], [("odd.name", "odd.name")], [("i", "odd.name")],
+        [("i", "i"), ("t", "t")], [("t", "t"), ("i", "i"), ("odd.name", "i")], [("i", "i"), ("d", "d")],
+    ]
+    links = [((("s"), a), ("s", b), p) for p in pairs
+             for a, b in [("c", "p"), ("p", "c"), ("c", "empty"), ("empty", "c"), ("c", "c")]]
+    found = integrity.broken_link_checks(tables, links).collect()
+    wanted = [
+        (".".join(a), ".".join(b), ", ".join(f"{x} = {y}" for x, y in p),
+         *consistency.orphan_records(tables.table(*a), tables.table(*b), p).first())
+        for a, b, p in links
+    ]
+    assert sorted(tuple(r) for r in found) == sorted(wanted)
+    uniques = [("s", t, f"{t}{i}", [c for c, _ in p]) for i, p in enumerate(pairs) for t in ("c", "p", "empty")
+               if not (t != "c" and i == 6)]
+    found = uniqueness.unique_checks(tables, uniques).collect()
+    single = [tuple(uniqueness.duplicates(tables.table(s, t), s, t, c, n).first()) for s, t, n, c in uniques]
+    assert sorted(tuple(r) for r in found) == sorted(single)
+
+
 def test_repartitioning_and_doubling(spark):
     frame = spark.range(200).select((F.col("id") % 17).alias("fk"))
     parent = spark.range(9).withColumnRenamed("id", "pk")

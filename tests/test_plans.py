@@ -94,3 +94,29 @@ def test_duplicates_combine_before_the_shuffle(registry):
     plan = executed(uniqueness.duplicates(registry.table("s", "t"), "s", "t", ["fk"]))
     assert read_schemas(plan) == ["fk:bigint"] and shuffles(plan) == 1
     assert "partial_count" in plan and "IsNotNull(fk)" in plan
+
+
+def declared(name, column, child="t", parent="p"):
+    return [{"constraint_name": name, "from_schema": "s", "from_table": child, "from_column": column,
+             "to_schema": "s", "to_table": parent, "to_column": "id", "column_position": 1}]
+
+
+def test_foreign_keys_of_a_table_share_a_scan(registry):
+    keys = [declared("a", "id"), declared("b", "fk"), declared("c", "id", parent="t")]
+    found = consistency.orphan_checks(registry, keys)
+    plan = executed(found)
+    assert plan.count("FileScan") == 2  # child and parent
+    assert shuffles(plan) == 2 and "partial_sum" in plan
+    assert read_schemas(plan) == ["id:bigint", "id:bigint,fk:bigint"]
+    rows = {r["constraint_name"]: (r["checked_count"], r["orphan_count"]) for r in found.collect()}
+    assert rows == {"a": (500, 495), "b": (500, 500 - 358), "c": (500, 0)}
+
+
+def test_unique_constraints_of_a_table_share_a_scan(registry):
+    found = uniqueness.unique_checks(registry, [
+        ("s", "t", "u1", ["id"]), ("s", "t", "u2", ["fk", "name"]), ("s", "t", "u3", ["fk"]),
+    ])
+    plan = executed(found)
+    assert plan.count("FileScan") == 1 and shuffles(plan) == 2
+    assert {r["constraint_name"]: r["duplicate_row_count"] for r in found.collect()} == {
+        "u1": 0, "u2": 0, "u3": 500}

@@ -481,17 +481,10 @@ UNIQUE_ROWS = " UNION ALL ".join([
 def unique_violations(lab: Lab) -> DataFrame:
     """Every declared UNIQUE constraint of the tables in scope."""
     scope = uniqueness.scope(keyed_columns(lab), lab.tiers)
-    frames = [
-        uniqueness.duplicates(
-            lab.registry.table(r["schema_name"], r["table_name"]), r["schema_name"],
-            r["table_name"], r["columns"], r["constraint_name"],
-        )
-        for r in uniqueness.unique_scope(lab.constraints, scope).collect()
-    ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    declared = uniqueness.unique_scope(lab.constraints, scope).collect()
+    return uniqueness.unique_checks(lab.registry, [
+        (r["schema_name"], r["table_name"], r["constraint_name"], r["columns"]) for r in declared
+    ])
 
 
 @check("uniqueness_left_out", f"""

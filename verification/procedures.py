@@ -359,6 +359,35 @@ def broken_links(lab: Lab) -> DataFrame:
     )
 
 
+LINKED = [
+    ("corpus", "labels", "corpus", "documents", [("doc_id", "doc_id")]),
+    ("sales", "customer", "sales", "orders", [("c_custkey", "o_custkey")]),
+    ("sales", "lineitem", "sales", "orders", [("l_orderkey", "o_orderkey")]),
+    ("sales", "nation", "sales", "customer", [("n_nationkey", "c_nationkey")]),
+    ("sales", "nation", "sales", "supplier", [("n_nationkey", "s_nationkey")]),
+    ("sales", "orders", "sales", "lineitem", [("o_orderkey", "l_orderkey")]),
+    ("sales", "part", "sales", "lineitem", [("p_partkey", "l_partkey")]),
+    ("sales", "supplier", "sales", "lineitem", [("s_suppkey", "l_suppkey")]),
+]
+
+
+def _broken_sql(s: str, a: str, u: str, b: str, pairs: list[tuple[str, str]]) -> str:
+    c, d = pairs[0]
+    return (f"SELECT '{s}.{a}' AS from_table, '{u}.{b}' AS to_table, '{c} = {d}' AS key, "
+            f"count(*) AS c, count(*) FILTER (WHERE {c} NOT IN (SELECT {d} FROM {b})) AS b FROM {a}")
+
+
+@check("broken_link_checks", f"""
+    WITH n AS ({" UNION ALL ".join(_broken_sql(*link) for link in LINKED)})
+    SELECT from_table, to_table, key, c AS checked_count, b AS broken_count,
+           {share("b", "c")} AS broken_pct FROM n""")
+def broken_link_checks(lab: Lab) -> DataFrame:
+    """Mandatory next records along the declared keys, both ways, in one scan of each table."""
+    return integrity.broken_link_checks(
+        lab.registry, [((s, a), (u, b), pairs) for s, a, u, b, pairs in LINKED]
+    )
+
+
 @check("chain_completeness", f"""
     WITH lines AS (SELECT * FROM lineitem WHERE l_returnflag = 'R'),
     o AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lines)),
