@@ -122,8 +122,13 @@ def table_inventory(
     constraints: DataFrame,
     keys: Iterable[TableKey] | None = None,
     sizes: bool = True,
+    counts: DataFrame | None = None,
+    total_bytes: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per table: counts, bytes, keys and timestamp columns, ordered by name."""
+    """One row per table: counts, bytes, keys and timestamp columns, ordered by name.
+
+    ``counts`` and ``total_bytes`` are given where they were worked out before.
+    """
     keys = registry.keys() if keys is None else list(keys)
     by = ["schema_name", "table_name"]
     columns = column_inventory(registry, keys)
@@ -131,10 +136,11 @@ def table_inventory(
         F.count(F.lit(1)).alias("column_count"),
         timestamp_list().alias("ts_columns"),
     )
-    frame = row_counts(registry, keys).join(shape, by, "left")
+    frame = (row_counts(registry, keys) if counts is None else counts).join(shape, by, "left")
     frame = frame.join(key_counts(constraints), by, "left").join(registry.tables(), by, "left")
     if sizes:
-        frame = frame.join(file_sizes(registry, keys), by, "left")
+        measured = file_sizes(registry, keys) if total_bytes is None else total_bytes
+        frame = frame.join(measured, by, "left")
     else:
         frame = frame.withColumn("total_bytes", F.lit(None).cast("bigint"))
     return frame.select(

@@ -1,4 +1,9 @@
-"""The five end-to-end jobs. Each returns lazy tables; nothing runs until they are written."""
+"""The five end-to-end jobs.
+
+Each returns lazy tables and nothing runs until they are written, unless a
+:class:`~dqloom.plans.runs.GroupedRun` is given: then tables and rules are worked out in groups, written
+below its folder and read back, and one that fails becomes a note.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +24,7 @@ from dqloom.operators import (
 )
 from dqloom.operators.keyed import union_all
 from dqloom.plans import report
+from dqloom.plans.runs import GroupedRun, each_table
 from dqloom.sources import rules as rule_source
 from dqloom.sources import snapshots
 from dqloom.sources.registry import TableKey, TableRegistry
@@ -27,34 +33,66 @@ TABLE = ["schema_name", "table_name"]
 COLUMN = [*TABLE, "column_name"]
 
 
-def _each(registry: TableRegistry, keys: Sequence[TableKey] | None, build) -> DataFrame:
+def _each(
+    registry: TableRegistry, keys: Sequence[TableKey] | None, build,
+    run: GroupedRun | None = None, name: str = "",
+) -> DataFrame:
     keys = registry.keys() if keys is None else keys
-    return union_all([build(registry.table(s, t), s, t) for s, t in keys])
+
+    def of(group: Sequence[TableKey]) -> DataFrame:
+        return union_all([build(registry.table(s, t), s, t) for s, t in group])
+
+    return of(keys) if run is None else run.rows(name, each_table(keys), of)
 
 
 def metadata_profile(
     registry: TableRegistry, constraints: DataFrame, keys: Sequence[TableKey] | None = None,
-    sizes: bool = True,
+    sizes: bool = True, run: GroupedRun | None = None,
 ) -> dict[str, DataFrame]:
-    """Table and column inventories with exact NULL and distinct counts, and schema sums."""
-    tables = inventory.table_inventory(registry, constraints, keys, sizes)
+    """Table and column inventories with exact NULL and distinct counts, and schema sums.
+
+    With a ``run``, tables that can't be opened are left out and tables that can't be
+    read have no counts; its notes say why.
+    """
+    counts = total_bytes = None
+    if run is not None:
+        keys = run.opened(registry, keys)
+        units = each_table(keys)
+        counts = run.rows("row_counts", units, lambda group: inventory.row_counts(registry, group))
+        counts = _all_tables(registry, keys, counts)
+        if sizes:
+            total_bytes = run.rows("bytes", units, lambda group: inventory.file_sizes(registry, group))
+    tables = inventory.table_inventory(registry, constraints, keys, sizes, counts, total_bytes)
     columns = inventory.key_flags(inventory.column_inventory(registry, keys), constraints)
-    columns = columns.join(_each(registry, keys, profile.value_counts), COLUMN, "left")
+    counted = _each(registry, keys, profile.value_counts, run, "value_counts")
+    columns = columns.join(counted, COLUMN, "left")
     return {"tables": tables, "columns": columns, "schemas": inventory.schema_summary(tables)}
 
 
+def _all_tables(registry: TableRegistry, keys: Sequence[TableKey], found: DataFrame) -> DataFrame:
+    """``found`` with a row of NULLs for each table it lacks."""
+    listed = registry.spark.createDataFrame(list(keys), "schema_name string, table_name string")
+    return listed.join(found, TABLE, "left")
+
+
 def metadata_job(
     registry: TableRegistry, constraints: DataFrame, folder: str,
-    existing: DataFrame | None = None, refresh: bool = False,
+    existing: DataFrame | None = None, refresh: bool = False, run: GroupedRun | None = None,
 ) -> dict[str, DataFrame]:
     """Profile every schema, save it below ``folder`` and reconcile the schema list."""
-    parts = metadata_profile(registry, constraints)
-    saved = {
-        name: snapshots.load_snapshot(
-            registry.spark, f"{folder}/{name}", lambda frame=frame: frame, refresh
-        )
-        for name, frame in parts.items()
-    }
+    parts = None
+
+    def part(name: str) -> DataFrame:
+        nonlocal parts
+        parts = parts or metadata_profile(registry, constraints, run=run)
+        return parts[name]
+
+    def kept(name: str, build) -> DataFrame:
+        return snapshots.load_snapshot(registry.spark, f"{folder}/{name}", build, refresh)
+
+    saved = {name: kept(name, lambda name=name: part(name)) for name in ("tables", "columns")}
+    # from the saved tables, which are counted once
+    saved["schemas"] = kept("schemas", lambda: inventory.schema_summary(saved["tables"]))
     if existing is not None:
         saved["schemas"] = snapshots.reconcile(existing, saved["schemas"], ["schema_name"])
     return saved
@@ -68,6 +106,7 @@ def completeness_job(
     null_rules: DataFrame,
     not_null_rules: DataFrame,
     keys: Sequence[TableKey] | None = None,
+    run: GroupedRun | None = None,
 ) -> dict[str, DataFrame]:
     """Tables with tiers; columns with NULL warning, NULL class and placeholder check.
 
@@ -78,7 +117,9 @@ def completeness_job(
     classified = candidates.classify_tables(tables, tiers)
     warned = completeness.with_null_warning(columns, tiers)
     null_classes = candidates.prepare_null_rules(warned, null_rules)
-    dirty = _each(registry, keys, completeness.dirty_values)
+    if run is not None:
+        keys = run.opened(registry, keys)
+    dirty = _each(registry, keys, completeness.dirty_values, run, "dirty_values")
     pending = prepared.filter(F.col("status") != "confirmed").select("id", F.lit("tier").alias("kind"))
     pending = pending.unionByName(
         null_classes.filter(F.col("status") != "confirmed").select(
@@ -98,8 +139,12 @@ def consistency_job(
     constraints: DataFrame,
     tiers: DataFrame,
     rules: DataFrame,
+    run: GroupedRun | None = None,
 ) -> dict[str, DataFrame]:
-    """All confirmed consistency checks as uniform results; the other rules as SKIPPED."""
+    """All confirmed consistency checks as uniform results; the other rules as SKIPPED.
+
+    With a ``run``, a key or rule whose check fails is SKIPPED too, the failure as its reason.
+    """
     edges = inventory.tier_one_edges(inventory.foreign_key_edges(constraints), tiers)
     proposed = (
         candidates.pattern_candidates(columns)
@@ -108,27 +153,55 @@ def consistency_job(
     )
     merged = rule_source.merge_new(rules, proposed)
     planned = rule_source.planned(rules, columns)
+    of_rules = consistency.of_pattern
+    checks = {
+        "orphan": (
+            {f"{k[0]['from_schema']}.{k[0]['from_table']}/{k[0]['constraint_name']}": k
+             for k in consistency.declared_keys(edges)},
+            lambda keys: report.orphan_results(consistency.orphan_checks(registry, keys)),
+        ),
+        "pattern": (
+            _by_table(of_rules(planned, "date_order", "total_detail", "status_terminal")),
+            lambda some: report.pattern_results(consistency.pattern_checks(registry, some), rules),
+        ),
+        "enum": (
+            _by_table(of_rules(planned, "enum")),
+            lambda some: report.enum_results(consistency.enum_checks(registry, some)),
+        ),
+        "duplicated_value": (
+            _by_table(of_rules(planned, "duplicated_value")),
+            lambda some: report.cross_table_results(consistency.cross_table_checks(registry, some)),
+        ),
+    }
     results = []
-    keys = consistency.declared_keys(edges)
-    if keys:
-        results.append(report.orphan_results(consistency.orphan_checks(registry, keys)))
-    patterns = consistency.of_pattern(planned, "date_order", "total_detail", "status_terminal")
-    if patterns:
-        results.append(
-            report.pattern_results(consistency.pattern_checks(registry, patterns), rules)
-        )
-    enums = consistency.of_pattern(planned, "enum")
-    if enums:
-        results.append(report.enum_results(consistency.enum_checks(registry, enums)))
-    repeated = consistency.of_pattern(planned, "duplicated_value")
-    if repeated:
-        results.append(
-            report.cross_table_results(consistency.cross_table_checks(registry, repeated))
-        )
+    for kind, (units, build) in checks.items():
+        if not units:
+            continue
+        if run is None:
+            results.append(build(list(units.values())))
+        else:
+            results.append(run.rows(kind, units, build))
     results.append(report.skipped_results(skipped_rules(merged, columns)))
+    if run is not None:
+        failed = run.notes().filter(F.col("name").isin(*checks)).select(
+            F.lit("consistency").alias("dimension"),
+            F.regexp_replace("unit", "^[^/]*/", "").alias("id"),
+            F.col("name").alias("pattern"),
+            F.col("failure").alias("reason"),
+        )
+        results.append(report.skipped_results(failed))
     return {"results": union_all(results), "rules": merged}
 
 
+def _by_table(planned: Sequence[consistency.Rule]) -> dict[str, consistency.Rule]:
+    """Rules as units of a run, named so that those of a table follow each other and share its scan."""
+    def place(rule: consistency.Rule) -> str:
+        named = [rule.get(k) for k in ("table", "total_table", "column", "source")]
+        return ".".join(next(n for n in named if n).split(".")[:2])
+
+    return {f"{place(rule)}/{rule['id']}": rule for rule in planned}
+
+
 def skipped_rules(rules: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """Rules that do not run, with the reason: not confirmed, or the first validation error.
 
@@ -184,27 +257,48 @@ def profile_report(
     extra_pii: Sequence[str] = (),
     labels: Sequence[tuple[str, Sequence[str]]] = (),
     exact: bool = True,
+    run: GroupedRun | None = None,
 ) -> dict[str, DataFrame]:
     """The exporter's report: tables with growth, columns with statistics, keys, counters.
 
-    ``exact=False`` takes column statistics from sketches in one pass over each table.
+    ``exact=False`` takes column statistics from sketches in one pass over each table. With a
+    ``run``, a table that can't be opened, or whose growth can't be worked out, has the failure as its note.
     """
     profiled = profile.column_profile if exact else profile.approximate_profile
     edges = inventory.foreign_key_edges(constraints)
-    columns = inventory.key_flags(inventory.column_inventory(registry), constraints)
+    opened = None if run is None else run.opened(registry)
+    columns = inventory.key_flags(inventory.column_inventory(registry, opened), constraints)
     scoped = inventory.scope_report(
         tokens, registry.tables(), columns,
         inventory.implicit_foreign_keys(columns, constraints), edges,
     )
     inventory.require_match(scoped, tokens)
     keys = [tuple(row) for row in scoped["tables"].select(*TABLE).collect()]
-    tables = inventory.table_inventory(registry, constraints, keys)
-    grown = growth.growth_rates(registry, keys, start, end)
+    counts = None
+    if run is None:
+        grown = growth.growth_rates(registry, keys, start, end)
+    else:
+        chosen, keys = keys, [key for key in keys if key in set(opened)]
+        units = each_table(keys)
+        counts = run.rows("row_counts", units, lambda group: inventory.row_counts(registry, group))
+        counts = _all_tables(registry, keys, counts)
+        grown = run.rows(
+            "growth", units, lambda group: growth.growth_rates(registry, group, start, end)
+        )
+        failed = run.notes().filter(F.col("name").isin("growth", "open"))
+        named = F.concat_ws(".", *TABLE)
+        grown = _all_tables(registry, chosen, grown).join(failed, named == F.col("unit"), "left").select(
+            *TABLE, "growth",
+            F.coalesce("note", F.concat(F.lit("ERROR: "), "failure")).alias("note"), "time_info",
+        )
+    tables = inventory.table_inventory(registry, constraints, keys, counts=counts)
+    if run is not None:
+        tables = _all_tables(registry, chosen, tables)
     tables = tables.join(grown, TABLE, "left").withColumn(
         "label", naming.table_label(F.col("table_name"), labels)
     )
     statistics = _each(
-        registry, keys, lambda f, s, t: profiled(f, s, t, extra_pii=extra_pii)
+        registry, keys, lambda f, s, t: profiled(f, s, t, extra_pii=extra_pii), run, "statistics"
     )
     return {
         "tables": tables,

@@ -152,6 +152,9 @@ class Lab:
 
     @cached_property
     def registry(self) -> TableRegistry:
+        return self.fresh_registry()
+
+    def fresh_registry(self) -> TableRegistry:
         registry = TableRegistry(self.spark)
         for schema, tables in GIVEN.items():
             registry.add_files(schema, {t: f"{self.folder}/{t}.parquet" for t in tables})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dqloom.operators import inventory, uniqueness
 from dqloom.operators.keyed import union_all
-from dqloom.plans import jobs, report
+from dqloom.plans import jobs, report, runs
 from dqloom.sources import rules as rule_source
 from dqloom.sources import snapshots
 from verification import completeness as filled
@@ -153,6 +153,36 @@ def job_metadata(lab: Lab) -> DataFrame:
     )
 
 
+@check("grouped_run", f"""
+    {with_intake()}
+    SELECT kind, item, n, part FROM (
+        SELECT 'column' AS kind, table_name || '.' || column_name AS item, total_rows AS n,
+               null_count AS part
+        FROM {_body("column_null_pct")})
+    UNION ALL SELECT 'note', 'nulls broken.order_priority', 0, 0
+    UNION ALL SELECT 'note', 'open broken.no_such_file', 0, 0""")
+def grouped_run(lab: Lab) -> DataFrame:
+    """NULL counts in groups of four tables, written once; a table that can't be read is one note."""
+    broken = lab.given("orders").select(F.col("o_orderpriority").cast("int").alias("o_orderpriority"))
+    registry = lab.fresh_registry()
+    registry.add("broken", "order_priority", broken)
+    registry.add_files("broken", {"no_such_file": f"{lab.folder}/no_such_file.parquet"})
+    run = runs.GroupedRun(lab.spark, lab.scratch("run"), size=4)
+    chosen = [*described.PROFILED, ("broken", "order_priority"), ("broken", "no_such_file")]
+    units = runs.each_table(run.opened(registry, chosen))
+    found = run.rows("nulls", units, lambda group: union_all([
+        described.profile.null_share(registry.table(s, t), s, t) for s, t in group
+    ]))
+    noted = run.notes().select(
+        F.lit("note").alias("kind"), F.concat_ws(" ", "name", "unit").alias("item"),
+        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("part"),
+    )
+    return found.select(
+        F.lit("column").alias("kind"), F.concat_ws(".", "table_name", "column_name").alias("item"),
+        F.col("total_rows").alias("n"), F.col("null_count").alias("part"),
+    ).unionByName(noted)
+
+
 JOB_TIERS = f"""
     SELECT schema_name, table_name, tier AS t FROM ({filled.PREPARED_ROWS}) WHERE status = 'confirmed'"""
 JOB_NULLS = f"""
