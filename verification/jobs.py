@@ -162,14 +162,14 @@ def job_metadata(lab: Lab) -> DataFrame:
     UNION ALL SELECT 'note', 'open broken.lost_column', 0, 0
     UNION ALL SELECT 'note', 'open broken.no_such_file', 0, 0""")
 def grouped_run(lab: Lab) -> DataFrame:
-    """NULL counts in groups of four tables, written once; a table that can't be opened is one note.
+    """NULL counts in groups of eight tables, written once; a table that can't be opened is one note.
 
     Tables that fail while they are read are covered by tests, as no task of a registered query shall fail.
     """
     registry = lab.fresh_registry()
     registry.add("broken", "lost_column", lambda: lab.given("orders").select("no_such_column"))
     registry.add_files("broken", {"no_such_file": f"{lab.folder}/no_such_file.parquet"})
-    run = runs.GroupedRun(lab.spark, lab.scratch("run"), size=4)
+    run = runs.GroupedRun(lab.spark, lab.scratch("run"), size=8)
     chosen = [*described.PROFILED, ("broken", "lost_column"), ("broken", "no_such_file")]
     units = runs.each_table(run.opened(registry, chosen))
     found = run.rows("nulls", units, lambda group: union_all([
