@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dqloom.functions import naming
 from dqloom.functions.numbers import fixed_text, share
+from dqloom.functions.text import quoted
 from dqloom.operators.keyed import union_all
 from dqloom.sources.registry import TableKey, TableRegistry
 
@@ -21,7 +22,7 @@ def dirty_cells(frame: DataFrame, by_value: bool = False) -> DataFrame:
                    F.lit(None).cast("string").alias("value"))
     cells = []
     for f in frame.schema.fields:
-        column = F.col(f"`{f.name}`")
+        column = F.col(quoted(f.name))
         condition = naming.is_dirty(column, f.dataType.simpleString(), by_value)
         if condition is not None:
             cells.append(

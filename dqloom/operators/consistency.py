@@ -109,7 +109,7 @@ def date_order(registry: TableRegistry, rules: Sequence[Rule]) -> DataFrame:
     for reference, group in by_table.items():
         aggregates = []
         for i, rule in enumerate(group):
-            start, end = F.col(f"`{rule['start_column']}`"), F.col(f"`{rule['end_column']}`")
+            start, end = F.col(quoted(rule["start_column"])), F.col(quoted(rule["end_column"]))
             wrong = start > end if rule.get("operator") == "<=" else start >= end
             aggregates += [
                 F.count_if(start.isNotNull() & end.isNotNull()).alias(f"c{i}"),

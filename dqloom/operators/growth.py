@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from dqloom.functions import fixed_values as fixed
 from dqloom.functions.naming import first_label
+from dqloom.functions.text import quoted
 from dqloom.functions.timewindow import elapsed_seconds, has_window, window_bound
 from dqloom.functions.numbers import months_inclusive
 from dqloom.operators.keyed import union_all
@@ -31,7 +32,7 @@ def best_timestamp_column(
 ) -> DataFrame:
     """The candidate with the most values; the first one wins a tie."""
     columns = timestamp_columns(frame) if columns is None else list(columns)
-    counted = frame.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)])
+    counted = frame.agg(*[F.count(F.col(quoted(c))).alias(f"n{i}") for i, c in enumerate(columns)])
     most = _most([F.col(f"n{i}") for i in range(len(columns))])
     best = first_label((F.col(f"n{i}") == most, c) for i, c in enumerate(columns))
     return counted.select(
@@ -73,7 +74,7 @@ def growth_rate(
     windowed = has_window(lower, upper)
     aggregates = [F.count(F.lit(1)).alias("row_count")]
     for i, c in enumerate(columns):
-        column = F.col(f"`{c}`")
+        column = F.col(quoted(c))
         aggregates += [
             F.count(column).alias(f"n{i}"),
             F.min(column).alias(f"lo{i}"),

@@ -161,13 +161,14 @@ def _with_common_types(
     left: DataFrame, right: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Bring the keys of both sides to one type, so that equal keys hash alike."""
-    common = left.select(*keys).unionByName(right.select(*keys)).schema
+    names = [quoted(k) for k in keys]
+    common = left.select(*names).unionByName(right.select(*names)).schema
     for k in keys:
         wanted = common[k].dataType
         if left.schema[k].dataType != wanted:
-            left = left.withColumn(k, F.col(k).cast(wanted))
+            left = left.withColumn(k, F.col(quoted(k)).cast(wanted))
         if right.schema[k].dataType != wanted:
-            right = right.withColumn(k, F.col(k).cast(wanted))
+            right = right.withColumn(k, F.col(quoted(k)).cast(wanted))
     return left, right
 
 
@@ -183,7 +184,7 @@ def with_presence(
         .withColumn(flag, F.lit(True))
     )
     joined = spread_left_join(left, known, keys)
-    return joined.select(*left.columns, F.coalesce(flag, F.lit(False)).alias(flag))
+    return joined.select(*map(quoted, left.columns), F.coalesce(flag, F.lit(False)).alias(flag))
 
 
 def pair_agreement(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dqloom.functions import fixed_values as fixed
 from dqloom.functions import naming
 from dqloom.functions.numbers import pct
+from dqloom.functions.text import quoted
 
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 PHONE = r"^\+?[0-9][0-9 .-]{6,18}[0-9]$"
@@ -54,7 +55,7 @@ class ValidityRule:
     allowed: tuple = ()
 
     def broken(self) -> Column:
-        value = F.col(f"`{self.column}`")
+        value = F.col(quoted(self.column))
         if self.kind in ("date_range", "number_range", "length_range"):
             if self.kind == "length_range":
                 value = F.char_length(value)
@@ -79,7 +80,7 @@ def validity_checks(frame: DataFrame, rules: Sequence[ValidityRule]) -> DataFram
     aggregates = []
     for i, rule in enumerate(rules):
         aggregates += [
-            F.count(F.col(f"`{rule.column}`")).alias(f"c{i}"),
+            F.count(F.col(quoted(rule.column))).alias(f"c{i}"),
             F.count_if(rule.broken()).alias(f"v{i}"),
         ]
     rows = F.array(*[

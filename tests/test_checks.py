@@ -10,7 +10,7 @@ from decimal import Decimal, localcontext
 import pytest
 from pyspark.sql import functions as F
 
-from dqloom.operators import completeness, consistency, integrity, temporal, timeliness, uniqueness
+from dqloom.operators import completeness, consistency, growth, integrity, temporal, timeliness, uniqueness
 from dqloom.operators import validity
 from dqloom.sources.registry import TableRegistry
 
@@ -74,6 +74,27 @@ def test_shared_checks_equal_single_ones(spark):
     assert sorted(tuple(r) for r in found) == sorted(single)
 
 
+def test_odd_column_names(spark):
+    """Names with dots, blanks and backticks pass through every kind of check."""
+    child = spark.createDataFrame(
+        [(1, "x", datetime(2024, 1, 1), datetime(2024, 2, 1)), (2, "N/A", datetime(2024, 3, 1), datetime(2024, 2, 1)),
+         (None, None, None, None)],
+        "`a.b` int, `t``x y` string, `from.created at` timestamp_ntz, `to``updated` timestamp_ntz",
+    )
+    parent = spark.createDataFrame([(1,), (None,)], "`p``q.r` bigint")
+    tables = registry(spark, c=child, p=parent)
+    rows = consistency.orphan_rows(child, parent, [("a.b", "p`q.r")]).collect()
+    assert [r["a.b"] for r in rows] == [2] and rows[0].asDict().keys() == set(child.columns)
+    rule = dict(id="r", table="s.c", start_column="from.created at", end_column="to`updated")
+    assert consistency.date_order(tables, [rule]).first()["violation_count"] == 1
+    dirty = {r["column_name"]: r["dirty_value_check"] for r in completeness.dirty_values(child, "s", "c").collect()}
+    assert dirty["t`x y"]
+    assert growth.best_timestamp_column(child, "s", "c").first()["value_count"] == 2
+    assert growth.growth_rate(child, "s", "c").first()["note"].startswith("MIN_TO_MAX")
+    checked = validity.validity_checks(child, [validity.ValidityRule("v", "a.b", "number_range", 2)])
+    assert checked.first()["checked_count"] == 2
+
+
 def test_repartitioning_and_doubling(spark):
     frame = spark.range(200).select((F.col("id") % 17).alias("fk"))
     parent = spark.range(9).withColumnRenamed("id", "pk")
