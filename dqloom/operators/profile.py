@@ -244,6 +244,33 @@ def approximate_distinct(
     return union_all(results).select(*_labels(schema, table), "column_name", "distinct_count")
 
 
+def sketched_value(column: Column, data_type: T.DataType) -> Column:
+    """A value as sketches of common values hold it: text, a long one as its beginning and a digest."""
+    if not is_orderable(data_type):
+        return F.lit(None).cast("string")
+    shown = column.cast("string")
+    marked = F.concat(F.left(shown, F.lit(fixed.MAX_CELL_CHARS)), F.lit("\x01"), F.sha2(shown, 256))
+    return F.when(F.octet_length(shown) > LONG_VALUE, marked).otherwise(shown)
+
+
+def common_of(found: Column, top: int) -> Column:
+    """The ``top`` common values (value, n) of a sketch that was asked for one more.
+
+    That one is needed because NULL may be among them. Equal counts are ordered by value, as in the
+    exact profile; values that occur once are not common.
+    """
+    kept = F.filter(found, lambda item: item["item"].isNotNull() & (item["count"] > 1))
+    ordered = F.array_sort(F.transform(
+        kept, lambda item: F.struct((-item["count"]).alias("m"), item["item"].alias("value"))
+    ))
+    return F.transform(
+        F.slice(ordered, 1, top),
+        lambda item: F.struct(
+            F.regexp_replace(item["value"], "\x01[0-9a-f]{64}$", "").alias("value"), (-item["m"]).alias("n")
+        ),
+    )
+
+
 def approximate_profile(
     frame: DataFrame, schema: str, table: str, columns: Sequence[str] | None = None,
     top: int = fixed.TOP_VALUES, extra_pii: Sequence[str] = (), rsd: float = 0.02,
@@ -265,11 +292,7 @@ def approximate_profile(
             column = _groupable(F.col(quoted(c)), data_type, False)
             ordered = is_orderable(data_type)
             bound = column if ordered else F.lit(None)
-            shown = F.col(quoted(c)).cast("string") if ordered else F.lit(None).cast("string")
-            marked = F.concat(
-                F.left(shown, F.lit(fixed.MAX_CELL_CHARS)), F.lit("\x01"), F.sha2(shown, 256)
-            )
-            candidate = F.when(F.octet_length(shown) > LONG_VALUE, marked).otherwise(shown)
+            candidate = sketched_value(F.col(quoted(c)), data_type)
             aggregates += [
                 F.count(F.lit(1)).alias(f"f{i}_total_rows"),
                 F.count_if(column.isNull()).alias(f"f{i}_null_count"),
@@ -281,22 +304,7 @@ def approximate_profile(
                 ).alias(f"f{i}_top"),
             ]
         results.append(_as_rows(frame.agg(*aggregates), batch, fields))
-    # one more than wanted was asked for, because NULL may be among them; equal counts are
-    # ordered by value, as in the exact profile
-    kept = F.filter("top", lambda item: item["item"].isNotNull() & (item["count"] > 1))
-    ordered = F.array_sort(
-        F.transform(
-            kept, lambda item: F.struct((-item["count"]).alias("m"), item["item"].alias("value"))
-        )
-    )
-    common = F.transform(
-        F.slice(ordered, 1, top),
-        lambda item: F.struct(
-            F.regexp_replace(item["value"], "\x01[0-9a-f]{64}$", "").alias("value"),
-            (-item["m"]).alias("n"),
-        ),
-    )
-    found = union_all(results).withColumn("common", common).withColumn(
+    found = union_all(results).withColumn("common", common_of(F.col("top"), top)).withColumn(
         "cardinality", F.least("cardinality", F.col("total_rows") - F.col("null_count"))
     )
     return _report(found, schema, table, extra_pii)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqloom.functions import fixed_values as fixed
+from dqloom.sources import ranges as ranges_of
 
 TableKey = tuple[str, str]
 
@@ -74,19 +75,28 @@ class TableRegistry:
         tables: Iterable[str],
         url: str,
         ranges: Mapping[str, tuple[str, int, int, int]] | None = None,
+        split_by: Mapping[str, str] | None = None,
+        rows_per_task: int = ranges_of.ROWS_PER_TASK,
         **properties: str,
     ) -> TableRegistry:
         """Tables of a relational database, opened read-only.
 
-        ``ranges`` gives (column, lower, upper, partitions) per large table; without it a
-        table is read in one task.
+        ``ranges`` gives (column, lower, upper, partitions) of a table. ``split_by`` gives only the
+        column: bounds and cuts are then found in the data when the table is opened, so that every
+        task reads about ``rows_per_task`` rows however uneven the keys are (:mod:`dqloom.sources.ranges`).
+        A table in neither is read by one task.
         """
         for table in tables:
+            column = (split_by or {}).get(table)
             options = jdbc_options(schema, table, url, (ranges or {}).get(table), properties)
-            self.add(
-                schema, table,
-                lambda options=options: self.spark.read.format("jdbc").options(**options).load(),
-            )
+
+            def opened(table=table, column=column, options=options) -> DataFrame:
+                if column is None or table in (ranges or {}):
+                    return self.spark.read.format("jdbc").options(**options).load()
+                source = ranges_of.JdbcTable(self.spark, schema, table, url, properties)
+                return source.load(column, rows_per_task)
+
+            self.add(schema, table, opened)
         return self
 
     def table(self, schema: str, table: str) -> DataFrame:

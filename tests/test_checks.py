@@ -406,3 +406,58 @@ def test_intervals_and_transitions(spark, rows):
     allowed = spark.createDataFrame([("new", "done"), ("new", "new")], "from_status string, to_status string")
     assert rows(temporal.illegal_transitions(steps, allowed)) == [("done", "new", 1)]
     assert tuple(temporal.returns_to_old_state(states, ["k"], "t", [], "s").first()) == (2, 1, 50.0)
+
+
+def test_reach_of_dense_keys(spark, tmp_path):
+    """300 tables with ten keys each have more simple ways than could ever be listed."""
+    tables, keys = 300, 10
+    pairs = {(i, (i * 7 + j * j * 31 + 1) % tables) for i in range(tables) for j in range(keys)}
+    edges = spark.createDataFrame(
+        [(f"fk{i}_{j}", "s", f"t{i}", f"c{j}", "s", f"t{j}", "id") for i, j in sorted(pairs)],
+        "constraint_name string, from_schema string, from_table string, from_column string, "
+        "to_schema string, to_table string, to_column string",
+    )
+    columns = spark.createDataFrame(
+        [("s", f"t{i}", f"c{j}", (i + j) % 3 > 0) for i, j in sorted(pairs)],
+        "schema_name string, table_name string, column_name string, nullable boolean",
+    )
+
+    def fewest(links):
+        following = {a: {d for c, d in links if c == a} for a in range(tables)}
+        found = {}
+        for start in range(tables):
+            level, n, seen = following[start], 1, set()
+            while level:
+                found |= {(start, b): n for b in level}
+                seen |= level
+                level, n = {d for b in level for d in following[b]} - seen, n + 1
+        return found
+
+    mandatory = {(a, b) for a, b in pairs if (a + b) % 3 == 0}
+    every, needed = fewest(pairs), fewest(mandatory)
+    reach = integrity.foreign_key_reach(edges, columns, str(tmp_path / "reach"))
+    found = {(r.from_table, r.to_table): (r.links, r.mandatory_links) for r in reach.collect()}
+    assert found == {(f"s.t{a}", f"s.t{b}"): (n, needed.get((a, b))) for (a, b), n in every.items()}
+    both = {(a, b) for a, b in every if (b, a) in every}
+    cycles = {r.table_name: (r.cycle, r.tables) for r in integrity.foreign_key_cycles(reach).collect()}
+    assert cycles == {
+        f"s.t{a}": (min(f"s.t{d}" for c, d in both if c == a), sum(c == a for c, _ in both))
+        for a in {a for a, _ in both}
+    }
+
+
+def test_chains_of_a_chosen_start(spark, tmp_path, rows):
+    edges = spark.createDataFrame(
+        [("k1", "s", "a", "x", "s", "b", "id"), ("k2", "s", "b", "y", "s", "c", "id"),
+         ("k3", "s", "c", "z", "s", "a", "id")],
+        "constraint_name string, from_schema string, from_table string, from_column string, "
+        "to_schema string, to_table string, to_column string",
+    )
+    columns = spark.createDataFrame(
+        [("s", "a", "x", False)], "schema_name string, table_name string, column_name string, nullable boolean"
+    )
+    found = integrity.foreign_key_chains(edges, columns, str(tmp_path / "b"), start="s.b")
+    assert rows(found) == [("s.b -> s.c -> s.a", 2, False), ("s.b -> s.c", 1, False)]
+    empty = integrity.foreign_key_reach(edges.limit(0), columns, str(tmp_path / "none"))
+    assert empty.count() == 0
+    assert integrity.foreign_key_cycles(empty).count() == 0

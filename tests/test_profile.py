@@ -8,12 +8,15 @@ from collections import Counter
 from collections import Counter
 from datetime import date, datetime
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from dqloom.operators import growth, inventory, profile
 from dqloom.plans import jobs, report
-from dqloom.sources import snapshots
+from dqloom.operators.keyed import union_all
+from dqloom.sources import ranges, refresh, snapshots
 from dqloom.sources.registry import TableRegistry, jdbc_options, user_schemas
 
 
@@ -347,3 +350,115 @@ def test_no_shuffle_carries_a_text(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # histogram, bounds, late lookup
     assert "sha2" in plan and len(re.findall(r"FileScan parquet", plan)) <= 3
+
+
+def test_refresh_reads_only_new_files(spark, tmp_path, rows):
+    path, state = str(tmp_path / "table a"), str(tmp_path / "state")
+    columns = "k int, `a.b` double, t string, d decimal(10,2), m map<string,int>, l array<int>"
+
+    def deliver(values):
+        spark.createDataFrame(
+            [(k, v, t, None if k is None else Decimal(k) / 4, {"x": 1}, [k]) for k, v, t in values], columns
+        ).coalesce(1).write.mode("append").parquet(path)
+
+    def run(where=state):
+        return refresh.refresh_profile(spark, path, where, "s", "t")
+
+    spark.createDataFrame([], columns).coalesce(1).write.parquet(path)
+    assert {r.total_rows for r in run().profile.collect()} == {0}
+    deliver([(1, -0.0, "b"), (None, 2.5, "b"), (7, None, "x" * 3000)])
+    run()
+    deliver([(9, 0.0, "a"), (9, float("nan"), None)])
+    before = run(str(tmp_path / "other")).profile
+    found = run()
+    assert found.added.agg({"rows": "sum"}).first()[0] == 2  # the first delivery is not read again
+    assert found.added.count() == 1
+    assert rows(found.profile) == rows(before)
+    by = {r.column_name: r for r in found.profile.collect()}
+    assert (by["k"].total_rows, by["k"].null_count, by["k"].cardinality, by["k"].col_sum) == (5, 1, 3, "26")
+    assert (by["k"].col_min, by["k"].col_max, by["k"].common_values) == ("1", "9", "9")
+    assert (by["a.b"].null_count, by["a.b"].col_min, by["a.b"].col_max) == (1, "0.0", "NaN")
+    assert (by["d"].col_sum, by["m"].cardinality, by["l"].col_min) == ("6.50", 0, None)
+    assert by["t"].common_values == "b" and by["t"].col_max == "x" * 3000
+    assert run().added.count() == 0
+
+
+def test_refresh_reads_exactly_the_added_files(spark, tmp_path):
+    path, state = str(tmp_path / "table"), str(tmp_path / "state")
+    spark.range(10).repartition(3).write.parquet(path)
+    refresh.refresh_profile(spark, path, state, "s", "t")
+    old = set(spark.read.parquet(path).inputFiles())
+    spark.range(10, 15).coalesce(1).write.mode("append").parquet(path)
+    opened = []
+    statistics = refresh.file_statistics
+
+    def watched(frame):
+        opened.extend(frame.inputFiles())
+        return statistics(frame)
+
+    refresh.file_statistics = watched
+    try:
+        found = refresh.refresh_profile(spark, path, state, "s", "t").profile.first()
+    finally:
+        refresh.file_statistics = statistics
+    assert len(opened) == 1 and not old & set(opened)
+    assert (found.total_rows, found.col_min, found.col_max, found.cardinality) == (15, "0", "14", 15)
+
+
+def test_refresh_forgets_removed_files_and_starts_anew_for_new_columns(spark, tmp_path):
+    path, state = str(tmp_path / "table"), str(tmp_path / "state")
+    spark.range(4).coalesce(1).write.parquet(path)
+    refresh.refresh_profile(spark, path, state, "s", "t")
+    spark.range(100, 103).coalesce(1).write.mode("overwrite").parquet(path)
+    found = refresh.refresh_profile(spark, path, state, "s", "t").profile.first()
+    assert (found.total_rows, found.col_min) == (3, "100")
+    spark.range(2).selectExpr("id", "id AS other").coalesce(1).write.mode("overwrite").parquet(path)
+    found = refresh.refresh_profile(spark, path, state, "s", "t").profile.collect()
+    assert {(r.column_name, r.total_rows) for r in found} == {("id", 2), ("other", 2)}
+
+
+def test_ranges_are_even_for_uneven_keys(spark):
+    keys = [*range(1000), 10**12, *[5000] * 300, None, None]
+    frame = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "`the key` bigint, n int")
+    conditions = ranges.planned_for(frame, "the key", 100)
+    counts = [frame.filter(c).count() for c in conditions]
+    assert sum(counts) == len(keys) and len(conditions) > 9
+    assert sorted(counts)[-2] <= 150 and max(counts) <= 301 + 150  # one key alone has 300 rows
+    assert ranges.planned_for(frame.filter("n < 0"), "the key", 100) == ["1 = 1"]
+    assert ranges.planned_for(frame.filter("`the key` IS NULL"), "the key", 1) == ["1 = 1"]
+    days = spark.range(50).selectExpr("date_add(DATE '2024-01-01', CAST(id AS INT)) AS d",
+                                      "CAST(id AS DOUBLE) / 7 AS v", "timestampadd(SECOND, id, TIMESTAMP '2024-01-01') AS t")
+    for column in ("d", "v", "t"):
+        counts = [days.filter(c).count() for c in ranges.planned_for(days, column, 10)]
+        assert sum(counts) == 50 and max(counts) <= 15
+    with pytest.raises(ValueError):
+        ranges.planned_for(spark.createDataFrame([("a",)], "s string"), "s", 1)
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.0,), (2.0,), (3.0,), (None,)], "x double")
+    assert sum(odd.filter(c).count() for c in ranges.planned_for(odd, "x", 2)) == 6
+
+
+def test_jdbc_tables_are_split_where_the_rows_are(spark):
+    """The option builder's texts, run by Spark on a view that stands for the database's table."""
+    keys = [*range(2000), 10**9, None]
+    spark.createDataFrame([(k, "x") for k in keys], "id bigint, v string").createOrReplaceTempView("far_table")
+    asked, read = [], []
+
+    def text(name):
+        return name.replace('"s"."far"', "far_table").replace('"', "`")
+
+    def open_options(options):
+        asked.append(options)
+        return spark.sql(text(options["query"]) if "query" in options else f"SELECT * FROM {text(options['dbtable'])}")
+
+    def open_ranges(options, conditions):
+        read.extend(conditions)
+        return union_all([spark.sql(f"SELECT * FROM far_table WHERE {text(c)}") for c in conditions])
+
+    source = ranges.JdbcTable(spark, "s", "far", "jdbc:x", {"user": "u"}, open_options, open_ranges)
+    assert source.load("id", 500).count() == len(keys)
+    assert asked[0]["query"] == 'SELECT min("id") AS low, max("id") AS high, count(*) AS row_count FROM "s"."far"'
+    assert asked[1]["dbtable"] == '(SELECT "id" FROM "s"."far") key_values'
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"]) == ("0", "1000000000", "5")
+    sizes = [spark.sql(f"SELECT * FROM far_table WHERE {text(c)}").count() for c in read]
+    assert len(sizes) == 5 and max(sizes) <= 600
+    assert source.load("id", 10_000).count() == len(keys) and "numPartitions" not in asked[-1]

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from dqloom.operators import inventory, uniqueness
 from dqloom.operators.keyed import union_all
 from dqloom.plans import jobs, report, runs
+from dqloom.sources import refresh, snapshots
 from dqloom.sources import rules as rule_source
-from dqloom.sources import snapshots
 from verification import completeness as filled
 from verification import metadata as described
 from verification.consistency import RULES, duplicate_row, keyed_columns, rules_of
@@ -68,6 +68,64 @@ def snapshot_roundtrip(lab: Lab) -> DataFrame:
     ])
 
 
+REFRESHED = """
+    SELECT '{kind}' AS kind, (SELECT count(*) FROM orders WHERE {read}) AS rows_read, '{c}' AS column_name,
+           count(*) AS total_rows, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS col_min,
+           CAST(max({c}) AS VARCHAR) AS col_max, {total} AS col_sum, TRUE AS close,
+           {common} AS common_values FROM orders WHERE {held}"""
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+FEW_VALUES = ("o_orderstatus", "o_orderpriority")
+LATER = "o_orderstatus = 'P'"
+
+
+def _refreshed_sql(kind: str, read: str, held: str) -> str:
+    def common(c: str) -> str:
+        return (f"(SELECT string_agg(v, ' | ' ORDER BY n DESC, v) FROM (SELECT {c} AS v, count(*) AS n "
+                f"FROM orders WHERE {held} GROUP BY ALL HAVING count(*) > 1))")
+
+    return " UNION ALL ".join(
+        REFRESHED.format(
+            kind=kind, read=read, held=held, c=c, common=common(c) if c in FEW_VALUES else "''",
+            total=f"CAST(sum({c}) AS VARCHAR)" if c in ("o_orderkey", "o_custkey") else "''",
+        )
+        for c in ORDER_COLUMNS
+    )
+
+
+@check("refreshed_profile", " UNION ALL ".join([
+    _refreshed_sql("first", f"NOT {LATER}", f"NOT {LATER}"),
+    _refreshed_sql("added", LATER, "TRUE"),
+    _refreshed_sql("same", "FALSE", "TRUE"),
+]))
+def refreshed_profile(lab: Lab) -> DataFrame:
+    """Orders arrive in two deliveries; after each the profile is refreshed from the new files alone.
+
+    Everything is compared exactly but the sketched distinct counts, which lie within 5 % (or 2).
+    """
+    orders = lab.given("orders")
+    table, state = lab.scratch("delivered"), lab.scratch("statistics")
+    late = F.expr(LATER)
+    results = []
+    for kind, delivery in [("first", orders.filter(~late)), ("added", orders.filter(late)), ("same", None)]:
+        if delivery is not None:
+            delivery.write.mode("append").parquet(table)
+            held = delivery if kind == "first" else orders
+            exact = held.agg(*[F.count_distinct(c).alias(c) for c in ORDER_COLUMNS]).unpivot(
+                [], [F.col(c) for c in ORDER_COLUMNS], "column_name", "exact"
+            )
+        found = refresh.refresh_profile(lab.spark, table, state, "sales", "orders")
+        read = found.added.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_read"))
+        off = F.abs(F.col("cardinality") - F.col("exact"))
+        few = F.col("column_name").isin(*FEW_VALUES)
+        results.append(found.profile.join(exact, "column_name").select(
+            F.lit(kind).alias("kind"), read.scalar().alias("rows_read"), "column_name", "total_rows", "null_count", "col_min", "col_max",
+            F.coalesce("col_sum", F.lit("")).alias("col_sum"),
+            ((off <= F.col("exact") * 0.05) | (off <= 2)).alias("close"),
+            F.when(few, F.col("common_values")).otherwise(F.lit("")).alias("common_values"),
+        ))
+    return union_all(results)
+
+
 @check("nested_profile", f"""
     {with_intake()}
     SELECT schema_name, table_name, row_count, count(*) AS columns,

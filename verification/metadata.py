@@ -11,7 +11,7 @@ from dqloom.functions.text import clean_cell, masked, mask_sample
 from dqloom.functions.timewindow import has_window, window_bound
 from dqloom.operators import growth, inventory, profile
 from dqloom.operators.keyed import union_all
-from dqloom.sources import snapshots
+from dqloom.sources import ranges, snapshots
 from dqloom.sources.registry import user_schemas
 from verification.consistency import EDGE_ROWS, TIER_ONE_EDGE_ROWS, edges_of, keyed_columns
 from verification.fixtures import (
@@ -790,3 +790,48 @@ def snapshot_reconcile(lab: Lab) -> DataFrame:
         )
 
     return snapshots.reconcile(state("P"), state("O"), ["k"])
+
+
+# --- key ranges ------------------------------------------------------------------------
+
+
+SPLIT = [("sales", "orders", "o_orderkey"), ("sales", "lineitem", "l_orderkey"), ("sales", "lineitem", "l_shipdate"),
+         ("sales", "customer", "c_acctbal"), ("web_log", "events", "user_id"), ("web_log", "events", "ts"),
+         ("intake", "order_record", "customer_id"), ("intake", "account_archive", "account_id")]
+RANGES = 16
+
+
+@check("key_ranges", f"""
+    {with_intake()}
+    {" UNION ALL ".join(
+        f"SELECT '{s}' AS schema_name, '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, "
+        f"count(*) - count({c}) AS null_keys, count(*) AS in_one_range, TRUE AS even FROM {t}"
+        for s, t, c in SPLIT)}""")
+def key_ranges(lab: Lab) -> DataFrame:
+    """Ranges planned on each key: every row is in exactly one, and none has far more rows than meant.
+
+    A range may hold half as much again as meant, or a single key with more rows than that.
+    """
+    found = []
+    for s, t, c in SPLIT:
+        frame = lab.registry.table(s, t)
+        rows = frame.count()
+        conditions = ranges.planned_for(frame, c, max(1, -(-rows // RANGES)))
+        hits = F.array(*[F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in conditions])
+        number = F.array_position(hits, 1)
+        by_key = frame.select(F.col(c).alias("key"), number.alias("number"),
+                              F.aggregate(hits, F.lit(0), lambda a, x: a + x).alias("hits"))
+        by_key = by_key.groupBy("key", "number", "hits").agg(F.count(F.lit(1)).alias("n"))
+        by_range = by_key.groupBy("number").agg(
+            F.sum("n").alias("n"), F.max("n").alias("hottest"),
+            F.sum(F.when(F.col("hits") == 1, F.col("n")).otherwise(0)).alias("once"),
+            F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        )
+        allowed = F.lit(1.5 * rows / RANGES + 2) + F.col("hottest") + F.col("nulls")
+        zero = F.lit(0).cast("bigint")
+        found.append(by_range.agg(
+            F.coalesce(F.sum("n"), zero).alias("row_count"), F.coalesce(F.sum("nulls"), zero).alias("null_keys"),
+            F.coalesce(F.sum("once"), zero).alias("in_one_range"),
+            F.coalesce(F.bool_and(F.col("n") <= allowed), F.lit(True)).alias("even"),
+        ).select(F.lit(s).alias("schema_name"), F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "*"))
+    return union_all(found)

@@ -340,7 +340,7 @@ def fk_chains(lab: Lab) -> DataFrame:
         "nullable", ~F.col("column_name").isin("n_regionkey", "s_nationkey")
     )
     chains = integrity.foreign_key_chains(
-        inventory.foreign_key_edges(lab.constraints.unionByName(more)), columns
+        inventory.foreign_key_edges(lab.constraints.unionByName(more)), columns, lab.scratch("chains")
     )
     counts = inventory.row_counts(lab.registry).select(
         F.concat_ws(".", *TABLE).alias("first"), "row_count"
@@ -349,6 +349,56 @@ def fk_chains(lab: Lab) -> DataFrame:
     return chains.select("*", first).join(counts, "first").drop("first")
 
 
+# a key that closes a cycle over three tables
+CLOSING = key_rows("fk_closing", FOREIGN_KEY, "sales", "region", ["r_regionkey"], ("sales", "pk_customer"))
+REACH = f"""
+    links AS ({LINK_ROWS} UNION VALUES ('corpus.documents', 'web_log.pages'),
+        ('web_log.pages', 'web_log.events'), ('web_log.events', 'intake.order_record'),
+        ('intake.customer_record', 'intake.item_catalog'), ('intake.item_catalog', 'sales.part'),
+        ('sales.part', 'sales.supplier'), ('sales.region', 'sales.customer')),
+    ways AS (SELECT child AS a, parent AS b, 1 AS n, child IN ('sales.nation', 'sales.supplier') AS m FROM links
+             UNION SELECT a, parent, n + 1, m AND child IN ('sales.nation', 'sales.supplier')
+             FROM ways JOIN links ON child = b WHERE n < 21),
+    reach AS (SELECT a, b, CAST(min(n) AS INTEGER) AS links,
+                     CAST(min(n) FILTER (WHERE m) AS INTEGER) AS mandatory_links FROM ways GROUP BY ALL)"""
+
+
+def _reach(lab: Lab) -> DataFrame:
+    more = constraints_frame(lab.spark, [*LONG_CHAIN, *CLOSING])
+    columns = inventory.column_inventory(lab.registry).withColumn(
+        "nullable", ~F.col("column_name").isin("n_regionkey", "s_nationkey")
+    )
+    edges = inventory.foreign_key_edges(lab.constraints.unionByName(more))
+    return integrity.foreign_key_reach(edges, columns, lab.scratch("reach"))
+
+
+@check("fk_reach", f"""
+    {with_intake().replace("WITH ", "WITH RECURSIVE ", 1)}, {REACH}
+    SELECT a AS from_table, b AS to_table, links, mandatory_links, f.row_count AS from_rows,
+           t.row_count AS to_rows FROM reach
+    JOIN ({COUNTS}) f ON f.schema_name || '.' || f.table_name = a
+    JOIN ({COUNTS}) t ON t.schema_name || '.' || t.table_name = b""", shown=["mandatory_links"])
+def fk_reach(lab: Lab) -> DataFrame:
+    """Which tables lead to which along the declared keys, with the rows of both."""
+    counts = inventory.row_counts(lab.registry).select(F.concat_ws(".", *TABLE).alias("name"), "row_count")
+    found = _reach(lab)
+    for side in ("from", "to"):
+        named = counts.select(F.col("name").alias(f"{side}_table"), F.col("row_count").alias(f"{side}_rows"))
+        found = found.join(named, f"{side}_table")
+    return found
+
+
+@check("fk_cycles", f"""
+    {with_intake().replace("WITH ", "WITH RECURSIVE ", 1)}, {REACH}
+    SELECT x.a AS table_name, min(x.b) AS cycle, count(*) AS tables, any_value(n.row_count) AS row_count
+    FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a
+    JOIN ({COUNTS}) n ON n.schema_name || '.' || n.table_name = x.a GROUP BY x.a""")
+def fk_cycles(lab: Lab) -> DataFrame:
+    """Tables that lead back to themselves, with their rows."""
+    counts = inventory.row_counts(lab.registry).select(F.concat_ws(".", *TABLE).alias("table_name"), "row_count")
+    return integrity.foreign_key_cycles(_reach(lab)).join(counts, "table_name")
+
+
 @check("broken_links", f"""
     WITH n AS (SELECT count(*) AS c, count(*) FILTER (WHERE o_orderkey NOT IN
                    (SELECT l_orderkey FROM lineitem)) AS b FROM orders)
