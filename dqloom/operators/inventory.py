@@ -77,9 +77,10 @@ def column_inventory(
     rows = []
     for s, t in registry.keys() if keys is None else keys:
         for position, f in enumerate(registry.table(s, t).schema.fields, 1):
-            full = f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", f.dataType.simpleString())
+            kind = f.dataType.simpleString()
+            full = f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", kind)
             rows.append((
-                s, t, f.name, f.dataType.simpleString().split("(")[0], full, f.nullable,
+                s, t, f.name, kind.split("(")[0] if kind.endswith(")") else kind, full, f.nullable,
                 f.metadata.get("CURRENT_DEFAULT"), position, f.metadata.get("comment", ""),
             ))
     return registry.spark.createDataFrame(

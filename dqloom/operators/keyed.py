@@ -20,6 +20,7 @@ from dqloom.functions.text import compact_key, quoted
 KeyPairs = Sequence[tuple[str, str]]
 
 MOST_TRACKED = 1_000_000  # counters of the sketch that finds hot keys: its upper bound in Spark
+FINER = 8  # parts a half partition of a hot key is cut into, so that tasks that get several are still even
 TEXT_KEYS = 4  # text columns a grouping key may have before they become one digest
 
 
@@ -108,6 +109,11 @@ def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> dict[int, int]:
     over the key columns with a sketch of fixed size finds them. It is read when the plan is
     built, so that both sides of a join and every recomputation of a lost task use the same list.
     """
+    return _hot_keys(frame, keys)[0]
+
+
+def _hot_keys(frame: DataFrame, keys: Sequence[str]) -> tuple[dict[int, int], int]:
+    """:func:`frequent_hashes`, the most frequent first, and the rows of half a partition."""
     parts = 2 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     items = min(parts, MOST_TRACKED // 16)
     top = f"approx_top_k(hashed, {items}, {items * 16})"
@@ -115,10 +121,10 @@ def frequent_hashes(frame: DataFrame, keys: Sequence[str]) -> dict[int, int]:
         F.expr(top).alias("top"), F.count(F.lit(1)).alias("total")
     ).first()
     share = found["total"] / parts
+    half = max(1, int(share))
     return {
-        item["item"]: -(-item["count"] // max(1, int(share)))
-        for item in found["top"] if item["count"] > share
-    }
+        item["item"]: -(-item["count"] // half) for item in found["top"] if item["count"] > share
+    }, half
 
 
 def spread_left_join(
@@ -127,9 +133,11 @@ def spread_left_join(
     """Left join on ``keys``, where ``right`` has at most one row per key.
 
     Hot keys of the left side are spread over as many tasks as their rows would fill half
-    partitions, and only their right rows are repeated. Rows with a NULL key match nothing, so
-    they are spread freely. Adaptive skew handling cannot do this here, because the right side
-    ends in an aggregate.
+    partitions, in ``FINER`` parts each, and only their right rows are repeated. Rows of hot keys
+    that are equal in all columns are added up, dealt to the parts by their count and made rows again
+    behind the join, so that even a key whose rows are all equal is spread evenly. Rows with a NULL
+    key match nothing, so they are spread freely. Adaptive skew handling cannot do this here, because
+    the right side ends in an aggregate.
 
     Hot keys are looked up in ``hot_from``, a cheaper table with the same keys, when
     ``left`` is itself the outcome of a shuffle. Which keys count as hot changes the
@@ -137,24 +145,69 @@ def spread_left_join(
     """
     left, right = _with_common_types(left, right, keys)
     base = left if hot_from is None else _with_common_types(left, hot_from, keys)[1]
-    hot = frequent_hashes(base.filter(all_not_null(keys)), keys)
+    hot, half = _hot_keys(base.filter(all_not_null(keys)), keys)
     free = 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def is_hot(frame: DataFrame) -> Column:
+        # a set of literals is looked up by hash
+        return F.coalesce(key_hash(frame, keys).isin(*hot), F.lit(False)) & all_not_null(keys)
+
     def parts(frame: DataFrame) -> Column:
         if not hot:
             return F.lit(1)
-        listed = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-        return F.coalesce(F.try_element_at(listed, key_hash(frame, keys)), F.lit(1))
+        listed = F.create_map(*[F.lit(x) for pair in hot.items() for x in (pair[0], pair[1] * FINER)])
+        return F.when(is_hot(frame), F.try_element_at(listed, key_hash(frame, keys))).otherwise(F.lit(1))
 
+    columns = left.columns
     # The number of the map task spreads equal rows as well. It is the same when a lost
     # task runs again, which a row number or a random number need not be.
-    others = [quoted(c) for c in left.columns if not isinstance(left.schema[c].dataType, T.MapType)]
+    others = [quoted(c) for c in columns if not isinstance(left.schema[c].dataType, T.MapType)]
     scattered = F.xxhash64(*others, F.spark_partition_id())
+    dealt = bool(hot) and all(_adds_up(left.schema[c].dataType) for c in columns)
+    if dealt:
+        cold = left.filter(~is_hot(left)).select(
+            "*", F.lit(1).cast("bigint").alias("_n"), scattered.alias("_place")
+        )
+        warm = _dealt(left.filter(is_hot(left)), max(1, half // FINER))
+        left, scattered = cold.unionByName(warm), F.col("_place")
     own = F.when(all_not_null(keys), parts(left)).otherwise(F.lit(free))
     salted = left.withColumn("_salt", F.pmod(scattered, own).cast("int"))
     every = F.sequence(F.lit(0), (parts(right) - 1).cast("int")) if hot else F.array(F.lit(0))
     repeated = right.withColumn("_salt", F.explode(every))
-    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
+    joined = salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
+    if dealt:
+        joined = joined.withColumn("_place", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+        joined = joined.drop("_n", "_place")
+    return joined
+
+
+def _adds_up(data_type: T.DataType) -> bool:
+    """Whether grouping by values of a type gives them back as they were (signs of zeros are kept apart)."""
+    if isinstance(data_type, T.StringType):
+        return data_type.isUTF8BinaryCollation()
+    return not isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
+def _dealt(frame: DataFrame, most: int) -> DataFrame:
+    """Equal rows as one with their number ``_n``, cut into pieces of at most ``most``; pieces have places in a row."""
+    floats = [c for c in frame.columns if isinstance(frame.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    signs = {c: f"_negative{i}" for i, c in enumerate(floats)}
+    marked = frame.withColumns({
+        sign: F.coalesce(F.col(quoted(c)).cast("string") == "-0.0", F.lit(False)) for c, sign in signs.items()
+    })
+    counted = marked.groupBy(*map(quoted, marked.columns)).agg(F.count(F.lit(1)).alias("_all"))
+    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_all") - 1) / most)))
+    pieces = counted.withColumn("_piece", piece)
+    restored = [
+        F.when(F.col(signs[c]), F.lit(-0.0).cast(frame.schema[c].dataType)).otherwise(F.col(quoted(c))).alias(c)
+        if c in signs else F.col(quoted(c)) for c in frame.columns
+    ]
+    # places are far from the greatest long, so that adding a piece's number never overflows
+    place = F.shiftright(F.xxhash64(*map(quoted, marked.columns)), 1) + F.col("_piece")
+    return pieces.select(
+        *restored, F.least(F.lit(most), F.col("_all") - F.col("_piece") * most).cast("bigint").alias("_n"),
+        place.alias("_place"),
+    )
 
 
 def _with_common_types(

@@ -427,10 +427,14 @@ def _report(
     )
 
 
-def stats_lookup(columns: DataFrame, profile: DataFrame, tables: DataFrame) -> DataFrame:
+def stats_lookup(
+    columns: DataFrame, profile: DataFrame, tables: DataFrame, analyzed: DataFrame | None = None
+) -> DataFrame:
     """Column statistics for every inventory column.
 
-    A column without statistics says why: its table is empty, or it was not profiled.
+    A column without statistics says why: its table is empty, or it was not profiled. ``analyzed``
+    (``schema_name, table_name, last_analyze``, as :func:`dqloom.sources.snapshots.freshness` gives) adds
+    ``last_analyzed``, the time of the table's last analysis; NULL where it never was.
     """
     by = ["schema_name", "table_name", "column_name"]
     joined = columns.join(profile, by, "left").join(
@@ -444,8 +448,14 @@ def stats_lookup(columns: DataFrame, profile: DataFrame, tables: DataFrame) -> D
     def blank(name: str, empty: Column) -> Column:
         return F.when(found, F.col(name)).otherwise(empty).alias(name)
 
+    when = []
+    if analyzed is not None:
+        times = analyzed.groupBy("schema_name", "table_name").agg(F.max("last_analyze").alias("last_analyzed"))
+        joined = joined.join(times, ["schema_name", "table_name"], "left")
+        when = ["last_analyzed"]
     return joined.select(
         *by,
+        *when,
         blank("total_rows", F.lit(0)),
         blank("cardinality", F.lit(0)),
         blank("distinct_pct", F.lit("")),

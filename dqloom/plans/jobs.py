@@ -258,10 +258,11 @@ def profile_report(
     labels: Sequence[tuple[str, Sequence[str]]] = (),
     exact: bool = True,
     run: GroupedRun | None = None,
+    analyzed: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The exporter's report: tables with growth, columns with statistics, keys, counters.
 
-    ``exact=False`` takes column statistics from sketches in one pass over each table. With a
+    ``analyzed`` adds the time of each table's last analysis to its columns' statistics. ``exact=False`` takes column statistics from sketches in one pass over each table. With a
     ``run``, a table that can't be opened, or whose growth can't be worked out, has the failure as its note.
     """
     profiled = profile.column_profile if exact else profile.approximate_profile
@@ -310,7 +311,7 @@ def profile_report(
             naming.is_personal(F.col("schema_name"), F.col("table_name"), F.col("column_name"),
                                extra=extra_pii),
         ),
-        "statistics": profile.stats_lookup(scoped["columns"], statistics, tables),
+        "statistics": profile.stats_lookup(scoped["columns"], statistics, tables, analyzed),
         "implicit_keys": scoped["implicit"],
         "edges": scoped["edges"],
         "summary": inventory.run_summary(

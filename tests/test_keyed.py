@@ -72,6 +72,45 @@ def test_spread_left_join_uses_many_tasks_for_a_hot_key(spark):
     assert "_salt" in plan and tasks >= 1
 
 
+def test_equal_rows_of_a_hot_key_are_dealt_evenly(spark):
+    """Two fifths of all rows are one row, read by four map tasks."""
+    rows, partitions = 100_000, 500
+    hot = F.col("id") % 5 < 2
+    left = spark.range(0, rows, 1, 4).select(
+        F.when(hot, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.when(hot, F.lit(0.5)).otherwise(0.0).alias("v")
+    )
+    right = spark.createDataFrame([(-1, "one"), (4, "four")], "k bigint, name string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": str(partitions)}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = keyed.spread_left_join(left, right, ["k"])
+        tasks = joined.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("name") == "one").alias("hot")
+        ).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(t.n for t in tasks) == rows and sum(t.hot for t in tasks) == rows * 2 // 5
+    assert max(t.n for t in tasks) < 2 * rows / partitions
+
+
+def test_equal_rows_come_back_as_they_were(spark, rows):
+    zero, unknown = float("-0.0"), float("nan")
+    values = [(1, zero, "a", b"x"), (1, 0.0, "a", b"x"), (1, unknown, None, None), (1, None, "b", b"")]
+    frame = spark.createDataFrame(
+        [*values * 40, *[(k, 1.0, "c", None) for k in range(2, 30)], (None, 2.0, None, None)],
+        "k int, v double, `t.x` string, b binary",
+    )
+    right = spark.createDataFrame([(1, "one"), (5, "five")], "k int, name string")
+    found = keyed.spread_left_join(frame, right, ["k"])
+    plain = frame.join(right, "k", "left").select("k", "v", "`t.x`", "b", "name")
+    assert found.columns == plain.columns
+    assert list(map(repr, rows(found))) == list(map(repr, rows(plain)))  # NaN is not equal to itself
+
+
 def test_zero_signs_are_one_key(spark):
     left = spark.createDataFrame([(-0.0, i) for i in range(50)], "k double, i int")
     right = spark.createDataFrame([(0.0, "zero")], "k double, name string")

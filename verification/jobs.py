@@ -365,3 +365,30 @@ def job_profile_report(lab: Lab) -> DataFrame:
         F.lit("").alias("a"), F.lit("").alias("b"),
     )
     return tables.unionByName(columns).unionByName(summary)
+
+
+ANALYZED = [("sales", "orders", "2024-03-01 00:00:00"), ("web_log", "events", "2024-02-01 12:30:00")]
+
+
+@check("profile_report_all", f"""
+    {with_intake()},
+    analyzed AS (SELECT * FROM (VALUES {", ".join(map(str, ANALYZED))}) v(schema_name, table_name, since)),
+    found AS (
+        SELECT schema_name, table_name, column_name, total_rows, cardinality, null_count, col_min, col_max, sample,
+               most_common_freqs FROM {_body("column_profile")}
+        UNION ALL SELECT 'intake', 'account_archive', c, 0, 0, 0, '', '', 'EMPTY_TABLE', ''
+        FROM (VALUES ('account_id'), ('account_number'), ('balance')) v(c))
+    SELECT found.*, coalesce(since, 'never') AS last_analyzed, row_count, label
+    FROM found LEFT JOIN analyzed USING (schema_name, table_name)
+    JOIN {_body("table_taxonomy")} USING (schema_name, table_name)""")
+def profile_report_all(lab: Lab) -> DataFrame:
+    """The column report of every table, planned and written in groups of twelve tables."""
+    analyzed = lab.spark.createDataFrame(ANALYZED, "schema_name string, table_name string, last_analyze string")
+    found = jobs.profile_report(
+        lab.registry, lab.constraints, labels=TAXONOMY, run=runs.GroupedRun(lab.spark, lab.scratch("report"), size=12),
+        analyzed=analyzed,
+    )
+    return found["statistics"].select(
+        *COLUMN, "total_rows", "cardinality", "null_count", "col_min", "col_max", "sample", "most_common_freqs",
+        F.coalesce("last_analyzed", F.lit("never")).alias("last_analyzed"),
+    ).join(found["tables"].select(*TABLE, "row_count", "label"), TABLE)

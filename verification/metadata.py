@@ -12,7 +12,7 @@ from dqloom.functions.timewindow import has_window, window_bound
 from dqloom.operators import growth, inventory, profile
 from dqloom.operators.keyed import union_all
 from dqloom.sources import ranges, snapshots
-from dqloom.sources.registry import user_schemas
+from dqloom.sources.registry import TableRegistry, user_schemas
 from verification.consistency import EDGE_ROWS, TIER_ONE_EDGE_ROWS, edges_of, keyed_columns
 from verification.fixtures import (
     ALL_TABLES,
@@ -165,6 +165,47 @@ def column_inventory(lab: Lab) -> DataFrame:
     return columns.join(inventory.row_counts(lab.registry), TABLE)
 
 
+TYPED = [  # name, full type, default, comment, nullable, expression over customer
+    ("client_id", "bigint", None, "number of the client", True, "c_custkey"),
+    ("segment", "varchar(40)", None, "market segment", True, "c_mktsegment"),
+    ("nation_code", "char(4)", None, "", True, "CAST(c_nationkey AS STRING)"),
+    ("balance", "decimal(12,2)", "0.00", "", True, "CAST(c_acctbal AS DECIMAL(12,2))"),
+    ("seen", "timestamp_ntz", None, "", True, "CAST(NULL AS TIMESTAMP_NTZ)"),
+]
+PLAIN = [("copy_id", "bigint", None, "", False, ""), ("tags", "array<string>", None, "", False, ""),
+         ("spot", "struct<x:int,y:decimal(9,3)>", None, "", True, "")]
+
+
+@check("column_details", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{n}' AS column_name, {i} AS position, "
+    f"'{'string' if 'char' in kind else kind.split('(')[0] if kind[-1] == ')' else kind}' AS data_type, '{kind}' AS full_type, {str(nullable).upper()} AS nullable, "
+    f"coalesce({'NULL' if default is None else repr(default)}, 'none') AS default_text, '{comment}' AS comment, "
+    f"(SELECT count(*) FROM customer) AS row_count"
+    for t, columns in (("client", TYPED), ("client_copy", PLAIN))
+    for i, (n, kind, default, comment, nullable, _) in enumerate(columns, 1)
+))
+def column_details(lab: Lab) -> DataFrame:
+    """Full types, defaults, comments and NULL rules: a catalog table filled from the customers, and a frame."""
+    name = lab.scratch("client").rsplit("/", 1)[1].replace("-", "_")
+    listed = ", ".join(
+        f"{n} {kind}" + (f" DEFAULT {default}" if default else "") + (f" COMMENT '{comment}'" if comment else "")
+        for n, kind, default, comment, _, _ in TYPED
+    )
+    lab.given("customer").createOrReplaceTempView(f"{name}_source")
+    lab.spark.sql(f"CREATE TABLE {name} ({listed}) USING parquet LOCATION '{lab.scratch('client')}'")
+    lab.spark.sql(f"INSERT INTO {name} SELECT {', '.join(c[-1] for c in TYPED)} FROM {name}_source")
+    copy = lab.given("customer").select(
+        F.coalesce("c_custkey", F.lit(0).cast("bigint")).alias("copy_id"), F.array(F.lit("a")).alias("tags"),
+        F.when(F.col("c_acctbal") > 0, F.struct(F.lit(1).alias("x"), F.lit(1).cast("decimal(9,3)").alias("y"))).alias("spot"),
+    )
+    registry = TableRegistry(lab.spark).add("shop", "client", lab.spark.table(name)).add("shop", "client_copy", copy)
+    found = inventory.column_inventory(registry).join(inventory.row_counts(registry), TABLE)
+    return found.select(
+        "table_name", "column_name", "position", "data_type", "full_type", "nullable",
+        F.coalesce("default", F.lit("none")).alias("default_text"), "comment", "row_count",
+    )
+
+
 @check("key_flags", f"""
     {with_intake()}
     SELECT schema_name, table_name, column_name,
