@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from dqloom.llm.common import ship, slices, texts_of
+from dqloom.llm.common import give_back, ship, slices, texts_of
 from dqloom.llm.tokens import pieces
 
 GROUP_IDS = 4_000_000
@@ -189,9 +189,13 @@ def ids_by(path: str) -> PieceIds:
 
 
 def pack_documents(
-    docs: DataFrame, path: str, most: int = 2048, end_id: int = 1, id_column: str = "doc_id"
+    docs: DataFrame, path: str, most: int = 2048, end_id: int = 1, id_column: str = "doc_id", remember: bool = True
 ) -> DataFrame:
-    """Pieces of all documents with their place in sequences of at most ``most`` ids."""
+    """Pieces of all documents with their place in sequences of at most ``most`` ids.
+
+    With ``remember`` a worker keeps the ids of the pieces it has met for its next task; without, it gives
+    them and the tokenizer back when a task ends, as befits one of many stages.
+    """
     ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -246,5 +250,9 @@ def pack_documents(
                     held = 0
         if ids:
             yield from packed()
+        if not remember:
+            ids_by.cache_clear()
+            del encode
+            give_back()
 
     return docs.select(id_column, "text").mapInArrow(run, f"`{id_column}` {kind}, {SCHEMA}")

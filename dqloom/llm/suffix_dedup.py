@@ -12,8 +12,8 @@ In the dictionary, suffixes are put in order as far as the question needs it, by
 No task may hold the dictionary's suffix array whole, so its equal runs are found by key instead: strings share
 the smallest hash of their ``GRAM``-byte pieces (their anchor), and only strings whose anchor occurs in two
 documents can be equal. Runs of such strings (blocks) are compared as a whole. Equal strings of different blocks
-also share the anchor's piece with ``SIDE`` bytes more on one side; the strings of first blocks of which that is
-so are compared one by one. All comparisons are of 128-bit hashes, and each step is a shuffle on its own key:
+also share the anchor's piece with ``SIDE`` bytes more on one side; the strings of first blocks that hold a
+widened piece of several blocks are compared one by one. All comparisons are of 128-bit hashes, and each step is a shuffle on its own key:
 minima are taken before it, and documents only gather their own marks, which their length bounds.
 
 Null texts are empty. Documents without id are returned whole and are nobody's original. Rows with equal ids
@@ -159,7 +159,12 @@ def anchor_runs(docs: DataFrame) -> DataFrame:
 
 
 def widened(buffer: Buffer, start: np.ndarray, end: np.ndarray, anchor: np.ndarray) -> pa.ListArray:
-    """For every block, hashes of its anchor's pieces with ``SIDE`` bytes more on the left or the right."""
+    """For every block, its anchor's pieces with ``SIDE`` bytes more on the left or the right.
+
+    Of each the hash, and which strings of the block hold it: the first one (counted from the block's first)
+    and how many. A string holds its anchor's piece widened on one side at least, so strings that are
+    equal in two blocks are among those that hold a widened piece both blocks have.
+    """
     pieces = buffer.hash.rolling(buffer.sums, GRAM)
     counts = end - start - GRAM + 1
     block = np.repeat(np.arange(len(start)), counts)
@@ -172,9 +177,15 @@ def widened(buffer: Buffer, start: np.ndarray, end: np.ndarray, anchor: np.ndarr
     keys = buffer.hash.of(buffer.sums, first, first + GRAM + SIDE)
     # a piece widened to the left is no piece widened to the right
     keys[: left.sum()] ^= np.uint64(1)
+    lowest = np.maximum(first + GRAM + SIDE - LENGTH, start[owner])
+    number = np.minimum(first, end[owner] - LENGTH) - lowest + 1
     order = np.argsort(owner, kind="stable")
     places = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(start)))]).astype(np.int32)
-    return pa.ListArray.from_arrays(places, keys[order].view(np.int64))
+    held = pa.StructArray.from_arrays(
+        [pa.array(keys[order].view(np.int64)), pa.array((lowest - start[owner])[order].astype(np.int32)),
+         pa.array(number[order].astype(np.int32))], ["key", "first", "n"],
+    )
+    return pa.ListArray.from_arrays(places, held)
 
 
 def _fitting(buffer: Buffer, owner: np.ndarray, at: np.ndarray, n: np.ndarray):
@@ -206,11 +217,12 @@ def blocks(docs: DataFrame) -> DataFrame:
                 "wide": widened(buffer, start, end, of["anchor"][fits].astype(np.int64).view(np.uint64)),
             }
 
-    return arrow_pass(docs, make, "rid long, doc_id long, at int, n int, b1 long, b2 long, wide array<long>")
+    return arrow_pass(docs, make, "rid long, doc_id long, at int, n int, b1 long, b2 long, "
+                      "wide array<struct<key:long,first:int,n:int>>")
 
 
 def strings(docs: DataFrame) -> DataFrame:
-    """All strings of the blocks in column ``chosen``: rid, doc_id, place and two hashes."""
+    """All strings of the stretches in column ``chosen``: rid, doc_id, place and two hashes."""
 
     def make(batch):
         for texts, own in _windows(batch, ["rid", "doc_id", "chosen"]):
@@ -247,12 +259,12 @@ def find_repeats(base: DataFrame) -> DataFrame:
     )
     drop(phrases)
     news = parsed.where(F.size("firsts") > 0).select("rid", "firsts")
-    runs = cut(anchor_runs(base.join(news, "rid")), "anchors")
+    # runs and strings are worked out twice, which takes less than writing, keeping and reading them
+    runs = anchor_runs(base.join(news, "rid"))
     shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b")
     shared = cut(shared.select("anchor"), "shared-anchors")
     run = F.struct("place", "anchor")
     wanted = cut(runs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(run).alias("runs")), "runs")
-    drop(runs)
     found = cut(blocks(base.join(wanted, "doc_id")), "blocks")
     drop(shared)
     drop(wanted)
@@ -262,21 +274,27 @@ def find_repeats(base: DataFrame) -> DataFrame:
         "rid", F.col("at").alias("start"), (F.col("at") + F.col("n") + LENGTH - 1).alias("end")
     )
     news = named.where("least = doc_id")
-    wide = news.select("rid", "at", "n", "b1", F.explode("wide").alias("key"))
+    wide = news.select("rid", "at", "b1", F.explode("wide").alias("held")).select(
+        "rid", "b1", "held.key", (F.col("at") + F.col("held.first")).alias("at"), "held.n"
+    )
     several = wide.groupBy("key").agg(F.min("b1").alias("x"), F.max("b1").alias("y")).where("x <> y").select("key")
     chosen = wide.join(several, "key").groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("chosen"))
     chosen = cut(chosen, "chosen")
-    single = cut(strings(base.join(chosen, "rid")), "strings")
-    drop(chosen)
     whole = cut(whole, "whole-blocks")
     drop(found)
-    least = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"))
-    parts = single.join(least, ["w1", "w2"]).where("least < doc_id").select(
+    drop(least)
+    single = strings(base.join(chosen, "rid"))
+    bounds = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    repeated = cut(bounds.where("least < most").select("w1", "w2", "least"), "repeated-strings")
+    parts = single.join(repeated, ["w1", "w2"]).where("least < doc_id").select(
         "rid", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end")
     )
     old = parsed.select("rid", F.explode("marks").alias("m")).select("rid", "m.start", "m.end")
     every = old.unionByName(whole).unionByName(parts)
-    return cut(every.groupBy("rid").agg(F.collect_set(span).alias("marks")), "marks")
+    marks = cut(every.groupBy("rid").agg(F.collect_set(span).alias("marks")), "marks")
+    for table in (parsed, chosen, whole, repeated):
+        drop(table)
+    return marks
 
 
 def merged_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:

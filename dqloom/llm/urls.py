@@ -8,12 +8,13 @@ bit array of ``BITS_PER_KEY`` bits a key, made by an aggregation, and reaches th
 subquery: no join, no Python.
 
 A level's size follows the number of its keys and is checked: up to ``MOST_BITS`` bits it is sent to
-the tasks, beyond that keys are looked up by a shuffled join with the listed keys instead, with the
-same results.
+the tasks. More listed keys are dealt by hash into slices whose levels stay below that; pages are written
+by slice of their keys, and each slice has a cascade of its own, over its keys only, with the same results.
 
 Few rules (host, path prefix, verdict) stand before the filter: a rule fits its host and all its
 subdomains if the url's path starts with the rule's; the longest rule wins.
-A url without rule is blocked if its key is listed, else allowed. Null urls and urls without ``://``
+Of rules of equal length that fit, the one with the longer host wins; those with hosts of equal length too are the
+same rule, of which the verdict given last holds. A url without rule is blocked if its key is listed, else allowed. Null urls and urls without ``://``
 have an empty host and path, and an empty key, which is never listed. Repeated pages are judged each
 for itself; further columns are ignored.
 """
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqloom.llm.common import cut, quoted
+from dqloom.operators.keyed import union_all
 
 BITS_PER_KEY = 10
 HASHES = 7
@@ -94,15 +96,14 @@ def passes(key: Column, words: DataFrame, level: int, bits: int) -> Column:
 
 
 class Cascade:
-    """Filter levels over a key universe. ``listed`` and ``universe`` have one column ``key``."""
+    """Filter levels over a key universe. ``listed`` and ``universe`` have one column ``key``; listed keys are distinct."""
 
     def __init__(self, listed: DataFrame, universe: DataFrame) -> None:
         self.levels: list[tuple[DataFrame, int]] = []
-        self.listed = cut(listed.where("key is not null").distinct(), "listed-keys")
+        self.listed = listed
         inside, outside = self.listed, None
         count = inside.count()
-        self.fits = _bits(count) <= MOST_BITS
-        while self.fits and count:
+        while count:
             self._add(inside, count)
             if outside is None:
                 # the only pass over the corpus: its keys that pass level 0, listed or not
@@ -113,7 +114,6 @@ class Cascade:
                 outside = outside.where(self._through(len(self.levels) - 1))
             outside = cut(outside, "mistaken-keys")
             inside, outside, count = outside, inside, outside.count()
-            self.fits = _bits(count) <= MOST_BITS
 
     def _add(self, keys: DataFrame, count: int) -> None:
         bits = _bits(count)
@@ -125,10 +125,6 @@ class Cascade:
 
     def mark(self, frame: DataFrame) -> DataFrame:
         """Adds ``is_listed`` by ``key``; exact for all keys of the universe and of the list."""
-        if not self.fits:
-            known = self.listed.select("key", F.lit(True).alias("_known"))
-            joined = frame.join(known, "key", "left")
-            return joined.withColumn("is_listed", F.coalesce("_known", F.lit(False))).drop("_known")
         # stopped at level n: listed if n is odd; past all n levels: listed if n is odd
         verdict = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(range(len(self.levels))):
@@ -136,6 +132,27 @@ class Cascade:
         return frame.withColumn("is_listed", verdict)
 
 
+def marked(frame: DataFrame, listed: DataFrame) -> DataFrame:
+    """Adds ``is_listed`` by ``key``, by one cascade or one for each slice of the keys."""
+    known = cut(listed.where("key is not null").select("key").distinct(), "listed-keys")
+    slices = -(-_bits(known.count()) // MOST_BITS)
+    if slices < 2:
+        return Cascade(known, frame.select("key")).mark(frame)
+    # slices are even, but not equal: a quarter more of them keeps each below the limit
+    slices += -(-slices // 4)
+    number = F.pmod(F.xxhash64(F.lit(-1), F.col("key")), F.lit(slices)).cast("int")
+    spread = F.pmod(F.xxhash64(F.lit(-2), F.col("key")), F.lit(16))
+    known = cut(known.withColumn("_slice", number), "listed-slices", by="_slice")
+    pages = frame.withColumn("_slice", number).repartition(F.col("_slice"), spread)
+    pages = cut(pages, "pages-by-slice", by="_slice")
+    found = []
+    for i in range(slices):
+        own = pages.where(F.col("_slice") == i).drop("_slice")
+        cascade = Cascade(known.where(F.col("_slice") == i).select("key"), own.select("key"))
+        found.append(cascade.mark(own))
+    return union_all(found)
+
+
 # --- rules and verdicts ---------------------------------------------------------------------
 
 
@@ -165,9 +182,8 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule]) -> DataFra
     kept = [pages[quoted(c)] for c in pages.columns if c not in RESULT]
     keyed = with_parts(pages.select(F.struct(*kept).alias("row"), "url"))
     keyed = keyed.withColumn("key", key_of(F.col("host"), F.col("path")))
-    cascade = Cascade(listed.select("key"), keyed.select("key"))
     name, verdict = best_rule(rules)
     found = F.when(F.col("is_listed"), F.lit("block")).otherwise("allow")
-    return cascade.mark(keyed).select(
+    return marked(keyed, listed).select(
         "row.*", "host", "path", name.alias("rule"), F.coalesce(verdict, found).alias("verdict"), "is_listed"
     )

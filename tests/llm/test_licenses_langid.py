@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from dqloom.llm import langid, licenses
@@ -146,3 +147,52 @@ def test_held_out_accuracy_on_given_documents(spark):
     found = langid.with_language(docs, model, ["doc_id", "lang"]).where(langid.held_out()).collect()
     right = sum(r.lang == r.lang_pred for r in found) / len(found)
     assert right > 0.95
+
+
+def _plain_prediction(model, text):
+    """Language and score of one text, window by window, straight from the weights."""
+    data, w = text.encode(), model.weights
+    scores, weights = [], []
+    for start in range(0, len(data), langid.WINDOW):
+        window = data[start : start + langid.WINDOW]
+        vectors = [w["embedding"][b] for b in window.ljust(langid.WINDOW, b"\0")]
+        features = []
+        for width in langid.WIDTHS:
+            out = [
+                sum(vectors[i + j] @ w[f"filter{width}"][j] for j in range(width)) + w[f"bias{width}"]
+                for i in range(langid.WINDOW - width + 1)
+            ]
+            features.append(np.max(out, axis=0))
+        z = np.maximum(np.concatenate(features), 0) @ w["out"] + w["out_bias"]
+        e = np.exp(z - z.max())
+        scores.append(e / e.sum())
+        weights.append(len(window))
+    mean = np.average(scores, axis=0, weights=weights)
+    return model.languages[int(mean.argmax())], float(mean.max())
+
+
+def test_predictions_equal_the_plain_forward_pass(spark):
+    rng = random.Random(4)
+    words = {"aa": "the of and house river", "bb": "der und haus fluss nicht", "cc": "la casa el río que"}
+    rows = [(i, " ".join(rng.choices(words[lang].split(), k=40)), lang)
+            for i, lang in enumerate(rng.choices(sorted(words), k=90))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, langid.learnable())
+    texts = [rows[0][1], rows[1][1] * 9, "x", "río " * 200, "日本 text " * 70, "a" * 256, "b" * 257, "der " + "\0" * 300]
+    frame = spark.createDataFrame(list(enumerate([*texts, None, "", "12 34 !"])), "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.with_language(frame, model, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        lang, score = _plain_prediction(model, text)
+        assert found[i][0] == lang and found[i][1] == pytest.approx(score, abs=1e-5)
+    assert [found[i] for i in range(len(texts), len(texts) + 3)] == [(langid.UNKNOWN, 0.0)] * 3
+
+
+def test_ties_go_to_the_language_that_sorts_first(spark):
+    model = langid.fit([b"abc"], ["zz"])
+    weights = {name: np.zeros_like(value) for name, value in model.weights.items()}
+    weights["out"] = np.zeros((weights["out"].shape[0], 3))
+    weights["out_bias"] = np.zeros(3)
+    even = langid.Model(("aa", "mm", "zz"), weights)
+    frame = spark.createDataFrame([(1, "any text"), (2, "any text")], "doc_id long, text string")
+    found = langid.with_language(frame, even, ["doc_id"]).collect()
+    assert {(r.doc_id, r.lang_pred, round(r.score, 6)) for r in found} == {(1, "aa", 0.333333), (2, "aa", 0.333333)}

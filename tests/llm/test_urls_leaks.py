@@ -13,7 +13,7 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("most", [urls.MOST_BITS, 0])
+@pytest.mark.parametrize("most", [urls.MOST_BITS, 32])
 def test_verdicts(spark, monkeypatch, most):
     monkeypatch.setattr(urls, "MOST_BITS", most)
     frame = spark.createDataFrame([(*p, "clash", True) for p in PAGES], "page_id long, url string, _known string, w boolean")
@@ -45,6 +45,35 @@ def test_cascade_is_exact(spark, monkeypatch):
     assert cascade.mark(universe).where("is_listed <> (id % 3 = 0)").count() == 0
 
 
+def test_many_listed_keys_are_sliced_without_a_join(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MOST_BITS", 4096)
+    monkeypatch.setattr(urls, "BITS_PER_KEY", 4)
+    universe = spark.range(6000).selectExpr("concat('k', id % 4500) AS key", "id")
+    listed = spark.range(6000).where("id % 3 = 0").selectExpr("concat('k', id) AS key")
+    levels = []
+    build = urls.build
+
+    def watched(keys, level, bits):
+        levels.append(bits)
+        return build(keys, level, bits)
+
+    monkeypatch.setattr(urls, "build", watched)
+    found = urls.marked(universe, listed)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert levels and max(levels) <= 4096
+    assert found.count() == 6000
+    assert found.where("is_listed <> (id % 4500 % 3 = 0)").count() == 0
+
+
+def test_rules_of_equal_length(spark):
+    rules = [("net", "/abc", "allow"), ("x.net", "/a", "block"), ("org", "/a", "allow"), ("org", "/a", "block")]
+    pages = spark.createDataFrame([(1, "http://x.net/abc"), (2, "http://org/ab"), (3, "http://y.net/abc")], "page_id long, url string")
+    found = urls.judge(pages, spark.createDataFrame([], "key string"), rules).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in found} == {
+        1: ("x.net/a", "block"), 2: ("org/a", "block"), 3: ("net/abc", "allow")
+    }
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     keys = spark.createDataFrame([], "key string")
