@@ -55,7 +55,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is its end id. Rows that repeat an id are packed each for itself.
     """
-    return packing.pack_documents(docs, BYTE_BPE, 2048, 1)
+    return packing.pack_documents(docs, BYTE_BPE, 2048, 1, remember=False)
 
 
 STAGES = [
