@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqloom.llm.common import RangeHash, arrow_pass, carrying, cut, drop, in_rows, slices
+from dqloom.operators.keyed import spread_left_join
 
 LENGTH = 50
 GRAM = 26
@@ -251,7 +252,8 @@ def find_repeats(base: DataFrame) -> DataFrame:
     span = F.struct("start", "end")
     again = F.col("least") < F.col("doc_id")
     parsed = cut(
-        phrases.join(seen, ["h1", "h2"]).groupBy("rid").agg(
+        # a phrase that very many documents have is met in many tasks
+        spread_left_join(phrases, seen, ["h1", "h2"]).groupBy("rid").agg(
             F.collect_list(F.when(again, span)).alias("marks"),
             F.collect_list(F.when(~again, span)).alias("firsts"),
         ),
