@@ -166,18 +166,18 @@ def spread_left_join(
     dealt = bool(hot) and all(_adds_up(left.schema[c].dataType) for c in columns)
     if dealt:
         cold = left.filter(~is_hot(left)).select(
-            "*", F.lit(1).cast("bigint").alias("_n"), scattered.alias("_place")
+            "*", F.lit(1).cast("bigint").alias("_spread_copies"), scattered.alias("_spread_place")
         )
         warm = _dealt(left.filter(is_hot(left)), max(1, half // FINER))
-        left, scattered = cold.unionByName(warm), F.col("_place")
+        left, scattered = cold.unionByName(warm), F.col("_spread_place")
     own = F.when(all_not_null(keys), parts(left)).otherwise(F.lit(free))
     salted = left.withColumn("_salt", F.pmod(scattered, own).cast("int"))
     every = F.sequence(F.lit(0), (parts(right) - 1).cast("int")) if hot else F.array(F.lit(0))
     repeated = right.withColumn("_salt", F.explode(every))
     joined = salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
     if dealt:
-        joined = joined.withColumn("_place", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-        joined = joined.drop("_n", "_place")
+        joined = joined.withColumn("_spread_place", F.explode(F.sequence(F.lit(1), F.col("_spread_copies").cast("int"))))
+        joined = joined.drop("_spread_copies", "_spread_place")
     return joined
 
 
@@ -189,24 +189,24 @@ def _adds_up(data_type: T.DataType) -> bool:
 
 
 def _dealt(frame: DataFrame, most: int) -> DataFrame:
-    """Equal rows as one with their number ``_n``, cut into pieces of at most ``most``; pieces have places in a row."""
+    """Equal rows as one with their number ``_spread_copies``, cut into pieces of at most ``most``; pieces have places in a row."""
     floats = [c for c in frame.columns if isinstance(frame.schema[c].dataType, (T.DoubleType, T.FloatType))]
-    signs = {c: f"_negative{i}" for i, c in enumerate(floats)}
+    signs = {c: f"_spread_negative{i}" for i, c in enumerate(floats)}
     marked = frame.withColumns({
         sign: F.coalesce(F.col(quoted(c)).cast("string") == "-0.0", F.lit(False)) for c, sign in signs.items()
     })
-    counted = marked.groupBy(*map(quoted, marked.columns)).agg(F.count(F.lit(1)).alias("_all"))
-    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_all") - 1) / most)))
-    pieces = counted.withColumn("_piece", piece)
+    counted = marked.groupBy(*map(quoted, marked.columns)).agg(F.count(F.lit(1)).alias("_spread_all"))
+    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_spread_all") - 1) / most)))
+    pieces = counted.withColumn("_spread_piece", piece)
     restored = [
         F.when(F.col(signs[c]), F.lit(-0.0).cast(frame.schema[c].dataType)).otherwise(F.col(quoted(c))).alias(c)
         if c in signs else F.col(quoted(c)) for c in frame.columns
     ]
     # places are far from the greatest long, so that adding a piece's number never overflows
-    place = F.shiftright(F.xxhash64(*map(quoted, marked.columns)), 1) + F.col("_piece")
+    place = F.shiftright(F.xxhash64(*map(quoted, marked.columns)), 1) + F.col("_spread_piece")
     return pieces.select(
-        *restored, F.least(F.lit(most), F.col("_all") - F.col("_piece") * most).cast("bigint").alias("_n"),
-        place.alias("_place"),
+        *restored, F.least(F.lit(most), F.col("_spread_all") - F.col("_spread_piece") * most).cast("bigint").alias("_spread_copies"),
+        place.alias("_spread_place"),
     )
 
 

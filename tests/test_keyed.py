@@ -224,3 +224,9 @@ def test_nested_columns_can_be_keys(spark):
     frame = spark.createDataFrame([([1], 1), ([1], 1), ([2], 1)], "a array<int>, b int")
     sizes = keyed.group_sizes(frame, ["a", "b"]).collect()
     assert sorted(r.record_count for r in sizes) == [1, 2]
+
+
+def test_spread_join_leaves_callers_names_alone(spark, rows):
+    frame = spark.createDataFrame([(1, i % 2, i % 3) for i in range(200)], "k int, _n int, _place int")
+    right = spark.createDataFrame([(1, "one")], "k int, _all string")
+    assert rows(keyed.spread_left_join(frame, right, ["k"])) == rows(frame.join(right, "k", "left"))
