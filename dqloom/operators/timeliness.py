@@ -37,16 +37,22 @@ def table_activity(
 DIGIT_BITS = 16
 
 
-def exact_percentiles(frame: DataFrame, value: Column, shares: dict[str, float]) -> DataFrame:
+def exact_percentiles(
+    frame: DataFrame, value: Column, shares: dict[str, float], times: Column | None = None
+) -> DataFrame:
     """Exact percentiles of a whole number: the smallest value with enough rows up to it.
 
+    A row counts once, or as often as ``times`` says.
+
     Radix selection: values minus the least one are counted by their highest ``DIGIT_BITS`` bits, then, among those that
     begin like a wanted value, by the next bits, until a value is left for each share. The range decides the
     number of passes, four at most; a pass brings the driver at most 2**DIGIT_BITS counts a share. No
     window and no task sees more than its own rows, however many values there are. Without rows there are none.
     """
-    values = frame.select(value.cast("bigint").alias("value")).filter(F.col("value").isNotNull())
-    least, most, total = values.agg(F.min("value"), F.max("value"), F.count(F.lit(1))).first()
+    rows = F.count(F.lit(1)) if times is None else F.sum("times")
+    weight = [] if times is None else [times.cast("bigint").alias("times")]
+    values = frame.select(value.cast("bigint").alias("value"), *weight).filter(F.col("value").isNotNull())
+    least, most, total = values.agg(F.min("value"), F.max("value"), rows).first()
     spark, schema = frame.sparkSession, "name string, value bigint"
     if not total:
         return spark.createDataFrame([], schema)
@@ -61,9 +67,10 @@ def exact_percentiles(frame: DataFrame, value: Column, shares: dict[str, float])
         head = F.floor((apart - apart % unit) / unit).cast("decimal(20,0)")
         digit = (head % 2**DIGIT_BITS).cast("int")
         before = ((head - digit) / 2**DIGIT_BITS).cast("decimal(20,0)")
-        counted = values.select(before.alias("before"), digit.alias("digit")).filter(
+        held = ["times"] if weight else []
+        counted = values.select(before.alias("before"), digit.alias("digit"), *held).filter(
             F.col("before").isin([Decimal(x) for x in set(begin.values())])
-        ).groupBy("before", "digit").agg(F.count(F.lit(1)).alias("n"))
+        ).groupBy("before", "digit").agg(rows.alias("n"))
         counts: dict[int, list] = defaultdict(list)
         for row in counted.collect():
             counts[int(row["before"])].append((row["digit"], row["n"]))
@@ -85,37 +92,46 @@ def latency_seconds(frame: DataFrame, event: str, recorded: str) -> Column:
 def entry_latency(frame: DataFrame, event: str, recorded: str) -> DataFrame:
     """Mean, quartiles, maximum and outliers of the time from event to recording.
 
-    An outlier is later than the third quartile by more than 1.5 quartile distances.
+    An outlier is later than the third quartile by more than 1.5 quartile distances. The frame is read once, for
+    the number of rows of each latency; all else comes from these, which are kept for that long.
     """
-    delay = latency_seconds(frame, event, recorded)
     both = frame.filter(F.col(event).isNotNull() & F.col(recorded).isNotNull())
-    quartiles = exact_percentiles(
-        both, delay, {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    ).groupBy().agg(*[
-        F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
-        for name in ("q1", "median", "q3")
-    ])
-    spread = F.col("q3") - F.col("q1")
-    found = quartiles.select(
-        F.struct((F.col("q3") + 1.5 * spread).alias("fence"), "median")
-    ).scalar()
-    counted = both.agg(
-        F.count(F.lit(1)).alias("checked_count"),
-        F.sum(delay).alias("_sum"),
+    seconds = latency_seconds(frame, event, recorded).alias("delay")
+    delays = both.groupBy(seconds).agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
+        return _latency_summary(delays)
+    finally:
+        delays.unpersist()
+
+
+def _latency_summary(delays: DataFrame) -> DataFrame:
+    """The one row of :func:`entry_latency` from each ``delay`` and its number of rows ``n``."""
+    delay, n = F.col("delay"), F.col("n")
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = {row["name"]: row["value"] for row in exact_percentiles(delays, delay, shares, n).collect()}
+    fence = quartiles["q3"] + 1.5 * (quartiles["q3"] - quartiles["q1"]) if quartiles else None
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    counted = delays.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("checked_count"),
+        F.sum(delay * n).alias("_sum"),
         F.max(delay).alias("max_seconds"),
-        F.count_if(delay < 0).alias("negative_count"),
-        F.count_if(delay > found["fence"]).alias("outlier_count"),
+        rows_where(delay < 0).alias("negative_count"),
+        rows_where(delay > F.lit(fence).cast("double")).alias("outlier_count"),
     )
-    return counted.select(
+    found = counted.select(
         "checked_count",
         F.round(F.try_divide(F.col("_sum").cast("double"), F.col("checked_count")), 3).alias(
             "mean_seconds"
         ),
-        found["median"].alias("median_seconds"),
+        F.lit(quartiles.get("median")).cast("bigint").alias("median_seconds"),
         "max_seconds",
         "negative_count",
         "outlier_count",
     )
+    return delays.sparkSession.createDataFrame([found.first()], found.schema)
 
 
 def coverage_gaps(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal, localcontext
 
 import pytest
@@ -461,3 +461,25 @@ def test_chains_of_a_chosen_start(spark, tmp_path, rows):
     empty = integrity.foreign_key_reach(edges.limit(0), columns, str(tmp_path / "none"))
     assert empty.count() == 0
     assert integrity.foreign_key_cycles(empty).count() == 0
+
+
+def test_latency_reads_its_rows_once(spark, tmp_path):
+    """Each pass of the percentiles and the summary once read the table, and a view's join, again."""
+    rows = [(datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(seconds=x)) for x in [*range(100), 10**7, -5]]
+    frame = spark.createDataFrame([*rows, *rows[:3], (None, rows[0][1]), (rows[0][0], None)], "a timestamp_ntz, b timestamp_ntz")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    found = timeliness.entry_latency(frame.mapInArrow(counted, frame.schema), "a", "b").collect()
+    assert seen.value == len(rows) + 5
+    seconds = sorted([*range(100), 10**7, -5, 0, 1, 2])
+    assert tuple(found[0]) == (105, round(sum(seconds) / 105, 3), seconds[52], 10**7, 1, 1)
+    none = timeliness.entry_latency(frame.limit(0), "a", "b").collect()
+    assert [tuple(r) for r in none] == [(0, None, None, None, 0, 0)]
+    times = spark.createDataFrame([(5, 3), (9, 1), (None, 7)], "v long, times long")
+    shares = {"low": 0.75, "high": 0.76}
+    assert dict(map(tuple, timeliness.exact_percentiles(times, F.col("v"), shares, F.col("times")).collect())) == {"low": 5, "high": 9}
