@@ -12,7 +12,7 @@ Documents with equal sets are one class, represented by its smallest id; only re
 banded. Members of a bucket are verified against its smallest member. A pair of the bucket that is still
 in two components then has a member outside the first one's component: those members are verified against
 some more members, and where that does not connect them against all others of the bucket, but for those that
-they can't be similar to, as too few of their shingles occur in any other document. So every pair that shares a
+they can't be similar to, as too few shingles of either occur in any document of another component. So every pair that shares a
 band is verified, ruled out or connected, without all pairs of a group being made. Links are verified on full sets: 100 * both >= 75 * any.
 
 Null and empty texts and texts of white space have empty sets and are linked with nothing. Rows without id
@@ -26,7 +26,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqloom.functions.text import quoted
@@ -38,6 +38,8 @@ ROWS, BANDS = 6, 60
 REGISTERS = ROWS * BANDS
 SIMILARITY = 75  # in hundredths
 PROBES = 2
+#: Bits of one bitmap of Spark's functions, and the most that a set of ids is marked in (16 MB).
+BITS_PER_BLOCK, MOST_BITS = 2**15, 2**27
 
 
 @functools.lru_cache(maxsize=1)
@@ -144,27 +146,62 @@ def signatures(docs: DataFrame) -> DataFrame:
     return arrow_pass(docs.select(F.col("doc_id").cast("long"), "text"), make, schema)
 
 
+def _marks(ids: DataFrame) -> tuple[int, dict[int, bytes]]:
+    """A number of bits, and which of them hashes of the ids set: blocks of bits by number.
+
+    Some more ids than those named have such a hash; none that is named has another.
+    """
+    bits, wanted = BITS_PER_BLOCK, min(MOST_BITS, 32 * ids.count())
+    while bits < wanted:
+        bits *= 2
+    place = _place(bits)
+    blocks = ids.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("marks")
+    )
+    return bits, {row["block"]: bytes(row["marks"]) for row in blocks.collect()}
+
+
+def _place(bits: int) -> Column:
+    """The bit of a ``doc_id``, from 1."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and its full set, for the named documents."""
+    """doc_id and its full set, for the named documents.
+
+    Texts are never shuffled: each task picks its documents by a bitmap of the ids' hashes, and of the sets
+    of what it picked those of other ids are dropped.
+    """
+    bits, blocks = _marks(ids)
+    marks = np.zeros(bits // 8, np.uint8)
+    for block, data in blocks.items():
+        at = (block - 1) * (BITS_PER_BLOCK // 8)
+        marks[at : at + len(data)] = np.frombuffer(data, np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def make(batch):
-        texts = batch.column(1).to_pylist()
+        place = batch.column(2).to_numpy() - 1
+        named = (shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+        kept = batch.filter(pa.array(named.astype(bool)))
+        texts = kept.column(1).to_pylist()
         for a, b in slices(np.array([len(t or "") for t in texts]), 400_000):
             sets = [s.view(np.int64) for s in shingle_sets(texts[a:b])]
             places = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             yield {
-                "doc_id": batch.column(0)[a:b],
+                "doc_id": kept.column(0)[a:b],
                 "shingles": pa.ListArray.from_arrays(places, np.concatenate(sets)),
             }
 
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return arrow_pass(named, make, "doc_id long, shingles array<long>")
+    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    picked = arrow_pass(own.withColumn("place", _place(bits)), make, "doc_id long, shingles array<long>")
+    return picked.join(ids, "doc_id", "left_semi")
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = cut(_sets_of(docs, ids), "sets")
+    drop(ids)
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -250,27 +287,32 @@ def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
 def _pairs(outside: DataFrame, others: DataFrame, reach: DataFrame | None = None) -> DataFrame:
     """Members outside with others of their bucket in another component, as distinct (a, b).
 
-    ``reach`` (rep, c) says how many shingles of a member any other document has: it can't have more in
-    common with one of them. Pairs that this bound rules out are left out.
+    ``reach`` (rep, c) says how many shingles of a member any document of another component has: it can't have more
+    in common with one of them. Pairs that the bounds of both rule out are left out.
     """
     own = outside.select(
         "band", "key", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component")
     )
     near = _near_in_size("n", "x_n")
     if reach is not None:
-        own = own.join(reach.withColumnRenamed("rep", "x"), "x", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-        most = F.least("c", "n")
+        bound = reach.select("rep", "c")
+        others = others.join(bound, "rep")  # a member that is not in it has nothing in common
+        own = own.join(bound.select(F.col("rep").alias("x"), F.col("c").alias("x_c")), "x")
+        most = F.least("c", "x_c")
         near = near & (most * 100 >= (F.col("n") + F.col("x_n") - most) * SIMILARITY)
     joined = own.join(others, ["band", "key"]).where((F.col("component") != F.col("x_component")) & near)
     return joined.select(F.greatest("x", "rep").alias("a"), F.least("x", "rep").alias("b")).distinct()
 
 
-def _reach(docs: DataFrame, shared: DataFrame, used: list[DataFrame]) -> DataFrame:
-    """For every member of the buckets, how many of its shingles another member has."""
-    ids = shared.select(F.col("rep").alias("doc_id")).distinct()
+def _reach(docs: DataFrame, placed: DataFrame, used: list[DataFrame]) -> DataFrame:
+    """For every member of the buckets, how many of its shingles a member of another component has."""
+    ids = cut(placed.select(F.col("rep").alias("doc_id")).distinct(), "open-ids")
     sets = cut(_sets_of(docs, ids), "open-sets")  # an id with two sets counts for both: a bound all the same
-    each = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("s"))
-    common = each.groupBy("s").agg(F.count("*").alias("k")).where("k > 1").select("s")
+    drop(ids)
+    named = sets.withColumnRenamed("doc_id", "rep").join(placed.select("rep", "component").distinct(), "rep")
+    each = named.select("rep", "component", F.explode("shingles").alias("s"))
+    ends = each.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    common = ends.where("low <> high").select("s")
     used.append(cut(each.join(common, "s").groupBy("rep").agg(F.count("*").alias("c")), "reach"))
     drop(sets)
     return used[-1]
@@ -293,7 +335,7 @@ def _across(docs: DataFrame, shared: DataFrame, labels: DataFrame, used: list[Da
     left = cut(_open_buckets(shared, labels), "open-buckets")
     used.append(left)
     placed = _placed(left, labels)
-    return _pairs(placed.where("component <> head"), placed, _reach(docs, left, used))
+    return _pairs(placed.where("component <> head"), placed, _reach(docs, placed, used))
 
 
 def _with_repeats(own: DataFrame, labels: DataFrame) -> DataFrame:

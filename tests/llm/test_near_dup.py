@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dqloom.llm import near_dup
 from dqloom.llm.components import components, local_forest
@@ -105,3 +106,30 @@ def test_components(spark):
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {x: root(x) for x in parent if root(x) != x}
     assert local_forest(links.limit(0)).count() == components(links.limit(0)).count() == 0
+
+
+def test_texts_are_not_shuffled(spark, tmp_path):
+    """Whole texts once went through the join with the ids that are wanted; a bitmap picks them before."""
+    rows = [(i, f"word{i} " * 20 if i % 9 else None) for i in range(400)] + [(None, "a b c d e f")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    wanted = [3, 4, 77, 395]
+    ids = spark.createDataFrame([(i,) for i in wanted], "doc_id long")
+    sets = near_dup._sets_of(docs, ids)
+    plan = sets._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Join") < plan.index("MapInArrow")  # the join reads sets
+    found = {r.doc_id: [s % 2**64 for s in r.shingles] for r in sets.collect()}
+    texts = dict(rows)
+    assert found == {i: near_dup.shingle_sets([texts[i]])[0].tolist() for i in wanted}
+    bits, blocks = near_dup._marks(spark.range(50_000).select((F.col("id") * 10**12).alias("doc_id")))
+    assert bits == 2**21 and all(len(data) == 4096 for data in blocks.values())
+
+
+def test_bounds_of_both_members(spark):
+    """Members that share much with others, yet too little for any pair, are not paired."""
+    members = [(1, "k", i, 100) for i in range(40)]
+    frame = spark.createDataFrame(members, "band int, key string, rep long, n long").withColumn("component", F.col("rep"))
+    reach = frame.select("rep", F.lit(80).alias("c"))
+    assert near_dup._pairs(frame, frame, reach).count() == 0  # 80 in common at most, of 120
+    near = frame.select("rep", F.when(F.col("rep") < 2, 90).otherwise(80).alias("c"))
+    assert [tuple(r) for r in near_dup._pairs(frame, frame, near).collect()] == [(1, 0)]
