@@ -142,37 +142,44 @@ def histogram(
 
     Each cell becomes a row ``column_name, v0, v1, ..`` with one slot per column type, of
     which only the slot of the cell's type is filled: values keep their type and order and
-    nothing is cast. Equal cells are added up in every task before the shuffle.
+    nothing is cast. Rows are unpivoted, which makes no objects of the cells, and equal cells are added up in
+    every task before the shuffle.
     ``short_text`` groups long texts by digest, where only their number matters; ``late`` groups them by
     ``late_key``, where the texts of a few are looked up afterwards.
 
-    ``filled`` (not NULL) and ``sortable`` are aggregates so that a filter on them stays
-    above the shuffle: several uses of one histogram then share its scan and shuffle.
+    One sum holds the frequency and, as its sign, whether the cell is set. So ``filled`` (not NULL) and ``sortable``
+    come from an aggregate, and a filter on them stays above the shuffle: several uses of one histogram then
+    share its scan and shuffle.
     """
     slots = _slots(frame, columns)
-    cells = []
-    for c in columns:
+    cells, empty = [], {}
+    for i, c in enumerate(columns):
         data_type = frame.schema[c].dataType
         value = _groupable(F.col(quoted(c)), data_type, short_text)
         if late and isinstance(data_type, T.StringType):
             value = late_key(value)
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[
-                    (value if slot_type == data_type else F.lit(None)).alias(slot)
-                    for slot_type, slot in slots.items()
-                ],
-            )
-        )
-    sortable = [slot for data_type, slot in slots.items() if is_orderable(data_type)]
+        cells.append(value.alias(f"c{i}"))
+        empty.setdefault(slots[data_type], F.when(F.lit(False), value).alias(f"no_{slots[data_type]}"))
+    wide = frame.select(*cells, *empty.values(), F.lit(None).cast("boolean").alias("no_more"))
+    listed = []
+    for i, c in enumerate(columns):
+        own = slots[frame.schema[c].dataType]
+        held = [f"c{i}" if slot == own else f"no_{slot}" for slot in slots.values()]
+        listed.append(f"({', '.join([*held, 'no_more'])}) AS {quoted(c)}")
+    named = ", ".join(listed).replace("{", "{{").replace("}", "}}")  # names may hold braces
+    long = frame.sparkSession.sql(
+        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS (({', '.join([*slots.values(), 'more'])}) "
+        f"FOR column_name IN ({named}))",
+        wide=wide,
+    )
+    sign = F.when(_is_set(slots.values()), F.lit(1)).otherwise(F.lit(-1))
+    sortable = [c for c in columns if is_orderable(frame.schema[c].dataType)]
     counted = (
-        frame.select(F.inline(F.array(*cells)))
-        .groupBy("column_name", *slots.values())
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.bool_or(_is_set(slots.values())).alias("filled"),
-            F.bool_or(_is_set(sortable)).alias("sortable"),
+        long.groupBy("column_name", *slots.values())
+        .agg(F.sum(sign).alias("signed"))
+        .select(
+            "column_name", *slots.values(), F.abs("signed").alias("n"), (F.col("signed") > 0).alias("filled"),
+            F.when(F.col("signed") > 0, F.col("column_name").isin(sortable)).otherwise(F.lit(False)).alias("sortable"),
         )
     )
     return counted, slots

@@ -462,3 +462,20 @@ def test_jdbc_tables_are_split_where_the_rows_are(spark):
     sizes = [spark.sql(f"SELECT * FROM far_table WHERE {text(c)}").count() for c in read]
     assert len(sizes) == 5 and max(sizes) <= 600
     assert source.load("id", 10_000).count() == len(keys) and "numPartitions" not in asked[-1]
+
+
+def test_histogram_unpivots_rows(spark):
+    """Values of all types, nested ones and NULLs, and names that hold braces, blanks and backticks."""
+    frame = spark.sql("""SELECT 1 AS `a {b}`, 'q' AS `c``d`, array(1, NULL) AS l, map('k', 1) AS m, 2 AS n
+                         UNION ALL SELECT 1, NULL, array(1, NULL), map('k', 1), NULL
+                         UNION ALL SELECT NULL, 'r', NULL, NULL, 2""")
+    values, slots = profile.histogram(frame, frame.columns)
+    assert len(slots) == 4
+    found = sorted((r.column_name, r.n, r.filled, r.sortable) for r in values.collect())
+    assert found == [
+        ("a {b}", 1, False, False), ("a {b}", 2, True, True), ("c`d", 1, False, False), ("c`d", 1, True, True),
+        ("c`d", 1, True, True), ("l", 1, False, False), ("l", 2, True, False), ("m", 1, False, False),
+        ("m", 2, True, False), ("n", 1, False, False), ("n", 2, True, True),
+    ]
+    plan = values._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "Generate" not in plan
