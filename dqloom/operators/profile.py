@@ -15,6 +15,12 @@ from dqloom.functions.numbers import fixed_text, pct, round_half_even, share
 from dqloom.functions.text import quoted
 from dqloom.operators.keyed import union_all
 
+#: Types that Spark's sketches of common values hold as they are.
+SKETCHED = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType,
+    T.TimestampType, T.TimestampNTZType,
+)
+
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 COLUMNS_PER_AGGREGATE = 100
 PREFIX = 64  # characters that a late key keeps of a longer text
@@ -299,15 +305,18 @@ def approximate_profile(
             column = _groupable(F.col(quoted(c)), data_type, False)
             ordered = is_orderable(data_type)
             bound = column if ordered else F.lit(None)
-            candidate = sketched_value(F.col(quoted(c)), data_type)
+            # numbers and times are sketched as they are: only the few that a sketch names become text
+            own = F.col(quoted(c))
+            candidate = own if isinstance(data_type, SKETCHED) else sketched_value(own, data_type)
             aggregates += [
                 F.count(F.lit(1)).alias(f"f{i}_total_rows"),
                 F.count_if(column.isNull()).alias(f"f{i}_null_count"),
                 F.approx_count_distinct(column, rsd).alias(f"f{i}_cardinality"),
                 F.min(bound).cast("string").alias(f"f{i}_col_min"),
                 F.max(bound).cast("string").alias(f"f{i}_col_max"),
-                F.call_function(
-                    "approx_top_k", candidate, F.lit(top + 1), F.lit(1000)
+                F.transform(
+                    F.call_function("approx_top_k", candidate, F.lit(top + 1), F.lit(1000)),
+                    lambda item: F.struct(item["item"].cast("string").alias("item"), item["count"].alias("count")),
                 ).alias(f"f{i}_top"),
             ]
         results.append(_as_rows(frame.agg(*aggregates), batch, fields))

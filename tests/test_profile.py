@@ -479,3 +479,15 @@ def test_histogram_unpivots_rows(spark):
     ]
     plan = values._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" in plan and "Generate" not in plan
+
+
+def test_sketches_hold_numbers_and_times_as_they_are(spark):
+    frame = spark.sql("""SELECT id % 3 AS i, CAST(id % 2 AS DOUBLE) / 4 AS d, id % 2 = 0 AS b,
+                         date_add(DATE '2020-01-01', CAST(id % 4 AS INT)) AS t, CAST(id % 5 AS DECIMAL(5, 2)) AS c
+                         FROM range(40)""")
+    found = profile.approximate_profile(frame, "s", "t")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    sketched = re.findall(r"approx_top_k\((\w+)", plan)
+    assert sorted(s for s in sketched if s != "cast") == ["b", "d", "i", "t"]
+    exact = {r.column_name: (r.sample, r.most_common_freqs) for r in profile.column_profile(frame, "s", "t").collect()}
+    assert {r.column_name: (r.sample, r.most_common_freqs) for r in found.collect()} == exact
