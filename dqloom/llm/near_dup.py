@@ -12,8 +12,9 @@ Documents with equal sets are one class, represented by its smallest id; only re
 banded. Members of a bucket are verified against its smallest member. A pair of the bucket that is still
 in two components then has a member outside the first one's component: those members are verified against
 some more members, and where that does not connect them against all others of the bucket, but for those that
-they can't be similar to, as too few shingles of either occur in any document of another component. So every pair that shares a
-band is verified, ruled out or connected, without all pairs of a group being made. Links are verified on full sets: 100 * both >= 75 * any.
+they can't be similar to: too few shingles of either occur in any document of another component, or the two differ
+from one third document in too much that is not the same. Near copies of one text differ from it in little, most of it their own,
+so the second rule settles a large group of them from what each differs in. So every pair that shares a band is verified, ruled out or connected, without all pairs of a group being made. Links are verified on full sets: 100 * both >= 75 * any.
 
 Null and empty texts and texts of white space have empty sets and are linked with nothing. Rows without id
 are linked with nothing; their component is null and they are kept. Rows with the same id are one node
@@ -38,6 +39,8 @@ ROWS, BANDS = 6, 60
 REGISTERS = ROWS * BANDS
 SIMILARITY = 75  # in hundredths
 PROBES = 2
+#: Groups, by hash, in which two sets' differences from a third one are counted and compared.
+PARTS = 16
 #: Bits of one bitmap of Spark's functions, and the most that a set of ids is marked in (16 MB).
 BITS_PER_BLOCK, MOST_BITS = 2**15, 2**27
 
@@ -284,15 +287,17 @@ def _open_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(several, ["band", "key"], "left_semi").select("band", "key", "rep", "n", "first")
 
 
-def _pairs(outside: DataFrame, others: DataFrame, reach: DataFrame | None = None) -> DataFrame:
+def _pairs(
+    outside: DataFrame, others: DataFrame, reach: DataFrame | None = None, unlike: DataFrame | None = None
+) -> DataFrame:
     """Members outside with others of their bucket in another component, as distinct (a, b).
 
     ``reach`` (rep, c) says how many shingles of a member any document of another component has: it can't have more
-    in common with one of them. Pairs that the bounds of both rule out are left out.
+    in common with one of them. ``unlike`` says what it differs in from the head of its bucket: two members differ in all
+    of that which is not the same. Pairs that the bounds of both rule out are left out.
     """
-    own = outside.select(
-        "band", "key", F.col("rep").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component")
-    )
+    named = {"rep": "x", "n": "x_n", "component": "x_component"}
+    own = outside.withColumnsRenamed(named)
     near = _near_in_size("n", "x_n")
     if reach is not None:
         bound = reach.select("rep", "c")
@@ -300,22 +305,58 @@ def _pairs(outside: DataFrame, others: DataFrame, reach: DataFrame | None = None
         own = own.join(bound.select(F.col("rep").alias("x"), F.col("c").alias("x_c")), "x")
         most = F.least("c", "x_c")
         near = near & (most * 100 >= (F.col("n") + F.col("x_n") - most) * SIMILARITY)
-    joined = own.join(others, ["band", "key"]).where((F.col("component") != F.col("x_component")) & near)
+    if unlike is not None:
+        parts = [f"g{i}" for i in range(PARTS)]
+        others = others.join(unlike, ["head", "rep"], "left")
+        of_x = unlike.withColumnsRenamed({"rep": "x", "d": "x_d"} | {c: f"x_{c}" for c in parts})
+        own = own.join(of_x, ["head", "x"], "left")
+        same = sum((F.least(c, f"x_{c}") for c in parts), F.lit(0))
+        apart = F.col("d") + F.col("x_d") - 2 * same
+        # similar sets differ in no more than this share of both sizes; without bounds a pair stays
+        near = near & F.coalesce(apart * (100 + SIMILARITY) <= (F.col("n") + F.col("x_n")) * (100 - SIMILARITY), F.lit(True))
+    joined = own.drop("head", "first").join(others, ["band", "key"]).where((F.col("component") != F.col("x_component")) & near)
     return joined.select(F.greatest("x", "rep").alias("a"), F.least("x", "rep").alias("b")).distinct()
 
 
-def _reach(docs: DataFrame, placed: DataFrame, used: list[DataFrame]) -> DataFrame:
-    """For every member of the buckets, how many of its shingles a member of another component has."""
-    ids = cut(placed.select(F.col("rep").alias("doc_id")).distinct(), "open-ids")
-    sets = cut(_sets_of(docs, ids), "open-sets")  # an id with two sets counts for both: a bound all the same
+def _open_sets(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """The sets of the members of buckets and of the buckets' heads."""
+    ids = cut(placed.select(F.explode(F.array("rep", "head")).alias("doc_id")).distinct(), "open-ids")
+    sets = cut(_sets_of(docs, ids), "open-sets")
     drop(ids)
+    return sets
+
+
+def _reach(sets: DataFrame, placed: DataFrame) -> DataFrame:
+    """For every member of the buckets, how many of its shingles a member of another component has."""
+    # an id with two sets counts for both: a bound all the same
     named = sets.withColumnRenamed("doc_id", "rep").join(placed.select("rep", "component").distinct(), "rep")
     each = named.select("rep", "component", F.explode("shingles").alias("s"))
     ends = each.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     common = ends.where("low <> high").select("s")
-    used.append(cut(each.join(common, "s").groupBy("rep").agg(F.count("*").alias("c")), "reach"))
-    drop(sets)
-    return used[-1]
+    return cut(each.join(common, "s").groupBy("rep").agg(F.count("*").alias("c")), "reach")
+
+
+def _unlike(sets: DataFrame, placed: DataFrame) -> DataFrame:
+    """For members of buckets and the heads of these: in how many shingles (``d``) their sets differ.
+
+    Columns ``g0`` and on count, by parts, those shingles that a member of another component differs in from that
+    head as well. Members that have less than half in common with the head are not listed, nor ids with several sets.
+    """
+    one = sets.groupBy("doc_id").agg(F.min("shingles").alias("own"), F.max("shingles").alias("last"))
+    one = one.where("own = last").select("doc_id", "own")
+    pairs = placed.select("head", "rep", "component").distinct()
+    joined = pairs.join(one.withColumnRenamed("doc_id", "rep"), "rep").join(
+        one.select(F.col("doc_id").alias("head"), F.col("own").alias("of_head")), "head"
+    )
+    both = F.size(F.array_intersect("own", "of_head"))
+    joined = joined.where(both * 3 >= F.size("own") + F.size("of_head"))
+    differing = F.concat(F.array_except("own", "of_head"), F.array_except("of_head", "own"))
+    each = joined.select("head", "rep", "component", F.explode_outer(differing).alias("s"))
+    ends = each.groupBy("head", "s").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    common = ends.where("low <> high").select("head", "s", F.pmod("s", F.lit(PARTS)).alias("part"))
+    counts = [F.count(F.when(F.col("part") == i, 1)).alias(f"g{i}") for i in range(PARTS)]
+    found = each.join(common, ["head", "s"], "left").groupBy("head", "rep").agg(F.count("s").alias("d"), *counts)
+    return cut(found, "unlike")
 
 
 def _probed(shared: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -333,9 +374,12 @@ def _probed(shared: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 def _across(docs: DataFrame, shared: DataFrame, labels: DataFrame, used: list[DataFrame]) -> DataFrame:
     """Members outside with all others of their buckets that they can be similar to; ``used`` gets what it wrote."""
     left = cut(_open_buckets(shared, labels), "open-buckets")
-    used.append(left)
     placed = _placed(left, labels)
-    return _pairs(placed.where("component <> head"), placed, _reach(docs, placed, used))
+    sets = _open_sets(docs, placed)
+    reach, unlike = _reach(sets, placed), _unlike(sets, placed)
+    drop(sets)
+    used += [left, reach, unlike]
+    return _pairs(placed.where("component <> head"), placed, reach, unlike)
 
 
 def _with_repeats(own: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dqloom.llm import near_dup
 from dqloom.llm.components import components, local_forest
-from tests_support import edited, plain_groups
+from tests_support import edited, plain_groups, plain_sets
 
 
 def corpus(seed=1):
@@ -133,3 +133,37 @@ def test_bounds_of_both_members(spark):
     assert near_dup._pairs(frame, frame, reach).count() == 0  # 80 in common at most, of 120
     near = frame.select("rep", F.when(F.col("rep") < 2, 90).otherwise(80).alias("c"))
     assert [tuple(r) for r in near_dup._pairs(frame, frame, near).collect()] == [(1, 0)]
+
+
+def test_large_group_is_not_paired(spark):
+    """Copies just too unlike to be linked were paired with every member of a large group."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    texts = [base]
+    for i in range(160):
+        words = list(base)
+        inside = i % 2
+        for place in rng.sample(range(15, 145), 4 if inside else 5):
+            words[place] = f"own{i}at{place}"
+        if not inside:  # an edit of several copies keeps the bound on what occurs elsewhere from ruling them out
+            words[5] = f"pool{i % 4}"
+        texts.append(words)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)] + [(7, " ".join(base[:60]))]  # an id with two sets
+    groups = plain_groups(rows)
+    component = {i: c for i, _, c in groups}
+    members = [("k", i, n, 0) for i, n, _ in groups]
+    shared = spark.createDataFrame(members, "key string, rep long, n long, first long").selectExpr("1 AS band", "*")
+    inside = [(i, 0) for i, c in component.items() if c == 0]
+    labels = spark.createDataFrame(inside, "node long, component long")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    outside, n_inside = len(component) - len(inside), len(inside)
+    assert outside > 50 and n_inside > 50
+    pairs = {tuple(r) for r in near_dup._across(docs, shared, labels, []).collect()}
+    assert len(pairs) < outside * n_inside / 20
+    # a copy that two members inside are similar to is found when the labels don't know yet
+    lost = inside[-1][0]
+    labels = labels.where(f"node <> {lost}")
+    pairs = {tuple(r) for r in near_dup._across(docs, shared, labels, []).collect()}
+    sets = plain_sets([t for _, t in rows])
+    near = [i for i, _ in inside if i != lost and 7 * len(sets[i] & sets[lost]) >= 3 * len(sets[i]) + 3 * len(sets[lost])]
+    assert near and all((max(i, lost), min(i, lost)) in pairs for i in near)
