@@ -21,6 +21,7 @@ from __future__ import annotations
 import functools
 import itertools
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from dqloom.llm.common import give_back, ship, slices, texts_of
-from dqloom.llm.tokens import pieces
+from dqloom.llm.tokens import byte_letters, pieces
 
 GROUP_IDS = 4_000_000
 FULL = 0.97
@@ -146,6 +147,22 @@ def pack_lengths(lengths: list[int], most: int) -> list[list[Piece]]:
     return whole + good + [w for w in added if id(w) not in topped]
 
 
+class PieceCodes(dict):
+    """Ids of pieces as bytes, asked of the tokenizer's model when first met."""
+
+    def __init__(self, model) -> None:
+        super().__init__()
+        self.model, self.letters = model, dict(enumerate(byte_letters()))
+
+    def __missing__(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        code = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[piece] = code
+        return code
+
+
 class PieceIds:
     """Ids of texts by a tokenizer file, remembered by piece."""
 
@@ -156,27 +173,18 @@ class PieceIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = PieceCodes(self.tokenizer.model)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = [t for t in added if t]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        cut = [None if any(t in text for t in self.special) else pieces(text) for text in texts]
-        new = list(set(itertools.chain.from_iterable(c for c in cut if c)).difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(itertools.chain.from_iterable(c for c in cut if c)))
-        for some in range(0, len(new), 20_000):
-            names = new[some : some + 20_000]
-            for name, code in zip(names, self._library(names)):
-                known[name] = np.array(code.ids, np.uint32).tobytes()
+        code = self.known.__getitem__
         out = []
-        for text, parts in zip(texts, cut):
-            if parts is None:
+        for text in texts:
+            if any(t in text for t in self.special):
                 out.append(np.array(self._library([text])[0].ids, np.uint32))
             else:
-                out.append(np.frombuffer(b"".join(map(known.__getitem__, parts)), np.uint32))
+                out.append(np.frombuffer(b"".join(map(code, pieces(text))), np.uint32))
         return out
 
     def _library(self, texts: list[str]):

@@ -31,9 +31,10 @@ _ENDINGS = r"'s|'t|'re|'ve|'m|'ll|'d"
 FULL = regex.compile(
     rf"{_ENDINGS}| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-#: The same for texts of Latin letters and ASCII digits only, with the faster standard module.
+#: The same for texts of Latin letters and ASCII digits only, with the faster standard module; words, which no ending
+#: begins like, are tried first.
 LATIN = re.compile(
-    rf"{_ENDINGS}| ?[^\W\d_]+| ?\d+| ?(?:[^{_SPACE}\w]|_)+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+    rf" ?[^\W\d_]+|{_ENDINGS}| ?\d+| ?(?:[^{_SPACE}\w]|_)+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 NOT_LATIN = re.compile("[^\x00-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧€]")
 

@@ -132,3 +132,18 @@ def test_little_padding_for_any_mix(lengths):
         at[row] = s + n
     assert all(at[i] == n for i, n in enumerate(lengths))
     assert sum(2048 - n for n in used if n & (n - 1)) <= 0.03 * sum(lengths) + 2048
+
+
+def test_pieces_are_asked_for_once(monkeypatch):
+    """Pieces were gathered in sets first and looked up again; each went through the whole tokenizer."""
+    encode = packing.PieceIds(BYTE_BPE)
+    texts = [t or "" for t in hard_texts()]
+    plain = [t for t in texts if not any(s in t for s in encode.special)]
+    want = [np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in plain]
+    monkeypatch.setattr(encode, "_library", None)
+    for _ in range(2):
+        assert all(np.array_equal(a, b) for a, b in zip(encode(plain), want, strict=True))
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    again = packing.PieceIds(BYTE_BPE)
+    assert all(np.array_equal(a, b) for a, b in zip(again(plain), want, strict=True))
+    assert len(again.known) <= 3
