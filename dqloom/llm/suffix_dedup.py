@@ -11,10 +11,11 @@ once, and only first occurrences are looked at further. That is what makes highl
 In the dictionary, suffixes are put in order as far as the question needs it, by their first ``LENGTH`` bytes.
 No task may hold the dictionary's suffix array whole, so its equal runs are found by key instead: strings share
 the smallest hash of their ``GRAM``-byte pieces (their anchor), and only strings whose anchor occurs in two
-documents can be equal. Runs of such strings (blocks) are compared as a whole. Equal strings of different blocks
-also share the anchor's piece with ``SIDE`` bytes more on one side; the strings of first blocks that hold a
-widened piece of several blocks are compared one by one. All comparisons are of 128-bit hashes, and each step is a shuffle on its own key:
-minima are taken before it, and documents only gather their own marks, which their length bounds.
+texts can be equal. Texts are worked on in bundles of about ``BUNDLE`` bytes, anchors in slices. A bundle tells each
+slice its anchors, each once and many in a row, and a slice answers which are shared. The runs of strings with a
+shared anchor (blocks) then go to the anchor's slice with their bytes, one of equal blocks a bundle: blocks are
+compared as a whole, and strings one by one where an anchor has several blocks. All comparisons are of 128-bit
+hashes, and both numbers grow with the text, so that no task holds more than a share.
 
 Null texts are empty. Documents without id are returned whole and are nobody's original. Rows with equal ids
 never remove from one another. Texts shorter than ``LENGTH`` bytes stay whole. Further columns are kept in
@@ -24,20 +25,22 @@ never remove from one another. Texts shorter than ``LENGTH`` bytes stay whole. F
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import RangeHash, arrow_pass, carrying, cut, drop, in_rows, slices
+from dqloom.llm.common import RangeHash, arrow_pass, carrying, cut, drop, give_back, in_rows, ship, slices
 from dqloom.operators.keyed import spread_left_join
 
 LENGTH = 50
 GRAM = 26
-SIDE = (LENGTH - GRAM) // 2
 TRIGGER_WIDTH, TRIGGER_MASK = 8, 255  # phrases of 256 bytes on average
 HELD = 400_000  # bytes worked on at a time
+BUNDLE, SLICE = 2_000_000, 13_000_000  # bytes of text in a bundle, and those that a slice of the anchors stands for
 RESULT = "kept binary, n_bytes long, n_removed long, spans array<struct<first:long,last:long>>"
 
 
@@ -50,18 +53,27 @@ class Buffer:
     """Texts end to end, with the running sums of two hashes."""
 
     def __init__(self, texts: list[bytes], second: bool = True) -> None:
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
-        lengths = np.array([len(t) for t in texts])
+        self._fill(np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64), second)
+
+    @classmethod
+    def over(cls, data: np.ndarray, lengths: np.ndarray, second: bool = True) -> Buffer:
+        """A buffer of bytes that lie end to end already."""
+        buffer = cls.__new__(cls)
+        buffer._fill(data, lengths, second)
+        return buffer
+
+    def _fill(self, data: np.ndarray, lengths: np.ndarray, second: bool) -> None:
+        self.data = data
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
         self.hash, self.other = _hashes()
         self.sums = self.hash.prefixes(self.data)
         self.other_sums = self.other.prefixes(self.data) if second else None
 
-    def both(self, start: np.ndarray, end: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    def both(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         one = self.hash.of(self.sums, start, end)
         two = self.other.of(self.other_sums, start, end)
-        return pa.array(one.view(np.int64)), pa.array(two.view(np.int64))
+        return one.view(np.int64), two.view(np.int64)
 
 
 def phrase_bounds(buffer: Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,153 +113,275 @@ def anchors(buffer: Buffer, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return at[first], np.diff(np.append(first, len(at))), value[first]
 
 
-def _windows(batch, names: list[str]):
-    """Sub-batches of bounded bytes with their texts as bytes."""
-    texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-    for a, b in slices(np.array([len(t) for t in texts]), HELD):
-        yield texts[a:b], {n: batch.column(n)[a:b] for n in names}
-
-
-def parse(base: DataFrame) -> DataFrame:
-    """All phrases: rid, doc_id, start, end, two hashes."""
-
-    def make(batch):
-        for texts, own in _windows(batch, ["rid", "doc_id"]):
-            buffer = Buffer(texts)
-            owner, start, end = phrase_bounds(buffer)
-            one, two = buffer.both(start, end)
-            local = buffer.starts[owner]
-            take = pa.array(owner)
-            yield {
-                "rid": own["rid"].take(take), "doc_id": own["doc_id"].take(take),
-                "start": pa.array((start - local).astype(np.int32)), "end": pa.array((end - local).astype(np.int32)),
-                "h1": one, "h2": two,
-            }
-
-    return arrow_pass(base, make, "rid long, doc_id long, start int, end int, h1 long, h2 long")
-
+def _bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column end to end, and the length of each value; null is empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    held = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(held):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    ends = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1]
+    return np.frombuffer(held.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]], np.diff(ends)
 
-def _spread(lists: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Row number and fields of all elements of a column of lists of structs."""
-    counts = np.array([len(x) if x is not None else 0 for x in lists.to_pylist()]) if len(lists) else np.zeros(0, int)
-    flat = lists.flatten()
-    fields = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
-    return np.repeat(np.arange(len(lists)), counts), fields
 
+def _windows(data: np.ndarray, lengths: np.ndarray, second: bool = True) -> Iterator[tuple[int, int, Buffer]]:
+    """Buffers of bounded bytes: first value, end and buffer."""
+    ends = np.cumsum(lengths)
+    for a, b in slices(lengths, HELD):
+        yield a, b, Buffer.over(data[ends[a] - lengths[a] : ends[b - 1]], lengths[a:b], second)
 
-def anchor_runs(docs: DataFrame) -> DataFrame:
-    """Runs of strings by anchor, over the phrases that were first seen here (column ``firsts``).
 
-    ``place`` is 64 times the first string's place plus the number of strings.
-    """
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... anew for every group of the given size."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
-    def make(batch):
-        for texts, own in _windows(batch, ["doc_id", "firsts"]):
-            buffer = Buffer(texts, second=False)
-            owner, of = _spread(own["firsts"])
-            step = np.zeros(len(buffer.data) + 2, np.int32)
-            np.add.at(step, buffer.starts[owner] + of["start"], 1)
-            np.add.at(step, buffer.starts[owner] + of["end"] - LENGTH + 1, -1)
-            start, count, value = anchors(buffer, np.cumsum(step)[: len(buffer.data)] > 0)
-            row = np.searchsorted(buffer.ends, start, "right")
-            place = 64 * (start - buffer.starts[row]) + count
-            yield {
-                "doc_id": own["doc_id"].take(pa.array(row)),
-                "place": pa.array(place.astype(np.int64)), "anchor": pa.array(value.view(np.int64)),
-            }
 
-    return arrow_pass(docs, make, "doc_id long, place long, anchor long")
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of a column's lists, and all their elements; null is empty."""
+    lists = column.combine_chunks()
+    if not len(lists):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    counts = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return counts, lists.flatten().to_numpy(zero_copy_only=False)
 
 
-def widened(buffer: Buffer, start: np.ndarray, end: np.ndarray, anchor: np.ndarray) -> pa.ListArray:
-    """For every block, its anchor's pieces with ``SIDE`` bytes more on the left or the right.
-
-    Of each the hash, and which strings of the block hold it: the first one (counted from the block's first)
-    and how many. A string holds its anchor's piece widened on one side at least, so strings that are
-    equal in two blocks are among those that hold a widened piece both blocks have.
-    """
-    pieces = buffer.hash.rolling(buffer.sums, GRAM)
-    counts = end - start - GRAM + 1
-    block = np.repeat(np.arange(len(start)), counts)
-    at = start[block] + np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
-    here = pieces[at] == anchor[block]
-    block, at = block[here], at[here]
-    left, right = at - SIDE >= start[block], at + GRAM + SIDE <= end[block]
-    first = np.concatenate([at[left] - SIDE, at[right]])
-    owner = np.concatenate([block[left], block[right]])
-    keys = buffer.hash.of(buffer.sums, first, first + GRAM + SIDE)
-    # a piece widened to the left is no piece widened to the right
-    keys[: left.sum()] ^= np.uint64(1)
-    lowest = np.maximum(first + GRAM + SIDE - LENGTH, start[owner])
-    number = np.minimum(first, end[owner] - LENGTH) - lowest + 1
-    order = np.argsort(owner, kind="stable")
-    places = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(start)))]).astype(np.int32)
-    held = pa.StructArray.from_arrays(
-        [pa.array(keys[order].view(np.int64)), pa.array((lowest - start[owner])[order].astype(np.int32)),
-         pa.array(number[order].astype(np.int32))], ["key", "first", "n"],
-    )
-    return pa.ListArray.from_arrays(places, held)
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(values))
 
 
-def _fitting(buffer: Buffer, owner: np.ndarray, at: np.ndarray, n: np.ndarray):
-    """Number of text, local place, start and end of the blocks that lie in their texts.
-
-    All do, but for rows that share an id and are shorter.
-    """
-    start = buffer.starts[owner] + at
-    end = start + n + LENGTH - 1
-    fits = end <= buffer.ends[owner]
-    return fits, owner[fits], at[fits], start[fits], end[fits]
-
-
-def blocks(docs: DataFrame) -> DataFrame:
-    """The runs in column ``runs`` with two hashes of their bytes, and their widened anchors."""
+def parse(base: DataFrame) -> DataFrame:
+    """All phrases: rid, doc_id, start, end, two hashes."""
 
     def make(batch):
-        for texts, own in _windows(batch, ["rid", "doc_id", "runs"]):
-            buffer = Buffer(texts)
-            owner, of = _spread(own["runs"])
-            n = of["place"] % 64
-            fits, owner, at, start, end = _fitting(buffer, owner, of["place"] // 64, n)
+        for a, b, buffer in _windows(*_bytes(batch.column("text"))):
+            owner, start, end = phrase_bounds(buffer)
             one, two = buffer.both(start, end)
-            take = pa.array(owner)
+            local = buffer.starts[owner]
+            take = pa.array(a + owner)
             yield {
-                "rid": own["rid"].take(take), "doc_id": own["doc_id"].take(take),
-                "at": pa.array(at.astype(np.int32)), "n": pa.array(n[fits].astype(np.int32)),
-                "b1": one, "b2": two,
-                "wide": widened(buffer, start, end, of["anchor"][fits].astype(np.int64).view(np.uint64)),
+                "rid": batch.column("rid").take(take), "doc_id": batch.column("doc_id").take(take),
+                "start": pa.array((start - local).astype(np.int32)), "end": pa.array((end - local).astype(np.int32)),
+                "h1": pa.array(one), "h2": pa.array(two),
             }
 
-    return arrow_pass(docs, make, "rid long, doc_id long, at int, n int, b1 long, b2 long, "
-                      "wide array<struct<key:long,first:int,n:int>>")
+    return arrow_pass(base, make, "rid long, doc_id long, start int, end int, h1 long, h2 long")
 
 
-def strings(docs: DataFrame) -> DataFrame:
-    """All strings of the stretches in column ``chosen``: rid, doc_id, place and two hashes."""
+def _least(doc: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every value the smallest document that has an equal one, and the number of its class."""
+    if not len(doc):
+        return doc, np.zeros(0, np.int64)
+    order = np.argsort(one, kind="stable")
+    if ((np.diff(one[order]) == 0) & (np.diff(two[order]) != 0)).any():
+        order = np.lexsort((two, one))
+    new = np.append(True, (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0))
+    least, number = np.empty_like(doc), np.empty(len(doc), np.int64)
+    number[order] = np.cumsum(new) - 1
+    least = np.minimum.reduceat(doc[order], np.flatnonzero(new))[number]
+    return least, number
 
-    def make(batch):
-        for texts, own in _windows(batch, ["rid", "doc_id", "chosen"]):
-            buffer = Buffer(texts)
-            owner, of = _spread(own["chosen"])
-            n = of["n"].astype(np.int64)
-            fits, owner, at, start, _ = _fitting(buffer, owner, of["at"], n)
-            counts = n[fits]
-            block = np.repeat(np.arange(len(owner)), counts)
-            offset = np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
-            first = start[block] + offset
-            one, two = buffer.both(first, first + LENGTH)
-            take = pa.array(owner[block])
-            yield {
-                "rid": own["rid"].take(take), "doc_id": own["doc_id"].take(take),
-                "at": pa.array((at[block] + offset).astype(np.int32)), "w1": one, "w2": two,
-            }
 
-    return arrow_pass(docs, make, "rid long, doc_id long, at int, w1 long, w2 long")
+def _runs(texts: pa.Table, firsts: pa.Table, second: bool) -> Iterator[tuple]:
+    """Of a bundle, the runs of strings by anchor over the phrases that were first seen here, window by window.
 
-
-def find_repeats(base: DataFrame) -> DataFrame:
-    """rid and its marked ranges (first byte, end excluded), for documents that have any."""
+    Each window is the table of its texts, its buffer, and of every run the row, start, number and anchor. Anchors lose
+    their lowest bit. Rows that share id and text are taken once.
+    """
+    if not texts.num_rows or not firsts.num_rows:
+        return
+    rid, at = np.unique(texts["rid"].to_numpy(), return_index=True)
+    counts, lo = _flat(firsts["starts"])
+    _, hi = _flat(firsts["ends"])
+    _, i, j = np.intersect1d(rid, firsts["rid"].to_numpy(), assume_unique=True, return_indices=True)
+    texts = texts.take(pa.array(at[i]))
+    before, held = (np.cumsum(counts) - counts)[j], counts[j]
+    for a, b, buffer in _windows(*_bytes(texts["text"]), second):
+        n = held[a:b]
+        which = np.repeat(before[a:b], n) + _within(n)
+        place, size = np.repeat(buffer.starts, n), len(buffer.data) + 2
+        step = np.bincount(place + lo[which], minlength=size) - np.bincount(place + hi[which] - LENGTH + 1, minlength=size)
+        start, count, value = anchors(buffer, np.cumsum(step)[: len(buffer.data)] > 0)
+        row = np.searchsorted(buffer.ends, start, "right")
+        yield texts.slice(a, b - a), buffer, row, start, count, value.view(np.int64) & -2
+
+
+def _slice_of(anchor: np.ndarray, number: int) -> np.ndarray:
+    return (anchor >> 1 & 0x7FFFFFFF) % number  # minima are small, but their low bits are not
+
+
+def _joined(parts: list[np.ndarray], kind: type = np.int64) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _anchors_by_slice(texts: pa.Table, firsts: pa.Table, slice_count: int) -> pa.Table:
+    """The anchors of a bundle, each once. Its lowest bit says that several texts of the bundle have it."""
+    rows, values, seen = [], [], 0
+    for own, _, row, _, _, value in _runs(texts, firsts, second=False):
+        rows.append(seen + row)
+        values.append(value)
+        seen += own.num_rows
+    row, value = _joined(rows), _joined(values)
+    order = np.argsort(value, kind="stable")
+    row, value = row[order], value[order]
+    new = np.flatnonzero(np.append(True, np.diff(value) != 0)) if len(value) else order
+    last = np.append(new[1:], len(value)) - 1 if len(value) else order
+    several = row[new] != row[last]
+    value = value[new]
+    dealt = _slice_of(value, slice_count)
+    order = np.argsort(dealt, kind="stable")
+    counts = np.bincount(dealt, minlength=slice_count)
+    used = np.flatnonzero(counts)
+    bundle = texts["bundle"][0].as_py() if texts.num_rows else 0
+    return pa.table({
+        "slice": pa.array(used.astype(np.int32)), "bundle": pa.array(np.full(len(used), bundle, np.int32)),
+        "anchors": _lists(counts[used], (value | several)[order]),
+    })
+
+
+def _shared(rows: pa.Table) -> pa.Table:
+    """Of every bundle's anchors in a slice, those that several texts have."""
+    counts, value = _flat(rows["anchors"])
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.argsort(value & -2, kind="stable")
+    held = value[order]
+    new = np.append(True, np.diff(held & -2) != 0)
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    size = np.diff(np.append(first, len(held)))
+    wanted = np.empty(len(value), bool)
+    wanted[order] = ((size > 1) | (np.maximum.reduceat(held & 1, first) > 0))[group]
+    left = np.bincount(owner[wanted], minlength=len(counts))
+    some = np.flatnonzero(left)
+    return pa.table({
+        "bundle": rows["bundle"].combine_chunks().take(pa.array(some)),
+        "anchors": _lists(left[some], value[wanted] & -2),
+    })
+
+
+def _blocks_by_slice(texts: pa.Table, news: pa.Table, slice_count: int) -> pa.Table:
+    """The blocks of a bundle whose anchor is shared: their bytes where the block's first document in the bundle has them."""
+    own = pc.is_valid(news["rid"])
+    _, shared = _flat(news.filter(pc.invert(own))["anchors"])
+    shared = np.sort(shared)
+    found: list[list[np.ndarray]] = [[] for _ in range(8)]
+    pieces = []
+    if len(shared):
+        for held, buffer, row, start, count, value in _runs(texts, news.filter(own), second=True):
+            near = np.minimum(np.searchsorted(shared, value), len(shared) - 1)
+            here = shared[near] == value
+            row, start, count, value = row[here], start[here], count[here], value[here]
+            one, two = buffer.both(start, start + count + LENGTH - 1)
+            fields = (held["rid"].to_numpy()[row], held["doc_id"].to_numpy()[row], start - buffer.starts[row], count, value, one, two,
+                      start + sum(map(len, pieces)))
+            for kept, x in zip(found, fields):
+                kept.append(x)
+            pieces.append(buffer.data)
+    rid, doc, at, n, anchor, one, two, start = map(_joined, found)
+    data = _joined(pieces, np.uint8)
+    first = _least(doc, one, two)[0] == doc
+    dealt = _slice_of(anchor, slice_count)
+    order = np.argsort(dealt, kind="stable")
+    counts = np.bincount(dealt, minlength=slice_count)
+    used = np.flatnonzero(counts)
+    sizes = np.where(first, n + LENGTH - 1, 0)[order]
+    taken = data[np.repeat(start[order], sizes) + _within(sizes)].tobytes()
+    cuts = np.append(0, np.cumsum(np.bincount(dealt[order], sizes, slice_count)[used])).astype(np.int32)
+    bundle = texts["bundle"][0].as_py() if texts.num_rows else 0
+    lists = {"rid": rid, "doc_id": doc, "at": at.astype(np.int32), "n": n.astype(np.int32), "anchor": anchor, "first": first}
+    return pa.table({
+        "slice": pa.array(used.astype(np.int32)), "bundle": pa.array(np.full(len(used), bundle, np.int32)),
+        **{name: _lists(counts[used], x[order]) for name, x in lists.items()},
+        "bytes": pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(cuts), pa.py_buffer(taken)]),
+    })
+
+
+def _repeats(rows: pa.Table) -> pa.Table:
+    """Of every bundle's blocks in a slice, the stretches that a smaller document has."""
+    counts, rid = _flat(rows["rid"])
+    doc, at, n, anchor, first = (_flat(rows[c])[1] for c in ("doc_id", "at", "n", "anchor", "first"))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    data, _ = _bytes(rows["bytes"])
+    heads = np.flatnonzero(first)
+    lengths = n[heads].astype(np.int64) + LENGTH - 1
+    hashes = [b.both(b.starts, b.ends) for _, _, b in _windows(data, lengths)]
+    one, two = (_joined([h[k] for h in hashes]) for k in (0, 1))
+    least, kind = _least(doc[heads], one, two)
+    again = ~first
+    again[heads] = least < doc[heads]
+    whole = np.flatnonzero(again)
+    marks = [(whole, at[whole], at[whole] + n[whole] + LENGTH - 1)]
+    # strings are looked at one by one where an anchor has several blocks
+    left = np.flatnonzero(least == doc[heads])
+    order = left[np.lexsort((kind[left], anchor[heads][left]))]
+    value, number = anchor[heads][order], kind[order]
+    new = np.append(True, np.diff(value) != 0)[: len(value)]
+    group = np.cumsum(new) - 1
+    several = np.bincount(group[1:][(np.diff(number) != 0) & ~new[1:]], minlength=len(value) + 1)[group] > 0
+    left = np.sort(order[several])
+    if len(left):
+        ends = np.cumsum(lengths)
+        sizes = lengths[left]
+        data = data[np.repeat(ends[left] - sizes, sizes) + _within(sizes)]
+        ones, twos = [], []
+        for a, b, buffer in _windows(data, sizes):
+            number = sizes[a:b] - LENGTH + 1
+            start = np.repeat(buffer.starts, number) + _within(number)
+            one, two = buffer.both(start, start + LENGTH)
+            ones.append(one)
+            twos.append(two)
+        number = sizes - LENGTH + 1
+        block, offset = np.repeat(heads[left], number), _within(number)
+        found = np.flatnonzero(_least(doc[block], _joined(ones), _joined(twos))[0] < doc[block])
+        block, offset = block[found], offset[found]
+        new = np.append(True, (np.diff(block) != 0) | (np.diff(offset) != 1))[: len(block)]
+        last = np.append(new[1:], True)[: len(block)]
+        marks.append((block[new], at[block[new]] + offset[new], at[block[new]] + offset[last] + LENGTH))
+    place, start, end = (_joined([m[k] for m in marks]) for k in range(3))
+    order = np.argsort(owner[place], kind="stable")
+    place = place[order]
+    of = np.bincount(owner[place], minlength=len(counts))
+    some = np.flatnonzero(of)
+    return pa.table({
+        "bundle": rows["bundle"].combine_chunks().take(pa.array(some)),
+        "rids": _lists(of[some], rid[place]),
+        "starts": _lists(of[some], start[order].astype(np.int32)), "ends": _lists(of[some], end[order].astype(np.int32)),
+    })
+
+
+def _clearing(make: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``make`` over groups, after each of which the worker gives back what it took."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        try:
+            return make(rows)
+        finally:
+            give_back()
+
+    return run
+
+
+def _clearing_both(make: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same over pairs of groups."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return make(left, right)
+        finally:
+            give_back()
+
+    return run
+
+
+def find_repeats(base: DataFrame) -> tuple[DataFrame, int]:
+    """Marked ranges (first byte, end excluded) as lists by bundle, and the number of bundles.
+
+    A bundle is what ``rid`` leaves; a slice of the anchors and of their blocks is what an anchor leaves.
+    """
+    spark = base.sparkSession
+    ship(spark)
     phrases = cut(parse(base), "phrases")
+    total = phrases.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bundle_count, slice_count = max(least, total // BUNDLE), max(least, total // SLICE)
+    bundle = F.pmod("rid", F.lit(bundle_count)).cast("int").alias("bundle")
     seen = phrases.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
     span = F.struct("start", "end")
     again = F.col("least") < F.col("doc_id")
@@ -260,99 +394,121 @@ def find_repeats(base: DataFrame) -> DataFrame:
         "parsed",
     )
     drop(phrases)
-    news = parsed.where(F.size("firsts") > 0).select("rid", "firsts")
-    # runs and strings are worked out twice, which takes less than writing, keeping and reading them
-    runs = anchor_runs(base.join(news, "rid"))
-    shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b")
-    shared = cut(shared.select("anchor"), "shared-anchors")
-    run = F.struct("place", "anchor")
-    wanted = cut(runs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(run).alias("runs")), "runs")
-    found = cut(blocks(base.join(wanted, "doc_id")), "blocks")
-    drop(shared)
-    drop(wanted)
-    least = cut(found.groupBy("b1", "b2").agg(F.min("doc_id").alias("least")), "first-blocks")
-    named = found.join(least, ["b1", "b2"])
-    whole = named.where("least < doc_id").select(
-        "rid", F.col("at").alias("start"), (F.col("at") + F.col("n") + LENGTH - 1).alias("end")
+    texts = base.select(bundle, "rid", "doc_id", "text").groupBy("bundle")
+    news = parsed.where(F.size("firsts") > 0).select(
+        bundle, "rid", F.col("firsts.start").alias("starts"), F.col("firsts.end").alias("ends")
     )
-    news = named.where("least = doc_id")
-    wide = news.select("rid", "at", "b1", F.explode("wide").alias("held")).select(
-        "rid", "b1", "held.key", (F.col("at") + F.col("held.first")).alias("at"), "held.n"
+    # runs are worked out twice, which takes less than writing, keeping and reading them
+    told = texts.cogroup(news.groupBy("bundle")).applyInArrow(
+        _clearing_both(lambda t, n: _anchors_by_slice(t, n, slice_count)), "slice int, bundle int, anchors array<long>"
     )
-    several = wide.groupBy("key").agg(F.min("b1").alias("x"), F.max("b1").alias("y")).where("x <> y").select("key")
-    chosen = wide.join(several, "key").groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("chosen"))
-    chosen = cut(chosen, "chosen")
-    whole = cut(whole, "whole-blocks")
-    drop(found)
-    drop(least)
-    single = strings(base.join(chosen, "rid"))
-    bounds = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    repeated = cut(bounds.where("least < most").select("w1", "w2", "least"), "repeated-strings")
-    parts = single.join(repeated, ["w1", "w2"]).where("least < doc_id").select(
-        "rid", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end")
+    shared = cut(
+        told.groupBy("slice").applyInArrow(_clearing(_shared), "bundle int, anchors array<long>"), "shared-anchors"
     )
-    old = parsed.select("rid", F.explode("marks").alias("m")).select("rid", "m.start", "m.end")
-    every = old.unionByName(whole).unionByName(parts)
-    marks = cut(every.groupBy("rid").agg(F.collect_set(span).alias("marks")), "marks")
-    for table in (parsed, chosen, whole, repeated):
-        drop(table)
-    return marks
-
-
-def merged_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs of ranges that overlap or touch."""
-    out: list[list[int]] = []
-    for start, end in sorted(ranges):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return [(a, b) for a, b in out]
-
-
-def kept_parts(data: bytes, gone: list[tuple[int, int]]) -> list[bytes]:
-    edges = [0, *(x for r in gone for x in r), len(data)]
-    return [data[a:b] for a, b in zip(edges[::2], edges[1::2])]
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``row`` with all columns, the bytes kept, their number before, how many went, and the removed runs."""
+    asked = news.unionByName(shared, allowMissingColumns=True)
+    blocks = texts.cogroup(asked.groupBy("bundle")).applyInArrow(
+        _clearing_both(lambda t, n: _blocks_by_slice(t, n, slice_count)),
+        "slice int, bundle int, rid array<long>, doc_id array<long>, at array<int>, n array<int>, anchor array<long>, "
+        "first array<boolean>, bytes binary",
+    )
+    listed = "bundle int, rids array<long>, starts array<int>, ends array<int>"
+    found = blocks.groupBy("slice").applyInArrow(_clearing(_repeats), listed)
+    old = parsed.where(F.size("marks") > 0).select(
+        bundle, F.array_repeat("rid", F.size("marks")).alias("rids"),
+        F.col("marks.start").alias("starts"), F.col("marks.end").alias("ends"),
+    )
+    marks = cut(old.unionByName(found), "marks")
+    drop(parsed)
+    drop(shared)
+    return marks, bundle_count
+
+
+def _gone(rid: np.ndarray, lengths: np.ndarray, marks: pa.Table) -> np.ndarray:
+    """Which bytes of the texts of a bundle are marked."""
+    total = int(lengths.sum())
+    _, own = _flat(marks["rids"])
+    _, lo = _flat(marks["starts"])
+    _, hi = _flat(marks["ends"])
+    order = np.argsort(own, kind="stable")
+    own, lo, hi = own[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    begin, end = np.searchsorted(own, rid, "left"), np.searchsorted(own, rid, "right")
+    which = np.repeat(begin, end - begin) + _within(end - begin)
+    place = np.repeat(np.cumsum(lengths) - lengths, end - begin)
+    step = np.bincount(place + lo[which], minlength=total + 1) - np.bincount(place + hi[which], minlength=total + 1)
+    return np.cumsum(step)[:total] > 0
+
+
+def _marked(docs: DataFrame, make: Callable[[pa.Table, np.ndarray, np.ndarray, np.ndarray], pa.Table], ddl: str) -> DataFrame:
+    """``row`` and what ``make`` adds, from rows, their bytes, lengths and which bytes are marked."""
     rid = F.xxhash64(F.col("row.doc_id").cast("long"), F.col("row.text"))
     rows = in_rows(docs).withColumn("rid", rid)
-    base = rows.where("row.doc_id IS NOT NULL").where(F.octet_length("text") >= LENGTH)
-    base = base.select("rid", F.col("row.doc_id").cast("long").alias("doc_id"), "text")
-    marks = find_repeats(base)
-    joined = rows.drop("text").join(marks, "rid", "left").select("row", "marks")
-    pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    whole = F.col("row.doc_id").isNull() | F.coalesce(F.octet_length("text") < LENGTH, F.lit(True))
+    base = rows.where(~whole).select("rid", F.col("row.doc_id").cast("long").alias("doc_id"), "text")
+    marks, bundle_count = find_repeats(base)
+    # rows that stay whole need no marks: copies of one are spread
+    place = F.when(whole, F.xxhash64("rid", F.spark_partition_id())).otherwise(F.col("rid"))
+    bundle = F.pmod(place, F.lit(bundle_count)).cast("int").alias("bundle")
+    kept = rows.select(bundle, F.when(~whole, F.col("rid")).alias("rid"), "row")
+    schema = carrying(rows, ["row"], ddl)
+
+    def clear(texts: pa.Table, own: pa.Table) -> pa.Table:
+        # a null id has no marks: its bytes are those of an empty list
+        some = pc.is_valid(texts["rid"])
+        parts = []
+        for chosen, marked in ((texts.filter(some), own), (texts.filter(pc.invert(some)), own.slice(0, 0))):
+            row = chosen["row"].combine_chunks()
+            data, lengths = _bytes(row.field("text"))
+            parts.append(make(row, data, lengths, _gone(chosen["rid"].fill_null(0).to_numpy(), lengths, marked)))
+        return pa.concat_tables(parts)
+
+    return kept.groupBy("bundle").cogroup(marks.groupBy("bundle")).applyInArrow(_clearing_both(clear), schema)
+
+
+def _parts(lengths: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of texts after bytes went, and the offsets that they make."""
+    ends = np.append(0, np.cumsum(kept))[np.append(0, np.cumsum(lengths))]
+    return np.diff(ends), ends.astype(np.int32)
 
-    def make(batch):
-        row = batch.column("row")
-        texts = row.field("text") if not row.null_count else pa.array([r["text"] for r in row.to_pylist()])
-        data = [(t or "").encode() for t in texts.to_pylist()]
-        gone = [merged_ranges([(m["start"], m["end"]) for m in own or []]) for own in batch.column("marks").to_pylist()]
-        for a, b in slices(np.array([len(d) for d in data]), 16 * HELD):
-            yield {
-                "row": row[a:b],
-                "kept": pa.array([b"".join(kept_parts(d, g)) for d, g in zip(data[a:b], gone[a:b])], pa.binary()),
-                "n_bytes": pa.array([len(d) for d in data[a:b]], pa.int64()),
-                "n_removed": pa.array([sum(y - x for x, y in g) for g in gone[a:b]], pa.int64()),
-                "spans": pa.array([[{"first": x, "last": y - 1} for x, y in g] for g in gone[a:b]], pair),
-            }
 
-    return arrow_pass(joined, make, carrying(joined, ["row"], RESULT))
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``row`` with all columns, the bytes kept, their number before, how many went, and the removed runs."""
+    pair = [pa.field("first", pa.int64()), pa.field("last", pa.int64())]
+
+    def make(row: pa.StructArray, data: np.ndarray, lengths: np.ndarray, gone: np.ndarray) -> pa.Table:
+        left, ends = _parts(lengths, ~gone)
+        begins = np.append(0, np.cumsum(lengths))
+        edge = np.zeros(len(data) + 1, bool)
+        edge[begins] = True  # a run ends with its text
+        edge = edge[:-1]
+        before, after = np.append(False, gone[:-1])[: len(gone)], np.append(gone[1:], False)[: len(gone)]
+        first = np.flatnonzero(gone & (~before | edge))
+        last = np.flatnonzero(gone & (~after | np.append(edge[1:], True)[: len(gone)]))
+        owner = np.searchsorted(begins, first, "right") - 1
+        spans = pa.StructArray.from_arrays([pa.array(x - begins[owner]) for x in (first, last)], fields=pair)
+        counts = np.append(0, np.cumsum(np.bincount(owner, minlength=len(lengths)))).astype(np.int32)
+        return pa.table({
+            "row": row,
+            "kept": pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(ends), pa.py_buffer(data[~gone].tobytes())]),
+            "n_bytes": pa.array(lengths.astype(np.int64)), "n_removed": pa.array((lengths - left).astype(np.int64)),
+            "spans": pa.ListArray.from_arrays(pa.array(counts), spans),
+        })
+
+    return _marked(docs, make, RESULT)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with all columns, removed bytes gone from ``text``; half characters at cuts go too."""
 
-    def make(batch):
-        row, kept = batch.column("row"), []
-        for text, spans in zip(row.field("text").to_pylist(), batch.column("spans").to_pylist()):
-            gone = [(s["first"], s["last"] + 1) for s in spans]
-            parts = kept_parts((text or "").encode(), gone) if gone else []
-            kept.append("".join(p.decode("utf-8", "ignore") for p in parts) if gone else text)
-        yield {"row": row, "text": pa.array(kept, pa.string())}
-
-    found = remove_repeats(docs).select("row", "spans")
-    clean = arrow_pass(found, make, carrying(found, ["row"], "text string"))
+    def make(row: pa.StructArray, data: np.ndarray, lengths: np.ndarray, gone: np.ndarray) -> pa.Table:
+        begins = np.append(0, np.cumsum(lengths))
+        left, _ = _parts(lengths, ~gone)
+        texts = row.field("text").to_pylist()
+        for i in np.flatnonzero(left < lengths):
+            here, out = data[begins[i] : begins[i + 1]], gone[begins[i] : begins[i + 1]]
+            edges = np.flatnonzero(np.diff(out)) + 1
+            pieces = np.split(here, edges)[int(out[0]) :: 2]
+            texts[i] = "".join(p.tobytes().decode("utf-8", "ignore") for p in pieces)
+        return pa.table({"row": row, "text": pa.array(texts, pa.string())})
+
+    clean = _marked(docs, make, "text string")
     return clean.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")

@@ -58,6 +58,30 @@ def test_removed_bytes_against_all_strings(spark, monkeypatch, seed):
     assert whole == sorted(((i, t) for i, t in rows if i in (502, 504, 507, 508) or i is None), key=repr)
 
 
+def test_runs_of_strings_travel_packed(spark, monkeypatch):
+    """A footer in all documents gives each some runs; they must not become rows of their own."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    footers = [text(90), text(300)]
+    rows = [(i, text(100) + rng.choice(footers) + text(rng.randrange(60))) for i in range(400)]
+    rows += [(500, None), (None, rows[0][1]), (7, rows[8][1])]
+    written = {}
+    cut = suffix_dedup.cut
+
+    def counted(frame, name, *more):
+        table = cut(frame, name, *more)
+        written[name] = table.count()
+        return table
+
+    monkeypatch.setattr(suffix_dedup, "cut", counted)
+    monkeypatch.setattr(suffix_dedup, "BUNDLE", 10_000, raising=False)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 20_000, raising=False)
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((r.row.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in found), key=repr)
+    assert got == plain(rows)
+    assert sum(n for name, n in written.items() if name not in ("phrases", "parsed")) < 2 * len(rows), written
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(docs).count() == suffix_dedup.without_repeats(docs).count() == 0
