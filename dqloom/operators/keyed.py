@@ -252,10 +252,7 @@ def pair_agreement(
     names = [f"k{i}" for i in range(len(pairs))]
 
     def side(frame: DataFrame, keys: list[str], value: str, is_left: bool) -> DataFrame:
-        kept = frame.filter(all_not_null(keys))
-        if not keep_nulls:
-            kept = kept.filter(F.col(quoted(value)).isNotNull())
-        return kept.select(
+        return frame.filter(all_not_null(keys)).select(
             *[F.col(quoted(k)).alias(n) for k, n in zip(keys, names)],
             compact_key(
                 F.col(quoted(value)), isinstance(frame.schema[value].dataType, T.StringType)
@@ -270,9 +267,9 @@ def pair_agreement(
         .groupBy(*names, "value")
         .agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
     )
-    per_key = per_value.groupBy(*names).agg(
-        F.sum("p").alias("p"), F.sum("c").alias("c"), F.sum(F.col("p") * F.col("c")).alias("same")
-    )
+    # NULL values are left out of the sums, not of the rows: checks of both policies then share one shuffle
+    p, c = (F.col(n) if keep_nulls else F.when(F.col("value").isNotNull(), F.col(n)).otherwise(0) for n in "pc")
+    per_key = per_value.groupBy(*names).agg(F.sum(p).alias("p"), F.sum(c).alias("c"), F.sum(p * c).alias("same"))
     return per_key.agg(
         F.coalesce(F.sum(F.col("p") * F.col("c")), F.lit(0)).alias("checked_count"),
         F.coalesce(F.sum("same"), F.lit(0)).alias("agreeing_count"),

@@ -230,3 +230,14 @@ def test_spread_join_leaves_callers_names_alone(spark, rows):
     frame = spark.createDataFrame([(1, i % 2, i % 3) for i in range(200)], "k int, _n int, _place int")
     right = spark.createDataFrame([(1, "one")], "k int, _all string")
     assert rows(keyed.spread_left_join(frame, right, ["k"])) == rows(frame.join(right, "k", "left"))
+
+
+def test_both_null_policies_share_one_shuffle(spark):
+    left = spark.createDataFrame([(1, "a"), (1, None), (2, None), (None, "a"), (3, "b"), (3, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, "a"), (1, "c"), (2, None), (3, None), (3, "b"), (4, "x")], "k int, w string")
+    both = keyed.union_all([
+        keyed.pair_agreement(left, right, [("k", "k")], ("v", "w"), keep_nulls=keep) for keep in (True, False)
+    ])
+    # 1: 2 x 2 pairs, 2: 1, 3: 2 x 2; without NULLs 1 x 2, none, 2 x 1
+    assert sorted(map(tuple, both.collect())) == [(4, 3), (9, 4)]
+    assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
